@@ -6,7 +6,7 @@ import importlib
 
 from strideframe.bindings import registry
 
-MODULES = ["signals"]
+MODULES = ["signals", "checks"]
 
 
 def load():

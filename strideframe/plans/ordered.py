@@ -57,19 +57,19 @@ class Ordered:
         pick_f = F.struct(*[F.col(c).alias(n) for n, c in following.items()]) if following else None
         aggs, finish = [], []
         if prev:
-            aggs.append(F.max_by(pick_p, self.rank).alias("_last"))
-            finish.append(F.lag("_last").over(self.edge_win).alias("_prev"))
+            aggs.append(F.max_by(pick_p, self.rank).alias("_seg_last"))
+            finish.append(F.lag("_seg_last").over(self.edge_win).alias("_edge_prev"))
         if following:
-            aggs.append(F.min_by(pick_f, self.rank).alias("_first"))
-            finish.append(F.lead("_first").over(self.edge_win).alias("_next"))
+            aggs.append(F.min_by(pick_f, self.rank).alias("_seg_first"))
+            finish.append(F.lead("_seg_first").over(self.edge_win).alias("_edge_next"))
         df = self.df.join(self._edges(aggs, finish), [*self.keys, SEG], "left")
         if prev:
-            df = df.withColumn("_p", F.coalesce(F.lag(pick_p).over(self.win), F.col("_prev")))
+            df = df.withColumn("_row_prev", F.coalesce(F.lag(pick_p).over(self.win), F.col("_edge_prev")))
         if following:
-            df = df.withColumn("_f", F.coalesce(F.lead(pick_f).over(self.win), F.col("_next")))
-        self.df = df.select("*", *[F.col("_p")[n].alias(n) for n in prev],
-                            *[F.col("_f")[n].alias(n) for n in following]
-                            ).drop("_p", "_f", "_prev", "_next")
+            df = df.withColumn("_row_next", F.coalesce(F.lead(pick_f).over(self.win), F.col("_edge_next")))
+        self.df = df.select("*", *[F.col("_row_prev")[n].alias(n) for n in prev],
+                            *[F.col("_row_next")[n].alias(n) for n in following]
+                            ).drop("_row_prev", "_row_next", "_edge_prev", "_edge_next")
         return self
 
     def running(self, sums: dict[str, Column]) -> "Ordered":
