@@ -6,7 +6,7 @@ import importlib
 
 from strideframe.bindings import registry
 
-MODULES = ["signals", "checks"]
+MODULES = ["signals", "checks", "labels", "joins"]
 
 
 def load():
