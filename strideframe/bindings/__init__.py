@@ -6,7 +6,7 @@ import importlib
 
 from strideframe.bindings import registry
 
-MODULES = ["signals", "checks", "labels", "joins"]
+MODULES = ["signals", "checks", "labels", "joins", "qa", "corpus"]
 
 
 def load():

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strideframe.bindings.registry import query
 from strideframe.operators import labels as L
-from strideframe.session import literal_rows
+from strideframe.session import literal_rows, materialise
 from strideframe.sources.tables import read
 
 # Fixed words of the stand-in text and the source category each one stands for.
@@ -172,9 +172,11 @@ cr AS (SELECT rule_id, origin, v, ds, target, is_fall FROM r UNION ALL
  origin, v, ds, target, false FROM g)"""
 
 
-def _compiled(spark, d):
+def _compiled(spark, d, stored=None):
+    """Commits are read several times, so they are a stored table here."""
+    stored = materialise(commits(spark, d), "commits") if stored is None else stored
     return L.compile_rules(
-        commits(spark, d), base=rules(spark, L.default_rules()), key="doc_id",
+        stored, base=rules(spark, L.default_rules()), key="doc_id",
         families=literal_rows(spark, FAMILIES, "code string, aliases array<string>, modifiers array<string>"),
         codes=literal_rows(spark, CODES, "source string, target string"),
         stageii=literal_rows(spark, STAGEII, "dataset string, source string, target string"),
@@ -192,10 +194,11 @@ l AS (SELECT 'compiled' AS rules, source, state, code FROM x UNION ALL SELECT 'b
 SELECT rules, coalesce(source, '*') AS source_dataset, coalesce(state, '*') AS state, coalesce(code, '*') AS code, count(*) AS commits,
  count(*) FILTER (WHERE l.state = 'weak') AS weak FROM l GROUP BY GROUPING SETS ((rules), (rules, source), (rules, source, state), (rules, state, code))""")
 def a21(spark, d):
-    from strideframe.session import materialise
-    compiled = materialise(_compiled(spark, d), "rules")
-    x = L.weak_labels(commits(spark, d), compiled, key="doc_id", revision=2)
-    out = L.coverage_report(x, labelled(spark, d, 1, L.default_rules()), source="source_dataset")
+    stored = materialise(commits(spark, d), "commits")
+    compiled = materialise(_compiled(spark, d, stored), "rules")
+    x = L.weak_labels(stored, compiled, key="doc_id", revision=2)
+    base = L.weak_labels(stored, rules(spark, L.default_rules()), key="doc_id", revision=1)
+    out = L.coverage_report(x, base, source="source_dataset")
     star = [F.coalesce(c, F.lit("*")).alias(c) for c in ("source_dataset", "state", "code")]
     return out.select("rules", *star, "commits", "weak")
 

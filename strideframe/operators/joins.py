@@ -150,34 +150,31 @@ def device_joint(rows: DataFrame, devices: DataFrame) -> DataFrame:
 
 
 def world_transforms(frames: DataFrame, parents: list[int], *, rotations: str, offsets: str) -> DataFrame:
-    """World rotation and position of every joint, level by level inside the row.
+    """World rotation and position of every joint of a frame, parents first.
 
-    A frame holds a fixed number of joints, so a level is a projection over the row and
-    no rows move; parents come before children.
+    A frame holds a fixed number of joints, so the tree is folded inside the row and no
+    rows move; joint j only reads the finished transform of its parent.
     """
-    depth = [0] * len(parents)
-    for j, p in enumerate(parents):
-        if p >= j:
-            raise ValueError("a parent must come before its child")
-        depth[j] = 0 if p < 0 else depth[p] + 1
-    df = frames
-    for level in range(max(depth) + 1):
-        new = {}
-        for j, p in enumerate(parents):
-            if depth[j] != level:
-                continue
-            rot, off = F.get(F.col(rotations), F.lit(j)), F.get(F.col(offsets), F.lit(j))
-            q, o = R.unit(R.parts(rot, 0, 4)), R.parts(off, 0, 3)
-            if p >= 0:
-                up = [F.col(f"_w{p}.q{c}") for c in "wxyz"]
-                at = [F.col(f"_w{p}.p{c}") for c in "xyz"]
-                o = [a + t for a, t in zip(at, R.rotate(up, o))]
-                q = R.multiply(up, q)
-            new[f"_w{j}"] = F.struct(*[c.alias(f"q{n}") for c, n in zip(q, "wxyz")],
-                                     *[c.alias(f"p{n}") for c, n in zip(o, "xyz")])
-        df = df.withColumns(new)
-    names = [f"_w{j}" for j in range(len(parents))]
-    return df.withColumn("world", F.array(*names)).drop(*names)
+    if any(p >= j for j, p in enumerate(parents)):
+        raise ValueError("a parent must come before its child")
+    tree = F.array(*map(F.lit, parents))
+    local = F.transform(F.col(rotations), lambda r: F.struct(*[
+        c.alias(f"q{n}") for c, n in zip(R.unit(R.parts(r, 0, 4)), "wxyz")]))
+    shape = ("array<struct<" + ",".join([f"q{n}:double" for n in "wxyz"] + [f"p{n}:double" for n in "xyz"]) + ">>")
+
+    def place(acc, j):
+        mine, off = F.get("_local", j), R.parts(F.get(F.col(offsets), j), 0, 3)
+        q = [mine[f"q{n}"] for n in "wxyz"]
+        up = F.get(acc, F.get(tree, j))
+        world, at = [up[f"q{n}"] for n in "wxyz"], [up[f"p{n}"] for n in "xyz"]
+        child = F.struct(*[c.alias(f"q{n}") for c, n in zip(R.multiply(world, q), "wxyz")],
+                         *[(p + t).alias(f"p{n}") for p, t, n in zip(at, R.rotate(world, off), "xyz")])
+        root = F.struct(*[c.alias(f"q{n}") for c, n in zip(q, "wxyz")], *[c.alias(f"p{n}") for c, n in zip(off, "xyz")])
+        return F.concat(acc, F.array(F.when(F.get(tree, j) < 0, root).otherwise(child)))
+
+    joints = F.sequence(F.lit(0), F.lit(len(parents) - 1))
+    return frames.withColumn("_local", local).withColumn(
+        "world", F.aggregate(joints, F.array().cast(shape), place)).drop("_local")
 
 
 def dependency_closure(edges: DataFrame, *, source: str, target: str) -> DataFrame:
