@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strideframe.functions import rotations as R
+from strideframe.plans.barrier import evaluate_once
 from strideframe.sources.tables import events, read
 
 CLIP, SERIES, ORDER = ["user_id"], ["event_type"], ["us", "event_id"]
@@ -30,9 +31,10 @@ def poses(spark, d):
     """Embeddings as frames of `label`: two unit quaternions q*, p* and a vector v*."""
     e = F.col("embedding")
     q, p, v = R.unit(R.parts(e, 0, 4)), R.unit(R.parts(e, 7, 4)), R.parts(e, 4, 3)
-    return read(spark, d, "embeddings").select(
+    rows = read(spark, d, "embeddings").select(
         "vec_id", "label", *[c.alias(n) for c, n in zip(q, QUAT)],
         *[c.alias(n) for c, n in zip(p, QUAT2)], *[c.alias(n) for c, n in zip(v, VEC)])
+    return evaluate_once(rows, "vec_id", "label")
 
 
 def signal(spark, d):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strideframe.bindings.registry import query
 from strideframe.operators import labels as L
+from strideframe.plans.barrier import evaluate_once
 from strideframe.session import literal_rows, materialise
 from strideframe.sources.tables import read
 
@@ -77,7 +78,7 @@ def commits(spark, d):
     first = F.coalesce(F.get(F.filter("all_t", lambda x: x != ""), F.lit(0)), F.lit("x"))
     base = read(spark, d, "documents").select("doc_id", "source", "lang", toks.alias("all_t"))
     base = base.select("doc_id", "source", "lang", first.alias("first"), F.array_distinct("all_t").alias("t"))
-    base = base.select("doc_id", "source", "lang", "first", pick(RECORDED).alias("rc"), pick(TEMPORAL).alias("tc"))
+    base = evaluate_once(base, "doc_id", "source", "lang").select("doc_id", "source", "lang", "first", pick(RECORDED).alias("rc"), pick(TEMPORAL).alias("tc"))
     i, s2 = F.col("doc_id"), F.col("source").isin(STAGEII_SOURCES)
     code = (F.when(i % 5 == 0, None).when(F.size("rc") > 0, F.get("rc", F.lit(0)))
             .when(i % 3 == 0, "none").when(i % 3 == 1, "Sneak").otherwise("wander"))
@@ -86,8 +87,9 @@ def commits(spark, d):
     rec = label("recording-candidate", code, F.when(s2, L.STAGEII).otherwise(L.BABEL), F.when(s2, none).otherwise(F.col("rc")))
     tmp = label("temporal-candidate", F.get("tc", F.lit(0)), F.lit(L.BABEL), F.col("tc"))
     member = F.concat_ws("/", "source", "lang", F.concat("first", F.lit("_"), i.cast("string"), F.lit("_poses.npz")))
-    return base.select("doc_id", F.col("source").alias("source_dataset"), "lang", "first", member.alias("source_member"),
+    rows = base.select("doc_id", F.col("source").alias("source_dataset"), "lang", "first", member.alias("source_member"),
                        F.when(F.size("tc") > 0, F.array(rec, tmp)).otherwise(F.array(rec)).alias("label_candidates"))
+    return evaluate_once(rows, "doc_id", "source_dataset", "lang")
 
 
 def rules(spark, rows=None):

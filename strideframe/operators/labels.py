@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strideframe.plans.barrier import evaluate_once
 from strideframe.operators.checks import RISK_WORDS, record_rules, violation
 from strideframe.session import materialise
 
@@ -85,11 +86,12 @@ def evidence(commits: DataFrame) -> DataFrame:
     coded = lambda kind: F.filter(labels, lambda x: (x["kind"] == kind) & text_present(x["code"]))
     words = F.flatten(F.transform(labels, lambda x: F.concat(
         F.array(F.coalesce(F.lower(x["code"]), F.lit(""))), F.transform(cats(x), lambda c: F.lower(c)))))
-    df = commits.withColumns({"_rec": coded("recording-candidate"), "_tmp": coded("temporal-candidate"), "_words": words})
+    df = evaluate_once(commits.withColumns({
+        "_rec": coded("recording-candidate"), "_tmp": coded("temporal-candidate"), "_words": words}), *commits.columns)
     own = lambda origin: F.filter("_rec", lambda x: x["origin"] == origin)
     babel = own(BABEL)
     stem = F.lower(file_stem(F.lower(F.col("source_member")), "_poses"))
-    return df.withColumns({
+    out = df.withColumns({
         "has_risk": F.exists("_words", lambda w: any_word(w, RISK_WORDS)),
         "categories": _lower_set(F.flatten(F.transform(babel, cats))),
         "temporal": _lower_set(F.flatten(F.transform(F.filter("_tmp", lambda x: x["origin"] == BABEL), cats))),
@@ -99,6 +101,7 @@ def evidence(commits: DataFrame) -> DataFrame:
         "stem_risk": any_word(stem, STEM_RISK),
         "tokens": stem_tokens(F.coalesce("source_member", F.lit(""))),
     }).drop("_rec", "_tmp", "_words")
+    return evaluate_once(out, *commits.columns)
 
 
 def evidence_keys(features: DataFrame, *, key: str, revision: int) -> DataFrame:

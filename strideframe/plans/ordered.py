@@ -41,7 +41,8 @@ class Ordered:
         self.df = (df.join(F.broadcast(hot), keys, "left")
                      .withColumn(SEG, seg.cast("bigint")).drop("_lo", "_hi"))
         self.drop += [SEG, HOT]
-        self.part = W.partitionBy(*keys, SEG)
+        # HOT depends on the key alone; naming it here lets a filter on it pass below the window.
+        self.part = W.partitionBy(*keys, HOT, SEG)
         self.win = self.part.orderBy(*self.order)
         self.edge_win = W.partitionBy(*keys).orderBy(SEG)
 
