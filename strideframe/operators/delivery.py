@@ -1,10 +1,50 @@
-"""Training-set delivery."""
+"""Sinks: create-only tables, training exports, shards, catalogs, snapshots."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strideframe.operators.checks import violation
+from strideframe.operators.corpus import dataset_digest, logical_content, partition_decisions, running_offsets
+from strideframe.plans.ordered import Ordered
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def create_only_write(df: DataFrame, path: str, *, check=None, partition_by: list[str] | None = None) -> DataFrame:
+    """Refuse an existing target, write beside it, check what was written, then rename."""
+    spark = df.sparkSession
+    if exists(spark, path):
+        raise FileExistsError(path)
+    staging = path.rstrip("/") + ".partial"
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
+    staged = spark.read.schema(df.schema).parquet(staging)
+    if check is not None:
+        bad = check(staged).limit(1).collect()
+        if bad:
+            fs, p = _fs(spark, staging)
+            fs.delete(p, True)
+            raise ValueError(f"contract violation: {bad[0]['rule']} {bad[0]['key']}")
+    fs, p = _fs(spark, staging)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        raise OSError(f"cannot publish {path}")
+    return spark.read.schema(df.schema).parquet(path)
+
 
 def export_counts(rows: DataFrame, *, samples: str, rate_hz: float, mounts: int) -> DataFrame:
     """Counts, seconds and label states of an export, one row."""
@@ -13,3 +53,108 @@ def export_counts(rows: DataFrame, *, samples: str, rate_hz: float, mounts: int)
         F.count(F.lit(1)).alias("candidates"), (F.count(F.lit(1)) * mounts).alias("sequences"),
         F.sum(samples).alias("samples"), F.round(F.sum(samples) / F.lit(rate_hz * mounts), 6).alias("seconds"),
         weak.alias("weak"), F.count_if(F.col("state") == "unresolved").alias("unresolved"))
+
+
+def export_mounts(signals: DataFrame, *, clip: str, mount: str, order: list[str], values: list[str]):
+    """One sequence per (clip, mount) and its samples as floats with global offsets."""
+    lengths = signals.groupBy(clip, mount).agg(F.count(F.lit(1)).alias("length"))
+    rank = F.struct(clip, mount)
+    # Offsets in (clip, mount) order: number the sequences, then run over their lengths.
+    seq = running_offsets(lengths.withColumn("_k", F.col(clip)), order=["_k", mount], length="length").select(
+        clip, mount, F.col("ordinal").cast("int").alias("sequence_index"), F.col("start").alias("sample_start"), F.col("stop").alias("sample_stop"))
+    placed = Ordered(signals, [clip, mount], order, order[0]).position("_p").done()
+    samples = placed.join(seq, [clip, mount]).select(
+        "sequence_index", (F.col("sample_start") + F.col("_p")).alias("sample"), *[F.col(v).cast("float").alias(v) for v in values],
+        *[c for c in order if c not in values])
+    return seq, samples
+
+
+def write_delivery(tables: dict[str, DataFrame], path: str, *, dataset_id: str, sequences: DataFrame, samples: DataFrame,
+                   payload: Column) -> DataFrame:
+    """One folder per table, and the manifest (counts and logical hash) last."""
+    spark = sequences.sparkSession
+    stored = {name: create_only_write(df, f"{path}/{name}") for name, df in tables.items()}
+    digest = dataset_digest(logical_content(samples, sequences, sequence="sequence_index", pos="sample", payload=payload),
+                            sequence="sequence_index")
+    counts = None
+    for name, df in stored.items():
+        row = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+        counts = row if counts is None else counts.unionByName(row)
+    manifest = counts.withColumn("_one", F.lit(1)).join(digest.withColumn("_one", F.lit(1)), "_one").select(
+        F.lit(dataset_id).alias("dataset_id"), "table", "rows", "dataset_sha256")
+    return create_only_write(manifest, f"{path}/manifest")
+
+
+def weak_core(labelled: DataFrame, qa: DataFrame, *, key: str, samples: str, mounts: list[str]) -> DataFrame:
+    """Published QA-passed candidates with weak labels as sequence rows, one per mount."""
+    rows = labelled.join(qa.where("passed").select(key), key, "left_semi")
+    long = rows.select(key, "state", "code", "rule_id", samples, F.explode(F.array(*map(F.lit, mounts))).alias("body_location"))
+    out = running_offsets(long, order=[key, "body_location"], length=samples)
+    return out.select(F.col("ordinal").cast("int").alias("sequence_index"), F.col("start").alias("sample_start"), F.col("stop").alias("sample_stop"),
+                      key, "body_location", F.lit("unverified").alias("activity_code"), F.lit(False).alias("is_fall"), "state", "code", "rule_id")
+
+
+def relabel(core: DataFrame, labelled: DataFrame, *, key: str) -> tuple[DataFrame, DataFrame]:
+    """Only the weak index changes.  Also returns carried rows that differ (must be empty)."""
+    new = labelled.select(key, F.col("state").alias("_s"), F.col("code").alias("_c"), F.col("rule_id").alias("_r"))
+    out = core.join(new, key, "left").select(
+        *[c for c in core.columns if c not in ("state", "code", "rule_id")],
+        F.coalesce("_s", F.lit("unresolved")).alias("state"), F.coalesce("_c", F.lit("")).alias("code"), F.coalesce("_r", F.lit("")).alias("rule_id"))
+    carried = [c for c in core.columns if c not in ("state", "code", "rule_id")]
+    moved = core.select(*carried).exceptAll(out.select(*carried)).select(
+        *violation("carried-row", F.col("sequence_index"), F.col(key)))
+    return out, moved
+
+
+def migrate(sequences: DataFrame, *, renames: dict[str, str], added: dict[str, Column]) -> DataFrame:
+    """The same rows under a newer schema; the core hash must not change."""
+    return sequences.withColumnsRenamed(renames).withColumns(added)
+
+
+def write_shards(packed: DataFrame, path: str, *, shard: list[str], order: list[str]) -> DataFrame:
+    """One folder per shard; rows of a shard meet in one task, its size bound limits the task."""
+    out = packed.repartition(*shard).sortWithinPartitions(*shard, *order)
+    return create_only_write(out, path, partition_by=shard)
+
+
+def publish(rows: DataFrame, path: str, *, key: str) -> DataFrame:
+    """Append new objects, refuse changed ones, append the commit rows last."""
+    from strideframe.operators.corpus import publication_plan
+    spark = rows.sparkSession
+    objects, commits = f"{path}/objects", f"{path}/commits"
+    schema = rows.select(key, "sha256").schema
+    old = spark.read.schema(schema).parquet(objects) if exists(spark, objects) else spark.createDataFrame([], schema)
+    plan = publication_plan(rows, old, key=key)
+    clash = plan.where("action = 'conflict'").limit(1).collect()
+    if clash:
+        raise ValueError(f"published object changed: {clash[0][key]}")
+    fresh = plan.where("action = 'new'").select(key, "sha256")
+    fresh.write.mode("append").parquet(objects)
+    # Commits follow the stored objects, so a lost run is completed by the next one.
+    stored = spark.read.schema(schema).parquet(objects)
+    done = spark.read.schema(schema).parquet(commits) if exists(spark, commits) else spark.createDataFrame([], schema)
+    stored.join(done.select(key), key, "left_anti").write.mode("append").parquet(commits)
+    return spark.read.schema(schema).parquet(commits)
+
+
+def write_catalog(plans: DataFrame, path: str, *, source: str) -> DataFrame:
+    """One folder per source; sources already present are left alone."""
+    spark = plans.sparkSession
+    if exists(spark, path):
+        done = spark.read.schema(plans.schema).parquet(path).select(source).distinct()
+        plans = plans.join(done, source, "left_anti")
+    plans.write.mode("append").partitionBy(source).parquet(path)
+    return spark.read.schema(plans.schema).parquet(path)
+
+
+def snapshot_manifest(candidates: DataFrame, decisions: DataFrame, shards: DataFrame, *, key: str) -> DataFrame:
+    """Every candidate with its reason or its shard, and the latest revision."""
+    rows = partition_decisions(candidates, decisions, key=key)
+    rev = decisions.select(key, "revision")
+    return rows.join(rev, key, "left").join(shards, key, "left").select(
+        key, "included", "reason", "revision", F.when(F.col("included"), F.col("shard")).alias("shard"))
+
+
+def source_report(inventory: DataFrame, audit: DataFrame, labels: DataFrame, *, source: str) -> DataFrame:
+    """Archive, frame and label totals of each source on one row."""
+    return inventory.join(audit, source, "left").join(labels, source, "left")
