@@ -6,7 +6,7 @@ import importlib
 
 from strideframe.bindings import registry
 
-MODULES = ["signals", "checks", "labels", "joins", "qa", "corpus", "ledger", "streams"]
+MODULES = ["signals", "checks", "labels", "joins", "qa", "corpus", "ledger", "streams", "files"]
 
 
 def load():

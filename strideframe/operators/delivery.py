@@ -106,7 +106,7 @@ def relabel(core: DataFrame, labelled: DataFrame, *, key: str) -> tuple[DataFram
     return out, moved
 
 
-def migrate(sequences: DataFrame, *, renames: dict[str, str], added: dict[str, Column]) -> DataFrame:
+def migrate(sequences: DataFrame, renames: dict[str, str], added: dict[str, Column]) -> DataFrame:
     """The same rows under a newer schema; the core hash must not change."""
     return sequences.withColumnsRenamed(renames).withColumns(added)
 

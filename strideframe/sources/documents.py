@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strideframe.operators.checks import duplicates, finite, violation
 
@@ -61,7 +62,7 @@ def _pairs(pairs):
     return dict(pairs)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def repeated_keys(texts: pd.Series) -> pd.Series:
     """True where an object of the document names a key twice."""
     def check(t):
