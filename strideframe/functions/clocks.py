@@ -7,6 +7,7 @@ from fractions import Fraction
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LONG_MAX = 9223372036854775807
 
@@ -30,7 +31,10 @@ def step_ns(step: Column, numerator: Column, denominator: Column) -> Column:
     return F.when((numerator > 0) & (denominator > 0) & (down <= F.lit(LONG_MAX)), signed.cast("bigint"))
 
 
-@F.pandas_udf("struct<numerator:bigint,denominator:bigint>")
+PERIOD = T.StructType([T.StructField("numerator", T.LongType()), T.StructField("denominator", T.LongType())])
+
+
+@F.pandas_udf(PERIOD)
 def _period(rates: pd.Series) -> pd.DataFrame:
     out = [Fraction(str(float(r))).limit_denominator(1_000_000) for r in rates]
     return pd.DataFrame({"numerator": [f.denominator for f in out],

@@ -78,6 +78,17 @@ def rotate_inverse(q: Vec, v: Vec) -> Vec:
     return change_basis([[m[r][c] for r in range(3)] for c in range(3)], v)
 
 
+def cross(a: Vec, b: Vec) -> Vec:
+    return [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+
+
+def rotate_by_unit(q: Vec, v: Vec) -> Vec:
+    """Rotation by a quaternion that is already a unit: v + 2w(u x v) + 2u x (u x v)."""
+    once = cross(q[1:], v)
+    twice = cross(q[1:], once)
+    return [x + 2 * (q[0] * a + b) for x, a, b in zip(v, once, twice)]
+
+
 def euler_quaternion(channels: list[tuple[str, Column]]) -> Vec:
     """Rotation channels in declared order, e.g. ``[("Z", deg), ("X", deg), ("Y", deg)]``."""
     q = [F.lit(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0)]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.functions import rotations as R
+from strideframe.plans.barrier import evaluate_once
 from strideframe.session import materialise
 
 
@@ -152,29 +153,29 @@ def device_joint(rows: DataFrame, devices: DataFrame) -> DataFrame:
 def world_transforms(frames: DataFrame, parents: list[int], *, rotations: str, offsets: str) -> DataFrame:
     """World rotation and position of every joint of a frame, parents first.
 
-    A frame holds a fixed number of joints, so the tree is folded inside the row and no
-    rows move; joint j only reads the finished transform of its parent.
+    A frame holds a fixed number of joints, so the tree is walked level by level inside
+    the row and no rows move; a joint only reads the finished transform of its parent.
     """
-    if any(p >= j for j, p in enumerate(parents)):
-        raise ValueError("a parent must come before its child")
-    tree = F.array(*map(F.lit, parents))
-    local = F.transform(F.col(rotations), lambda r: F.struct(*[
-        c.alias(f"q{n}") for c, n in zip(R.unit(R.parts(r, 0, 4)), "wxyz")]))
-    shape = ("array<struct<" + ",".join([f"q{n}:double" for n in "wxyz"] + [f"p{n}:double" for n in "xyz"]) + ">>")
-
-    def place(acc, j):
-        mine, off = F.get("_local", j), R.parts(F.get(F.col(offsets), j), 0, 3)
-        q = [mine[f"q{n}"] for n in "wxyz"]
-        up = F.get(acc, F.get(tree, j))
-        world, at = [up[f"q{n}"] for n in "wxyz"], [up[f"p{n}"] for n in "xyz"]
-        child = F.struct(*[c.alias(f"q{n}") for c, n in zip(R.multiply(world, q), "wxyz")],
-                         *[(p + t).alias(f"p{n}") for p, t, n in zip(at, R.rotate(world, off), "xyz")])
-        root = F.struct(*[c.alias(f"q{n}") for c, n in zip(q, "wxyz")], *[c.alias(f"p{n}") for c, n in zip(off, "xyz")])
-        return F.concat(acc, F.array(F.when(F.get(tree, j) < 0, root).otherwise(child)))
-
-    joints = F.sequence(F.lit(0), F.lit(len(parents) - 1))
-    return frames.withColumn("_local", local).withColumn(
-        "world", F.aggregate(joints, F.array().cast(shape), place)).drop("_local")
+    depth = []
+    for j, p in enumerate(parents):
+        if p >= j:
+            raise ValueError("a parent must come before its child")
+        depth.append(0 if p < 0 else depth[p] + 1)
+    keep = frames.columns
+    quat = lambda q, v: F.struct(*[c.alias(f"q{n}") for c, n in zip(q, "wxyz")], *[c.alias(f"p{n}") for c, n in zip(v, "xyz")])
+    df = evaluate_once(frames.select("*", *[
+        quat(R.unit(R.parts(F.get(rotations, F.lit(j)), 0, 4)), R.parts(F.get(offsets, F.lit(j)), 0, 3)).alias(f"_w{j}")
+        for j in range(len(parents))]), *keep)
+    fields = lambda j: ([F.col(f"_w{j}.q{n}") for n in "wxyz"], [F.col(f"_w{j}.p{n}") for n in "xyz"])
+    for level in range(1, max(depth) + 1):
+        new = {}
+        for j, p in enumerate(parents):
+            if depth[j] == level:
+                (q, off), (up, at) = fields(j), fields(p)
+                new[f"_w{j}"] = quat(R.multiply(up, q), [a + t for a, t in zip(at, R.rotate_by_unit(up, off))])
+        df = evaluate_once(df.withColumns(new), *keep)
+    names = [f"_w{j}" for j in range(len(parents))]
+    return df.withColumn("world", F.array(*names)).drop(*names)
 
 
 def dependency_closure(edges: DataFrame, *, source: str, target: str) -> DataFrame:

@@ -104,8 +104,11 @@ def evidence(commits: DataFrame) -> DataFrame:
     return evaluate_once(out, *commits.columns)
 
 
-def evidence_keys(features: DataFrame, *, key: str, revision: int) -> DataFrame:
-    """Every (origin, source_value) a commit can match; rules then join by equality."""
+def evidence_keys(features: DataFrame, *, keep: list[str], revision: int) -> DataFrame:
+    """Every (origin, source_value) a commit can match; rules then join by equality.
+
+    A commit without any keeps one row of nulls.
+    """
     cats, temporal, codes = F.col("categories"), F.col("temporal"), F.col("codes")
     calm = (F.size(temporal) == 0) | (temporal == cats)
     catset = F.concat(F.lit("catset:"), F.array_join(cats, "|"))
@@ -127,36 +130,42 @@ def evidence_keys(features: DataFrame, *, key: str, revision: int) -> DataFrame:
         keys = F.concat(exact, F.when(open_, F.transform("tokens", lambda t: item(TOKEN, t))).otherwise(
             F.filter(exact, lambda x: F.lit(False))))
         keys = F.when(F.col("has_risk"), F.filter(exact, lambda x: F.lit(False))).otherwise(keys)
-    return features.select(key, "source_dataset", F.explode(F.array_distinct(keys)).alias("_k")).select(
-        key, "source_dataset", "_k.*")
+    return features.select(*keep, F.explode_outer(F.array_distinct(keys)).alias("_k")).select(*keep, "_k.*")
 
 
-def matching_rules(features: DataFrame, rules: DataFrame, *, key: str, revision: int) -> DataFrame:
-    """J12 + J13: matches of each commit; dataset rules replace global rules when any matches."""
+def _hits(features: DataFrame, rules: DataFrame, *, keep: list[str], revision: int, how: str) -> DataFrame:
     r = rules.select("rule_id", "origin", "source_value", F.col("source_dataset").alias("_ds"), "target_code")
-    hits = evidence_keys(features, key=key, revision=revision).join(r, ["origin", "source_value"]).where(
-        F.col("_ds").isNull() | (F.col("_ds") == F.col("source_dataset")))
-    return hits.select(key, "rule_id", "target_code", F.col("_ds").isNotNull().alias("specific")).distinct()
+    hits = evidence_keys(features, keep=keep, revision=revision).join(r, ["origin", "source_value"], how)
+    own = F.col("rule_id").isNotNull() & (F.col("_ds").isNull() | (F.col("_ds") == F.col("source_dataset")))
+    return hits.withColumns({"_own": own, "specific": F.col("_ds").isNotNull()})
+
+
+def matching_rules(features: DataFrame, rules: DataFrame, *, key: str, revision: int) -> DataFrame:
+    """Rules that match each commit.  A commit's keys are distinct, so each rule appears once."""
+    return _hits(features, rules, keep=[key, "source_dataset"], revision=revision, how="inner").where("_own").select(
+        key, "rule_id", "target_code", "specific")
 
 
-def weak_labels(commits: DataFrame, rules: DataFrame, *, key: str, revision: int) -> DataFrame:
-    """(state, code, rule_id) per commit.
+def weak_labels(commits: DataFrame, rules: DataFrame, *, key: str, revision: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """F12 + J13: (state, code, rule_id) per commit, with its source and the `carry` columns.
 
-    Matches are reduced to a few numbers per commit before the decision, so a commit with
-    many matching rules never becomes a list.
+    One pass: every commit stays in the key rows, and matches are reduced to a few numbers
+    per commit before the decision.  Dataset rules replace global ones when any matches.
     """
-    features = evidence(commits)
-    hits = matching_rules(features, rules, key=key, revision=revision)
-    best = F.min(F.struct("rule_id", "target_code"))
-    per = hits.groupBy(key, "specific").agg(
-        F.count(F.lit(1)).alias("n"), F.min("target_code").alias("lo"), F.max("target_code").alias("hi"), best.alias("best"))
-    top = per.groupBy(key).agg(F.max_by(F.struct("n", "lo", "hi", "best"), "specific").alias("m"))
-    agree = (F.col("m.lo") == F.col("m.hi")) if revision >= 2 else F.lit(False)
-    weak = F.coalesce((F.col("m.n") == 1) | agree, F.lit(False))
-    return commits.join(top, key, "left").select(
-        *commits.columns, F.when(weak, "weak").otherwise("unresolved").alias("state"),
-        F.when(weak, F.col("m.best.target_code")).otherwise("").alias("code"),
-        F.when(weak, F.col("m.best.rule_id")).otherwise("").alias("rule_id"))
+    keep = [key, "source_dataset", *carry]
+    hits = _hits(evidence(commits), rules, keep=keep, revision=revision, how="left")
+    aggs = []
+    for name, mine in (("s", F.col("_own") & F.col("specific")), ("g", F.col("_own") & ~F.col("specific"))):
+        pick = lambda c: F.when(mine, c)
+        aggs += [F.count_if(mine).alias(f"{name}_n"), F.min(pick(F.col("target_code"))).alias(f"{name}_lo"),
+                 F.max(pick(F.col("target_code"))).alias(f"{name}_hi"), F.min(pick(F.col("rule_id"))).alias(f"{name}_rule")]
+    per = hits.groupBy(*keep).agg(*aggs)
+    best = lambda c: F.when(F.col("s_n") > 0, F.col(f"s_{c}")).otherwise(F.col(f"g_{c}"))
+    # A decided commit has one target, so the smallest target and the smallest rule belong together.
+    decided = (best("n") == 1) | ((best("n") > 1) & (best("lo") == best("hi")) & F.lit(revision >= 2))
+    weak = F.coalesce(decided, F.lit(False))
+    return per.select(*keep, F.when(weak, "weak").otherwise("unresolved").alias("state"),
+                      F.when(weak, best("lo")).otherwise("").alias("code"), F.when(weak, best("rule")).otherwise("").alias("rule_id"))
 
 
 # --- F13 -----------------------------------------------------------------------------------
@@ -168,8 +177,8 @@ def compile_rules(commits: DataFrame, *, base: DataFrame, families: DataFrame, c
     families(code, aliases, modifiers), codes(source, target), stageii(dataset, source, target),
     tokens(target, token).  Category sets are matched once per distinct set, not per commit.
     """
-    open_ = weak_labels(commits, base, key=key, revision=2).where("state = 'unresolved'").select(*commits.columns)
-    f = evidence(open_).where(~F.col("has_risk"))
+    decided = weak_labels(commits, base, key=key, revision=2).where("state = 'weak'").select(key)
+    f = evidence(commits).where(~F.col("has_risk")).join(decided, key, "left_anti")
     cats, temporal = F.col("categories"), F.col("temporal")
     mapped = stageii.select("dataset").distinct().withColumn("_mapped", F.lit(True))
     f = f.join(mapped, F.col("source_dataset") == F.col("dataset"), "left").drop("dataset")

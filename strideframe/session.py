@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is split into ordered segments (plans/ordered.py).
 SEGMENT_ROWS = "strideframe.segment.rows"
-DEFAULT_SEGMENT_ROWS = 1_000_000
+DEFAULT_SEGMENT_ROWS = 4_000_000
 
 
 def configure(spark: SparkSession) -> SparkSession:

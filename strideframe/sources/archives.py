@@ -181,10 +181,24 @@ def classify_members(profiles: DataFrame, *, adapter: Column) -> DataFrame:
     return profiles.withColumns({"state": state, "gender": normalise_gender(F.col("gender"))})
 
 
+def file_digests(spark: SparkSession, path: str, *, pattern: str = "*", tasks: int = 64) -> DataFrame:
+    """Path, length and SHA-256 of files, read in blocks so that a file may have any size."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for p in batch["path"]:
+                with _open(p) as stream:
+                    size, sha = _digest(stream)
+                rows.append({"path": p, "byte_length": size, "sha256": sha})
+            yield pd.DataFrame(rows, columns=["path", "byte_length", "sha256"])
+    files = list_files(spark, path, pattern).select("path").repartition(tasks, "path")
+    return files.mapInPandas(run, "path string, byte_length bigint, sha256 string")
+
+
 def verified_contents(spark: SparkSession, path: str, descriptors: DataFrame, *, pattern: str = "*") -> DataFrame:
     """Descriptors (name, byte_length, sha256) against the bytes on storage."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-             .select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("_n"), F.sha2("content", 256).alias("_h")))
+    files = file_digests(spark, path, pattern=pattern).select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("byte_length").alias("_n"), F.col("sha256").alias("_h"))
     rows = descriptors.join(files, "name", "left")
     return rows.withColumn("state", F.when(F.col("_n").isNull(), "missing").when(F.col("_n") != F.col("byte_length"), "size-mismatch")
                            .when(F.col("_h") != F.col("sha256"), "hash-mismatch").otherwise("verified")).drop("_n", "_h")
@@ -193,7 +207,5 @@ def verified_contents(spark: SparkSession, path: str, descriptors: DataFrame, *,
 def package_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Logical path, digest, length and media type of every file of a package."""
     root = path.rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     logical = F.element_at(F.split("path", root, 2), -1)
-    return files.select(logical.alias("logical_path"), F.sha2("content", 256).alias("sha256"),
-                        F.col("length").alias("byte_length"), media_type(logical).alias("media_type"))
+    return file_digests(spark, path).select(logical.alias("logical_path"), "sha256", "byte_length", media_type(logical).alias("media_type"))
