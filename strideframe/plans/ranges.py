@@ -29,6 +29,7 @@ def containing_counts(points: DataFrame, intervals: DataFrame, keys: list[str],
     An interval opens just after `start` and closes at `stop`, so a running sum over
     closes, points, opens (in that order at equal positions) counts the open ones.
     """
+    intervals = intervals.where(F.col(start) < F.col(stop))          # an empty one holds nothing
     cols = points.columns
     blank = [F.lit(None).cast(points.schema[c].dataType).alias(c) for c in cols if c not in keys]
     keyc = [F.col(k) for k in keys]
