@@ -247,7 +247,7 @@ def a27(spark, d):
 def recording_codes(labels):
     """Distinct sorted codes of the labels that are not temporal."""
     kept = F.filter(labels, lambda x: (x["kind"] != "temporal-candidate") & (F.coalesce(F.length(x["code"]), F.lit(0)) > 0))
-    return F.array_sort(F.array_distinct(F.transform(kept, lambda x: x["code"])))
+    return F.sort_array(F.array_distinct(F.transform(kept, lambda x: x["code"])))
 
 
 @query("f04_source_names", """
@@ -279,7 +279,7 @@ def f05(spark, d):
 WITH n AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_extract(lower(url), '[^/]*$'), '(.)\.[^.]*$', '\1'), '_poses$', ''), '_poses$', '') AS s FROM pages)
 SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(s, '[a-z]+'))), ',') AS tokens FROM n""")
 def f06(spark, d):
-    return read(spark, d, "pages").select("page_id", F.array_join(F.array_sort(L.stem_tokens(F.col("url"))), ",").alias("tokens"))
+    return read(spark, d, "pages").select("page_id", F.array_join(F.sort_array(L.stem_tokens(F.col("url"))), ",").alias("tokens"))
 
 
 @query("f19_upgrade_records", """
@@ -290,7 +290,7 @@ def f19(spark, d):
     rec = F.when(F.col("event_type") == "error", F.map_from_arrays(F.array(F.lit("x")), F.array(F.lit("1")))).when(
         F.col("event_type") == "click", F.map_concat(m, F.create_map(F.lit("done"), F.lit("1")))).otherwise(m)
     up = L.upgrade_record(rec, ["k"], "guard")
-    return events(spark, d).select("event_id", F.array_join(F.array_sort(F.map_keys(up)), ",").alias("fields"))
+    return events(spark, d).select("event_id", F.array_join(F.sort_array(F.map_keys(up)), ",").alias("fields"))
 
 
 _MERGE = """WITH r AS (SELECT source || '/' || doc_id % 20 AS member, CAST(CASE WHEN source = 'src4' THEN doc_id // 20 % 2 ELSE 1 END AS VARCHAR) AS sid,

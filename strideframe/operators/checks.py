@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,12 +28,13 @@ def violation(rule, key: Column, detail: Column):
 
 def record_rules(df: DataFrame, key: Column, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
     """One pass over the rows; every rule is (condition that must hold, detail)."""
-    broken = F.array_compact(F.array(*[
-        F.when(~F.coalesce(ok, F.lit(False)), F.struct(
-            F.lit(name).alias("rule"), F.coalesce(detail.cast("string"), F.lit("")).alias("detail")))
-        for name, (ok, detail) in rules.items()]))
-    return (df.select(key.cast("string").alias("key"), F.explode(broken).alias("_v"))
-              .select("_v.rule", "key", "_v.detail"))
+    broken = {name: ~F.coalesce(ok, F.lit(False)) for name, (ok, _) in rules.items()}
+    # Most rows are clean: drop them with one boolean before any list is built.
+    dirty = df.where(reduce(lambda x, y: x | y, broken.values()))
+    notes = F.array(*[F.struct(F.when(broken[name], name).alias("rule"), F.coalesce(detail.cast("string"), F.lit("")).alias("detail"))
+                      for name, (_, detail) in rules.items()])
+    return (dirty.select(key.cast("string").alias("key"), F.explode(notes).alias("_v"))
+            .select("_v.rule", "key", "_v.detail").where(F.col("rule").isNotNull()))
 
 
 def implies(condition: Column, requirement: Column) -> Column:
@@ -296,7 +299,7 @@ def rule_set(rules: DataFrame) -> DataFrame:
     v, origin = F.col("source_value"), F.col("origin")
     catset = F.split(F.regexp_extract(v, r"^catset:([^;]*)", 1), r"\|")
     temporal = F.split(F.regexp_extract(v, r";temporal:(.*)$", 1), r"\|")
-    proper = lambda a: (F.array_sort(F.array_distinct(a)) == a) & ~F.array_contains(a, "")
+    proper = lambda a: (F.sort_array(F.array_distinct(a)) == a) & ~F.array_contains(a, "")
     is_set = (origin == "babel-1.0") & v.startswith("catset:")
     out = record_rules(rules, F.col("rule_id"), {
         "rule-id": (filled(F.col("rule_id")), F.lit("")),

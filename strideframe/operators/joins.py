@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.functions import rotations as R
+from strideframe.functions.arrays import present
 from strideframe.plans.barrier import evaluate_once
 from strideframe.session import materialise
 
@@ -84,12 +85,12 @@ def lineage_join(motion: DataFrame, sensors: DataFrame, selection: DataFrame, re
     """Artifacts of one clip that agree on their ids; every mismatch is named."""
     joined = (motion.join(sensors, key, "left").join(selection, key, "left").join(review, key, "left"))
     eq = lambda a, b: F.col(a).eqNullSafe(F.col(b)) & F.col(a).isNotNull()
-    reasons = F.array_compact(F.array(
+    reasons = present(
         F.when(~eq("motion_id", "sensor_motion_id"), "sensor-motion"),
         F.when(~eq("motion_id", "selection_motion_id"), "selection-motion"),
         F.when(~eq("selection_id", "sensor_selection_id"), "sensor-selection"),
         F.when(~eq("sensor_id", "review_sensor_id"), "review-sensor"),
-        F.when(~eq("layout_id", "review_layout_id"), "layout")))
+        F.when(~eq("layout_id", "review_layout_id"), "layout"))
     return joined.withColumn("lineage_reasons", reasons)
 
 

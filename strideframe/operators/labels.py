@@ -76,7 +76,7 @@ def normalise_gender(c: Column) -> Column:
 # --- U06, F12 -----------------------------------------------------------------------------
 
 def _lower_set(arrays: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(arrays, lambda x: F.lower(x))))
+    return F.sort_array(F.array_distinct(F.transform(arrays, lambda x: F.lower(x))))
 
 
 def evidence(commits: DataFrame) -> DataFrame:
@@ -278,7 +278,7 @@ def merge_annotation_sets(primary: DataFrame, extra: DataFrame, *, keys: list[st
     both = primary.unionByName(extra)
     return both.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("labels"),
-        F.array_join(F.array_sort(F.collect_set(split)), ",").alias("splits"),
+        F.array_join(F.sort_array(F.collect_set(split)), ",").alias("splits"),
         F.min(duration).alias("duration_s"),
         ((F.max(duration) - F.min(duration)) <= tolerance).alias("duration_agrees"))
 

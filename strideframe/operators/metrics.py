@@ -64,7 +64,7 @@ def corpus_audit(df: DataFrame, *, source: str, frames: str, rate: Column) -> Da
 
 def top_weights(weights: Column, k: int) -> Column:
     """The k largest weights with their index, ties to the lower index, scaled to sum 1."""
-    ranked = F.array_sort(F.transform(weights, lambda x, i: F.struct((-x.cast("double")).alias("n"), i.alias("index"))))
+    ranked = F.sort_array(F.transform(weights, lambda x, i: F.struct((-x.cast("double")).alias("n"), i.alias("index"))))
     head = F.slice(ranked, 1, k)
     total = F.aggregate(head, F.lit(0.0), lambda a, x: a - x["n"])
     return F.transform(head, lambda x: F.struct(x["index"].alias("index"), (-x["n"] / total).alias("weight")))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strideframe.functions.arrays import present
+
 # Fixed policy and warning limits.
 POLICY = {"minimum_corpus_pass_rate": 0.8, "minimum_source_pass_rate": 0.8, "paused_sources": [],
           "required_checks": ["structure", "trajectory", "sensor", "work_grid_convergence"],
@@ -22,7 +24,7 @@ def warnings_and_risk(df: DataFrame, *, peaks: dict[str, str], limits: dict[str,
     names = {"root_speed": "root-speed-outlier", "joint_speed": "joint-speed-outlier",
              "force": "specific-force-outlier", "gyro": "angular-velocity-outlier"}
     flags = [F.when(F.col(peaks[k]) > limits[k], n) for k, n in names.items() if k in peaks]
-    warn = F.array_compact(F.array(*flags))
+    warn = present(*flags)
     load = sum((F.col(peaks[k]) / limits[k] for k in ("force", "gyro") if k in peaks), F.lit(0.0))
     return df.withColumn("warnings", warn).withColumn(
         "risk_score", F.least(F.lit(1.0), (load + 0.5 * F.size("warnings")) / 2))
@@ -36,24 +38,21 @@ def gate(df: DataFrame, *, policy: dict = POLICY, lineage: Column | None = None)
     values; the stored convergence flag is ignored.
     """
     checks = F.col("checks")
-    reasons = [lineage if lineage is not None else F.expr(NO_TEXT)]
+    found = []
     known = F.map_keys(checks)
     for name in policy["required_checks"]:
-        present = F.coalesce(F.array_contains(known, name), F.lit(False))
-        failed = (F.lit(name) != "work_grid_convergence") & ~F.coalesce(checks[name], F.lit(False))
-        reasons.append(F.array_compact(F.array(
-            F.when(~present, f"hard-check-missing:{name}").when(failed, f"hard-check-failed:{name}"))))
-    convergence = []
+        there = F.coalesce(F.array_contains(known, name), F.lit(False))
+        failed = F.lit(name != "work_grid_convergence") & ~F.coalesce(F.try_element_at(checks, F.lit(name)), F.lit(False))
+        found.append(F.when(~there, f"hard-check-missing:{name}").when(failed, f"hard-check-failed:{name}"))
     if policy["require_boundary_guard_complete"]:
-        convergence.append(F.when(~F.coalesce("guard_complete", F.lit(False)), "boundary-guard-incomplete"))
+        found.append(F.when(~F.coalesce("guard_complete", F.lit(False)), "boundary-guard-incomplete"))
     for name in ("acceleration_rms_m_s2", "angular_velocity_rms_rad_s"):
         value = F.col(name)
-        bad = value.isNull() | F.isnan(value) | (value > policy[name])
-        convergence.append(F.when(bad, f"convergence-limit:{name}"))
-    reasons.append(F.array_compact(F.array(*convergence)))
-    all_reasons = F.array_sort(F.array_distinct(F.flatten(F.array(*reasons))))
-    missing = F.array_sort(F.array_distinct(F.concat(reasons[0], F.array(F.lit("qa-missing")))))
-    out = df.withColumn("reasons", F.when(checks.isNull(), missing).otherwise(all_reasons))
+        found.append(F.when(value.isNull() | F.isnan(value) | (value > policy[name]), f"convergence-limit:{name}"))
+    missing, listed = F.array(F.lit("qa-missing")), present(*found)
+    if lineage is not None:
+        missing, listed = (F.array_distinct(F.concat(lineage, x)) for x in (missing, listed))
+    out = df.withColumn("reasons", F.sort_array(F.when(checks.isNull(), missing).otherwise(listed)))
     return out.withColumn("passed", F.size("reasons") == 0)
 
 
@@ -75,7 +74,7 @@ def source_rates(clips: DataFrame, *, source: str, policy: dict = POLICY) -> Dat
 def exclusion(clips: DataFrame, *, source: str, policy: dict = POLICY) -> DataFrame:
     """Add the quarantine reason and whether the clip is excluded."""
     paused = F.col(source).isin(policy["paused_sources"]) if policy["paused_sources"] else F.lit(False)
-    reasons = F.array_sort(F.array_distinct(F.concat("reasons", F.when(
+    reasons = F.sort_array(F.array_distinct(F.concat("reasons", F.when(
         paused, F.array(F.lit("source-quarantined"))).otherwise(F.expr(NO_TEXT)))))
     return clips.withColumn("reasons", reasons).withColumn("excluded", F.size("reasons") > 0)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from strideframe.functions.arrays import present
 from strideframe.operators.checks import violation
 from strideframe.plans.ordered import Ordered
 
@@ -44,10 +45,10 @@ def hash_chain(df: DataFrame, *, key: str, revision: str, body: Column, previous
 def queue_reasons(rows: DataFrame) -> DataFrame:
     """why a clip needs review; missing QA counts as risk 1.0."""
     n = F.size("codes")
-    reasons = F.array_compact(F.array(
+    reasons = present(
         F.when(F.col("qa_passed") == F.lit(False), "automatic-qa-failed"),
-        F.when(F.size(F.coalesce("warnings", F.array().cast("array<string>"))) > 0, "automatic-warning"),
-        F.when(n == 0, "label-unresolved").when(n > 1, "label-ambiguous")))
+        F.when(F.coalesce(F.size("warnings"), F.lit(0)) > 0, "automatic-warning"),
+        F.when(n == 0, "label-unresolved").when(n > 1, "label-ambiguous"))
     return rows.withColumns({"reasons": reasons, "risk": F.coalesce(F.col("risk_score"), F.lit(1.0))})
 
 
@@ -94,7 +95,7 @@ def choose_samples(rows: DataFrame, *, source: str, key: str, max_duration_s: fl
     long = pool.select(source, key, F.explode(flagged).alias("f")).select(source, key, "f.*")
     w = W.partitionBy(source, "rank").orderBy("o1", "o2", key)
     best = long.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= len(CATEGORIES))
-    lists = best.groupBy(source).agg(F.array_sort(F.collect_list(
+    lists = best.groupBy(source).agg(F.sort_array(F.collect_list(
         F.struct("rank", F.col("_n").alias("n"), "category", F.col(key).alias("k")))).alias("_l"))
     # At most 16 rows per source: walk the categories and skip ids already used.
     empty = F.array().cast(best.select(F.array(F.struct("category", F.col(key).alias("k")))).schema[0].dataType)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from strideframe.functions import rotations as R
+from strideframe.functions.arrays import present
 from strideframe.functions.clocks import step_ns
 from strideframe.plans.ordered import Ordered, exact_percentiles, halo
 
@@ -211,9 +212,9 @@ def replay_clock(df: DataFrame, *, keys: list[str], order: list[str], time_ns: s
     high = -(-numerator * 10 ** 9 // denominator)
     drift = F.abs(F.col(time_ns) - F.col("_t0")
                   - step_ns(F.col("_step"), F.lit(numerator), F.lit(denominator)))
-    rules = F.array_compact(F.array(
+    rules = present(
         F.when(gap <= 0, "clock-order"), F.when((gap != low) & (gap != high), "clock-gap"),
-        F.when(drift > 1, "clock-drift")))
+        F.when(drift > 1, "clock-drift"))
     return o.done().withColumn("rule", F.explode(rules)).drop("_before", "_step", "_t0")
 
 

@@ -20,9 +20,9 @@ def ordered_digest(df: DataFrame, keys: list[str], pos: str, payload: Column, *,
     for level in range(levels):
         last = level == levels - 1
         group = F.lit(0).cast("bigint") if last else F.floor(F.col("_p") / fan)
-        listed = F.array_sort(F.collect_list(F.struct("_p", "_d")))
+        listed = F.sort_array(F.collect_list(F.struct("_p", "_d")))
         work = (work.groupBy(*keys, group.alias("_g")).agg(listed.alias("_l"))
                 .select(*keys, F.col("_g").alias("_p"),
-                        F.sha2(F.array_join(F.transform("_l", lambda x: x["_d"]), "|"), 256).alias("_d")))
+                        F.sha2(F.array_join(F.col("_l")["_d"], "|"), 256).alias("_d")))
     result = work.select(*keys, F.col("_d").alias(out))
     return result.join(count, keys) if keys else result
