@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strideframe.bindings.registry import query
+from strideframe.functions.arrays import present
 from strideframe.operators import labels as L
 from strideframe.plans.barrier import evaluate_once
 from strideframe.session import literal_rows, materialise
@@ -73,12 +74,12 @@ a{out} AS (SELECT doc_id, count(*) AS n, min(target) AS lo, max(target) AS hi, m
 
 def commits(spark, d):
     """Documents as commits with one recording and at most one temporal label."""
-    toks = F.split(F.lower("text"), "[^a-z]+")
-    pick = lambda words: F.array_compact(F.array(*[F.when(F.array_contains("t", w), c) for w, c in words.items()]))
-    first = F.coalesce(F.get(F.filter("all_t", lambda x: x != ""), F.lit(0)), F.lit("x"))
-    base = read(spark, d, "documents").select("doc_id", "source", "lang", toks.alias("all_t"))
-    base = base.select("doc_id", "source", "lang", first.alias("first"), F.array_distinct("all_t").alias("t"))
-    base = evaluate_once(base, "doc_id", "source", "lang").select("doc_id", "source", "lang", "first", pick(RECORDED).alias("rc"), pick(TEMPORAL).alias("tc"))
+    words = F.trim(F.regexp_replace(F.lower("text"), "[^a-z]+", " "))
+    spaced = F.concat(F.lit(" "), words, F.lit(" "))
+    base = evaluate_once(read(spark, d, "documents").select("doc_id", "source", "lang", spaced.alias("t")), "doc_id", "source", "lang")
+    pick = lambda vocabulary: present(*[F.when(F.contains(F.col("t"), F.lit(f" {w} ")), c) for w, c in vocabulary.items()])
+    first = F.coalesce(F.nullif(F.substring_index(F.ltrim("t"), " ", 1), F.lit("")), F.lit("x"))
+    base = base.select("doc_id", "source", "lang", first.alias("first"), pick(RECORDED).alias("rc"), pick(TEMPORAL).alias("tc"))
     i, s2 = F.col("doc_id"), F.col("source").isin(STAGEII_SOURCES)
     code = (F.when(i % 5 == 0, None).when(F.size("rc") > 0, F.get("rc", F.lit(0)))
             .when(i % 3 == 0, "none").when(i % 3 == 1, "Sneak").otherwise("wander"))
