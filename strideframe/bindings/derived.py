@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from strideframe.session import work_dir
+from strideframe.session import qualified, work_dir
 from strideframe.sources.tables import read
 
 STAGE = "stageii-smplh-v1"
@@ -21,7 +21,7 @@ NATIVE = "amass-smplh-g-v1"
 def _put(folder: str, name: str, data: bytes) -> None:
     """Write beside the target, then rename, so that a task that runs twice is harmless."""
     from pyarrow import fs
-    system, inner = fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder)
+    system, inner = fs.FileSystem.from_uri(folder)
     system.create_dir(inner, recursive=True)
     part = f"{inner}/.{name}.{os.getpid()}"
     with system.open_output_stream(part) as f:
@@ -61,7 +61,7 @@ def _npz(i: int) -> bytes:
 
 def archives(spark, d, kind: str) -> str:
     """One archive per Arrow batch of documents, so its size is bounded; returns the folder."""
-    folder = work_dir(spark, f"archives-{kind}")
+    folder = qualified(spark, work_dir(spark, f"archives-{kind}"))
 
     def build(batches):
         for pdf in batches:
@@ -82,7 +82,7 @@ def archives(spark, d, kind: str) -> str:
 
 def page_objects(spark, d) -> str:
     """One file per page under objects/, with the extension by page number; returns the folder."""
-    folder = work_dir(spark, "objects")
+    folder = qualified(spark, work_dir(spark, "objects"))
 
     def build(batches):
         for pdf in batches:

@@ -43,6 +43,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(work_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, for readers and writers outside the JVM."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage through a written table that survives executor loss."""
     path = work_dir(df.sparkSession, name)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
@@ -206,6 +207,6 @@ def verified_contents(spark: SparkSession, path: str, descriptors: DataFrame, *,
 
 def package_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Logical path, digest, length and media type of every file of a package."""
-    root = path.rstrip("/") + "/"
+    root = re.escape(re.sub("^[a-z0-9]+:/*", "/", path).rstrip("/") + "/")
     logical = F.element_at(F.split("path", root, 2), -1)
     return file_digests(spark, path).select(logical.alias("logical_path"), "sha256", "byte_length", media_type(logical).alias("media_type"))
