@@ -58,7 +58,6 @@ def export_counts(rows: DataFrame, *, samples: str, rate_hz: float, mounts: int)
 def export_mounts(signals: DataFrame, *, clip: str, mount: str, order: list[str], values: list[str]):
     """One sequence per (clip, mount) and its samples as floats with global offsets."""
     lengths = signals.groupBy(clip, mount).agg(F.count(F.lit(1)).alias("length"))
-    rank = F.struct(clip, mount)
     # Offsets in (clip, mount) order: number the sequences, then run over their lengths.
     seq = running_offsets(lengths.withColumn("_k", F.col(clip)), order=["_k", mount], length="length").select(
         clip, mount, F.col("ordinal").cast("int").alias("sequence_index"), F.col("start").alias("sample_start"), F.col("stop").alias("sample_stop"))
