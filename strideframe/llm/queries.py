@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.llm import tiff
+from strideframe.llm import chat, ngram_join, tiff
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -19,8 +19,25 @@ def op1_tiff_pages(spark, sf_dir):
     return tiff.read_payloads(stored, "doc_id", "media", keep=["n_bytes"])
 
 
+def op5_ngram_jaccard(spark, sf_dir):
+    """Documents whose sets of three-word shingles agree by 0.9, as components."""
+    return ngram_join.components(_read(spark, sf_dir, "documents", "doc_id", "text"), size=3, num=90, den=100)
+
+
+def op9_chat_windows(spark, sf_dir):
+    """All conversations, and one made of control strings, formatted in windows and read back."""
+    talk = _read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = chat.END + chat.START + "assistant ok"
+    kinds = {f.name: f.dataType for f in talk.schema.fields}
+    extra = spark.range(2).select(F.lit(-1).cast(kinds["conv_id"]).alias("conv_id"), F.col("id").cast(kinds["turn"]).alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.read_back(chat.windows(talk.unionByName(extra)))
+
+
 QUERIES = {
     "op1_tiff_pages": op1_tiff_pages,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op9_chat_windows": op9_chat_windows,
 }
 
 ORACLES: dict[str, str] = {}
