@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.llm import chat, ngram_join, tiff
+from strideframe.llm import chat, grammar, ngram_join, tiff
+from strideframe.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -19,6 +20,19 @@ def op1_tiff_pages(spark, sf_dir):
     return tiff.read_payloads(stored, "doc_id", "media", keep=["n_bytes"])
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op2_repair_tokens(spark, sf_dir):
+    """All texts as token ids, each document ended by id 1, in Re-Pair shards; what is read back from the files."""
+    path = work_dir(spark, "tokens")
+    grammar.write(_read(spark, sf_dir, "documents", "doc_id", "text"), path, "doc_id", "text", tokenizer_path(), end_id=1)
+    return grammar.documents(grammar.read(spark, path), "doc_id")
+
+
 def op5_ngram_jaccard(spark, sf_dir):
     """Documents whose sets of three-word shingles agree by 0.9, as components."""
     return ngram_join.components(_read(spark, sf_dir, "documents", "doc_id", "text"), size=3, num=90, den=100)
@@ -36,6 +50,7 @@ def op9_chat_windows(spark, sf_dir):
 
 QUERIES = {
     "op1_tiff_pages": op1_tiff_pages,
+    "op2_repair_tokens": op2_repair_tokens,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op9_chat_windows": op9_chat_windows,
 }
