@@ -226,7 +226,7 @@ def write(df: DataFrame, path: str, key: str, text: str, tokenizer: str, end_id:
             payload, symbols = compress(np.concatenate(ids), n, cache.size)
             names = pa.concat_arrays(keys)
             row = pa.RecordBatch.from_arrays([
-                pa.array([part]), pa.array([seq]), pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
+                pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
                 *[pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), pa.array(x)) for x in (n, symbols)],
                 pa.array([int(n.sum())]), pa.array([payload], pa.binary())], names=columns)
             seq, keys, ids, lengths, size = seq + 1, [], [], [], 0
