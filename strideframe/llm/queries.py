@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.llm import chat, grammar, ngram_join, tiff
+from strideframe.llm import chat, decontaminate, fm, grammar, ngram_join, tiff
 from strideframe.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,24 @@ def op5_ngram_jaccard(spark, sf_dir):
     return ngram_join.components(_read(spark, sf_dir, "documents", "doc_id", "text"), size=3, num=90, den=100)
 
 
+def op8_factor_quality(spark, sf_dir):
+    """Quality of every document by a factorisation machine fitted on the rows that are not held out."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    labels = _read(spark, sf_dir, "labels", "doc_id", "quality").where(crc % 4 != 2)
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    model = fm.fit(docs, labels, metadata=("n_chars",))
+    scored = fm.score(docs, model, metadata=("n_chars",))
+    return scored.select("doc_id", F.coalesce(crc % 4 == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_positional_index(spark, sf_dir):
+    """Words of all documents inside ten-word windows of the benchmark, through a stored positional index."""
+    path = work_dir(spark, "index")
+    decontaminate.write_index(_read(spark, sf_dir, "documents", "doc_id", "text"), path, "doc_id", "text")
+    found = decontaminate.search(decontaminate.read_index(spark, path), _read(spark, sf_dir, "benchmark", "item_id", "text"), "doc_id")
+    return decontaminate.report(found, "doc_id")
+
+
 def op9_chat_windows(spark, sf_dir):
     """All conversations, and one made of control strings, formatted in windows and read back."""
     talk = _read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
@@ -52,7 +70,9 @@ QUERIES = {
     "op1_tiff_pages": op1_tiff_pages,
     "op2_repair_tokens": op2_repair_tokens,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op8_factor_quality": op8_factor_quality,
     "op9_chat_windows": op9_chat_windows,
+    "op10_positional_index": op10_positional_index,
 }
 
 ORACLES: dict[str, str] = {}
