@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.llm import chat, decontaminate, fm, grammar, ngram_join, tiff
+from strideframe.llm import chat, decontaminate, fm, grammar, mixing, ngram_join, tiff
 from strideframe.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +33,23 @@ def op2_repair_tokens(spark, sf_dir):
     return grammar.documents(grammar.read(spark, path), "doc_id")
 
 
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = [{"d0": 3, "d1": 2, "d2": 1}, {"en": 4, "fr": 2, "de": 2, "es": 1}, {}]
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 4), 2, 20240501
+
+
+def with_domain(docs):
+    """Documents with their word count and a domain, named by the number of the source."""
+    number = F.coalesce(F.regexp_extract("source", r"(\d+)", 1).try_cast("long"), F.lit(0))
+    return docs.withColumns({"domain": F.concat(F.lit("d"), (number % 3).cast("string")), "n_words": mixing.words(F.col("text"))})
+
+
+def op4_tree_mixing(spark, sf_dir):
+    """What a three-level tree of domains, languages and sources takes of each document, for three quarters of all tokens."""
+    docs = with_domain(_read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return mixing.choose(docs, "doc_id", MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED, tokens="n_words")
+
+
 def op5_ngram_jaccard(spark, sf_dir):
     """Documents whose sets of three-word shingles agree by 0.9, as components."""
     return ngram_join.components(_read(spark, sf_dir, "documents", "doc_id", "text"), size=3, num=90, den=100)
@@ -69,10 +86,49 @@ def op9_chat_windows(spark, sf_dir):
 QUERIES = {
     "op1_tiff_pages": op1_tiff_pages,
     "op2_repair_tokens": op2_repair_tokens,
+    "op4_tree_mixing": op4_tree_mixing,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op8_factor_quality": op8_factor_quality,
     "op9_chat_windows": op9_chat_windows,
     "op10_positional_index": op10_positional_index,
 }
 
-ORACLES: dict[str, str] = {}
+def _mix_sql():
+    """The tree level by level; `part` is what is left for the first child that is not full and those after it."""
+    def weight(k):
+        cases = " ".join(f"WHEN {MIX_LEVELS[k]} = '{v}' THEN {w}" for v, w in sorted(MIX_WEIGHTS[k].items()))
+        return f"CASE {cases} ELSE 1 END" if cases else "1"
+
+    parts = ["""
+rows0 AS (SELECT doc_id, 'd' || CAST(coalesce(TRY_CAST(regexp_extract(source, '(\\d+)', 1) AS BIGINT), 0) % 3 AS VARCHAR) AS domain,
+  coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS n_tokens FROM documents),
+docs AS (SELECT * FROM rows0 WHERE n_tokens > 0),
+leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS HUGEINT) AS tokens FROM docs GROUP BY ALL)"""]
+    for k, level in enumerate(MIX_LEVELS):
+        path, up = ", ".join(MIX_LEVELS[:k + 1]), MIX_LEVELS[:k]
+        by = f"PARTITION BY {', '.join(up)} " if up else ""
+        total = (f"(SELECT least(sum(tokens) * {MIX_SHARE[0]} // {MIX_SHARE[1]}, sum(tokens) * {MIX_EPOCHS}) FROM leaves)" if not up else
+                 f"(SELECT budget FROM b{k - 1} WHERE {' AND '.join(f'b{k - 1}.{c} = n.{c}' for c in up)})")
+        order = f"{by}ORDER BY supply / weight, {level}"
+        parts.append(f"""
+n{k} AS (SELECT n.*, {total} AS total FROM (SELECT {path}, sum(tokens) * {MIX_EPOCHS} AS supply, {weight(k)} AS weight FROM leaves GROUP BY {path}) n),
+o{k} AS (SELECT *, total - coalesce(sum(supply) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+  sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS mass, row_number() OVER ({order}) AS i FROM n{k}),
+f{k} AS (SELECT *, min(CASE WHEN supply * mass > weight * rest OR rest < supply THEN i END) OVER ({by}) AS lead_at FROM o{k}),
+g{k} AS (SELECT *, max(CASE WHEN i = lead_at THEN rest END) OVER ({by}) AS lrest, max(CASE WHEN i = lead_at THEN mass END) OVER ({by}) AS lmass,
+  sum(CASE WHEN i >= lead_at THEN weight ELSE 0 END) OVER ({by}ORDER BY i) AS upto FROM f{k}),
+b{k} AS (SELECT {path}, CASE WHEN lead_at IS NULL OR i < lead_at THEN supply ELSE lrest * upto // lmass - lrest * (upto - weight) // lmass END AS budget FROM g{k})""")
+    last = f"b{len(MIX_LEVELS) - 1}"
+    parts.append(f"""
+plan AS (SELECT l.*, b.budget // l.tokens AS whole, b.budget % l.tokens AS rest FROM leaves l JOIN {last} b USING (domain, lang, source)),
+joined AS (SELECT d.*, p.whole, p.rest FROM docs d JOIN plan p USING (domain, lang, source)),
+placed AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{MIX_SEED}:' || CAST(whole AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR))
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM joined)
+SELECT doc_id, domain, lang, source, CAST(unnest(range(CAST(whole AS BIGINT))) AS BIGINT) AS epoch, n_tokens, n_tokens AS n_taken FROM joined
+UNION ALL
+SELECT doc_id, domain, lang, source, CAST(whole AS BIGINT), n_tokens, CAST(least(n_tokens, rest - before) AS BIGINT) FROM placed WHERE rest > before""")
+    return "WITH " + ",".join(parts)
+
+
+ORACLES: dict[str, str] = {"op4_tree_mixing": _mix_sql()}
