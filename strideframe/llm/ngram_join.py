@@ -24,6 +24,8 @@ Rows that repeat an id are one document of several texts: each of them links it.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -33,7 +35,8 @@ from strideframe.llm import blocks as B
 from strideframe.llm.components import connected
 from strideframe.session import materialise
 
-WIDTH = 1 << 18             # counters of the frequency sketch; it is all that is sent to every task (2 MB)
+WIDTH = 1 << 20             # counters of the frequency sketch; it is all that is sent to every task (4 MB)
+COUNTERS = 1 << 12          # counters in one row of the sketch
 PARTS = 64                  # hash ranges of a profile
 SALT_ROWS = 1 << 16         # rows of one list in one task, before a frequent n-gram is salted
 BLOCK = 1024                # rows of one block of a list whose pairs are filtered together
@@ -84,7 +87,8 @@ def _keys(grams, at):
 def _profiles(grams, at):
     row = np.repeat(np.arange(len(at) - 1), np.diff(at))
     part = (grams >> np.uint64(58)).astype(np.int64)
-    return np.bincount(row * PARTS + part, minlength=(len(at) - 1) * PARTS).astype(np.uint32).reshape(-1, PARTS)
+    counts = np.bincount(row * PARTS + part, minlength=(len(at) - 1) * PARTS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(-1, PARTS)          # cut counts still bound a difference from below
 
 
 def _bucket(grams):
@@ -92,9 +96,9 @@ def _bucket(grams):
 
 
 def _facts(df, key, text, size):
-    """Per document its set; per task the counters of the sketch that are not zero (rows with `bucket`)."""
+    """Per document its set; per task the sketch in rows of COUNTERS deflated counters (rows with `block`)."""
     kind = df.schema[key].dataType.simpleString()
-    names = ["id", "n", "s1", "s2", "profile", "bucket", "hits"]
+    names = ["id", "n", "s1", "s2", "profile", "block"]
 
     def run(batches):
         counts, id_type = np.zeros(WIDTH, np.int64), None
@@ -105,23 +109,42 @@ def _facts(df, key, text, size):
                 counts += np.bincount(_bucket(grams), minlength=WIDTH)
                 s1, s2 = _keys(grams, at)
                 m = len(s1)
-                prof = _profiles(grams, at)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, m), pa.array(np.diff(at)), pa.array(s1), pa.array(s2), B.as_binary(prof.view(np.uint8).ravel(), np.full(m, PARTS * 4)),
-                    pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
-        used = np.flatnonzero(counts)
-        for k in range(0, len(used), 1 << 15):
-            b = used[k:k + (1 << 15)]
-            m = len(b)
+                    batch.column(0).slice(a, m), pa.array(np.diff(at)), pa.array(s1), pa.array(s2),
+                    B.as_binary(_profiles(grams, at).ravel(), np.full(m, PARTS)), pa.nulls(m, pa.int32())], names=names)
+        if id_type is not None:
+            m = WIDTH // COUNTERS
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(m, id_type), *[pa.nulls(m, pa.int64())] * 3, pa.nulls(m, pa.binary()), pa.array(b.astype(np.int32)), pa.array(counts[b])], names=names)
+                pa.nulls(m, id_type), *[pa.nulls(m, pa.int64())] * 3,
+                pa.array([zlib.compress(x.tobytes(), 1) for x in counts.reshape(m, COUNTERS)], pa.binary()), pa.array(np.arange(m, dtype=np.int32))], names=names)
+
+    return df.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, profile binary, block int")
+
 
-    return df.mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, profile binary, bucket int, hits long")
+def _sketch(facts) -> np.ndarray:
+    """The counters of all tasks, added up; WIDTH numbers whatever the input."""
+    def run(batches):
+        block, total = None, np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if b != block and block is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "profile"])
+                    total[:] = 0
+                block = b
+                total += np.frombuffer(zlib.decompress(raw.as_py()), np.int64)
+        if block is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "profile"])
+
+    rows = facts.where("block is not null").select("block", "profile").repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, profile binary")
+    out = np.zeros(WIDTH, np.uint32)
+    for r in rows.collect():
+        out[r["block"] * COUNTERS:(r["block"] + 1) * COUNTERS] = np.minimum(np.frombuffer(r["profile"], np.int64), 2 ** 32 - 1)
+    return out
 
 
 def _postings(df, text, size, num, den, counts):
     """Prefix n-grams of each distinct set: (g, salt, s1, s2, nj, pri); copies inside a task post once."""
-    limit = max(SALT_ROWS, 4 * int(counts.mean()) + 1)
+    limit = max(SALT_ROWS, 4 * int(counts.mean(dtype=np.float64)) + 1)
     shared = df.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
@@ -136,7 +159,7 @@ def _postings(df, text, size, num, den, counts):
                         seen.add(k)
                         fresh[i] = True
                 n = np.diff(at)
-                seen_count = counts[_bucket(grams)]
+                seen_count = counts[_bucket(grams)].astype(np.int64)
                 order = np.lexsort((grams, seen_count, np.repeat(np.arange(len(n)), n)))
                 prefix = np.where(fresh & (n > 0), n + (-(num * n) // den) + 1, 0)
                 picked = order[B.ranges(at[:-1], prefix)]
@@ -184,7 +207,7 @@ def _star_pairs(shared, nodes, num, den):
         for batch in batches:
             m = batch.num_rows
             if m:
-                pa_, pb = (B.flat(batch.column(k))[0].view(np.uint32).reshape(m, PARTS) for k in (4, 5))
+                pa_, pb = (B.flat(batch.column(k))[0].reshape(m, PARTS) for k in (4, 5))
                 anj, bnj = (batch.column(k).to_numpy() for k in (2, 3))
                 ok = _fits(anj >> 32, anj & 0xFFFFFFFF, bnj >> 32, bnj & 0xFFFFFFFF, pa_, pb, num, den)
                 yield batch.select([0, 1]).filter(pa.array(ok))
@@ -285,7 +308,7 @@ def _rest_pairs(shared, nodes, labels, num, den):
             if t is None or t.num_rows < 2:
                 return None
             blk, nj, comp = (t.column(c).to_numpy() for c in ("blk", "nj", "code"))
-            prof = B.flat(t.column("profile"))[0].view(np.uint32).reshape(-1, PARTS)
+            prof = B.flat(t.column("profile"))[0].reshape(-1, PARTS)
             got = [p for p in filtered(nj, t.column("node").to_pylist(), comp, prof, blk) if p not in seen]
             if len(seen) < 1_000_000:
                 seen.update(got)
@@ -323,11 +346,8 @@ def _codes(column):
 def _solve(df, key, text, size, num, den):
     source = df.select(key, text)
     facts = materialise(_facts(source, key, text, size), "facts")
-    counts = np.zeros(WIDTH, np.int64)
-    # At most WIDTH rows, whatever the input.
-    for r in facts.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).toPandas().itertuples():
-        counts[r.bucket] = r.hits
-    docs = facts.where("bucket is null").select("id", "n", "s1", "s2", "profile")
+    counts = _sketch(facts)
+    docs = facts.where("block is null").select("id", "n", "s1", "s2", "profile")
     nodes = materialise(docs.where("n > 0 and id is not null").groupBy("s1", "s2").agg(
         F.min("id").alias("node"), F.first("profile").alias("profile"), F.first("n").alias("n")), "nodes")
     posts = _postings(source, text, size, num, den, counts)
