@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.llm import chat, decontaminate, fm, grammar, mixing, ngram_join, tiff
+from strideframe.llm import chat, decontaminate, fm, grammar, mixing, ngram_join, suffix_merge, tiff
 from strideframe.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +33,11 @@ def op2_repair_tokens(spark, sf_dir):
     return grammar.documents(grammar.read(spark, path), "doc_id")
 
 
+def op3_suffix_merge(spark, sf_dir):
+    """Bytes of all texts that lie in a 400-byte string which starts anywhere else too, removed."""
+    return suffix_merge.remove(_read(spark, sf_dir, "documents", "doc_id", "text")).drop("first", "stop")
+
+
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = [{"d0": 3, "d1": 2, "d2": 1}, {"en": 4, "fr": 2, "de": 2, "es": 1}, {}]
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 4), 2, 20240501
@@ -86,6 +91,7 @@ def op9_chat_windows(spark, sf_dir):
 QUERIES = {
     "op1_tiff_pages": op1_tiff_pages,
     "op2_repair_tokens": op2_repair_tokens,
+    "op3_suffix_merge": op3_suffix_merge,
     "op4_tree_mixing": op4_tree_mixing,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op8_factor_quality": op8_factor_quality,
