@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.llm import chat, decontaminate, fm, grammar, mixing, ngram_join, suffix_merge, tiff
+from strideframe.llm import chat, decontaminate, fm, grammar, mixing, ngram_join, string_kernel, suffix_merge, tag_paths, tiff
 from strideframe.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -60,6 +60,19 @@ def op5_ngram_jaccard(spark, sf_dir):
     return ngram_join.components(_read(spark, sf_dir, "documents", "doc_id", "text"), size=3, num=90, den=100)
 
 
+def op6_tag_paths(spark, sf_dir):
+    """Main text of every page."""
+    return tag_paths.extract(_read(spark, sf_dir, "pages", "page_id", "url", "html"), ["page_id", "url"])
+
+
+def op7_string_kernel(spark, sf_dir):
+    """Language of every text, learnt from the rows that are not held out."""
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = string_kernel.fit(docs.where(~held_out))
+    return string_kernel.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_factor_quality(spark, sf_dir):
     """Quality of every document by a factorisation machine fitted on the rows that are not held out."""
     crc = F.crc32(F.col("doc_id").cast("string"))
@@ -94,6 +107,8 @@ QUERIES = {
     "op3_suffix_merge": op3_suffix_merge,
     "op4_tree_mixing": op4_tree_mixing,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_tag_paths": op6_tag_paths,
+    "op7_string_kernel": op7_string_kernel,
     "op8_factor_quality": op8_factor_quality,
     "op9_chat_windows": op9_chat_windows,
     "op10_positional_index": op10_positional_index,
