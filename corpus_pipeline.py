@@ -22,7 +22,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine scores at 0.7 or more; it is fitted on the labelled rows among `docs`."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
     model = fm.fit(docs, labels, metadata=("n_chars",))
-    return fm.score(docs, model, metadata=("n_chars",), keep=tuple(docs.columns)).where(F.col("score") >= LEAST_SCORE).select(*docs.columns)
+    name = _free("score", docs)
+    return fm.score(docs, model, metadata=("n_chars",), keep=tuple(docs.columns), name=name).where(F.col(name) >= LEAST_SCORE).select(*docs.columns)
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """A column name that the documents do not use."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
     again = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    ranked = kept.join(again, "doc_id", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))).where("nth = 1")
+    nth = _free("nth", docs)
+    ranked = kept.join(again, "doc_id", "left_semi").withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))).where(F.col(nth) == 1)
     return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(ranked.select(*docs.columns))
 
 

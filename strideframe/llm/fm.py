@@ -195,8 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Model(shares[1] / total, len(metadata)).fit(columns, values, at, dense, y, weight / weight.mean())
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", metadata: tuple = (), keep: tuple = ()) -> DataFrame:
-    """(key, kept columns, score) of every row."""
+def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", metadata: tuple = (), keep: tuple = (), name: str = "score") -> DataFrame:
+    """(key, kept columns, score) of every row; the score's column is called `name`."""
     source = docs.select(*dict.fromkeys([key, text, *metadata, *keep]))
     out = list(dict.fromkeys([key, *keep]))
     kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in out)
@@ -209,6 +209,6 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 columns, values, at, stats = inputs(data, offsets)
                 n = len(stats)
                 s = m.score(columns, values, at, np.concatenate([stats, _dense(batch, metadata, a, n)], axis=1))
-                yield pa.RecordBatch.from_arrays([*[B.column(batch, c).slice(a, n) for c in out], pa.array(s)], names=[*out, "score"])
+                yield pa.RecordBatch.from_arrays([*[B.column(batch, c).slice(a, n) for c in out], pa.array(s)], names=[*out, name])
 
-    return source.mapInArrow(run, f"{kinds}, score double")
+    return source.mapInArrow(run, f"{kinds}, `{name}` double")
