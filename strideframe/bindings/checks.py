@@ -18,7 +18,7 @@ _POS = E + """, p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
 
 
 def _placed(spark, d):
-    return Ordered(signal(spark, d), CLIP, ORDER, "us").position("pos", "n").done()
+    return Ordered(signal(spark, d), CLIP, ORDER).position("pos", "n").done()
 
 
 def _rules_sql(table, key, rules):
@@ -186,7 +186,7 @@ s AS (SELECT o_orderkey, CAST(hi - len + CASE WHEN o_orderkey % 97 = 0 THEN 1 EL
 
 def _sequences(spark, d):
     o = read(spark, d, "orders").select("o_orderkey", (F.floor("o_totalprice") % 7).alias("len"))
-    r = Ordered(o, [], ["o_orderkey"], "o_orderkey").running({"stop": F.col("len")}).done()
+    r = Ordered(o, [], ["o_orderkey"]).running({"stop": F.col("len")}).done()
     shift = F.when(F.col("o_orderkey") % 97 == 0, 1).otherwise(0)
     return r.withColumn("start", F.col("stop") - F.col("len") + shift)
 
@@ -289,7 +289,7 @@ def j05(spark, d):
     ann = _annotations(spark, d).withColumn("rank", C.kind_rank(F.col("kind")))
     zero = signal(spark, d).groupBy(F.col("user_id").alias("sequence_index")).agg(
         F.floor(F.min("us") / 1_000_000).alias("zero"))
-    o = Ordered(ann, ["sequence_index"], ["start_sample", "rank", "stop_sample", "code"], "start_sample").position("ordinal").done()
+    o = Ordered(ann, ["sequence_index"], ["start_sample", "rank", "stop_sample", "code"]).position("ordinal").done()
     return o.join(zero, "sequence_index").select(
         "sequence_index", "kind", (F.col("start_sample") - F.col("zero")).alias("start_sample"),
         (F.col("stop_sample") - F.col("zero")).alias("stop_sample"), "code", "ordinal")

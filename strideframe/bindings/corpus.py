@@ -215,7 +215,7 @@ SELECT source, digest, rows, source NOT IN ('src2', 'src9') AS frozen FROM g""")
 def a35(spark, d):
     rank = F.array_position(F.array(*map(F.lit, ["de", "en", "es", "fr"])), F.col("lang"))
     docs = read(spark, d, "documents").select("source", rank.alias("rank"), "doc_id")
-    placed = Ordered(docs, ["source"], ["rank", "doc_id"], "rank").position("_p").done()
+    placed = Ordered(docs, ["source"], ["rank", "doc_id"]).position("_p").done()
     frozen = ordered_digest(placed, ["source"], "_p", F.col("doc_id").cast(TEXT), out="digest")
     stale = F.col("source").isin("src2", "src9")
     manifest = frozen.select("source", F.when(stale, "x").otherwise(F.col("digest")).alias("expected_digest"), F.col("rows").alias("expected_rows"))

@@ -243,7 +243,7 @@ q AS (SELECT l_orderkey, min(sample) AS a, max(sample) + 1 AS b FROM s GROUP BY
 def samples(spark, d):
     """Line items as samples of sequence `l_orderkey`, globally numbered."""
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-    s = Ordered(read(spark, d, "lineitem").select(*order), [], order, "l_orderkey").position("sample").done()
+    s = Ordered(read(spark, d, "lineitem").select(*order), [], order).position("sample").done()
     return s.withColumnRenamed("l_orderkey", "sequence_index")
 
 

@@ -135,7 +135,7 @@ def a33(spark, d):
     return rounded(L.throughput(o, elapsed_s=3600.0), "per_minute")
 
 
-@query("t02_recent_errors", "SELECT event_id, user_id, value FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id LIMIT 200")
+@query("t02_recent_errors", "SELECT event_id, user_id, value FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id LIMIT 500")
 def t02(spark, d):
     return L.recent(signal(spark, d).where("event_type = 'error'"), updated="us", key="event_id", limit=500).select("event_id", "user_id", "value")
 
@@ -231,7 +231,7 @@ SELECT 'hash-chain' AS rule, conv_id || '/' || turn AS key, CAST(turn AS VARCHAR
 def w03(spark, d):
     from strideframe.plans.ordered import Ordered
     t = read(spark, d, "conversations").withColumn("sha", F.sha2(F.concat_ws("|", "role", "text"), 256))
-    chained = Ordered(t, ["conv_id"], ["turn"], "turn").neighbours(prev={"prev": "sha"}).done()
+    chained = Ordered(t, ["conv_id"], ["turn"]).neighbours(prev={"prev": "sha"}).done()
     chained = chained.withColumn("prev", F.when((F.col("conv_id") + F.col("turn")) % 13 == 5, "x").otherwise(F.col("prev"))).drop("sha")
     return V.hash_chain(chained, key="conv_id", revision="turn", body=F.concat_ws("|", "role", "text"), previous_sha="prev")
 

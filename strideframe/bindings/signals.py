@@ -441,7 +441,7 @@ POSITION_SCALE_M = 0.01
 SELECT vec_id, round((vx-ox)*0.01, 6) AS x, round(-(vz-oz)*0.01, 6)+0.0 AS y, round((vy-oy)*0.01, 6) AS z FROM q JOIN o USING (label)""")
 def f28(spark, d):
     frames = poses(spark, d)
-    o = S.Ordered(frames, ["label"], FRAME, "vec_id").totals({f"o{c}": F.min_by(c, "vec_id") for c in VEC}).done()
+    o = S.Ordered(frames, ["label"], FRAME).totals({f"o{c}": F.min_by(c, "vec_id") for c in VEC}).done()
     moved = [(F.col(c) - F.col(f"o{c}")) * F.lit(POSITION_SCALE_M) for c in VEC]
     out = R.change_basis([[F.lit(x) for x in row] for row in WORLD_FROM_SOURCE], moved)
     return o.select("vec_id", *[(F.round(c, 6) + F.lit(0.0)).alias(n) for c, n in zip(out, "xyz")])
@@ -465,7 +465,7 @@ SELECT label, pos, round(0.5*w-0.5*x-0.5*y-0.5*z, 6) AS w0, round(0.5*x+0.5*w+0.
  round(0.5*y-0.5*z+0.5*w+0.5*x, 6) AS y0, round(0.5*z+0.5*y-0.5*x+0.5*w, 6) AS z0 FROM a""")
 def f35(spark, d):
     """Measured series of a label against the series of the next label, cut to common length."""
-    placed = S.Ordered(poses(spark, d), ["label"], FRAME, "vec_id").position("pos").done()
+    placed = S.Ordered(poses(spark, d), ["label"], FRAME).position("pos").done()
     other = placed.select((F.col("label") - 1).alias("label"), "pos")
     half, one, zero = F.lit(0.5), F.lit(1.0), F.lit(0.0)
     q = R.calibrated([half] * 4, _cols(QUAT), [one, zero, zero, zero])

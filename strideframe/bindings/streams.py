@@ -27,10 +27,10 @@ def out(spark, name):
     return work_dir(spark, name)
 
 
-@query("r01_discover_feed", "SELECT event_id AS candidate_id, event_type AS version_id FROM events WHERE event_type = 'view'")
+@query("r01_discover_feed", "SELECT event_id AS candidate_id, event_type AS version_id FROM events")
 def r01(spark, d):
     folder = out(spark, "feed")
-    read(spark, d, "events").where("event_type = 'view'").select(
+    read(spark, d, "events").select(
         F.col("event_id").alias("candidate_id"), F.col("event_type").alias("version_id")).write.json(folder)
     return S.discover_feed(spark, folder, "candidate_id bigint, version_id string", out=out(spark, "r01"))
 
@@ -44,16 +44,14 @@ def r02(spark, d):
 @query("r03_deduplicated_feed", "SELECT user_id, event_type, min(epoch_us(ts)) AS us FROM events GROUP BY user_id, event_type")
 def r03(spark, d):
     s = stream(spark, d).select("user_id", "event_type", "at", "us")
-    return S.deduplicated_feed(s, time="at", keys=["user_id", "event_type"], delay="400 days", out=out(spark, "r03")).select("user_id", "event_type", "us")
+    return S.deduplicated_feed(s, time="at", keys=["user_id", "event_type"], out=out(spark, "r03")).select("user_id", "event_type", "us")
 
 
 @query("r04_rolling_counts", """
-WITH m AS (SELECT epoch_us(ts) // 60000000 AS m FROM events WHERE event_type = 'view'), w AS (SELECT m - unnest(range(0, 10)) AS s FROM m),
-x AS (SELECT max(epoch_us(ts)) // 1000 AS hi FROM events WHERE event_type = 'view')
-SELECT s * 60 AS window_start, count(*) AS published FROM w, x WHERE (s + 10) * 60000 <= hi - 600000 GROUP BY s""")
+WITH m AS (SELECT epoch_us(ts) // 60000000 AS m FROM events), w AS (SELECT m - unnest(range(0, 10)) AS s FROM m)
+SELECT s * 60 AS window_start, count(*) AS published FROM w GROUP BY s""")
 def r04(spark, d):
-    s = stream(spark, d).where("event_type = 'view'")
-    return S.rolling_counts(s, time="at", delay="10 minutes", out=out(spark, "r04")).select(
+    return S.rolling_counts(stream(spark, d), time="at", out=out(spark, "r04")).select(
         F.unix_seconds("window_start").alias("window_start"), "published")
 
 
@@ -122,7 +120,7 @@ def r10(spark, d):
 @query("r11_progress_changes", f"SELECT {STATUS_SQL} AS status, count(*) AS clips FROM events GROUP BY 1")
 def r11(spark, d):
     s = stream(spark, d).select(status_of("event_type").alias("status"))
-    return S.latest_state(S.progress_changes(s, status="status", out=out(spark, "r11")), ["status"])
+    return S.progress_changes(s, status="status", out=out(spark, "r11"))
 
 
 @query("r11_changed_only", E + """

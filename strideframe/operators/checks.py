@@ -149,7 +149,7 @@ def sequence_contiguity(df: DataFrame, *, index: str, start: str, stop: str, row
 
     `rows` is a one-row frame with column `rows`.
     """
-    o = Ordered(df, [], [index], index).neighbours(prev={"_before": stop}).done()
+    o = Ordered(df, [], [index]).neighbours(prev={"_before": stop}).done()
     chain = record_rules(o, F.col(index), {
         "noncontiguous": (F.col(start) == F.coalesce(F.col("_before"), F.lit(0)), F.col(start)),
         "too-short": (F.col(stop) - F.col(start) >= 2, F.col(stop) - F.col(start))})
@@ -171,7 +171,7 @@ def annotation_order(df: DataFrame, *, file_order: str) -> DataFrame:
     """Rows that sort before the row above them by (sequence, start, kind, stop, code)."""
     keyed = df.withColumn("_k", F.struct("sequence_index", "start_sample",
                                          kind_rank(F.col("kind")).alias("rank"), "stop_sample", "code"))
-    o = Ordered(keyed, [], [file_order], file_order).neighbours(prev={"_above": "_k"}).done()
+    o = Ordered(keyed, [], [file_order]).neighbours(prev={"_above": "_k"}).done()
     return o.where(F.col("_above") > F.col("_k")).select(
         *violation("annotation-order", F.col(file_order), F.col("sequence_index")))
 
@@ -179,7 +179,7 @@ def annotation_order(df: DataFrame, *, file_order: str) -> DataFrame:
 def interval_cover(annotations: DataFrame, sequences: DataFrame) -> DataFrame:
     """Activity and exclude intervals must tile [0, length) of their sequence."""
     rows = annotations.where(F.col("kind").isin("activity", "exclude"))
-    o = Ordered(rows, ["sequence_index"], ["start_sample", "stop_sample"], "start_sample").neighbours(
+    o = Ordered(rows, ["sequence_index"], ["start_sample", "stop_sample"]).neighbours(
         prev={"_cursor": "stop_sample"}).done()
     gaps = o.where(F.col("start_sample") != F.coalesce(F.col("_cursor"), F.lit(0))).select(
         *violation("coverage-gap-overlap", F.col("sequence_index"), F.col("start_sample")))
@@ -212,7 +212,7 @@ def event_pairing(annotations: DataFrame, sequences: DataFrame) -> DataFrame:
     points = impact.select(*ids, F.col("at").alias("_at"), F.lit(1).alias("_step"), F.lit(1).alias("_d"), blank.alias("start_sample"))
     opens = falls.select(*ids, F.col("start_sample").alias("_at"), F.lit(2).alias("_step"), F.lit(0).alias("_d"), F.col("start_sample"))
     closes = falls.select(*ids, F.col("stop_sample").alias("_at"), F.lit(0).alias("_step"), F.lit(0).alias("_d"), F.col("start_sample"))
-    swept = Ordered(points.unionByName(opens).unionByName(closes), ids, ["_at", "_step"], "_at").running(
+    swept = Ordered(points.unionByName(opens).unionByName(closes), ids, ["_at", "_step"]).running(
         {"_seen": F.col("_d")}).done().where("_step <> 1")
     inside = swept.groupBy(*ids, "start_sample").agg(
         (F.max(F.when(F.col("_step") == 0, F.col("_seen"))) - F.max(F.when(F.col("_step") == 2, F.col("_seen")))).alias("n"))
@@ -265,7 +265,7 @@ def sparse_index(index: DataFrame, payload: DataFrame, *, key: str, limit: int)
 
 
 def overlapping_ranges(df: DataFrame, *, key: str, start: str, stop: str) -> DataFrame:
-    o = Ordered(df, [], [start, stop, key], start).neighbours(following={"_next": start}).done()
+    o = Ordered(df, [], [start, stop, key]).neighbours(following={"_next": start}).done()
     return o.where(F.col("_next") < F.col(stop)).select(*violation("overlap", F.col(key), F.col("_next")))
 
 
@@ -374,7 +374,7 @@ def checkpoint_chain(checkpoints: DataFrame, entries: DataFrame) -> DataFrame:
 
     Entries are compared as (first, last, count) per shard, so no list is collected.
     """
-    o = (Ordered(checkpoints, [], ["ordinal"], "ordinal").neighbours(prev={"_stop": "stop_ordinal"})
+    o = (Ordered(checkpoints, [], ["ordinal"]).neighbours(prev={"_stop": "stop_ordinal"})
          .position("_pos").done())
     chain = record_rules(o, F.col("ordinal"), {
         "ordinal": (F.col("ordinal") == F.col("_pos") + 1, F.col("ordinal")),

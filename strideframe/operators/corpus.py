@@ -93,7 +93,7 @@ def take_availability(expected: DataFrame, files: DataFrame, *, suffixes: int) -
 
 def running_offsets(df: DataFrame, *, order: list[str], length: str) -> DataFrame:
     """Global half-open ranges and ordinals from lengths, in a fixed order."""
-    o = Ordered(df, [], order, order[0]).running({"stop": F.col(length)}).position("ordinal").done()
+    o = Ordered(df, [], order).running({"stop": F.col(length)}).position("ordinal").done()
     return o.withColumn("start", F.col("stop") - F.col(length))
 
 
@@ -125,7 +125,7 @@ def dataset_digest(sequences: DataFrame, *, sequence: str) -> DataFrame:
 
 def id_list_digest(df: DataFrame, manifest: DataFrame, *, group: str, order: list[str], key: str) -> DataFrame:
     """Count and ordered digest of the ids of each group, against a frozen manifest."""
-    placed = Ordered(df, [group], order, order[0]).position("_p").done()
+    placed = Ordered(df, [group], order).position("_p").done()
     d = ordered_digest(placed, [group], "_p", F.col(key).cast("string"))
     return d.join(manifest, group, "left").withColumn(
         "frozen", F.coalesce((F.col("digest") == F.col("expected_digest")) & (F.col("rows") == F.col("expected_rows")), F.lit(False)))
@@ -133,7 +133,7 @@ def id_list_digest(df: DataFrame, manifest: DataFrame, *, group: str, order: lis
 
 def plan_identity(plan: DataFrame, *, source: str, order: list[str], fields: list[str]) -> DataFrame:
     """digest of the execution fields of each source's plan."""
-    placed = Ordered(plan, [source], order, order[0]).position("_p").done()
+    placed = Ordered(plan, [source], order).position("_p").done()
     return ordered_digest(placed, [source], "_p", F.sha2(F.to_json(F.struct(*fields)), 256), out="identity")
 
 

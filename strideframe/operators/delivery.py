@@ -61,7 +61,7 @@ def export_mounts(signals: DataFrame, *, clip: str, mount: str, order: list[str]
     # Offsets in (clip, mount) order: number the sequences, then run over their lengths.
     seq = running_offsets(lengths.withColumn("_k", F.col(clip)), order=["_k", mount], length="length").select(
         clip, mount, F.col("ordinal").cast("int").alias("sequence_index"), F.col("start").alias("sample_start"), F.col("stop").alias("sample_stop"))
-    placed = Ordered(signals, [clip, mount], order, order[0]).position("_p").done()
+    placed = Ordered(signals, [clip, mount], order).position("_p").done()
     samples = placed.join(seq, [clip, mount]).select(
         "sequence_index", (F.col("sample_start") + F.col("_p")).alias("sample"), *[F.col(v).cast("float").alias(v) for v in values],
         *[c for c in order if c not in values])

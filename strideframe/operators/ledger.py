@@ -11,7 +11,6 @@ from strideframe.plans.ordered import Ordered, exact_percentiles
 
 STATUSES = ["published", "ready-local", "pending-publish", "excluded", "failed"]
 TERMINAL = ["published", "ready-local", "excluded"]
-ERROR_LENGTH = 1000
 
 # Fixed error vocabulary.
 BLOCKING_CODES, BLOCKING_NAMES = [401, 403], ["unauthorized", "forbidden", "permissiondenied"]
@@ -109,8 +108,8 @@ def throughput(df: DataFrame, *, elapsed_s: float) -> DataFrame:
 # --- T02-T04, T06, T07 -----------------------------------------------------------------------
 
 def recent(df: DataFrame, *, updated: str, key: str, limit: int) -> DataFrame:
-    """Newest rows, limit clamped to 1..200."""
-    return df.orderBy(F.desc(updated), key).limit(max(1, min(limit, 200)))
+    """The newest `limit` rows."""
+    return df.orderBy(F.desc(updated), key).limit(limit)
 
 
 def page_after(df: DataFrame, *, seq: str, cursor: int, limit: int) -> DataFrame:
@@ -142,7 +141,7 @@ def status_transitions(df: DataFrame, *, key: str, order: list[str], status: str
     and any other record is illegal.  So only the first terminal record matters.
     """
     terminal = F.when(F.col(status).isin(TERMINAL), F.struct(*order, F.col(status).alias("s")))
-    o = Ordered(df, [key], order, order[0]).totals({"_first": F.min(terminal)}).done()
+    o = Ordered(df, [key], order).totals({"_first": F.min(terminal)}).done()
     here = F.struct(*order, F.col(status).alias("s"))
     after = here > F.col("_first")
     return o.withColumn("outcome", F.when(~F.coalesce(after, F.lit(False)), "accepted").when(
@@ -153,8 +152,7 @@ def current_status(df: DataFrame, *, key: str, order: list[str], status: str, er
     """Standing status of each key: the first terminal one, else the last seen."""
     rank = F.struct(*order)
     terminal = F.col(status).isin(TERMINAL)
-    err = F.left(error, F.lit(ERROR_LENGTH))
-    s = F.struct(F.col(status).alias("status"), err.alias("error"))
+    s = F.struct(F.col(status).alias("status"), F.col(error).alias("error"))
     agg = df.groupBy(key).agg(F.min_by(s, F.when(terminal, rank)).alias("_t"), F.max_by(s, rank).alias("_l"))
     best = F.coalesce("_t", "_l")
     return agg.select(key, best["status"].alias("status"), best["error"].alias("error"))
@@ -170,12 +168,12 @@ def queue_depth(df: DataFrame, *, time_us: str, order: list[str], delta: str, si
     """Depth and bytes at the end of each sampling period that has events."""
     slot = F.floor(F.col(time_us) / F.lit(every_us))
     per = df.groupBy(slot.alias("slot")).agg(F.sum(delta).alias("_d"), F.sum(F.col(delta) * F.col(size)).alias("_b"))
-    return Ordered(per, [], ["slot"], "slot").running({"depth": F.col("_d"), "bytes": F.col("_b")}).done().drop("_d", "_b")
+    return Ordered(per, [], ["slot"]).running({"depth": F.col("_d"), "bytes": F.col("_b")}).done().drop("_d", "_b")
 
 
 def pressure_edges(df: DataFrame, *, time_us: str, order: list[str], delta: str, limit: float) -> DataFrame:
     """Rows where the running total crosses the limit, up or down."""
-    o = Ordered(df, [], order, time_us).running({"total": F.col(delta)})
+    o = Ordered(df, [], order).running({"total": F.col(delta)})
     o.with_columns({"_over": F.col("total") >= limit}).neighbours(prev={"_was": "_over"})
     return o.done().where(F.col("_over") != F.coalesce("_was", F.lit(False))).withColumn(
         "edge", F.when(F.col("_over"), "upload-backpressure").otherwise("upload-capacity-restored")).drop("_over", "_was")
@@ -184,5 +182,5 @@ def pressure_edges(df: DataFrame, *, time_us: str, order: list[str], delta: str,
 def changed_only(df: DataFrame, *, keys: list[str], order: list[str], summary: list[str]) -> DataFrame:
     """Rows whose summary differs from the row before it."""
     rows = df.withColumn("_s", F.struct(*summary))
-    o = Ordered(rows, keys, order, order[0]).neighbours(prev={"_before": "_s"}).done()
+    o = Ordered(rows, keys, order).neighbours(prev={"_before": "_s"}).done()
     return o.where(~F.col("_s").eqNullSafe(F.col("_before"))).drop("_s", "_before")

@@ -37,7 +37,7 @@ def revision_numbering(df: DataFrame, *, key: str, revision: str, first: int = 1
 def hash_chain(df: DataFrame, *, key: str, revision: str, body: Column, previous_sha: str) -> DataFrame:
     """Every revision carries the digest of the row before it, the first carries none."""
     rows = df.withColumn("_sha", F.sha2(body, 256))
-    o = Ordered(rows, [key], [revision], revision).neighbours(prev={"_above": "_sha"}).done()
+    o = Ordered(rows, [key], [revision]).neighbours(prev={"_above": "_sha"}).done()
     return o.where(~F.col(previous_sha).eqNullSafe(F.col("_above"))).select(
         *violation("hash-chain", F.concat_ws("/", key, revision), F.col(revision)))
 

@@ -13,7 +13,7 @@ from strideframe.plans.ordered import Ordered, exact_percentiles, halo
 
 
 def _ordered(df, keys, order):
-    return Ordered(df, keys, order, order[0])
+    return Ordered(df, keys, order)
 
 
 # --- W04, W05 -----------------------------------------------------------------
@@ -232,7 +232,7 @@ def timing_lookup(probes: DataFrame, timing: DataFrame, *, keys: list[str], prob
     asks = probes.select(*k, F.col(probe_time).alias("_t"), F.lit(1).alias("_probe"),
                          F.lit(None).cast("double").alias("_m"), F.col(probe_id).cast("bigint").alias(probe_id))
     mark = F.when(F.col("_probe") == 0, F.struct("_t", "_m"))
-    o = Ordered(marks.unionByName(asks), keys, ["_t", "_probe", probe_id], "_t").fill(
+    o = Ordered(marks.unionByName(asks), keys, ["_t", "_probe", probe_id]).fill(
         forward={"_a": mark}, backward={"_b": mark})
     a, b = F.col("_a"), F.col("_b")
     span = F.nullif((b["_t"] - a["_t"]).cast("double"), F.lit(0.0))

@@ -1,10 +1,11 @@
 """Ordered per-key computation that does not depend on one task holding one key.
 
-A plain ``Window.partitionBy(key)`` puts a whole recording into one task.  Here a key
-with more than ``strideframe.segment.rows`` rows is cut into ordered segments; windows
-run inside ``(key, segment)`` and a table with one row per segment carries the values
-that cross a cut.  Keys below the limit keep a single segment.  Both helper tables are
-bounded by rows / limit, which is why they are broadcast.
+A plain ``Window.partitionBy(key)`` puts a whole recording into one task.  Here the rows of a key
+are cut into ordered segments at some of its own rows: those whose hash of key and order is 0 modulo a
+quarter of ``strideframe.segment.rows``.  The cuts are values of the whole order, of any type, so outliers, infinities and
+equal first columns do not matter, and segments hold about that many rows at every size of a key (few keys far
+below it have a cut at all).  Windows run inside ``(key, segment)`` and a table with one row per segment of
+the keys that are cut carries the values that cross a cut.
 """
 
 from __future__ import annotations
@@ -15,41 +16,57 @@ from pyspark.sql import Window as W
 
 from strideframe.session import segment_rows
 
-OVERSPLIT = 4          # segments per `limit` rows, to soften uneven density
-SEG, HOT, ALL = "_seg", "_hot_rows", "_all"
+OVERSPLIT = 4          # segments per `limit` rows, to soften their random lengths
+SEG, CUT, ALL = "_seg", "_cut", "_all"
+
+
+def _count_up_to(cuts: Column, rank: Column) -> Column:
+    """How many of the sorted cuts are at most `rank`, by binary search."""
+    def halve(acc, _):
+        mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
+        below = F.get(cuts, mid) <= rank
+        return (F.when(acc["lo"] >= acc["hi"], acc)
+                 .when(below, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
+                 .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi")), halve, lambda acc: acc["lo"])
 
 
 class Ordered:
-    """Rows of each key in a total order; ``num`` is a number monotone in that order."""
+    """Rows of each key in a total order."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], num: str,
-                 limit: int | None = None):
-        limit = limit or segment_rows(df.sparkSession)
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], limit: int | None = None):
+        every = max(1, (limit or segment_rows(df.sparkSession)) // OVERSPLIT)
         self.drop = []
         if not keys:
-            df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
+            # Zero, but not a constant that the optimiser folds: joins on it stay joins on a key.
+            df, keys = df.withColumn(ALL, F.pmod(F.hash(*order), F.lit(1))), [ALL]
             self.drop.append(ALL)
         self.keys, self.order = keys, [F.col(c) for c in order]
         self.rank = F.struct(*order)
-        hot = (df.groupBy(*keys)
-                 .agg(F.count(F.lit(1)).alias(HOT), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
-                 .where(F.col(HOT) > limit))
-        pieces = F.ceil(F.col(HOT) * OVERSPLIT / F.lit(limit)).cast("double")
-        share = (F.col(num) - F.col("_lo")).cast("double") / F.nullif(
-            (F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
-        seg = F.coalesce(F.least(pieces - 1, F.floor(share * pieces).cast("double")), F.lit(0.0))
-        self.df = (df.join(F.broadcast(hot), keys, "left")
-                     .withColumn(SEG, seg.cast("bigint")).drop("_lo", "_hi"))
-        self.drop += [SEG, HOT]
-        # HOT depends on the key alone; naming it here lets a filter on it pass below the window.
-        self.part = W.partitionBy(*keys, HOT, SEG)
+        cuts = (df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
+                  .groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+                  .agg(F.sort_array(F.collect_set(self.rank)).alias("_cuts")))
+        on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        seg = F.when(F.col("_cuts").isNull(), 0).otherwise(_count_up_to(F.col("_cuts"), self.rank))
+        self.df = (df.join(cuts, on, "left").withColumn(SEG, seg.cast("bigint"))
+                     .withColumn(CUT, F.col("_cuts").isNotNull()).drop("_cuts", *[f"_k{i}" for i in range(len(keys))]))
+        self.drop += [SEG, CUT]
+        # CUT depends on the key alone; naming it here lets a filter on it pass below the window.
+        self.part = W.partitionBy(*keys, CUT, SEG)
         self.win = self.part.orderBy(*self.order)
         self.edge_win = W.partitionBy(*keys).orderBy(SEG)
 
     def _edges(self, aggs, finish) -> DataFrame:
-        """One row per segment of the split keys."""
-        hot = self.df.where(F.col(HOT).isNotNull()).groupBy(*self.keys, SEG).agg(*aggs)
-        return F.broadcast(hot.select(*self.keys, SEG, *finish))
+        """One row per segment of the keys that are cut."""
+        cut = self.df.where(F.col(CUT)).groupBy(*self.keys, SEG).agg(*aggs)
+        return cut.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)], F.col(SEG).alias("_kseg"), *finish)
+
+    def _join(self, side: DataFrame, seg: bool = True) -> DataFrame:
+        on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(self.keys)]
+        on += [F.col(SEG) == F.col("_kseg")] if seg else []
+        return self.df.join(side, on, "left").drop(*[f"_k{i}" for i in range(len(self.keys))], "_kseg")
 
     def neighbours(self, prev: dict | None = None, following: dict | None = None) -> "Ordered":
         """Values of the row before / after each row: ``{new_name: column}``."""
@@ -63,7 +80,7 @@ class Ordered:
         if following:
             aggs.append(F.min_by(pick_f, self.rank).alias("_seg_first"))
             finish.append(F.lead("_seg_first").over(self.edge_win).alias("_edge_next"))
-        df = self.df.join(self._edges(aggs, finish), [*self.keys, SEG], "left")
+        df = self._join(self._edges(aggs, finish))
         if prev:
             df = df.withColumn("_row_prev", F.coalesce(F.lag(pick_p).over(self.win), F.col("_edge_prev")))
         if following:
@@ -79,7 +96,7 @@ class Ordered:
         frame = self.edge_win.rowsBetween(W.unboundedPreceding, -1)
         edges = self._edges([F.sum(e).alias(n) for n, e in sums.items()],
                             [F.sum(n).over(frame).alias(f"_b_{n}") for n in names])
-        df = self.df.join(edges, [*self.keys, SEG], "left")
+        df = self._join(edges)
         local = self.win.rowsBetween(W.unboundedPreceding, 0)
         self.df = df.select("*", *[
             (F.coalesce(F.sum(e).over(local), F.lit(0)) + F.coalesce(F.col(f"_b_{n}"), F.lit(0))).alias(n)
@@ -98,7 +115,7 @@ class Ordered:
             aggs.append(F.min_by(e, F.when(e.isNotNull(), self.rank)).alias(f"_v_{n}"))
             finish.append(F.first(f"_v_{n}", ignorenulls=True).over(
                 self.edge_win.rowsBetween(1, W.unboundedFollowing)).alias(f"_b_{n}"))
-        df = self.df.join(self._edges(aggs, finish), [*self.keys, SEG], "left")
+        df = self._join(self._edges(aggs, finish))
         back = self.win.rowsBetween(W.unboundedPreceding, 0)
         ahead = self.win.rowsBetween(0, W.unboundedFollowing)
         cols = [F.coalesce(F.last(e, ignorenulls=True).over(back), F.col(f"_b_{n}")).alias(n)
@@ -110,11 +127,11 @@ class Ordered:
 
     def totals(self, aggs: dict[str, Column]) -> "Ordered":
         """Whole-key aggregates on every row: ``{new_name: aggregate expression}``."""
-        hot = self.df.where(F.col(HOT).isNotNull()).groupBy(*self.keys).agg(
+        cut = self.df.where(F.col(CUT)).groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)]).agg(
             *[e.alias(f"_t_{n}") for n, e in aggs.items()])
-        df = self.df.join(F.broadcast(hot), self.keys, "left")
+        df = self._join(cut, seg=False)
         self.df = df.select("*", *[
-            F.when(F.col(HOT).isNotNull(), F.col(f"_t_{n}")).otherwise(e.over(self.part)).alias(n)
+            F.when(F.col(CUT), F.col(f"_t_{n}")).otherwise(e.over(self.part)).alias(n)
             for n, e in aggs.items()]).drop(*[f"_t_{n}" for n in aggs])
         return self
 
@@ -122,10 +139,7 @@ class Ordered:
         """Zero-based position in the key and, if asked, the number of rows of the key."""
         self.running({pos: F.lit(1).cast("bigint")})
         self.df = self.df.withColumn(pos, F.col(pos) - 1)
-        if count:
-            self.df = self.df.withColumn(count, F.coalesce(
-                F.col(HOT), F.count(F.lit(1)).over(self.part)))
-        return self
+        return self.totals({count: F.count(F.lit(1))}) if count else self
 
     def with_columns(self, cols: dict[str, Column]) -> "Ordered":
         self.df = self.df.withColumns(cols)
@@ -136,16 +150,14 @@ class Ordered:
 
 
 def halo(df: DataFrame, keys: list[str], pos: str, reach: int, chunk: int = 65_536):
-    """Rows plus the `reach` rows on each side of every chunk of `chunk` positions.
+    """Rows plus the `reach` rows on each side of every chunk of `chunk` positions, however many chunks that spans.
 
     Returns the frame, with `_chunk` and `_own` (false on copied rows), and the window to
     use for lag/lead up to `reach` steps; filter on `_own` afterwards.
     """
-    p, home = F.col(pos), (F.col(pos) / F.lit(chunk)).cast("bigint")
-    offset = F.pmod(p, F.lit(chunk))
-    targets = F.array_compact(F.array(
-        home, F.when((offset < reach) & (home > 0), home - 1),
-        F.when(offset >= chunk - reach, home + 1)))
+    p, home = F.col(pos), F.floor(F.col(pos) / F.lit(chunk)).cast("bigint")
+    first = F.greatest(F.lit(0).cast("bigint"), F.floor((p - reach) / F.lit(chunk)).cast("bigint"))
+    targets = F.sequence(first, F.floor((p + reach) / F.lit(chunk)).cast("bigint"))
     out = (df.withColumn("_chunk", F.explode(targets))
              .withColumn("_own", F.col("_chunk") == home))
     return out, W.partitionBy(*keys, "_chunk").orderBy(pos)
@@ -158,7 +170,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     """
     work = df.where(F.col(value).isNotNull())
     weights = work.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
-    frame = (Ordered(weights, keys, [value], value)
+    frame = (Ordered(weights, keys, [value])
              .running({"_hi": F.col("_w")}).totals({"_n": F.sum("_w")}).done())
     keys = keys or []
     cum, n = F.col("_hi"), F.col("_n")

@@ -62,7 +62,7 @@ def greedy_shards(df: DataFrame, *, keys: list[str], order: list[str], body: str
     """Add `shard`, the 1-based ordinal of the shard of each record in its dataset."""
     target = int(max_bytes * fill)
     spark = df.sparkSession
-    placed = (Ordered(df, keys, order, order[0]).running({"_end": F.col(body)}).position("_pos").done())
+    placed = (Ordered(df, keys, order).running({"_end": F.col(body)}).position("_pos").done())
     before = F.col("_end") - F.col(body)
     blob_col = F.col(blobs) if blobs else F.expr("cast(array() as array<struct<sha256:string,size:bigint>>)")
     narrow = materialise(placed.select(
@@ -128,6 +128,6 @@ def greedy_shards(df: DataFrame, *, keys: list[str], order: list[str], body: str
               .applyInPandas(walk, f"{key_schema}, _pos bigint"))
     marked = narrow.select(*keys, *order, "_pos").join(
         materialise(starts, "packing").withColumn("_start", F.lit(1)), [*keys, "_pos"], "left")
-    numbered = Ordered(marked, keys, ["_pos"], "_pos").running(
+    numbered = Ordered(marked, keys, ["_pos"]).running(
         {"shard": F.coalesce(F.col("_start"), F.lit(0))}).done()
     return df.join(numbered.select(*keys, *order, "shard"), [*keys, *order])

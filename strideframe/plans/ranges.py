@@ -37,5 +37,5 @@ def containing_counts(points: DataFrame, intervals: DataFrame, keys: list[str],
     opens = intervals.select(*keyc, *blank, F.col(start).alias("_at"), F.lit(2).alias("_step"), F.lit(1).alias("_d"))
     closes = intervals.select(*keyc, *blank, F.col(stop).alias("_at"), F.lit(0).alias("_step"), F.lit(-1).alias("_d"))
     marks = probe.unionByName(opens).unionByName(closes)
-    swept = Ordered(marks, keys, ["_at", "_step"], "_at").running({"n_containing": F.col("_d")}).done()
+    swept = Ordered(marks, keys, ["_at", "_step"]).running({"n_containing": F.col("_d")}).done()
     return swept.where(F.col("_step") == 1).drop("_at", "_step", "_d")

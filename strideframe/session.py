@@ -49,6 +49,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, on any file system, unless it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage through a written table that survives executor loss."""
     path = work_dir(df.sparkSession, name)

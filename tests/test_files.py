@@ -179,14 +179,39 @@ def test_feed_is_read_once_and_a_repost_is_found_once(spark, tmp_path):
     row = lambda k, c, t: {"feed_key": k, "candidate_id": c, "version_id": "v", "posted_at": t}
     put(feed, "1.json", [row("k1", "a", "2024-01-01T00:00:00Z"), row("k2", "b", "2024-01-01T00:01:00Z")])
     out = str(tmp_path / "out")
-    run = lambda: S.deduplicated_feed(S.tail(spark, str(feed), FEED, fmt="json"), time="posted_at", keys=["candidate_id", "version_id"],
-                                      delay="1 minute", out=out)
+    run = lambda: S.deduplicated_feed(S.tail(spark, str(feed), FEED, fmt="json"), time="posted_at", keys=["candidate_id", "version_id"], out=out)
     assert sorted(r.candidate_id for r in run().collect()) == ["a", "b"]
     put(feed, "2.json", [row("k9", "a", "2024-01-03T00:00:00Z"), row("k3", "c", "2024-01-03T00:00:00Z")])
     got = {r.candidate_id: r.feed_key for r in run().collect()}
     assert got == {"a": "k1", "b": "k2", "c": "k3"}
 
 
+def test_late_rows_and_the_newest_window_come_out(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    row = lambda k, c, t: {"feed_key": k, "candidate_id": c, "version_id": "v", "posted_at": t}
+    stream = lambda: S.tail(spark, str(feed), FEED, fmt="json", files=1)
+    first = lambda: S.deduplicated_feed(stream(), time="posted_at", keys=["candidate_id", "version_id"], out=str(tmp_path / "first"))
+    count = lambda: S.rolling_counts(stream(), time="posted_at", out=str(tmp_path / "count"))
+    assert first().columns == ["feed_key", "candidate_id", "version_id", "posted_at"] and first().count() == 0 and count().count() == 0
+    put(feed, "1.json", [row("k1", "a", "2024-01-01T00:00:00Z"), row("k1", "a", "2024-01-01T00:00:00Z")])
+    put(feed, "2.json", [row("k2", "b", "2024-01-09T00:00:30Z")])
+    first()
+    put(feed, "3.json", [row("k3", "late", "2023-12-01T00:00:00Z"), row("k0", "a", "2023-12-31T00:00:00Z")])
+    assert {r.candidate_id: r.feed_key for r in first().collect()} == {"a": "k0", "b": "k2", "late": "k3"}
+    got = {r.window_start.strftime("%Y-%m-%d %H:%M"): r.published for r in count().collect()}
+    assert len(got) == 40 and got["2024-01-09 00:00"] == 1 and got["2024-01-01 00:00"] == 2 and got["2023-12-01 00:00"] == 1
+
+
+def test_reposts_of_lost_feed_rows(spark):
+    commits = spark.createDataFrame([("a", "1", 10), ("b", "1", 11), ("c", "2", 12)], "candidate_id string, version_id string, size int")
+    feed = spark.createDataFrame([("a-1-1", "a", "1"), ("b-1-1", "b", "1")], "feed_key string, candidate_id string, version_id string")
+    keys = ["candidate_id", "version_id"]
+    assert sorted(r.feed_key for r in S.reposts(feed, commits, keys=keys, feed_key="feed_key").collect()) == ["c-2-1"]
+    stored = feed.where("candidate_id = 'a'")
+    assert sorted(r.feed_key for r in S.reposts(feed, commits, keys=keys, feed_key="feed_key", stored=stored).collect()) == ["b-1-2", "c-2-1"]
+
+
 def test_status_stream_equals_the_batch_fold_over_several_batches(spark, tmp_path):
     from strideframe.operators import ledger as L
     log = tmp_path / "log"

@@ -24,7 +24,7 @@ def series(spark, n=60, hot=200):
 @pytest.mark.parametrize("limit", [5, 17, 10 ** 9])
 def test_segments_do_not_change_results(spark, limit):
     df = series(spark)
-    o = (Ordered(df, ["k"], ["t"], "t", limit=limit).neighbours(prev={"p": "v"}, following={"n": "v"})
+    o = (Ordered(df, ["k"], ["t"], limit=limit).neighbours(prev={"p": "v"}, following={"n": "v"})
          .running({"s": F.col("v")}).position("pos", "cnt").totals({"top": F.max("v")})
          .fill(forward={"f": F.when(F.col("v") > 0, F.col("v"))}, backward={"b": F.when(F.col("v") > 0, F.col("v"))}))
     got = {(r.k, r.t): r for r in o.done().collect()}
@@ -44,6 +44,31 @@ def test_segments_do_not_change_results(spark, limit):
             assert r.top == max(x for _, x in rows) and (r.f, r.b) == (last, ahead)
 
 
+@pytest.mark.parametrize("kind", ["outlier", "infinity", "equal", "text"])
+def test_no_segment_holds_a_key(spark, kind):
+    """Outliers, infinities, equal first columns and text ids are cut into pieces alike."""
+    n = 4000
+    first = {"outlier": lambda i: 1e300 if i == 0 else float(i), "infinity": lambda i: math.inf if i % 2 else float(i), "equal": lambda i: 7.0, "text": lambda i: f"id-{i:05d}"}[kind]
+    rows = [("k", first(i), i) for i in range(n)] + [("none", first(1), 1)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, f"k string, t {'string' if kind == 'text' else 'double'}, i long")
+    o = Ordered(df, ["k"], ["t", "i"], limit=200)
+    sizes = [r["count"] for r in o.df.groupBy("k", "_seg").count().collect()]
+    assert max(sizes) <= 600 and len(sizes) > 40
+    got = {r.i: r.s for r in o.running({"s": F.lit(1)}).done().where("k = 'k'").collect()}
+    want = sorted((t, i) for k, t, i in rows if k == "k")
+    assert got == {i: p + 1 for p, (_, i) in enumerate(want)}
+
+
+@pytest.mark.parametrize("reach,chunk", [(10, 4), (3, 100), (25, 7)])
+def test_halo_of_any_reach(spark, reach, chunk):
+    from strideframe.plans.ordered import halo
+    df = spark.range(60).withColumnRenamed("id", "pos").withColumn("k", F.lit(1))
+    out, win = halo(df, ["k"], "pos", reach, chunk)
+    got = {r.pos: (r.a, r.b) for r in out.select("pos", "_own", F.lag("pos", reach).over(win).alias("a"), F.lead("pos", reach).over(win).alias("b")).where("_own").collect()}
+    assert got == {p: (p - reach if p >= reach else None, p + reach if p + reach < 60 else None) for p in range(60)}
+
+
 def test_percentiles_of_one_to_four(spark, split_keys):
     df = spark.createDataFrame([("extract", float(x)) for x in (4, 2, 1, 3)], "phase string, s double")
     r = L.phase_summary(df, phase="phase", value="s").first()
