@@ -376,13 +376,14 @@ def j09(spark, d):
 WITH c AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_linenumber = 3 GROUP BY 1),
 p AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'P')
 SELECT 'duplicate-index' AS rule, CAST(k AS VARCHAR) AS key, CAST(n AS VARCHAR) AS detail FROM c WHERE n > 1
-UNION ALL SELECT 'index-range', CAST(k AS VARCHAR), CAST(k AS VARCHAR) FROM c WHERE k >= 14000
+UNION ALL SELECT 'index-range', CAST(k AS VARCHAR), CAST(k AS VARCHAR) FROM c, (SELECT max(o_orderkey) * 93 // 100 AS top FROM orders) WHERE k >= top
 UNION ALL SELECT 'payload-missing', CAST(k AS VARCHAR), '' FROM c WHERE k NOT IN (SELECT k FROM p)
 UNION ALL SELECT 'payload-extra', CAST(k AS VARCHAR), '' FROM p WHERE k NOT IN (SELECT k FROM c)""")
 def c20(spark, d):
     index = read(spark, d, "lineitem").where("l_linenumber = 3").select(F.col("l_orderkey").alias("k"))
     payload = read(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("k"))
-    return C.sparse_index(index, payload, key="k", limit=14_000)
+    limit = read(spark, d, "orders").agg(F.floor(F.max("o_orderkey") * 93 / 100)).first()[0]
+    return C.sparse_index(index, payload, key="k", limit=limit)
 
 
 @query("c21_overlapping_ranges", """

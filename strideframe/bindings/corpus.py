@@ -20,22 +20,24 @@ def _orders(spark, d, *extra):
     return read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate", *extra)
 
 
-_PARTS = """WITH o AS (SELECT o_orderkey % 9000 AS k, CASE WHEN o_orderkey % 501 = 0 THEN 'x' ELSE CAST(o_orderkey % 9000 % 3 AS VARCHAR) END AS role,
- o_orderkey % 9000 * 10 AS n FROM orders),
+_PARTS = """WITH z AS (SELECT max(o_orderkey) * 3 // 5 AS h FROM orders), o AS (SELECT o_orderkey % h AS k, CASE WHEN o_orderkey % 501 = 0 THEN 'x' ELSE CAST(o_orderkey % h % 3 AS VARCHAR) END AS role,
+ o_orderkey % h * 10 AS n FROM orders, z),
 s AS (SELECT sha256(CAST(k AS VARCHAR)) AS sha256, min(role) AS role, max(role) AS hi, min(n) AS byte_length, count(*) AS copies FROM o GROUP BY k),
-c AS (SELECT o_orderkey AS id, o_orderstatus <> 'P' AS inc FROM orders WHERE o_orderkey < 9000 UNION ALL
- SELECT CASE WHEN o_orderkey % 700 = 0 THEN o_orderkey - 9000 ELSE o_orderkey END, o_orderstatus <> 'P' FROM orders WHERE o_orderkey >= 9000)"""
+c AS (SELECT o_orderkey AS id, o_orderstatus <> 'P' AS inc FROM orders, z WHERE o_orderkey < h UNION ALL
+ SELECT CASE WHEN o_orderkey % 700 = 0 THEN o_orderkey - h ELSE o_orderkey END, o_orderstatus <> 'P' FROM orders, z WHERE o_orderkey >= h)"""
 
 
 def _corpora(spark, d):
+    """The lower three fifths of the orders as one corpus, the rest as the other."""
     k = F.col("o_orderkey")
+    half = read(spark, d, "orders").agg(F.floor(F.max(k) * 3 / 5)).first()[0]
     def part(cond):
         o = _orders(spark, d).where(cond)
-        obj = o.select(F.sha2((k % 9000).cast(TEXT), 256).alias("sha256"), F.when(k % 501 == 0, "x").otherwise((k % 9000 % 3).cast(TEXT)).alias("role"),
-                       (k % 9000 * 10).alias("byte_length"), F.concat(F.lit("objects/"), (k % 9000).cast(TEXT)).alias("object_key"))
-        ident = F.when((k >= 9000) & (k % 700 == 0), k - 9000).otherwise(k).alias("candidate_id")
+        obj = o.select(F.sha2((k % half).cast(TEXT), 256).alias("sha256"), F.when(k % 501 == 0, "x").otherwise((k % half % 3).cast(TEXT)).alias("role"),
+                       (k % half * 10).alias("byte_length"), F.concat(F.lit("objects/"), (k % half).cast(TEXT)).alias("object_key"))
+        ident = F.when((k >= half) & (k % 700 == 0), k - half).otherwise(k).alias("candidate_id")
         return obj, o.where("o_orderstatus <> 'P'").select(ident), o.where("o_orderstatus = 'P'").select(ident)
-    one, two = part("o_orderkey < 9000"), part("o_orderkey >= 9000")
+    one, two = part(k < half), part(k >= half)
     return C.merge_corpora([one[0], two[0]], [one[1], two[1]], [one[2], two[2]])
 
 
@@ -294,7 +296,8 @@ def f24(spark, d):
 
 
 @query("f25_participant_key", """
-SELECT vec_id, 'smplh-' || CASE WHEN label % 2 = 0 THEN 'male' ELSE 'female' END || '-' || left(sha256(array_to_string(list_transform(embedding[1:16], lambda x: CAST(CAST(CAST(x AS DOUBLE) AS DECIMAL(18,9)) AS VARCHAR)), ',')), 12) AS participant_id FROM embeddings""")
+SELECT vec_id, 'smplh-' || CASE WHEN label % 2 = 0 THEN 'male' ELSE 'female' END || '-' || left(sha256(array_to_string(list_transform(embedding[1:16], lambda x: CASE WHEN x = 0 THEN '0' ELSE CAST(CAST(CAST(x AS DOUBLE) * pow(2.0, 52 - floor(log2(abs(CAST(x AS DOUBLE))))) AS BIGINT) AS VARCHAR)
+ || '*2^' || CAST(CAST(floor(log2(abs(CAST(x AS DOUBLE)))) - 52 AS BIGINT) AS VARCHAR) END), ',')), 12) AS participant_id FROM embeddings""")
 def f25(spark, d):
     return read(spark, d, "embeddings").select("vec_id", ids.participant_key(
         F.when(F.col("label") % 2 == 0, "male").otherwise("female"), F.slice("embedding", 1, 16)).alias("participant_id"))

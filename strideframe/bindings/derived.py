@@ -50,10 +50,10 @@ def _zip(members) -> bytes:
 def _npz(i: int) -> bytes:
     """A motion member; its defects follow the row number."""
     frames = i % 5 + 1
-    arrays = {"poses": np.zeros((frames, 155 if i % 11 == 0 else 156)), "trans": np.zeros((frames, 3)), "betas": np.zeros(16),
+    arrays = {"poses": np.zeros((frames, 155 if i % 11 == 0 else 156)), "trans": np.zeros((frames, 4 if i % 17 == 0 else 3)), "betas": np.zeros(10 if i % 19 == 0 else 16),
               "gender": np.array(b"Male" if i % 2 else "female"), "mocap_framerate": np.array(0.0 if i % 13 == 0 else 60.0)}
     if i % 7:
-        arrays["dmpls"] = np.zeros((frames, 8))
+        arrays["dmpls"] = np.zeros((frames + (i % 23 == 0), 8))
     buf = io.BytesIO()
     np.savez(buf, **arrays)
     return buf.getvalue()

@@ -38,7 +38,7 @@ def s02(spark, d):
 
 @query("s03_member_profiles", """
 SELECT 'doc' || doc_id AS name, CAST(doc_id % 5 + 1 AS BIGINT) AS frames, CASE WHEN doc_id % 2 = 1 THEN 'male' ELSE 'female' END AS gender,
- CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 OR doc_id % 13 = 0 THEN 'adapter-required' WHEN doc_id % 5 = 0 THEN 'not-motion' ELSE 'ok' END AS state FROM documents""")
+ CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 THEN 'adapter-required' WHEN doc_id % 5 = 0 THEN 'not-motion' ELSE 'ok' END AS state FROM documents""")
 def s03(spark, d):
     prof = A.member_profiles(spark, derived.archives(spark, d, "npz"), pattern="*.tar.gz", suffixes=["_poses.npz"])
     out = A.classify_members(prof, adapter=F.lit(derived.NATIVE))
@@ -133,10 +133,12 @@ def s12(spark, d):
     return D.published_clips(spark.read.schema(ledger.schema).parquet(path), config_sha256=frozen).select("o_orderkey")
 
 
-@query("s13_list_files")
+@query("s13_list_files", """
+SELECT 'page' || page_id || '.' || ['html', 'json', 'bin', 'xyz'][page_id % 4 + 1] AS name, CAST(strlen(html) AS BIGINT) AS length FROM pages WHERE page_id % 4 <> 2""")
 def s13(spark, d):
-    """Listing of the given tables themselves; contents are not read."""
-    return A.list_files(spark, d, "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    """Files made from the pages, listed without their contents."""
+    out = A.list_files(spark, derived.page_objects(spark, d), "*.{html,json,xyz}")
+    return out.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
 
 
 @query("s14_verified_contents", """
@@ -146,7 +148,7 @@ def s14(spark, d):
     ext = F.get(F.array(*map(F.lit, ["html", "json", "bin", "xyz"])), (i % 4).cast("int"))
     name = F.concat(F.lit("page"), i.cast("string"), F.lit("."), F.when(i % 9 == 0, "gone").otherwise(ext))
     want = read(spark, d, "pages").select(
-        "page_id", name.alias("name"), (F.octet_length("html") + F.when(i % 5 == 0, 1).otherwise(0)).cast("bigint").alias("byte_length"),
+        "page_id", name.alias("logical_path"), (F.octet_length("html") + F.when(i % 5 == 0, 1).otherwise(0)).cast("bigint").alias("byte_length"),
         F.when(i % 7 == 0, "x").otherwise(F.sha2("html", 256)).alias("sha256"))
     return A.verified_contents(spark, derived.page_objects(spark, d), want).select("page_id", "state")
 
@@ -196,13 +198,16 @@ def payload():
 
 
 @query("k02_write_delivery", """
-SELECT 'lineitems' AS dataset_id, 'samples' AS "table", count(*) AS rows FROM lineitem UNION ALL
-SELECT 'lineitems', 'sequences', count(DISTINCT l_orderkey) FROM lineitem""")
+SELECT 'lineitems' AS dataset_id, 'samples' AS "table", count(*) AS rows, true AS same_hash FROM lineitem UNION ALL
+SELECT 'lineitems', 'sequences', count(DISTINCT l_orderkey), true FROM lineitem""")
 def k02(spark, d):
     s, q = _sequences(spark, d)
     man = K.write_delivery({"samples": s, "sequences": q}, work_dir(spark, "delivery"), dataset_id="lineitems",
                            sequences=q.select("sequence_index", "recording_id"), samples=s, payload=payload())
-    return man.select("dataset_id", "table", "rows")
+    # The hash of the stored tables, laid out and numbered in another way, is the one in the manifest.
+    again = P.dataset_digest(P.logical_content(s.withColumn("sample", F.col("sample") + 1_000_003), q.select("recording_id", "sequence_index"), sequence="sequence_index", pos="sample", payload=payload()),
+                             sequence="sequence_index")
+    return man.join(again.withColumnRenamed("dataset_sha256", "again")).select("dataset_id", "table", "rows", (F.col("again") == F.col("dataset_sha256")).alias("same_hash"))
 
 
 @query("k03_export_mounts", E + """
@@ -262,7 +267,7 @@ def k08(spark, d):
     """Publish half, then all: the second run only adds what is new."""
     rows = read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
     path = work_dir(spark, "store")
-    K.publish(rows.where("doc_id % 2 = 0"), path, key="doc_id")
+    K.publish(rows.where("doc_id % 2 = 0").union(rows.where("doc_id % 6 = 0")), path, key="doc_id")
     return K.publish(rows, path, key="doc_id")
 
 

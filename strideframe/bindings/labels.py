@@ -295,8 +295,8 @@ def f19(spark, d):
 
 
 _MERGE = """WITH r AS (SELECT source || '/' || doc_id % 20 AS member, CAST(CASE WHEN source = 'src4' THEN doc_id // 20 % 2 ELSE 1 END AS VARCHAR) AS sid,
- CASE WHEN doc_id % 3 = 0 THEN 'extra_train' WHEN doc_id % 3 = 1 THEN 'train' ELSE 'val' END AS split, 2.0 + CASE WHEN lang = 'es' THEN 0.01 ELSE 0 END AS dur FROM documents),
-m AS (SELECT member, sid, count(*) AS labels, array_to_string(list_sort(list(DISTINCT split)), ',') AS splits, CAST(min(dur) AS DOUBLE) AS duration_s,
+ CASE WHEN doc_id % 3 = 0 THEN 'extra_train' WHEN doc_id % 3 = 1 THEN 'train' ELSE 'val' END AS split, doc_id, 2.0 + CASE WHEN lang = 'es' THEN 0.01 ELSE 0 END AS dur FROM documents),
+m AS (SELECT member, sid, array_to_string(list_sort(list(lpad(CAST(doc_id AS VARCHAR), 12, '0') || ':' || split)), ',') AS label_rows, count(*) AS labels, array_to_string(list_sort(list(DISTINCT split)), ',') AS splits, CAST(min(dur) AS DOUBLE) AS duration_s,
  max(dur)-min(dur) <= 1e-6 AS duration_agrees FROM r GROUP BY ALL)"""
 
 
@@ -307,12 +307,13 @@ def _annotation_sets(spark, d):
         F.when(F.col("source") == "src4", F.floor(i / 20) % 2).otherwise(1).cast("string").alias("sid"),
         F.when(i % 3 == 0, "extra_train").when(i % 3 == 1, "train").otherwise("val").alias("split"),
         F.when(F.col("lang") == "es", 2.01).otherwise(2.0).alias("dur"))
-    return L.merge_annotation_sets(r.where("doc_id % 3 <> 0"), r.where("doc_id % 3 = 0"), keys=["member", "sid"], split="split", duration="dur")
+    return L.merge_annotation_sets(r.where("doc_id % 3 <> 0"), r.where("doc_id % 3 = 0"), keys=["member", "sid"], split="split", duration="dur", label=["doc_id", "split"])
 
 
 @query("u08_merge_annotation_sets", _MERGE + " SELECT * FROM m")
 def u08(spark, d):
-    return _annotation_sets(spark, d)
+    text = F.transform("label_rows", lambda r: F.concat(F.lpad(r["doc_id"].cast("string"), 12, "0"), F.lit(":"), r["split"]))
+    return _annotation_sets(spark, d).withColumn("label_rows", F.array_join(text, ","))
 
 
 @query("u08_member_identities", _MERGE + " SELECT 'member-identity' AS rule, member AS key, CAST(count(DISTINCT sid) AS VARCHAR) AS detail FROM m GROUP BY member HAVING count(DISTINCT sid) > 1")
@@ -322,8 +323,9 @@ def u08_ids(spark, d):
 
 @query("a23_label_audit", COMMITS + """
 SELECT lang AS split, count(*) AS sequences, count(*) FILTER (WHERE list_contains(cats, 'sit')) + count(*) FILTER (WHERE list_contains(tmp, 'sit')) AS category_rows,
- count(*) FILTER (WHERE list_contains(cats, 'sit') OR list_contains(tmp, 'sit')) AS category_sequences FROM f GROUP BY lang""")
+ count(*) FILTER (WHERE list_contains(cats, 'sit') OR list_contains(tmp, 'sit')) AS category_sequences, max(abs(doc_id % 17 / 4.0 - doc_id % 13 / 4.0)) AS max_duration_difference_s FROM f GROUP BY lang""")
 def a23(spark, d):
     from strideframe.operators.metrics import label_audit
-    return label_audit(commits(spark, d), split="lang", key="doc_id", category="sit").select(
-        "split", "sequences", "category_rows", "category_sequences")
+    i = F.col("doc_id")
+    rows = commits(spark, d).withColumns({"annotated_s": i % 17 / 4.0, "motion_s": i % 13 / 4.0})
+    return label_audit(rows, split="lang", key="doc_id", category="sit", durations=("annotated_s", "motion_s"))

@@ -317,6 +317,18 @@ def w15(spark, d):
     return V.choose_pilot(categorised(spark, d), key="doc_id", category="category", source="source", per_category=3, required=["src19"])
 
 
+@query("w15_pilot_violations", f"""
+WITH r AS (SELECT doc_id, {_CAT} AS category, source, row_number() OVER (PARTITION BY {_CAT} ORDER BY sha256(CAST(doc_id AS VARCHAR)), doc_id) AS n FROM documents WHERE doc_id % 4 < 3),
+c AS (SELECT category, count(*) AS n FROM r WHERE n <= 3 GROUP BY 1)
+SELECT 'too-few-rows' AS rule, x AS key, CAST(coalesce(n, 0) AS VARCHAR) AS detail FROM (SELECT unnest(['ordinary', 'warning', 'label-ambiguous', 'high-risk']) AS x) LEFT JOIN c ON category = x WHERE coalesce(n, 0) < 3
+UNION ALL SELECT 'required-source-missing', 'src77', '0'""")
+def w15_violations(spark, d):
+    """An index without one category and without the required source is refused."""
+    rows = categorised(spark, d).where("category <> 'high-risk'")
+    chosen = V.choose_pilot(rows, key="doc_id", category="category", source="source", per_category=3, required=["src77"])
+    return V.pilot_violations(chosen, category="category", source="source", per_category=3, required=["src77"])
+
+
 @query("t08_category_order", f"SELECT doc_id, category, CAST(list_position(['ordinary', 'warning', 'label-ambiguous', 'high-risk'], category) AS BIGINT) AS category_rank FROM (SELECT doc_id, {_CAT} AS category FROM documents)")
 def t08(spark, d):
     return V.category_order(categorised(spark, d), category="category", key="doc_id").select("doc_id", "category", F.col("category_rank").cast("bigint").alias("category_rank"))

@@ -114,22 +114,37 @@ def a01_sources(spark, d):
 
 
 @query("a28_rate_alerts", """
-WITH c AS (SELECT d.source, quality = 1 AS passed FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
-s AS (SELECT source AS scope, count(*) AS clips, count(*) FILTER (WHERE passed) AS passed FROM c GROUP BY source
- UNION ALL SELECT '*corpus*', count(*), count(*) FILTER (WHERE passed) FROM c)
-SELECT scope, clips, passed, round(passed / clips, 6) AS pass_rate FROM s WHERE passed / clips < CASE WHEN scope = '*corpus*' THEN 0.9 ELSE 0.8 END""")
+WITH c AS (SELECT o_orderpriority AS source, o_orderstatus <> 'P' OR o_orderpriority <> '2-HIGH' AS settled, o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority < '4') AS passed FROM orders),
+s AS (SELECT source AS scope, count(*) AS clips, count(*) FILTER (WHERE passed) AS passed, bool_and(settled) AS done FROM c GROUP BY source
+ UNION ALL SELECT '*corpus*', count(*), count(*) FILTER (WHERE passed), bool_and(settled) FROM c)
+SELECT scope, clips, passed, round(passed / clips, 6) AS pass_rate FROM s WHERE done AND passed / clips < CASE WHEN scope = '*corpus*' THEN 0.9 ELSE 0.8 END""")
 def a28(spark, d):
-    clips = document_clips(spark, d).where("toxic is not null")
-    return rounded(Q.rate_alerts(clips, source="source", policy={**Q.POLICY, "minimum_corpus_pass_rate": 0.9}), "pass_rate")
+    """Orders as clips; one priority has clips that are still pending, so neither it nor the corpus is judged."""
+    o, s, p = read(spark, d, "orders"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    status = F.when((s == "P") & (p == "2-HIGH"), "pending-publish").when(s == "F", "published").when((s == "O") & (p < "4"), "ready-local").otherwise("excluded")
+    planned = o.select(p.alias("source"))
+    clips = o.select(p.alias("source"), status.alias("status"))
+    return rounded(Q.rate_alerts(planned, clips, source="source", policy={**Q.POLICY, "minimum_corpus_pass_rate": 0.9}), "pass_rate")
+
+
+@query("a28_settled_corpus", """
+WITH c AS (SELECT o_orderstatus AS source, o_custkey % 10 < 5 AS passed FROM orders),
+s AS (SELECT source AS scope, count(*) AS clips, count(*) FILTER (WHERE passed) AS passed FROM c GROUP BY source UNION ALL SELECT '*corpus*', count(*), count(*) FILTER (WHERE passed) FROM c)
+SELECT scope, clips, passed, round(passed / clips, 6) AS pass_rate FROM s WHERE passed / clips < CASE WHEN scope = '*corpus*' THEN 0.9 ELSE 0.8 END""")
+def a28_settled(spark, d):
+    """Every clip settled: the corpus is judged as well."""
+    o = read(spark, d, "orders")
+    clips = o.select(F.col("o_orderstatus").alias("source"), F.when(F.col("o_custkey") % 10 < 5, "published").otherwise("excluded").alias("status"))
+    return rounded(Q.rate_alerts(clips.select("source"), clips, source="source", policy={**Q.POLICY, "minimum_corpus_pass_rate": 0.9}), "pass_rate")
 
 
 @query("a32_study_report", """
-SELECT bool_and(toxic IS NOT NULL) AS all_complete, bool_and(quality = 1) AS all_passed, count(*) AS clips, count(*) FILTER (WHERE doc_id % 4 > 0) AS reviewed,
- count(*) FILTER (WHERE doc_id % 4 > 1) AS accepted, 'partial' AS review_status FROM labels""")
+SELECT bool_and(toxic IS NOT NULL) AS all_complete, bool_and(quality = 1) AS all_passed, count(*) AS clips, count(*) FILTER (WHERE doc_id % 4 IN (1, 2)) AS reviewed,
+ count(*) FILTER (WHERE doc_id % 4 = 2) AS accepted, CASE WHEN count(*) FILTER (WHERE doc_id % 4 IN (1, 2)) = 0 THEN 'unreviewed' WHEN count(*) FILTER (WHERE doc_id % 4 = 2) = count(*) THEN 'accepted' ELSE 'partial' END AS review_status FROM labels""")
 def a32(spark, d):
     i = F.col("doc_id") % 4
     rows = read(spark, d, "labels").select(F.col("toxic").isNotNull().alias("complete"), (F.col("quality") == 1).alias("passed"),
-                                           F.when(i > 1, "accepted").when(i == 1, "rejected").alias("decision"))
+                                           F.when(i == 3, "unreviewed").when(i == 2, "accepted").when(i == 1, "rejected").alias("decision"))
     return Q.study_report(rows)
 
 

@@ -31,9 +31,17 @@ def content_id(length: int = 64, **fields: Column) -> Column:
     return F.left(F.sha2(canonical_json(**fields), 256), F.lit(length))
 
 
+def exact_double(x: Column) -> Column:
+    """A finite double as `mantissa*2^exponent` in whole numbers, without loss."""
+    power = (52 - F.floor(F.log2(F.abs(x)))).cast("int")
+    half = F.floor(power / 2).cast("int")                     # two factors, so that small numbers do not overflow the power
+    mantissa = x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)
+    return F.when(x == 0, "0").otherwise(F.concat(mantissa.cast("bigint").cast("string"), F.lit("*2^"), (-power).cast("string")))
+
+
 def participant_key(gender: Column, shape: Column) -> Column:
-    """prefix, gender and 12 hex digits of the shape vector."""
-    text = F.array_join(F.transform(shape, lambda x: x.cast("double").cast("decimal(18,9)").cast("string")), ",")
+    """prefix, gender and 12 hex digits of the shape vector; shapes that differ in any bit differ in the text."""
+    text = F.array_join(F.transform(shape, lambda x: exact_double(x.cast("double"))), ",")
     return F.concat(F.lit("smplh-"), gender, F.lit("-"), F.left(F.sha2(text, 256), F.lit(12)))
 
 

@@ -110,12 +110,25 @@ def packed_size(records: DataFrame, blobs: DataFrame, *, shard: list[str]) -> Da
     return body.join(once, shard, "left").select(*shard, (F.col("_b") + F.coalesce("_s", F.lit(0))).alias("bytes"))
 
 
-def logical_content(samples: DataFrame, metadata: DataFrame, *, sequence: str, pos: str, payload: Column) -> DataFrame:
-    """per-sequence digest of samples and metadata; offsets and file layout do not enter."""
-    body = ordered_digest(samples, [sequence], pos, payload, out="_body")
+def logical_content(samples: DataFrame, metadata: DataFrame, *, sequence: str, pos: str, payload: Column, annotations: DataFrame | None = None) -> DataFrame:
+    """per-sequence digest of samples, metadata and annotations; offsets and file layout do not enter.
+
+    Annotations (rows by `sequence`, positions relative to it) enter as a sum of row digests in two parts of 60 bits, so their
+    order does not matter, but each label, kind and position does; a sequence without any keeps the digest without them.
+    """
+    first = samples.groupBy(sequence).agg(F.min(pos).alias("_first"))
+    placed = samples.join(first, sequence).withColumn("_inner", F.col(pos) - F.col("_first"))
+    body = ordered_digest(placed, [sequence], "_inner", payload, out="_body")
     rows = body.join(metadata, sequence)
     names = sorted(c for c in metadata.columns if c != sequence)
-    return rows.select(sequence, F.sha2(F.concat_ws("|", F.to_json(F.struct(*names)), "rows", "_body"), 256).alias("digest"))
+    parts = [F.to_json(F.struct(*names)), F.col("rows").cast("string"), F.col("_body")]
+    if annotations is not None:
+        inner = F.sha2(F.to_json(F.struct(*sorted(c for c in annotations.columns if c != sequence)), {"ignoreNullFields": "false"}), 256)
+        part = lambda i: F.sum(F.conv(F.substring(inner, i, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+        marks = annotations.groupBy(sequence).agg(F.concat_ws(",", F.count(F.lit(1)).cast("string"), part(1), part(16)).alias("_marks"))
+        rows = rows.join(marks, sequence, "left")
+        parts.append(F.col("_marks"))
+    return rows.select(sequence, F.sha2(F.concat_ws("|", *parts), 256).alias("digest"))
 
 
 def dataset_digest(sequences: DataFrame, *, sequence: str) -> DataFrame:

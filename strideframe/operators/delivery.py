@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,11 +28,14 @@ def is_directory(spark: SparkSession, path: str) -> bool:
 
 
 def create_only_write(df: DataFrame, path: str, *, check=None, partition_by: list[str] | None = None) -> DataFrame:
-    """Refuse an existing target, write beside it, check what was written, then rename."""
+    """Refuse an existing target, write beside it, check what was written, then rename.
+
+    Every try stages under a name of its own, so what a crash left behind is in nobody's way.
+    """
     spark = df.sparkSession
     if exists(spark, path):
         raise FileExistsError(path)
-    staging = path.rstrip("/") + ".partial"
+    staging = staging_name(path)
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
     staged = spark.read.schema(df.schema).parquet(staging)
@@ -40,12 +45,23 @@ def create_only_write(df: DataFrame, path: str, *, check=None, partition_by: lis
             fs, p = _fs(spark, staging)
             fs.delete(p, True)
             raise ValueError(f"contract violation: {bad[0]['rule']} {bad[0]['key']}")
-    fs, p = _fs(spark, staging)
-    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(path)):
-        raise OSError(f"cannot publish {path}")
+    publish_folder(spark, staging, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staging_name(path: str) -> str:
+    """A new hidden sibling of a target."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/.{name}-{uuid.uuid4().hex}"
+
+
+def publish_folder(spark: SparkSession, staging: str, path: str) -> None:
+    """Rename a staged folder to its target; a target that appeared meanwhile stays."""
+    fs, p = _fs(spark, staging)
+    if exists(spark, path) or not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        raise FileExistsError(f"cannot publish {path}")
+
+
 def export_counts(rows: DataFrame, *, samples: str, rate_hz: float, mounts: int) -> DataFrame:
     """Counts, seconds and label states of an export, one row."""
     weak = F.count_if(F.col("state") == "weak")
@@ -69,11 +85,14 @@ def export_mounts(signals: DataFrame, *, clip: str, mount: str, order: list[str]
 
 
 def write_delivery(tables: dict[str, DataFrame], path: str, *, dataset_id: str, sequences: DataFrame, samples: DataFrame,
-                   payload: Column) -> DataFrame:
-    """One folder per table, and the manifest (counts and logical hash) last."""
+                   payload: Column, annotations: DataFrame | None = None) -> DataFrame:
+    """One folder per table and the manifest (counts and logical hash), staged together and published at once."""
     spark = sequences.sparkSession
-    stored = {name: create_only_write(df, f"{path}/{name}") for name, df in tables.items()}
-    digest = dataset_digest(logical_content(samples, sequences, sequence="sequence_index", pos="sample", payload=payload),
+    if exists(spark, path):
+        raise FileExistsError(path)
+    staging = staging_name(path)
+    stored = {name: create_only_write(df, f"{staging}/{name}") for name, df in tables.items()}
+    digest = dataset_digest(logical_content(samples, sequences, sequence="sequence_index", pos="sample", payload=payload, annotations=annotations),
                             sequence="sequence_index")
     counts = None
     for name, df in stored.items():
@@ -81,7 +100,9 @@ def write_delivery(tables: dict[str, DataFrame], path: str, *, dataset_id: str,
         counts = row if counts is None else counts.unionByName(row)
     manifest = counts.withColumn("_one", F.lit(1)).join(digest.withColumn("_one", F.lit(1)), "_one").select(
         F.lit(dataset_id).alias("dataset_id"), "table", "rows", "dataset_sha256")
-    return create_only_write(manifest, f"{path}/manifest")
+    create_only_write(manifest, f"{staging}/manifest")
+    publish_folder(spark, staging, path)
+    return spark.read.schema(manifest.schema).parquet(f"{path}/manifest")
 
 
 def weak_core(labelled: DataFrame, qa: DataFrame, *, key: str, samples: str, mounts: list[str]) -> DataFrame:
@@ -110,6 +131,18 @@ def migrate(sequences: DataFrame, renames: dict[str, str], added: dict[str, Colu
     return sequences.withColumnsRenamed(renames).withColumns(added)
 
 
+def migrated(old: DataFrame, new: DataFrame, *, key: str, digest: str = "digest", required: list[str] = ()) -> DataFrame:
+    """Violations of a migration: rows that came, went or changed their content hash, and required columns left null."""
+    both = old.select(key, F.col(digest).alias("_a"), F.lit(True).alias("_o")).join(
+        new.select(key, F.col(digest).alias("_b"), F.lit(True).alias("_n")), key, "full_outer")
+    rule = (F.when(F.col("_n").isNull(), "row-lost").when(F.col("_o").isNull(), "row-added").when(~F.col("_a").eqNullSafe(F.col("_b")), "hash-changed"))
+    rows = both.withColumn("_rule", rule).where("_rule is not null").select(*violation(F.col("_rule"), F.col(key), F.coalesce("_b", "_a")))
+    for name in required:
+        missing = new if name in new.columns else new.withColumn(name, F.lit(None).cast("string"))
+        rows = rows.unionByName(missing.where(F.col(name).isNull()).select(*violation(f"missing-{name}", F.col(key), F.lit(name))))
+    return rows
+
+
 def write_shards(packed: DataFrame, path: str, *, shard: list[str], order: list[str]) -> DataFrame:
     """One folder per shard; rows of a shard meet in one task, its size bound limits the task."""
     out = packed.repartition(*shard).sortWithinPartitions(*shard, *order)
@@ -117,9 +150,16 @@ def write_shards(packed: DataFrame, path: str, *, shard: list[str], order: list[
 
 
 def publish(rows: DataFrame, path: str, *, key: str) -> DataFrame:
-    """Append new objects, refuse changed ones, append the commit rows last."""
+    """Append new objects, refuse changed ones, append the commit rows last.
+
+    A key that a batch repeats is stored once; two digests of a key, in the batch or against the store, are refused.
+    """
     from strideframe.operators.corpus import publication_plan
     spark = rows.sparkSession
+    rows = rows.groupBy(key).agg(F.min("sha256").alias("sha256"), (F.count_if(F.col("sha256").isNull()) + F.count_distinct("sha256")).alias("_digests"))
+    twice = rows.where("_digests <> 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"two contents of one object: {twice[0][key]}")
     objects, commits = f"{path}/objects", f"{path}/commits"
     schema = rows.select(key, "sha256").schema
     old = spark.read.schema(schema).parquet(objects) if exists(spark, objects) else spark.createDataFrame([], schema)
@@ -137,10 +177,17 @@ def publish(rows: DataFrame, path: str, *, key: str) -> DataFrame:
 
 
 def write_catalog(plans: DataFrame, path: str, *, source: str) -> DataFrame:
-    """One folder per source; sources already present are left alone."""
+    """One folder per source; sources already present are left alone if their plans are the same, else refused."""
     spark = plans.sparkSession
     if exists(spark, path):
-        done = spark.read.schema(plans.schema).parquet(path).select(source).distinct()
+        stored = spark.read.schema(plans.schema).parquet(path)
+        done = stored.select(source).distinct()
+        rest = [c for c in plans.columns if c != source]
+        mark = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*rest).cast("decimal(38,0)")).alias("h1"), F.sum(F.hash(*rest).cast("decimal(38,0)")).alias("h2")]
+        old, new = stored.groupBy(source).agg(*mark), plans.join(done, source, "left_semi").groupBy(source).agg(*mark)
+        changed = new.exceptAll(old).limit(1).collect()
+        if changed:
+            raise ValueError(f"plans of {changed[0][source]} changed")
         plans = plans.join(done, source, "left_anti")
     plans.write.mode("append").partitionBy(source).parquet(path)
     return spark.read.schema(plans.schema).parquet(path)

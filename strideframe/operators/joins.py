@@ -28,7 +28,7 @@ def plan_with_report(plan: DataFrame, reports: DataFrame, *, key: str) -> DataFr
 def path_aliases(member: Column, dataset: Column) -> Column:
     """Bounded spellings of a member path, in order of preference."""
     parts = F.split(member, "/")
-    first, rest = F.get(parts, F.lit(0)), F.array_join(F.slice(parts, 2, 1000), "/")
+    first, rest = F.get(parts, F.lit(0)), F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), "/")
     many = F.size(parts) > 1
     return F.array_distinct(F.array_compact(F.array(
         member,

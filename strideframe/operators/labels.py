@@ -273,11 +273,11 @@ def upgrade_record(record: Column, required: list[str], flag: str) -> Column:
 
 
 def merge_annotation_sets(primary: DataFrame, extra: DataFrame, *, keys: list[str], split: str,
-                          duration: str, tolerance: float = 1e-6) -> DataFrame:
-    """One record per key; labels stay rows, splits become a sorted distinct list."""
+                          duration: str, label: list[str], tolerance: float = 1e-6) -> DataFrame:
+    """One record per key with the label rows of both sets, sorted, and the sorted distinct splits."""
     both = primary.unionByName(extra)
     return both.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("labels"),
+        F.sort_array(F.collect_list(F.struct(*label))).alias("label_rows"), F.count(F.lit(1)).alias("labels"),
         F.array_join(F.sort_array(F.collect_set(split)), ",").alias("splits"),
         F.min(duration).alias("duration_s"),
         ((F.max(duration) - F.min(duration)) <= tolerance).alias("duration_agrees"))

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from strideframe.plans.ordered import exact_percentiles
 
 
-def label_audit(commits: DataFrame, *, split: str, key: str, category: str) -> DataFrame:
-    """Per split, label rows with a category and distinct sequences that have one."""
+def label_audit(commits: DataFrame, *, split: str, key: str, category: str, durations: tuple[str, str] | None = None) -> DataFrame:
+    """Per split, label rows with a category, sequences that have one and the largest difference of two durations."""
     has = lambda x: F.exists(F.coalesce(x["categories"], F.array().cast("array<string>")), lambda c: F.lower(c) == category)
     coded = F.filter("label_candidates", lambda x: (F.coalesce(F.length(x["code"]), F.lit(0)) > 0) & has(x))
-    rows = commits.select(F.col(split).alias("split"), F.col(key), F.size(coded).cast("bigint").alias("_n"))
+    apart = F.abs(F.col(durations[0]) - F.col(durations[1])) if durations else F.lit(None).cast("double")
+    rows = commits.select(F.col(split).alias("split"), F.col(key), F.size(coded).cast("bigint").alias("_n"), apart.alias("_apart"))
     return rows.groupBy("split").agg(
         F.count(F.lit(1)).alias("sequences"), F.sum("_n").alias("category_rows"),
-        F.count_if(F.col("_n") > 0).alias("category_sequences"))
+        F.count_if(F.col("_n") > 0).alias("category_sequences"), F.max("_apart").alias("max_duration_difference_s"))
 
 
 def vector_metrics(df: DataFrame, *, keys: list[str], reference: list[str], estimate: list[str]) -> DataFrame:

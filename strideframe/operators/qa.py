@@ -103,13 +103,19 @@ def corpus_statistics(clips: DataFrame, *, policy: dict = POLICY) -> DataFrame:
         F.lit(policy["minimum_corpus_pass_rate"]).alias("minimum_corpus_pass_rate"))
 
 
-def rate_alerts(clips: DataFrame, *, source: str, policy: dict = POLICY) -> DataFrame:
-    """Sources below the minimum rate, and the corpus when it is below."""
-    per = clips.groupBy(source).agg(F.count(F.lit(1)).alias("clips"), F.count_if("passed").alias("passed"))
+def rate_alerts(planned: DataFrame, clips: DataFrame, *, source: str, status: str = "status", policy: dict = POLICY) -> DataFrame:
+    """Complete sources whose passed part of the plan is below the minimum, and the corpus once every source is complete.
+
+    `planned` has a row per planned clip. A source is complete when each of them is settled in `clips` (published, ready-local or excluded);
+    published and ready-local ones have passed.
+    """
+    done = clips.groupBy(source).agg(F.count_if(F.col(status).isin("published", "ready-local", "excluded")).alias("settled"),
+                                     F.count_if(F.col(status).isin("published", "ready-local")).alias("passed"))
+    per = planned.groupBy(source).agg(F.count(F.lit(1)).alias("clips")).join(done, source, "left").na.fill(0, ["settled", "passed"])
     rate = F.col("passed") / F.col("clips")
-    rows = per.select(F.col(source).alias("scope"), "clips", "passed", rate.alias("pass_rate")).where(
+    rows = per.where("settled >= clips").select(F.col(source).alias("scope"), "clips", "passed", rate.alias("pass_rate")).where(
         F.col("pass_rate") < policy["minimum_source_pass_rate"])
-    corpus = per.agg(F.sum("clips").alias("clips"), F.sum("passed").alias("passed")).select(
+    corpus = per.agg(F.sum("clips").alias("clips"), F.sum("passed").alias("passed"), F.bool_and(F.col("settled") >= F.col("clips")).alias("_all")).where("_all").select(
         F.lit("*corpus*").alias("scope"), "clips", "passed", rate.alias("pass_rate")).where(
         F.col("pass_rate") < policy["minimum_corpus_pass_rate"])
     return rows.unionByName(corpus)
@@ -117,10 +123,10 @@ def rate_alerts(clips: DataFrame, *, source: str, policy: dict = POLICY) -> Data
 
 def study_report(rows: DataFrame) -> DataFrame:
     """Completeness, pass and review state of a study, one row."""
-    reviewed = F.count_if(F.col("decision").isNotNull())
+    reviewed = F.count_if(F.col("decision").isin("accepted", "rejected"))
     accepted = F.count_if(F.col("decision") == "accepted")
     total = F.count(F.lit(1))
     return rows.agg(
-        F.bool_and("complete").alias("all_complete"), F.bool_and("passed").alias("all_passed"),
+        F.bool_and(F.coalesce("complete", F.lit(False))).alias("all_complete"), F.bool_and(F.coalesce("passed", F.lit(False))).alias("all_passed"),
         total.alias("clips"), reviewed.alias("reviewed"), accepted.alias("accepted"),
-        F.when(reviewed == 0, "pending").when(accepted == total, "accepted").otherwise("partial").alias("review_status"))
+        F.when(reviewed == 0, "unreviewed").when(accepted == total, "accepted").otherwise("partial").alias("review_status"))

@@ -131,6 +131,17 @@ def choose_pilot(index: DataFrame, *, key: str, category: str, source: str, per_
     return out.orderBy(category, key)
 
 
+def pilot_violations(chosen: DataFrame, *, category: str, source: str, per_category: int, required: list[str]) -> DataFrame:
+    """Categories with too few chosen rows, and a choice without the required source group."""
+    wanted = chosen.sparkSession.createDataFrame([(c,) for c in CATEGORIES], f"{category} string")
+    n = chosen.groupBy(category).agg(F.count(F.lit(1)).alias("_n"))
+    few = wanted.join(n, category, "left").withColumn("_n", F.coalesce("_n", F.lit(0))).where(F.col("_n") < per_category).select(
+        *violation("too-few-rows", F.col(category), F.col("_n")))
+    none = chosen.agg(F.count_if(F.col(source).isin(required)).alias("_n")).where("_n = 0").select(
+        *violation("required-source-missing", F.lit(",".join(required)), F.col("_n")))
+    return few.unionByName(none)
+
+
 def category_order(df: DataFrame, *, category: str, key: str) -> DataFrame:
     """Rows in stratum rank order."""
     rank = F.array_position(F.array(*map(F.lit, CATEGORIES)), F.col(category))

@@ -351,27 +351,37 @@ def calibration_direction(df: DataFrame, *, keys: list[str], order: list[str], x
 
 
 def trace_comparison(df: DataFrame, *, keys: list[str], order: list[str], frame: str,
-                     source: list[str], canonical: list[str]) -> DataFrame:
-    """Largest disagreement of the step angles of two series, and the ends of the source."""
-    s = step_angle(df, keys=keys, order=order, q=source, out="_s")
-    both = step_angle(s, keys=keys, order=order, q=canonical, out="_c").where(F.col("_s").isNotNull())
+                     source: list[str], canonical: list[str], roots: tuple[list[str], list[str]]) -> DataFrame:
+    """Largest disagreement of the step angles and root steps of two series, the root's way, and the ends of the source."""
+    cols = [*roots[0], *roots[1]]
+    rows = _ordered(df, keys, order).neighbours(prev={f"_r{i}": c for i, c in enumerate(cols)}).done()
+    rows = step_angle(rows, keys=keys, order=order, q=source, out="_s")
+    rows = step_angle(rows, keys=keys, order=order, q=canonical, out="_c")
     rank = F.struct(*order)
-    best = F.max(F.struct(F.col("_s").alias("v"), (-F.col(frame)).alias("f")))
-    return both.groupBy(*keys).agg(
+    stepped = F.when(F.col("_s").isNotNull(), rank)
+    best = F.max(F.when(F.col("_s").isNotNull(), F.struct(F.col("_s").alias("v"), (-F.col(frame)).alias("f"))))
+    far = lambda part, at: F.sqrt(sum(((F.col(c) - F.col(f"_r{at + i}")) ** 2 for i, c in enumerate(part)), F.lit(0.0)))
+    apart = F.abs(far(roots[0], 0) - far(roots[1], len(roots[0])))
+    way = F.sqrt(sum(((F.max_by(c, rank) - F.min_by(c, rank)) ** 2 for c in roots[0]), F.lit(0.0)))
+    return rows.groupBy(*keys).agg(
         F.degrees(F.max(F.abs(F.col("_s") - F.col("_c")))).alias("max_step_difference_deg"),
-        F.degrees(F.min_by("_s", rank)).alias("first_step_deg"),
-        F.degrees(F.max_by("_s", rank)).alias("last_step_deg"),
-        F.degrees(best["v"]).alias("largest_step_deg"), (-best["f"]).alias("largest_step_frame"))
+        F.degrees(F.min_by("_s", stepped)).alias("first_step_deg"),
+        F.degrees(F.max_by("_s", stepped)).alias("last_step_deg"),
+        F.degrees(best["v"]).alias("largest_step_deg"), (-best["f"]).alias("largest_step_frame"),
+        F.max(apart).alias("max_root_step_difference"), way.alias("root_displacement")).where("largest_step_deg is not null")
 
 
 # --- F20 ------------------------------------------------------------------------------------------
 
 def hash_normal(seed: int, *keys: Column) -> Column:
-    """Standard normal from a row identity, so that it does not depend on partitioning."""
-    scale = F.lit(float(2 ** 53))
-    bits = [F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(i), *keys), 11).cast("double") for i in (1, 2)]
-    u1 = (bits[0] + 1.0) / scale
-    return F.sqrt(-2 * F.log(u1)) * F.cos(2 * F.pi() * bits[1] / scale)
+    """Standard normal from a row identity, so that it does not depend on partitioning.
+
+    Two uniform numbers come from the first and the next 12 hex digits of an MD5 digest of seed and identity.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys]))
+    scale = F.lit(float(1 << 48))
+    bits = [F.conv(F.substring(digest, i, 12), 16, 10).cast("double") for i in (1, 13)]
+    return F.sqrt(-2 * F.log((bits[0] + 1.0) / scale)) * F.cos(2 * F.pi() * bits[1] / scale)
 
 
 def apply_calibration(signals: DataFrame, calibration: DataFrame, *, identity: list[str],
@@ -379,7 +389,7 @@ def apply_calibration(signals: DataFrame, calibration: DataFrame, *, identity: l
     """x * scale + bias + N(0, noise_std) per axis; `calibration` has one row per axis."""
     wide = signals
     for axis in axes:
-        row = F.broadcast(calibration.where(F.col("axis") == axis).select(
+        row = (calibration.where(F.col("axis") == axis).select(
             F.col("bias").alias(f"_b_{axis}"), F.col("scale").alias(f"_s_{axis}"),
             F.col("noise_std").alias(f"_n_{axis}"), F.lit(1).alias("_one")))
         wide = wide.withColumn("_one", F.lit(1)).join(row, "_one", "left").drop("_one")

@@ -17,14 +17,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from strideframe.functions.ids import media_type
 from strideframe.operators.checks import duplicates, violation
 
 MEMBER = "archive string, member string, size bigint, sha256 string, problem string"
 PROFILE = (MEMBER + ", frames bigint, columns int, rate_hz double, gender string, fields array<string>, "
-           "surface string, components int")
+           "surface string, components int, shapes map<string,array<bigint>>")
 BLOCK = 1 << 20
+BYTES_PER_TASK = 256 << 20
+SHAPED = ["poses", "trans", "betas", "dmpls", "root_orient", "pose_body", "pose_hand"]
 
 # Fixed adapters: required fields and the rate field of each source layout.
 ADAPTERS = {
@@ -40,6 +43,21 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bo
             .option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "length", "modificationTime"))
 
 
+def balanced_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Paths dealt to tasks by length: about BYTES_PER_TASK each, a task at least for each free core.
+
+    Files are laid end to end in order of their paths' hash and cut into equal pieces, by sums over 4,096 hash ranges.
+    """
+    files = list_files(spark, path, pattern).select("path", "length").withColumn("h", F.xxhash64("path")).withColumn("r", F.pmod("h", F.lit(4096)))
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    tasks = max(1, min(total["n"], max(spark.sparkContext.defaultParallelism, -(-total["b"] // BYTES_PER_TASK))))
+    before = files.groupBy("r").agg(F.sum("length").alias("s")).select("r", (F.sum("s").over(W.partitionBy(F.lit(0)).orderBy("r")) - F.col("s")).alias("base"))
+    inner = F.sum("length").over(W.partitionBy("r").orderBy("h", "path")) - F.col("length")
+    placed = files.withColumn("inner", inner).join(before, "r")
+    piece = F.least(F.lit(tasks - 1), F.floor((F.col("base") + F.col("inner")) * tasks / F.lit(max(total["b"], 1)))).cast("int")
+    return placed.select("path", piece.alias("piece")).repartitionByRange(tasks, "piece").select("path")
+
+
 def _open(path: str):
     from pyarrow import fs
     system, inner = fs.FileSystem.from_uri(path)
@@ -100,9 +118,9 @@ def _plain(path, name, stream, problem):
     return {"archive": path.rsplit("/", 1)[-1], "member": name, "size": size, "sha256": sha, "problem": problem}
 
 
-def inventory(spark: SparkSession, path: str, *, pattern: str, suffixes: list[str], tasks: int = 64) -> DataFrame:
+def inventory(spark: SparkSession, path: str, *, pattern: str, suffixes: list[str]) -> DataFrame:
     """One row per wanted member with size and digest; links and damage are reported."""
-    files = list_files(spark, path, pattern).select("path").repartition(tasks, "path")
+    files = balanced_files(spark, path, pattern)
     return files.mapInPandas(_scan(tuple(suffixes), _plain), MEMBER)
 
 
@@ -119,49 +137,63 @@ def inventory_violations(members: DataFrame) -> DataFrame:
     return bad.unionByName(duplicates(members.where("problem = ''"), ["archive", "member"], "duplicate-member"))
 
 
-def _header(archive: zipfile.ZipFile, name: str):
-    with archive.open(name + ".npy") as f:
-        version = np.lib.format.read_magic(f)
-        read = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
-        return read(f)[0]
+class _Arrays:
+    """Named arrays of a member: geometry from the first bytes, values only when they are asked for."""
+
+    HEAD = 1 << 12
 
+    def __init__(self, member: zipfile.ZipFile):
+        self.member = member
+        self.entry = {n.rsplit("/", 1)[-1].removesuffix(".npy"): n for n in member.namelist()}
 
-def _small(archive: zipfile.ZipFile, name: str):
-    return np.lib.format.read_array(io.BytesIO(archive.read(name + ".npy")), allow_pickle=False)
+    def shape(self, name: str) -> list[int] | None:
+        """Lengths of an array's axes; null if there is no such array."""
+        if name not in self.entry:
+            return None
+        with self.member.open(self.entry[name]) as f:
+            text = f.read(self.HEAD).decode("latin-1")
+        found = re.search(r"'shape':\s*\(([\d,\s]*)\)", text)
+        if not text.startswith("\x93NUMPY") or found is None:
+            raise ValueError(f"no array header in {name}")
+        return [int(x) for x in found[1].split(",") if x.strip()]
+
+    def scalar(self, name: str):
+        """The only value of an array; null if there is no such array."""
+        if name not in self.entry:
+            return None
+        value = np.load(io.BytesIO(self.member.read(self.entry[name])), allow_pickle=False)
+        return value.reshape(-1)[0].item() if value.size == 1 else None
 
 
 def _profile(path, name, stream, problem):
     row = {**_plain(path, name, None, problem), "frames": None, "columns": None, "rate_hz": None, "gender": None,
-           "fields": [], "surface": None, "components": None}
+           "fields": [], "surface": None, "components": None, "shapes": {}}
     if stream is None:
         return row
     data = stream.read()
     row.update(size=len(data), sha256=hashlib.sha256(data).hexdigest())
     try:
         with zipfile.ZipFile(io.BytesIO(data)) as z:
-            names = sorted(n.rsplit("/", 1)[-1].removesuffix(".npy") for n in z.namelist())
-            row["fields"] = names
-            if "poses" in names:
-                shape = _header(z, "poses")
-                row["frames"], row["columns"] = (shape[0], shape[1]) if len(shape) == 2 else (0, 0)
-            for rate in ("mocap_framerate", "mocap_frame_rate"):
-                if rate in names:
-                    row["rate_hz"] = float(_small(z, rate))
-            if "gender" in names:
-                value = _small(z, "gender").item()
-                row["gender"] = value.decode("ascii") if isinstance(value, bytes) else str(value)
-            if "surface_model_type" in names:
-                row["surface"] = str(_small(z, "surface_model_type").item())
-            if "num_betas" in names:
-                row["components"] = int(_small(z, "num_betas"))
+            arrays = _Arrays(z)
+            row["fields"] = sorted(arrays.entry)
+            row["shapes"] = {n: arrays.shape(n) for n in SHAPED if n in arrays.entry}
+            poses = row["shapes"].get("poses")
+            if poses is not None:
+                row["frames"], row["columns"] = poses if len(poses) == 2 else (0, 0)
+            rates = [x for x in map(arrays.scalar, ("mocap_framerate", "mocap_frame_rate")) if x is not None]
+            row["rate_hz"] = float(rates[-1]) if rates else None
+            gender, surface, parts = map(arrays.scalar, ("gender", "surface_model_type", "num_betas"))
+            row["gender"] = gender.decode("ascii") if isinstance(gender, bytes) else gender if gender is None else str(gender)
+            row["surface"] = None if surface is None else str(surface)
+            row["components"] = None if parts is None else int(parts)
     except (zipfile.BadZipFile, ValueError, KeyError) as error:
         row["problem"] = f"unreadable:{type(error).__name__}"
     return row
 
 
-def member_profiles(spark: SparkSession, path: str, *, pattern: str, suffixes: list[str], tasks: int = 64) -> DataFrame:
+def member_profiles(spark: SparkSession, path: str, *, pattern: str, suffixes: list[str]) -> DataFrame:
     """Header facts of motion members; array payloads are not decoded."""
-    files = list_files(spark, path, pattern).select("path").repartition(tasks, "path")
+    files = balanced_files(spark, path, pattern)
     return files.mapInPandas(_scan(tuple(suffixes), _profile), PROFILE)
 
 
@@ -174,7 +206,13 @@ def classify_members(profiles: DataFrame, *, adapter: Column) -> DataFrame:
         known = known | this
         complete = complete | (this & (F.size(F.array_except(F.array(*map(F.lit, required)), "fields")) == 0))
     stage = adapter != "stageii-smplh-v1"
-    sound = (complete & (F.col("columns") == 156) & normalise_gender(F.col("gender")).isNotNull()
+    rows = F.col("frames")
+    is_shape = lambda name, *want: F.col("shapes")[name] == F.array(*[w if isinstance(w, Column) else F.lit(w).cast("bigint") for w in want])
+    # Fixed widths of the arrays of a member.
+    shaped = (is_shape("trans", rows, 3) & is_shape("betas", 16) & (~stage | is_shape("dmpls", rows, 8))
+              & (stage | (F.coalesce(is_shape("root_orient", rows, 3), F.lit(True)) & F.coalesce(is_shape("pose_body", rows, 63), F.lit(True))
+                          & F.coalesce(is_shape("pose_hand", rows, 90), F.lit(True)))))
+    sound = (complete & shaped & (F.col("columns") == 156) & normalise_gender(F.col("gender")).isNotNull()
              & (F.col("rate_hz") > 0) & ~F.isnan("rate_hz") & (F.col("rate_hz") < float("inf"))
              & (stage | ((F.col("surface") == "smplh") & (F.col("components") == 16))))
     state = (F.when(~F.coalesce(known & sound, F.lit(False)) | (F.col("problem") != ""), "adapter-required")
@@ -182,7 +220,7 @@ def classify_members(profiles: DataFrame, *, adapter: Column) -> DataFrame:
     return profiles.withColumns({"state": state, "gender": normalise_gender(F.col("gender"))})
 
 
-def file_digests(spark: SparkSession, path: str, *, pattern: str = "*", tasks: int = 64) -> DataFrame:
+def file_digests(spark: SparkSession, path: str, *, pattern: str = "*") -> DataFrame:
     """Path, length and SHA-256 of files, read in blocks so that a file may have any size."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -192,21 +230,26 @@ def file_digests(spark: SparkSession, path: str, *, pattern: str = "*", tasks: i
                     size, sha = _digest(stream)
                 rows.append({"path": p, "byte_length": size, "sha256": sha})
             yield pd.DataFrame(rows, columns=["path", "byte_length", "sha256"])
-    files = list_files(spark, path, pattern).select("path").repartition(tasks, "path")
+    files = balanced_files(spark, path, pattern)
     return files.mapInPandas(run, "path string, byte_length bigint, sha256 string")
 
 
+def logical_path(root: str) -> Column:
+    """Path of a file below the root of its package."""
+    inner = re.escape(re.sub("^[a-z0-9]+:/*", "/", root).rstrip("/") + "/")
+    return F.element_at(F.split("path", inner, 2), -1)
+
+
 def verified_contents(spark: SparkSession, path: str, descriptors: DataFrame, *, pattern: str = "*") -> DataFrame:
-    """Descriptors (name, byte_length, sha256) against the bytes on storage."""
+    """Descriptors (logical_path, byte_length, sha256) against the bytes on storage."""
     files = file_digests(spark, path, pattern=pattern).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("byte_length").alias("_n"), F.col("sha256").alias("_h"))
-    rows = descriptors.join(files, "name", "left")
+        logical_path(path).alias("logical_path"), F.col("byte_length").alias("_n"), F.col("sha256").alias("_h"))
+    rows = descriptors.join(files, "logical_path", "left")
     return rows.withColumn("state", F.when(F.col("_n").isNull(), "missing").when(F.col("_n") != F.col("byte_length"), "size-mismatch")
                            .when(F.col("_h") != F.col("sha256"), "hash-mismatch").otherwise("verified")).drop("_n", "_h")
 
 
 def package_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Logical path, digest, length and media type of every file of a package."""
-    root = re.escape(re.sub("^[a-z0-9]+:/*", "/", path).rstrip("/") + "/")
-    logical = F.element_at(F.split("path", root, 2), -1)
+    logical = logical_path(path)
     return file_digests(spark, path).select(logical.alias("logical_path"), "sha256", "byte_length", media_type(logical).alias("media_type"))

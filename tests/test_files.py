@@ -135,6 +135,53 @@ def test_create_only_write(spark, tmp_path):
         K.create_only_write(df, path)
 
 
+def test_sinks_survive_what_a_crash_left(spark, tmp_path):
+    df = spark.range(5)
+    df.write.parquet(str(tmp_path / "t.partial"))
+    df.write.parquet(str(tmp_path / ".t-1"))
+    assert K.create_only_write(df, str(tmp_path / "t")).count() == 5
+    samples = spark.createDataFrame([(0, 0, "a"), (0, 1, "b"), (1, 2, "c")], "sequence_index int, sample long, v string")
+    seq = samples.select("sequence_index").distinct()
+    marks = spark.createDataFrame([(0, "activity", 0, 2, "walk"), (1, "onset", 0, 0, "")], "sequence_index int, kind string, start long, stop long, code string")
+    write = lambda name, s=samples, a=marks: K.write_delivery({"samples": s}, str(tmp_path / name), dataset_id="d", sequences=seq, samples=s, payload=F.col("v"), annotations=a)
+    bad = samples.withColumn("v", F.when(F.col("sample") < 2, F.col("v")).otherwise(F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        write("delivery", bad)
+    assert not (tmp_path / "delivery").exists()
+    first = write("delivery").first().dataset_sha256
+    with pytest.raises(FileExistsError):
+        write("delivery")
+    shifted = samples.withColumn("sample", F.col("sample") + 500_000)
+    assert write("moved", shifted, marks.orderBy(F.desc("sequence_index"))).first().dataset_sha256 == first
+    other = marks.withColumn("code", F.when(F.col("kind") == "activity", "run").otherwise(F.col("code")))
+    assert write("relabelled", samples, other).first().dataset_sha256 != first
+
+
+def test_migration_refuses_changes(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, digest string")
+    new = spark.createDataFrame([(1, "a", "t"), (2, "x", None), (4, "d", "t")], "k int, digest string, taxonomy_id string")
+    got = {(r.rule, r.key) for r in K.migrated(old, new, key="k", required=["taxonomy_id", "revision"]).collect()}
+    assert got == {("hash-changed", "2"), ("row-lost", "3"), ("row-added", "4"), ("missing-taxonomy_id", "2"), *(("missing-revision", k) for k in "124")}
+
+
+def test_catalog_refuses_changed_plans(spark, tmp_path):
+    path = str(tmp_path / "catalog")
+    plans = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "source string, n int")
+    K.write_catalog(plans.where("source = 'a'"), path, source="source")
+    assert K.write_catalog(plans, path, source="source").count() == 3
+    with pytest.raises(ValueError, match="changed"):
+        K.write_catalog(plans.where("n > 1"), path, source="source")
+
+
+def test_publish_refuses_two_contents_in_a_batch(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, sha256 string")
+    path = str(tmp_path / "store")
+    assert K.publish(rows(("a", "1"), ("a", "1")), path, key="k").count() == 1
+    with pytest.raises(ValueError, match="two contents"):
+        K.publish(rows(("b", "1"), ("b", "2")), path, key="k")
+    assert K.publish(rows(("b", "1")), path, key="k").count() == 2
+
+
 def test_publish_twice_is_a_no_op_and_a_change_is_refused(spark, tmp_path):
     rows = spark.createDataFrame([("a", "s1"), ("b", "s2")], "k string, sha256 string")
     path = str(tmp_path / "store")

@@ -131,7 +131,17 @@ def test_corpus_rate_never_blocks(spark, failing, rate):
     clips, policy = corpus(spark, failing)
     r = Q.corpus_statistics(clips).first()
     assert (r.candidate_rate, r.published_candidates, r.publishable) == (rate, 5 - failing, True)
-    assert Q.rate_alerts(clips, source="source").count() == (0 if rate == 0.8 else 2)
+    planned = clips.select("source")
+    settled = clips.select("source", F.when(F.size("reasons") == 0, "published").otherwise("excluded").alias("status"))
+    assert Q.rate_alerts(planned, settled, source="source").count() == (0 if rate == 0.8 else 2)
+    # Nothing is judged while a clip is pending or absent.
+    assert Q.rate_alerts(planned.unionByName(planned.limit(1)), settled, source="source").count() == 0
+
+
+def test_only_decisions_count_as_reviewed(spark):
+    rows = spark.createDataFrame([(True, None, "unreviewed"), (None, True, None)], "complete boolean, passed boolean, decision string")
+    r = Q.study_report(rows).first()
+    assert (r.all_complete, r.all_passed, r.reviewed, r.review_status) == (False, False, 0, "unreviewed")
 
 
 def test_paused_source_is_excluded_whole(spark):
