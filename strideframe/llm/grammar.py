@@ -19,6 +19,7 @@ shard of its own; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 
@@ -33,102 +34,150 @@ from strideframe.llm import blocks as B
 SHARD_TOKENS = 1 << 20
 LEAST_COUNT = 8             # a pair seen less often in a shard stays as it is
 CACHE_WORDS = 1_500_000     # words whose ids a task remembers; the memory is cleared beyond
-BUCKETS = 1 << 20
+BUCKETS = 1 << 20           # of the pair counts: a pair's bucket may be shared, so buckets are counted first, then their pairs
 SPACES = (9, 10, 13, 32)
+# 1 ASCII letters, 2 other printable ASCII but spaces and apostrophes, 0 the rest: words are cut where 1 meets 2.
+PIECE = np.zeros(256, np.uint8)
+PIECE[33:127] = 2
+PIECE[[*range(65, 91), *range(97, 123)]] = 1
+PIECE[39] = 0
 
 
 class WordCache:
-    """Ids of texts. Words between ASCII spaces are encoded by the tokenizer once; the rest is look-up.
+    """Ids of texts. Pieces of words are encoded by the tokenizer once and then looked up.
 
-    Valid for tokenizers whose pieces never span white space and that drop it, as the word tokenizer does.
+    Valid for tokenizers whose pieces never span white space and that drop it, as the word tokenizer does. Words are cut further
+    where an ASCII letter meets ASCII punctuation or a digit (not at apostrophes), and brought to lower case where the tokenizer
+    does so; blocks that may hold a special token's text are cut at spaces only. The memory belongs to the worker process and
+    serves its later tasks.
     """
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        kept = tokenizers.__dict__.setdefault("_word_memory", {})
+        self.tokenizer = kept.get(path, {}).get("tokenizer") or tokenizers.Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         # Words are encoded many at once, with a special token between them to tell them apart again.
         marks = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.mark, self.mark_text = marks[0] if marks else (None, None)
+        self.specials = [t.content[:2].encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.inside = np.ones(256, bool)
         self.inside[list(SPACES)] = False
-        self._clear()
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        self.lower = self._one_piece(letters) and self._ids(letters.upper()) == self._ids(letters)
+        # A word of a-z that is one piece is what the model itself takes.
+        self.direct = self._one_piece(letters) and [t.id for t in self.tokenizer.model.tokenize(letters)] == self._ids(letters)
+        self.memory = kept.setdefault(path, {"tokenizer": self.tokenizer})
+        if "keys" not in self.memory:
+            self._clear()
+
+    def _ids(self, text):
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _one_piece(self, text):
+        t = self.tokenizer
+        plain = t.normalizer.normalize_str(text) if t.normalizer else text
+        return plain == text and [p for p, _ in t.pre_tokenizer.pre_tokenize_str(plain)] == [text] if t.pre_tokenizer else False
 
     def _clear(self):
-        self.keys, self.slot = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.ids, self.at = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.memory.update(keys=np.empty(0, np.uint64), slot=np.empty(0, np.int64), ids=np.empty(0, np.uint32), at=np.zeros(1, np.int64))
 
     def _each(self, pieces):
         """Ids of every word."""
-        plain = [i for i, p in enumerate(pieces) if self.mark is not None and self.mark_text not in p]
         out = [None] * len(pieces)
+        if self.direct:
+            model = self.tokenizer.model.tokenize
+            for i, p in enumerate(pieces):
+                if p.isascii() and p.isalpha() and p.islower():
+                    out[i] = [t.id for t in model(p)]
+        plain = [i for i, p in enumerate(pieces) if out[i] is None and self.mark is not None and self.mark_text not in p]
         joined = [self.mark_text.join([pieces[i] for i in plain[k:k + 512]]) for k in range(0, len(plain), 512)]
         for k, e in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            group = np.split(ids, np.flatnonzero(ids == self.mark))
-            for i, x in zip(plain[k * 512:(k + 1) * 512], [group[0], *[g[1:] for g in group[1:]]], strict=True):
-                out[i] = x
+            ids = e.ids
+            cuts = [-1, *np.flatnonzero(np.array(ids) == self.mark).tolist(), len(ids)]
+            for i, a, b in zip(plain[k * 512:(k + 1) * 512], cuts[:-1], cuts[1:], strict=True):
+                out[i] = ids[a + 1:b]
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, self.tokenizer.encode_batch([pieces[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, np.uint32)
+            out[i] = e.ids
         return out
 
     def _learn(self, hashes, pieces):
-        found = self._each(pieces)
-        lengths = np.array([len(x) for x in found], np.int64)
-        slots = len(self.at) - 1 + np.arange(len(found))
-        self.ids = np.concatenate([self.ids, *found])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
-        keys, slot = np.concatenate([self.keys, hashes]), np.concatenate([self.slot, slots])
-        order = np.argsort(keys)
-        self.keys, self.slot = keys[order], slot[order]
+        found, m = self._each(pieces), self.memory
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        slots = len(m["at"]) - 1 + np.arange(len(found))
+        m["ids"] = np.concatenate([m["ids"], np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))])
+        m["at"] = np.concatenate([m["at"], m["at"][-1] + np.cumsum(lengths)])
+        keys, slot = np.concatenate([m["keys"], hashes]), np.concatenate([m["slot"], slots])
+        order = np.argsort(keys, kind="stable")
+        m["keys"], m["slot"] = keys[order], slot[order]
+
+    def _pieces(self, data, offsets):
+        """(bytes, first, stop, pieces per text)."""
+        raw = data.tobytes()
+        first, stop, per_text = B.words(data, offsets, self.inside)
+        if not self.direct or any(s in raw for s in self.specials):
+            return data, raw, first, stop, per_text
+        if self.lower:
+            data = B.lower_table()[data]
+            raw = data.tobytes()
+        kind = PIECE[data]
+        cut = np.flatnonzero((kind[1:] ^ kind[:-1]) == 3) + 1
+        cut = cut[np.searchsorted(first, cut, side="right") > np.searchsorted(stop, cut, side="right")]      # inside a word
+        edges = np.sort(np.concatenate([first, cut]))
+        ends = np.sort(np.concatenate([stop, cut]))
+        return data, raw, edges, ends, np.diff(np.searchsorted(edges, offsets))
 
     def encode(self, data, offsets):
         """(ids, ids per text) of a block of texts."""
-        first, stop, per_text = B.words(data, offsets, self.inside)
+        data, raw, first, stop, per_text = self._pieces(data, offsets)
         if not len(first):
             return np.empty(0, np.uint32), np.zeros(len(per_text), np.int64)
         known, index, inverse = np.unique(B.mix(B.Rolling(data).pieces(first, stop)), return_index=True, return_inverse=True)
-        if len(self.keys) + len(known) > CACHE_WORDS:
+        m = self.memory
+        if len(m["keys"]) + len(known) > CACHE_WORDS:
             self._clear()
-        place = np.searchsorted(self.keys, known)
+        place = np.searchsorted(m["keys"], known)
         new = np.ones(len(known), bool)
-        inner = place < len(self.keys)
-        new[inner] = self.keys[place[inner]] != known[inner]
+        inner = place < len(m["keys"])
+        new[inner] = m["keys"][place[inner]] != known[inner]
         if new.any():
-            raw = data.tobytes()
             at = index[new]
             self._learn(known[new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(first[at].tolist(), stop[at].tolist())])
-            place = np.searchsorted(self.keys, known)
-        slot = self.slot[place][inverse]
-        lengths = self.at[slot + 1] - self.at[slot]
-        return self.ids[B.ranges(self.at[slot], lengths)], np.diff(B.starts(lengths)[B.starts(per_text)])
+            place = np.searchsorted(m["keys"], known)
+        slot = m["slot"][place]
+        begin, lengths = m["at"][slot][inverse], (m["at"][slot + 1] - m["at"][slot])[inverse]
+        return m["ids"][B.ranges(begin, lengths)], np.diff(B.starts(lengths)[B.starts(per_text)])
 
 
 def _pair_hash(left, right):
-    return ((left * np.int64(0x9E3779B1) + right * np.int64(0x85EBCA77)) >> np.int64(7)) & np.int64(BUCKETS - 1)
+    h = left * np.uint32(0x9E3779B1)
+    h += right * np.uint32(0x85EBCA77)
+    h >>= np.uint32(12)
+    return h.astype(np.int64)
 
 
 def compress(ids, lengths, vocabulary: int) -> tuple[bytes, np.ndarray]:
     """Payload of a shard and the number of symbols of each document."""
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)                     # last symbol of its document: never the left of a pair
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     left_of, right_of, rounds, following, threshold = [], [], [], vocabulary, None
     while len(seq) > 1:
         free = ~last[:-1]
         bucket = _pair_hash(seq[:-1], seq[1:])
-        counts = np.bincount(bucket[free], minlength=BUCKETS)
+        counts = np.bincount(bucket, minlength=BUCKETS)
+        counts -= np.bincount(bucket[~free], minlength=BUCKETS)
         top = int(counts.max(initial=0))
         threshold = max(LEAST_COUNT, (top + 1) // 2 if threshold is None else min(threshold, top + 1) // 2)
         if top < LEAST_COUNT:
             break
-        at = np.flatnonzero(free & (counts[bucket] >= threshold))
-        pair = seq[at] << 32 | seq[at + 1]
+        at = np.flatnonzero(free & (counts >= threshold)[bucket])
+        pair = seq[at].astype(np.int64) << 32 | seq[at + 1]
         kinds, inverse, often = np.unique(pair, return_inverse=True, return_counts=True)
         chosen = often >= threshold
         at, kind = at[chosen[inverse]], inverse[chosen[inverse]]
