@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from strideframe.bindings.common import CLIP, E, ORDER, signal
 from strideframe.bindings.registry import query
 from strideframe.operators import checks as C
+from strideframe.operators import joins as J
 from strideframe.plans.ordered import Ordered
 from strideframe.plans.ranges import containing_counts, points_in_intervals
 from strideframe.session import literal_rows
@@ -286,13 +287,9 @@ SELECT sequence_index, kind, start_sample - zero AS start_sample, stop_sample -
  row_number() OVER (PARTITION BY sequence_index ORDER BY start_sample, rank, stop_sample, code) - 1 AS ordinal FROM x JOIN q USING (sequence_index)""")
 def j05(spark, d):
     """Annotations made local to their sequence, numbered in canonical order."""
-    ann = _annotations(spark, d).withColumn("rank", C.kind_rank(F.col("kind")))
     zero = signal(spark, d).groupBy(F.col("user_id").alias("sequence_index")).agg(
         F.floor(F.min("us") / 1_000_000).alias("zero"))
-    o = Ordered(ann, ["sequence_index"], ["start_sample", "rank", "stop_sample", "code"]).position("ordinal").done()
-    return o.join(zero, "sequence_index").select(
-        "sequence_index", "kind", (F.col("start_sample") - F.col("zero")).alias("start_sample"),
-        (F.col("stop_sample") - F.col("zero")).alias("stop_sample"), "code", "ordinal")
+    return J.sequence_annotations(_annotations(spark, d), zero, sequence="sequence_index", zero="zero")
 
 
 @query("j06_impacts_in_activities", _PAIR + """
@@ -517,7 +514,7 @@ def c28(spark, d):
 
 @query("a24_state_histogram", _STATES + " SELECT state, count(*) AS files FROM s GROUP BY state")
 def a24(spark, d):
-    return _receipts(spark, d).groupBy("state").agg(F.count(F.lit(1)).alias("files"))
+    return C.state_histogram(_receipts(spark, d))
 
 
 @query("c29_quality_flags", E + """

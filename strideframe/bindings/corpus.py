@@ -292,7 +292,7 @@ def f22(spark, d):
 
 @query("f24_digests", "SELECT doc_id, sha256(text) AS sha256, md5(text) AS md5 FROM documents")
 def f24(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.md5("text").alias("md5"))
+    return read(spark, d, "documents").select("doc_id", *[c.alias(n) for c, n in zip(ids.content_digests(F.col("text")), ("sha256", "md5"))])
 
 
 @query("f25_participant_key", """

@@ -8,7 +8,8 @@ from strideframe.bindings.common import E, signal
 from strideframe.bindings.registry import query
 from strideframe.operators import joins as J
 from strideframe.plans.ordered import Ordered
-from strideframe.session import literal_rows
+from strideframe.session import literal_rows, work_dir
+from strideframe.sources import config
 from strideframe.sources.tables import read
 
 sha = lambda *cols: F.sha2(F.concat_ws("/", *[F.col(c).cast("string") if isinstance(c, str) else c for c in cols]), 256)
@@ -160,6 +161,18 @@ def j17(spark, d):
     return J.map_joints(read(spark, d, "part").select("p_partkey", "p_type"), m, joint="p_type")
 
 
+@query("x02_mapping_from_file", """
+WITH m(s, t) AS (VALUES ('ECONOMY', 'pelvis'), ('SMALL', 'left_hip'), ('MEDIUM', 'right_hip'), ('LARGE', 'neck'))
+SELECT p_partkey, p_type, t AS target_joint, t IS NOT NULL AS mapped FROM part LEFT JOIN m ON s = p_type""")
+def x02(spark, d):
+    """The same mapping, written to and loaded from a document."""
+    folder = work_dir(spark, "mapping")
+    row = {"schema": "mapping.v1", "adapter_id": "parts", "description": "", "position_scale_m": 0.01, "world_from_source_matrix": [[1.0]], "joint_map": dict(JOINT_MAP)}
+    spark.createDataFrame([row], config.MAPPING).coalesce(1).write.json(folder)
+    m = config.load_mapping(spark, folder).select("source_joint", "target_joint")
+    return J.map_joints(read(spark, d, "part").select("p_partkey", "p_type"), m, joint="p_type")
+
+
 _DEV = ", ".join(f"('{a}', {'NULL' if b is None else repr(b)}, '{c}', {j})" for a, b, c, j in J.DEVICE_JOINTS)
 
 

@@ -8,7 +8,8 @@ from strideframe.bindings.registry import query
 from strideframe.functions.arrays import present
 from strideframe.operators import labels as L
 from strideframe.plans.barrier import evaluate_once
-from strideframe.session import literal_rows, materialise
+from strideframe.session import literal_rows, materialise, work_dir
+from strideframe.sources.config import load_rules
 from strideframe.sources.tables import read
 
 # Fixed words of the stand-in text and the source category each one stands for.
@@ -127,6 +128,18 @@ def f12(spark, d):
     return labelled(spark, d).select("doc_id", "state", "code", "rule_id")
 
 
+@query("x04_rules_from_file", COMMITS + ", " + sql_rules(RULES) + ", " + decide(2) + " SELECT doc_id, state, code, rule_id FROM w")
+def x04(spark, d):
+    """The same labels under rules that were written to and loaded from a versioned document."""
+    names = ["rule_id", "origin", "source_value", "source_dataset", "target_code", "is_fall"]
+    folder = work_dir(spark, "rules")
+    table = rules(spark)
+    doc = table.agg(F.lit("weak-rules.v1").alias("schema"), F.lit(2).alias("revision"), F.collect_list(F.struct(*names)).alias("rules"))
+    doc.coalesce(1).write.json(folder)
+    loaded = load_rules(spark, folder).select(*table.columns)
+    return L.weak_labels(commits(spark, d), loaded, key="doc_id", revision=2).select("doc_id", "state", "code", "rule_id")
+
+
 @query("f12_weak_labels_revision_1", COMMITS + ", " + sql_rules(RULES) + ", " + decide(1) + " SELECT doc_id, state, code, rule_id FROM w")
 def f12_one(spark, d):
     return labelled(spark, d, revision=1).select("doc_id", "state", "code", "rule_id")
@@ -242,13 +255,7 @@ def c22(spark, d):
 @query("a27_recording_codes", COMMITS + """
 SELECT doc_id, coalesce(rcode, '') AS codes FROM f""")
 def a27(spark, d):
-    return commits(spark, d).select("doc_id", F.array_join(recording_codes(F.col("label_candidates")), ",").alias("codes"))
-
-
-def recording_codes(labels):
-    """Distinct sorted codes of the labels that are not temporal."""
-    kept = F.filter(labels, lambda x: (x["kind"] != "temporal-candidate") & (F.coalesce(F.length(x["code"]), F.lit(0)) > 0))
-    return F.sort_array(F.array_distinct(F.transform(kept, lambda x: x["code"])))
+    return commits(spark, d).select("doc_id", F.array_join(L.recording_codes(F.col("label_candidates")), ",").alias("codes"))
 
 
 @query("f04_source_names", """

@@ -9,6 +9,8 @@ from strideframe.bindings.registry import query
 from strideframe.bindings.signals import PEAKS_SQL
 from strideframe.operators import qa as Q
 from strideframe.operators import signals as S
+from strideframe.session import work_dir
+from strideframe.sources import config
 from strideframe.sources.tables import read
 
 GATE_LIMITS = {**Q.LIMITS, "root_speed": 0.05, "force": 200.0}
@@ -56,7 +58,7 @@ g AS (SELECT *, len(reasons) = 0 AS passed, list_sort(CASE WHEN src = 'N' THEN l
 LI_POLICY = {**Q.POLICY, "acceleration_rms_m_s2": 0.08, "angular_velocity_rms_rad_s": 0.06, "paused_sources": ["N"]}
 
 
-def line_clips(spark, d):
+def line_clips(spark, d, policy=None):
     yes = F.lit(True)
     checks = F.map_from_arrays(
         F.array_compact(F.array(F.lit("structure"), F.lit("trajectory"), F.when(F.col("l_linenumber") != 6, "sensor"), F.lit("work_grid_convergence"))),
@@ -65,7 +67,7 @@ def line_clips(spark, d):
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.col("l_returnflag").alias("src"),
         F.when(F.col("l_linenumber") != 7, checks).alias("checks"), (F.col("l_quantity") > 3).alias("guard_complete"),
         F.when(F.col("l_tax") != 0.08, F.col("l_discount")).alias("acceleration_rms_m_s2"), F.col("l_tax").alias("angular_velocity_rms_rad_s"))
-    return Q.gate(c, policy=LI_POLICY)
+    return Q.gate(c, policy=policy or LI_POLICY)
 
 
 @query("f15_gate", _LI + " SELECT l_orderkey, l_linenumber, l_partkey, passed, array_to_string(reasons, ',') AS reasons FROM g")
@@ -73,6 +75,19 @@ def f15(spark, d):
     return line_clips(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "passed", F.array_join("reasons", ",").alias("reasons"))
 
 
+@query("x05_policy_from_file", _LI + " SELECT l_orderkey, l_linenumber, l_partkey, passed, array_to_string(reasons, ',') AS reasons FROM g")
+def x05(spark, d):
+    """The same gate under a policy that was written to and loaded from a file."""
+    p, folder = LI_POLICY, work_dir(spark, "policy")
+    row = {"schema": "policy.v1", "policy_id": "lines", "minimum_corpus_pass_rate": p["minimum_corpus_pass_rate"], "minimum_source_pass_rate": p["minimum_source_pass_rate"],
+           "paused_sources": p["paused_sources"], "required_checks": p["required_checks"], "convergence": {
+               "require_boundary_guard_complete": p["require_boundary_guard_complete"], "acceleration_rms_max_m_s2": p["acceleration_rms_m_s2"],
+               "angular_velocity_rms_max_rad_s": p["angular_velocity_rms_rad_s"]}}
+    spark.createDataFrame([row], config.POLICY).coalesce(1).write.json(folder)
+    clips = line_clips(spark, d, config.load_policy(spark, folder))
+    return clips.select("l_orderkey", "l_linenumber", "l_partkey", "passed", F.array_join("reasons", ",").alias("reasons"))
+
+
 @query("a02_reason_histogram", _LI + " SELECT reason, count(*) AS rows FROM (SELECT unnest(why) AS reason FROM g) GROUP BY reason")
 def a02(spark, d):
     return Q.reason_histogram(Q.exclusion(line_clips(spark, d), source="src", policy=LI_POLICY))
@@ -81,7 +96,7 @@ def a02(spark, d):
 @query("k10_corpus_rows", _LI + """
 SELECT l_orderkey, l_linenumber, l_partkey, src, len(why) > 0 AS excluded, array_to_string(why, ',') AS reasons FROM g""")
 def k10(spark, d):
-    """Candidate and excluded rows of the corpus document (written by `write_corpus`)."""
+    """Candidate and excluded rows of the corpus document."""
     out = Q.exclusion(line_clips(spark, d), source="src", policy=LI_POLICY)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "src", "excluded", F.array_join("reasons", ",").alias("reasons"))
 

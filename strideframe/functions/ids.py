@@ -31,6 +31,11 @@ def content_id(length: int = 64, **fields: Column) -> Column:
     return F.left(F.sha2(canonical_json(**fields), 256), F.lit(length))
 
 
+def content_digests(text: Column) -> tuple[Column, Column]:
+    """(SHA-256, MD5) of a text's bytes."""
+    return F.sha2(text, 256), F.md5(text)
+
+
 def exact_double(x: Column) -> Column:
     """A finite double as `mantissa*2^exponent` in whole numbers, without loss."""
     power = (52 - F.floor(F.log2(F.abs(x)))).cast("int")

@@ -357,6 +357,11 @@ def receipt_states(manifest: DataFrame, listing: DataFrame, receipts: DataFrame,
     return rows.select(key, state.alias("state"))
 
 
+def state_histogram(receipts: DataFrame, *, state: str = "state") -> DataFrame:
+    """Files per receipt state."""
+    return receipts.groupBy(state).agg(F.count(F.lit(1)).alias("files"))
+
+
 def quality_flags(flags: DataFrame, *, key: str, joints: list[str]) -> DataFrame:
     """Advisory flags: fixed code, scope and disposition, range inside the reviewed range, known joints."""
     out = record_rules(flags, F.col(key), {

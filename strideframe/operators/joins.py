@@ -57,6 +57,20 @@ def prefix_join(records: DataFrame, motions: DataFrame, *, feature: str, prefix:
     return out.withColumns({"duration_difference_s": delta, "matched": F.col("frames").isNotNull()})
 
 
+def sequence_annotations(annotations: DataFrame, sequences: DataFrame, *, sequence: str, zero: str) -> DataFrame:
+    """Annotations made local to their sequence and numbered in canonical order.
+
+    `sequences` has one row a sequence with the sample that counts as zero.
+    """
+    from strideframe.operators.checks import kind_rank
+    from strideframe.plans.ordered import Ordered
+    ranked = annotations.withColumn("rank", kind_rank(F.col("kind")))
+    o = Ordered(ranked, [sequence], ["start_sample", "rank", "stop_sample", "code"]).position("ordinal").done()
+    return o.join(sequences.select(sequence, F.col(zero).alias("_zero")), sequence).select(
+        sequence, "kind", (F.col("start_sample") - F.col("_zero")).alias("start_sample"),
+        (F.col("stop_sample") - F.col("_zero")).alias("stop_sample"), "code", "ordinal")
+
+
 def envelope(rows: DataFrame, record_rows: DataFrame, *, record: str, time: str, zero: str,
              length: str, period: int) -> DataFrame:
     """Sample range [zero, zero + (length-1) * period] inside the record's time range."""

@@ -283,6 +283,12 @@ def merge_annotation_sets(primary: DataFrame, extra: DataFrame, *, keys: list[st
         ((F.max(duration) - F.min(duration)) <= tolerance).alias("duration_agrees"))
 
 
+def recording_codes(labels: Column) -> Column:
+    """Distinct sorted codes of the labels that are not temporal."""
+    kept = F.filter(labels, lambda x: (x["kind"] != "temporal-candidate") & text_present(x["code"]))
+    return F.sort_array(F.array_distinct(F.transform(kept, lambda x: x["code"])))
+
+
 def member_identities(merged: DataFrame, *, member: str, identity: str) -> DataFrame:
     """Members claimed by several identities."""
     n = merged.groupBy(member).agg(F.count_distinct(identity).alias("n")).where("n > 1")

@@ -68,8 +68,9 @@ def greedy_shards(df: DataFrame, *, keys: list[str], order: list[str], body: str
     narrow = materialise(placed.select(
         *keys, *order, "_pos", F.col(body).cast("bigint").alias("_body"), blob_col.alias("_blobs"),
         F.floor(before / target).alias("_bucket")), "packing")
-    size = narrow.agg(F.avg("_body").alias("mean")).first()["mean"] or 1.0
-    per_group = max(1, min(4096, int(rows_per_task * size / target)))
+    # The fullest bucket, not the mean record, bounds a group; a bucket holds no more records than a shard does.
+    fullest = narrow.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    per_group = max(1, rows_per_task // fullest)
     key_schema = ", ".join(f"`{k}` {narrow.schema[k].dataType.simpleString()}" for k in keys)
 
     group = F.floor(F.col("_bucket") / per_group)

@@ -147,3 +147,32 @@ def test_pressure_edges(spark, split_keys):
     df = spark.createDataFrame([(i, 1 if i < 30 else -1) for i in range(60)], "us bigint, d bigint")
     out = L.pressure_edges(df, time_us="us", order=["us"], delta="d", limit=20).orderBy("us").collect()
     assert [(r.us, r.edge) for r in out] == [(19, "upload-backpressure"), (40, "upload-capacity-restored")]
+
+
+def test_text_ids_are_order_keys_everywhere(spark, split_keys):
+    """Offsets, shards and exports in the order of text ids."""
+    from strideframe.operators import delivery as K
+
+    rnd = random.Random(6)
+    ids = [f"clip-{rnd.randrange(10 ** 9):09d}" for _ in range(60)]
+    rows = [(k, rnd.randint(1, 40)) for k in ids]
+    df = spark.createDataFrame(rows, "k string, n bigint")
+    at, want = 0, {}
+    for i, (k, n) in enumerate(sorted(rows)):
+        want[k] = (i, at, at + n)
+        at += n
+    assert {r.k: (r.ordinal, r.start, r.stop) for r in P.running_offsets(df, order=["k"], length="n").collect()} == want
+    packed = greedy_shards(df.withColumn("ds", F.lit("d")), keys=["ds"], order=["k"], body="n", max_bytes=100, fill=0.9)
+    assert {r.k: r.shard for r in packed.collect()} == fold([(k, n, {}) for k, n in sorted(rows)], 90)
+    signals = spark.createDataFrame([(k, m, t, float(t)) for k, n in rows for m in ("chest", "wrist") for t in range(n)], "k string, mount string, t bigint, v double")
+    seq, samples = K.export_mounts(signals, clip="k", mount="mount", order=["t"], values=["v"])
+    ranges = {(r.k, r.mount): (r.sequence_index, r.sample_start, r.sample_stop) for r in seq.collect()}
+    at = 0
+    for i, (k, m) in enumerate(sorted(ranges)):
+        n = dict(rows)[k]
+        assert ranges[k, m] == (i, at, at + n)
+        at += n
+    assert sorted(r["sample"] for r in samples.collect()) == list(range(at))
+    labelled = df.select("k", F.lit("weak").alias("state"), F.lit("walk").alias("code"), F.lit("r").alias("rule_id"), "n")
+    core = K.weak_core(labelled, df.select("k", F.lit(True).alias("passed")), key="k", samples="n", mounts=["a", "b"]).collect()
+    assert [r.k for r in sorted(core, key=lambda r: r.sequence_index)] == [k for k, _ in sorted(rows) for _ in range(2)]
