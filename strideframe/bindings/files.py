@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from strideframe.bindings import derived
 from strideframe.bindings.common import E, signal
 from strideframe.bindings.corpus import _PACK, _packing_rows
+from strideframe.bindings.corpus import packed as P_packed
 from strideframe.bindings.joins import _SAMPLES, samples
 from strideframe.bindings.labels import COMMITS, RULES, commits, decide, labelled, sql_rules
-from strideframe.bindings.qa import document_clips
+from strideframe.bindings.qa import _LI, LI_POLICY, document_clips, line_clips
 from strideframe.bindings.registry import query
 from strideframe.operators import checks as C
 from strideframe.operators import corpus as P
@@ -86,7 +87,8 @@ def s06(spark, d):
     docs = read(spark, d, "documents").select("doc_id", "source", F.when(F.col("doc_id") % 5 > 0, "commit.v1").otherwise("other").alias("schema"))
     docs.write.json(f"{folder}/commits")
     docs.write.json(f"{folder}/all.feed.json")
-    return D.document_directory(spark, folder, "doc_id bigint, source string, schema string", tag="schema", keep="commit.v1").select("doc_id", "source")
+    found = D.document_directory(spark, folder, "doc_id bigint, source string, schema string", tag="schema", keep="commit.v1")
+    return D.unique_documents(found, key="doc_id").select("doc_id", "source")
 
 
 @query("s07_participant_csv", """
@@ -262,6 +264,27 @@ def k07(spark, d):
     return stored.groupBy("dataset", "shard").agg(F.count(F.lit(1)).alias("records"), F.sum("body").alias("body"))
 
 
+@query("k07_rebased_records", _PACK + """
+SELECT ds AS dataset, CAST(shard AS BIGINT) AS shard, k AS o_orderkey, CAST(sum(body) OVER w - body AS BIGINT) AS start, CAST(sum(body) OVER w AS BIGINT) AS stop FROM f WINDOW w AS (PARTITION BY ds, shard ORDER BY k)""")
+def k07_records(spark, d):
+    """Offsets of the records inside their shards."""
+    rows = K.packed_records(P_packed(spark, d), shard=["dataset", "shard"], order=["o_orderkey"], body="body")
+    return rows.select("dataset", "shard", "o_orderkey", "start", "stop")
+
+
+@query("k07_shared_blobs", _PACK + """
+, b AS (SELECT ds, shard, sha, min(CASE WHEN k % 997 = 0 THEN bs + 1 ELSE bs END) AS lo, max(CASE WHEN k % 997 = 0 THEN bs + 1 ELSE bs END) AS hi FROM f GROUP BY ALL)
+SELECT 'blob' AS kind, ds || '/' || shard || '/' || sha AS key, CAST(lo AS VARCHAR) AS detail FROM b
+UNION ALL SELECT 'content-conflict', ds || '/' || shard || '/' || sha, '{"size":' || hi || '}' FROM b WHERE lo <> hi""")
+def k07_blobs(spark, d):
+    """Each blob of a shard once; a blob of two sizes is a conflict."""
+    rows = P_packed(spark, d).select("dataset", "shard", "o_orderkey", F.explode("blobs").alias("b"))
+    size = F.col("b.size") + F.when(F.col("o_orderkey") % 997 == 0, 1).otherwise(0)
+    once, clash = K.shared_rows(rows.select("dataset", "shard", F.col("b.sha256").alias("sha256"), size.alias("size")), shard=["dataset", "shard"], identity="sha256")
+    blob = once.select(F.lit("blob").alias("kind"), F.concat_ws("/", "dataset", F.col("shard").cast("string"), "sha256").alias("key"), F.col("size").cast("string").alias("detail"))
+    return blob.unionByName(clash.withColumnRenamed("rule", "kind"))
+
+
 @query("k08_publish", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
 def k08(spark, d):
     """Publish half, then all: the second run only adds what is new."""
@@ -271,6 +294,43 @@ def k08(spark, d):
     return K.publish(rows, path, key="doc_id")
 
 
+@query("k09_reposts", """
+WITH f AS (SELECT l_orderkey AS candidate_id, count(*) AS posts FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1)
+SELECT o_orderkey AS candidate_id, o_orderkey || '-' || (coalesce(posts, 0) + 1) AS feed_key FROM orders LEFT JOIN f ON candidate_id = o_orderkey
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')""")
+def k09_reposts(spark, d):
+    """Orders as commits; their returned lines as feed rows, of which some are not stored any more."""
+    from strideframe.streaming.feeds import reposts
+    lines = read(spark, d, "lineitem").where("l_returnflag <> 'N'")
+    key = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), "l_returnflag")
+    feed = lines.select(F.col("l_orderkey").alias("candidate_id"), key.alias("feed_key"))
+    stored = lines.where("l_returnflag = 'A'").select(key.alias("feed_key"))
+    commits = read(spark, d, "orders").select(F.col("o_orderkey").alias("candidate_id"))
+    return reposts(feed, commits, keys=["candidate_id"], feed_key="feed_key", stored=stored)
+
+
+@query("k10_write_corpus", _LI + """
+SELECT 'candidates' AS "table", count(*) FILTER (WHERE len(why) = 0) AS rows FROM g UNION ALL SELECT 'excluded', count(*) FILTER (WHERE len(why) > 0) FROM g
+UNION ALL SELECT 'sources', count(DISTINCT src) FROM g UNION ALL SELECT 'statistics', 1 FROM (SELECT 1)""")
+def k10_written(spark, d):
+    """The corpus and audit documents as stored."""
+    stored = K.write_corpus(line_clips(spark, d), work_dir(spark, "corpus"), source="src", key=["l_orderkey", "l_linenumber", "l_partkey"], policy=LI_POLICY)
+    rows = [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows") for n, t in stored.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
+@query("k04_export_identity", "SELECT true AS same_rows_same_id, true AS other_rules_other_id, true AS other_audit_other_id FROM (SELECT count(*) FROM documents)")
+def k04_identity(spark, d):
+    """The identity follows rows, rules and audit, not the layout of the rows."""
+    from strideframe.bindings.labels import rules
+    rows = materialise(core(spark, d), "core")
+    r, audit = rules(spark), read(spark, d, "labels").select("doc_id", "quality")
+    ids_ = [K.export_identity(a, b, c, order=["sequence_index"]).withColumnRenamed("export_id", f"i{k}").withColumn("_one", F.lit(1)) for k, (a, b, c) in enumerate([
+        (rows, r, audit), (rows.repartition(7), r, audit.repartition(3)), (rows, r.where("rule_id is not null").limit(3), audit), (rows, r, audit.where("doc_id % 9 > 0"))])]
+    one = ids_[0].join(ids_[1], "_one").join(ids_[2], "_one").join(ids_[3], "_one")
+    return one.select((F.col("i0") == F.col("i1")).alias("same_rows_same_id"), (F.col("i0") != F.col("i2")).alias("other_rules_other_id"), (F.col("i0") != F.col("i3")).alias("other_audit_other_id"))
+
+
 @query("k11_write_catalog", "SELECT l_returnflag AS source, count(*) AS clips, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS frames FROM lineitem GROUP BY 1")
 def k11(spark, d):
     plans = read(spark, d, "lineitem").select("l_orderkey", F.col("l_quantity").cast("bigint").alias("frames"), F.col("l_returnflag").alias("source"))

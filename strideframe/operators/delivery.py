@@ -149,6 +149,54 @@ def write_shards(packed: DataFrame, path: str, *, shard: list[str], order: list[
     return create_only_write(out, path, partition_by=shard)
 
 
+def packed_records(packed: DataFrame, *, shard: list[str], order: list[str], body: str) -> DataFrame:
+    """Every record with its `start` and `stop` inside its shard (offsets begin at 0 in each shard)."""
+    placed = Ordered(packed, shard, order).running({"stop": F.col(body)}).done()
+    return placed.withColumn("start", F.col("stop") - F.col(body))
+
+
+def shared_rows(rows: DataFrame, *, shard: list[str], identity: str) -> tuple[DataFrame, DataFrame]:
+    """Blobs or catalog rows of each shard once per identity, and the identities that come with two contents."""
+    rest = [c for c in rows.columns if c not in (*shard, identity)]
+    body = F.struct(*rest)
+    once = rows.groupBy(*shard, identity).agg(F.min(body).alias("_lo"), F.max(body).alias("_hi"))
+    clash = once.where(~F.col("_lo").eqNullSafe(F.col("_hi"))).select(
+        *violation("content-conflict", F.concat_ws("/", *[F.col(c).cast("string") for c in (*shard, identity)]), F.to_json("_hi")))
+    return once.select(*shard, identity, "_lo.*"), clash
+
+
+def write_corpus(clips: DataFrame, path: str, *, source: str, key: list[str], policy: dict) -> dict[str, DataFrame]:
+    """The corpus and its audit as four tables, staged together and published at once.
+
+    `candidates` and `excluded` (with reasons) split the clips after quarantine; `sources` has the pass rates and `statistics` one row.
+    """
+    from strideframe.operators import qa
+    spark = clips.sparkSession
+    if exists(spark, path):
+        raise FileExistsError(path)
+    out = qa.exclusion(clips, source=source, policy=policy)
+    tables = {"candidates": out.where("not excluded").select(*key, source), "excluded": out.where("excluded").select(*key, source, "reasons"),
+              "sources": qa.source_rates(clips, source=source, policy=policy), "statistics": qa.corpus_statistics(out, policy=policy)}
+    staging = staging_name(path)
+    for name, table in tables.items():
+        create_only_write(table, f"{staging}/{name}")
+    publish_folder(spark, staging, path)
+    return {name: spark.read.schema(table.schema).parquet(f"{path}/{name}") for name, table in tables.items()}
+
+
+def export_identity(core: DataFrame, rules: DataFrame, audit: DataFrame, *, order: list[str]) -> DataFrame:
+    """Identity of an export, one row: digest of its rows in order, of the rules and of the audit it was made from."""
+    from strideframe.plans.digests import ordered_digest
+    placed = Ordered(core, [], order).position("_p").done()
+    names = sorted(c for c in core.columns)
+    body = ordered_digest(placed, [], "_p", F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256), out="_core")
+    total = lambda df, name: df.agg(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *[F.sum(F.conv(F.substring(
+        F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256), i, 15), 16, 10).cast("decimal(38,0)")).cast("string") for i in (1, 16)]).alias(name))
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    row = one(body).join(one(total(rules, "_rules")), "_one").join(one(total(audit, "_audit")), "_one")
+    return row.select(F.sha2(F.concat_ws("|", "_core", "_rules", "_audit"), 256).alias("export_id"))
+
+
 def publish(rows: DataFrame, path: str, *, key: str) -> DataFrame:
     """Append new objects, refuse changed ones, append the commit rows last.
 

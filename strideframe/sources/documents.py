@@ -99,6 +99,12 @@ def document_directory(spark: SparkSession, path: str, schema: str, *, tag: str,
     return df.where(~F.col("_metadata.file_path").rlike(r"\.feed\.json(/|$)")).where(F.col(tag) == keep)
 
 
+def unique_documents(docs: DataFrame, *, key: str) -> DataFrame:
+    """The documents, or an error if an identity is there twice."""
+    from strideframe.operators.checks import duplicates
+    return validated(docs, duplicates(docs, [key], "duplicate-identity"))
+
+
 def participant_csv(spark: SparkSession, path: str, *, key: str, domain_column: str, domain: list[str]) -> DataFrame:
     """CSV with a header: trimmed lower-case key columns and a domain check column."""
     df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
