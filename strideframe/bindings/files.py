@@ -257,6 +257,22 @@ def k06(spark, d):
     return both.agg(F.count(F.lit(1)).alias("sequences"), F.bool_and(F.col("digest").eqNullSafe(F.col("other"))).alias("hash_unchanged"))
 
 
+@query("k06_migration_violations", """
+WITH k AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
+SELECT 'hash-changed' AS rule, CAST(k AS VARCHAR) AS key FROM k WHERE k % 50 = 0 AND k % 70 > 0 UNION ALL SELECT 'row-lost', CAST(k AS VARCHAR) FROM k WHERE k % 70 = 0
+UNION ALL SELECT 'missing-taxonomy_id', CAST(k AS VARCHAR) FROM k WHERE k % 30 = 0 AND k % 70 > 0""")
+def k06_violations(spark, d):
+    """A migrated copy made from the lines anew, with rows lost, changed and without their taxonomy."""
+    s, q = _sequences(spark, d)
+    k = F.col("sequence_index")
+    old = P.logical_content(s, q.select("sequence_index", "recording_id"), sequence="sequence_index", pos="sample", payload=payload())
+    parts = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("sequence_index")).agg(F.max("l_partkey").alias("p"))
+    changed = parts.select(k, F.when(k % 50 == 0, F.lit("x")).otherwise(F.col("p").cast("string")).alias("recording_id"))
+    new = P.logical_content(s, changed, sequence="sequence_index", pos="sample", payload=payload()).where(k % 70 > 0)
+    new = new.withColumn("taxonomy_id", F.when(k % 30 > 0, "t"))
+    return K.migrated(old, new, key="sequence_index", required=["taxonomy_id"]).select("rule", "key")
+
+
 @query("k07_write_shards", _PACK.replace("2550000", "25500000") + " SELECT ds AS dataset, CAST(shard AS BIGINT) AS shard, count(*) AS records, CAST(sum(body) AS BIGINT) AS body FROM f GROUP BY ALL")
 def k07(spark, d):
     packed = greedy_shards(_packing_rows(spark, d), keys=["dataset"], order=["o_orderkey"], body="body", blobs="blobs", max_bytes=30_000_000)

@@ -222,6 +222,15 @@ def j22(spark, d):
     return J.dependency_closure(e, source="asset", target="dependency")
 
 
+@query("j22_closure_of_roots", """
+WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS a, p_partkey // 2 AS b FROM part),
+r AS (SELECT a, b, 1 AS steps FROM e WHERE a % 100 = 7 UNION ALL SELECT r.a, e.b, steps + 1 FROM r JOIN e ON e.a = r.b WHERE r.b <> e.b)
+SELECT a AS asset, b AS dependency, CAST(min(steps) AS INTEGER) AS steps FROM r GROUP BY a, b""")
+def j22_roots(spark, d):
+    e = read(spark, d, "part").select(F.col("p_partkey").alias("asset"), F.floor(F.col("p_partkey") / 2).alias("dependency"))
+    return J.dependency_closure(e, source="asset", target="dependency", roots=e.where("asset % 100 = 7")).drop("cycle")
+
+
 @query("j23_observation_rows", """
 WITH o AS (SELECT doc_id AS observation, unnest([doc_id, doc_id * 2, doc_id + 7]) AS cand FROM documents)
 SELECT observation, cand, cand IN (SELECT doc_id FROM documents) AS known, count(*) > 1 AS duplicate FROM o GROUP BY ALL""")

@@ -193,15 +193,16 @@ def world_transforms(frames: DataFrame, parents: list[int], *, rotations: str, o
     return df.withColumn("world", F.array(*names)).drop(*names)
 
 
-def dependency_closure(edges: DataFrame, *, source: str, target: str) -> DataFrame:
-    """All (source, target, steps) pairs reachable over dependency edges.
+def dependency_closure(edges: DataFrame, *, source: str, target: str, roots: DataFrame | None = None) -> DataFrame:
+    """(source, target, steps) pairs reachable over dependency edges, from all sources or from the asked `roots` only.
 
     Each round joins the new frontier only and is written out, so lineage stays short;
     the number of rounds is the depth of the graph.  A node that reaches itself is on a cycle.
     """
     e = edges.select(F.col(source).alias("a"), F.col(target).alias("b")).distinct()
     step = e.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    reach = materialise(e.withColumn("steps", F.lit(1)), "closure")
+    asked = e if roots is None else e.join(roots.select(F.col(source).alias("a")).distinct(), "a", "left_semi")
+    reach = materialise(asked.withColumn("steps", F.lit(1)), "closure")
     frontier, steps, parts = reach, 1, [reach]
     while not frontier.isEmpty():
         steps += 1

@@ -116,6 +116,9 @@ def symmetric_filter(df: DataFrame, *, keys: list[str], order: list[str], value:
     return wide.withColumn(out, total).where("_own").drop("_own", "_chunk", "_pos")
 
 
+GRID = 65_536
+
+
 def resample(df: DataFrame, *, keys: list[str], order: list[str], time_us: str, value: str,
              period_us: int) -> DataFrame:
     """Linear interpolation on the regular grid that starts at the first row of the key.
@@ -130,7 +133,10 @@ def resample(df: DataFrame, *, keys: list[str], order: list[str], time_us: str,
     hi = F.when(F.col("_t1").isNull(), lo * 0 + F.floor(t / p)).otherwise(
         F.ceil((F.col("_t1") - F.col("_t0")) / p) - 1)
     rows = o.done().withColumns({"_lo": lo, "_hi": hi, "_rel": t}).where("_lo <= _hi")
-    rows = rows.withColumn("grid", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
+    # Long gaps go through pieces of GRID points, so no array is longer than that or than a gap's number of pieces.
+    piece = F.explode(F.sequence(F.floor(F.col("_lo") / GRID), F.floor(F.col("_hi") / GRID)))
+    rows = rows.withColumn("_piece", piece).withColumn("grid", F.explode(F.sequence(
+        F.greatest(F.col("_lo"), F.col("_piece") * GRID), F.least(F.col("_hi"), F.col("_piece") * GRID + GRID - 1))))
     at = F.col("grid") * p - F.col("_rel")
     gap = F.nullif(F.col("_t1") - F.col(time_us), F.lit(0))
     v = F.when((at == 0) | F.col("_t1").isNull(), F.col(value)).otherwise(

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SEGMENT_ROWS = "strideframe.segment.rows"
 DEFAULT_SEGMENT_ROWS = 4_000_000
 
+_made: list[str] = []       # work folders of this process
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Settings that results depend on: every audit time is UTC."""
@@ -40,7 +42,16 @@ def work_root(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below the shared work folder."""
-    return os.path.join(work_root(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(work_root(spark), f"{name}-{uuid.uuid4().hex}")
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the work folders that this process has made; call it when a job's results are stored."""
+    while _made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:

@@ -14,6 +14,8 @@ def spark():
          .config("spark.driver.memory", "10g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from strideframe.session import release
+    release(s)
     s.stop()
 
 

@@ -176,3 +176,13 @@ def test_text_ids_are_order_keys_everywhere(spark, split_keys):
     labelled = df.select("k", F.lit("weak").alias("state"), F.lit("walk").alias("code"), F.lit("r").alias("rule_id"), "n")
     core = K.weak_core(labelled, df.select("k", F.lit(True).alias("passed")), key="k", samples="n", mounts=["a", "b"]).collect()
     assert [r.k for r in sorted(core, key=lambda r: r.sequence_index)] == [k for k, _ in sorted(rows) for _ in range(2)]
+
+
+def test_long_and_short_intervals_meet_their_points(spark):
+    rnd = random.Random(9)
+    points = [("k", i, rnd.randint(-50, 3_000_000)) for i in range(300)]
+    spans = [("k", j, a, a + n) for j, (a, n) in enumerate([(0, 5), (10, 0), (-40, 3_000_000), (7, 448), (7, 449), (1000, 30_000), (5, 2_000_000), (100, 1)])]
+    p = spark.createDataFrame(points, "k string, id bigint, at bigint")
+    v = spark.createDataFrame(spans, "k string, iv bigint, a bigint, b bigint")
+    got = {(r.id, r.iv) for r in points_in_intervals(p, v, ["k"], point="at", start="a", stop="b", width=7).collect()}
+    assert got == {(i, j) for _, i, t in points for _, j, a, b in spans if a < t < b}
