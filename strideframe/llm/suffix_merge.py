@@ -40,6 +40,7 @@ from strideframe.session import materialise
 LENGTH, REACH, GRAM = 400, 256, 16
 SHARED = LENGTH - REACH     # bytes after an anchor that lie in all its strings
 RANGE_BYTES = 24 << 20      # suffix bytes that one range is cut for
+TEXT_BYTES = 2 << 20        # of texts that one numpy pass finds anchors in
 RUN_ROWS = 1 << 14          # suffixes of one sorted run
 SAMPLE = 20_000             # suffixes that splitters are taken from
 FILTER_BITS = 1 << 24       # bits of the filter of texts to read again, sent to every task (2 MB)
@@ -95,7 +96,7 @@ def _facts(df, key, text):
     def run(batches):
         seen = set()
         for batch in batches:
-            for a, data, offsets in B.blocks(batch, text):
+            for a, data, offsets in B.blocks(batch, text, TEXT_BYTES):
                 t1, t2 = text_key(data, offsets)
                 m = len(t1)
                 raw = data.tobytes()
@@ -137,7 +138,7 @@ def _texts(df, text, wanted):
     def run(batches):
         seen, bits = set(), shared.value
         for batch in batches:
-            for _, data, offsets in B.blocks(batch, text):
+            for _, data, offsets in B.blocks(batch, text, TEXT_BYTES):
                 t1, t2 = text_key(data, offsets)
                 bit = t1 % FILTER_BITS
                 on = np.flatnonzero((bits[bit >> 6] >> (bit & 63)) & 1)
