@@ -152,4 +152,50 @@ SELECT doc_id, domain, lang, source, CAST(whole AS BIGINT), n_tokens, CAST(least
     return "WITH " + ",".join(parts)
 
 
-ORACLES: dict[str, str] = {"op4_tree_mixing": _mix_sql()}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_JACCARD_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.c = l.a)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+_PHRASE_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw))),
+m AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, win)),
+h AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS at FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id"""
+
+_CHAT_SQL = rf"""
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{chat.END}{chat.START}assistant ok' UNION ALL SELECT -1, 1, 'assistant', '{chat.END}{chat.START}assistant ok'),
+p AS (SELECT conv_id, r, x, row_number() OVER (PARTITION BY conv_id ORDER BY turn, r, x) AS i,
+  '{chat.START}' || url_encode(r) || chr(10) || replace(replace(x, '\', '\\'), '<|', '<\|') || '{chat.END}' || chr(10) AS p FROM c),
+k AS (SELECT *, len(regexp_extract_all(p, '[^ \t\n\x0B\f\r]+')) AS k, length(p) AS n FROM p),
+s AS (SELECT *, sum(k) OVER (PARTITION BY conv_id ORDER BY i) AS e FROM k),
+w AS (SELECT conv_id, i, CAST(0 AS HUGEINT) AS opened, i AS first FROM s WHERE i = 1 UNION ALL
+  SELECT s.conv_id, s.i, CASE WHEN s.e - w.opened > {chat.BUDGET} AND s.e - s.k > w.opened THEN s.e - s.k ELSE w.opened END,
+  CASE WHEN s.e - w.opened > {chat.BUDGET} AND s.e - s.k > w.opened THEN s.i ELSE w.first END FROM w JOIN s ON s.conv_id = w.conv_id AND s.i = w.i + 1),
+v AS (SELECT conv_id, first, max(i) AS last, any_value(opened) AS opened FROM w GROUP BY conv_id, first),
+y AS (SELECT conv_id, r = '{chat.SYSTEM}' AS sys FROM s WHERE i = 1),
+f AS (SELECT v.conv_id, sum(s.n) AS formatted_chars FROM v JOIN y ON y.conv_id = v.conv_id JOIN s ON s.conv_id = v.conv_id
+  AND (s.i BETWEEN first AND last OR (s.i < first AND (CASE WHEN sys AND s.i = 1 THEN true ELSE v.opened - (s.e - s.k) <= {chat.HISTORY} END))) GROUP BY v.conv_id)
+SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY i)) AS turns_sha256,
+ CAST(coalesce(sum(length(x)) FILTER (WHERE r = '{chat.TARGET}'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE r = '{chat.TARGET}'), '')) AS loss_sha256,
+ CAST(any_value(formatted_chars) AS BIGINT) AS formatted_chars FROM s JOIN f ON f.conv_id = s.conv_id GROUP BY s.conv_id"""
+
+ORACLES: dict[str, str] = {
+    "op4_tree_mixing": _mix_sql(),
+    "op5_ngram_jaccard": _JACCARD_SQL,
+    "op9_chat_windows": _CHAT_SQL,
+    "op10_positional_index": _PHRASE_SQL,
+}
