@@ -76,7 +76,8 @@ def archives(spark, d, kind: str) -> str:
                  _zip(members) if kind == "zip" else _tar(members))
             yield pd.DataFrame({"n": [len(members)]})
 
-    read(spark, d, "documents").select("doc_id", "source", "lang", "text").mapInPandas(build, "n bigint").agg(F.sum("n")).collect()
+    columns = ["doc_id", "source", "lang"] + ["text"] * (kind != "npz")
+    read(spark, d, "documents").select(*columns).mapInPandas(build, "n bigint").agg(F.sum("n")).collect()
     return folder
 
 
