@@ -15,14 +15,13 @@ def ordered_digest(df: DataFrame, keys: list[str], pos: str, payload: Column, *,
     Rows are grouped by position // fan, every group is hashed in order, and the group
     digests are hashed the same way; `levels` rounds cover fan ** levels rows.
     """
-    work = df.select(*keys, F.col(pos).cast("bigint").alias("_p"), payload.alias("_d"))
-    count = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")) if keys else None
+    work = df.select(*keys, F.col(pos).cast("bigint").alias("_p"), payload.alias("_d"), F.lit(1).cast("bigint").alias("_n"))
     for level in range(levels):
         last = level == levels - 1
         group = F.lit(0).cast("bigint") if last else F.floor(F.col("_p") / fan)
         listed = F.sort_array(F.collect_list(F.struct("_p", "_d")))
-        work = (work.groupBy(*keys, group.alias("_g")).agg(listed.alias("_l"))
+        work = (work.groupBy(*keys, group.alias("_g")).agg(listed.alias("_l"), F.sum("_n").alias("_n"))
                 .select(*keys, F.col("_g").alias("_p"),
-                        F.sha2(F.array_join(F.col("_l")["_d"], "|"), 256).alias("_d")))
-    result = work.select(*keys, F.col("_d").alias(out))
-    return result.join(count, keys) if keys else result
+                        F.sha2(F.array_join(F.col("_l")["_d"], "|"), 256).alias("_d"), "_n"))
+    rows = [F.col("_n").alias("rows")] if keys else []
+    return work.select(*keys, F.col("_d").alias(out), *rows)
