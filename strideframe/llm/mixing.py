@@ -88,6 +88,8 @@ def choose(docs: DataFrame, key: str, levels: list[str], weights: list[dict], sh
     whole = joined.where("whole > 0").select(key, *levels, F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).alias("epoch"), "n_tokens", F.col("n_tokens").alias("n_taken"))
     hash_ = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     part = joined.where("rest > 0").withColumn("h", hash_).withColumn("range", F.substring("h", 1, RANGE_DIGITS))
+    # Dealt by range too; the join with the plan would leave a whole leaf in one task.
+    part = part.repartition(*levels, "range")
     sums = part.groupBy(*levels, "range").agg(F.sum("n_tokens").alias("m"))
     base = sums.select(*levels, "range", F.coalesce(F.sum("m").over(Window.partitionBy(*levels).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     inner = Window.partitionBy(*levels, "range").orderBy("h", key, "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
