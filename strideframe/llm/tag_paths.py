@@ -3,9 +3,10 @@
 A page is read into its text blocks, each with its root-to-leaf path of tags. Per path, the text length and the
 punctuation are summed and divided by the number of blocks (text ratio and punctuation ratio); the
 ratios of the blocks in page order are smoothed with a Gaussian and both are fused into one score. Paths whose mean
-score reaches the threshold are content; the deepest element that holds nearly all of their text is the content
-node, and all of its blocks are kept but those inside elements that are never content (menus, headers,
-footers, sidebars, adverts, notices, forms, comments, scripts, styles).
+score reaches the threshold are content. The content node is the deepest element that holds all of their blocks, more
+than one text block, and the text next to it: it widens to an article or main element around it, and to its parent while
+that holds other text than links (in the body: headings or punctuated text). All of its blocks are kept but those inside
+elements that are never content (menus, headers, footers, sidebars, adverts, notices, forms, comments, scripts, styles).
 
 Results for special inputs: null or empty html, and pages without a content block, give an empty text; unclosed and
 misnested tags are closed as their parents end; an unfinished tag at the end is dropped; repeated rows give equal
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame
 
 THRESHOLD = 0.5             # of the standard deviation of the blocks' scores
 SIGMA, RADIUS = 1.0, 2      # Gaussian over neighbouring blocks
-MOST = 0.9                  # part of the content paths' text that the content node holds
 
 # Fixed names of the markup language and words that name page furniture.
 SKIP = frozenset("script style noscript template head title svg math iframe object select textarea button option canvas video audio".split())
@@ -42,6 +42,7 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[
 UNFINISHED = re.compile(r"""<[/!?a-zA-Z](?:[^>"']|"[^"]*"|'[^']*'|["'])*\Z""", re.S)
 PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、]")
 WORD = re.compile(r"[A-Za-z]+")
+HEADING = re.compile(r"(?:^|/)h[1-6](?:/|$)")
 
 
 def _excluded(name: str, attributes: str) -> bool:
@@ -63,18 +64,20 @@ def _excluded(name: str, attributes: str) -> bool:
 
 
 def blocks(page: str):
-    """(element numbers from the root, tag path, text) of each text block outside of excluded elements."""
-    out, text = [], []
+    """(element numbers from the root, tag path, text, whether some is not link text) of each text block outside of excluded elements."""
+    out, text, plain = [], [], False
     stack = [("", 0, False)]                       # (tag, element number, excluded)
     number, at = 0, 0
 
     def flush():
+        nonlocal plain
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if joined:
                 held = [s for s in stack if s[0] not in INLINE]
-                out.append((tuple(s[1] for s in held), "/".join(s[0] for s in held[1:]), joined))
+                out.append((tuple(s[1] for s in held), "/".join(s[0] for s in held[1:]), joined, plain))
+        plain = False
 
     def close(to):
         nonlocal stack
@@ -83,8 +86,10 @@ def blocks(page: str):
         del stack[to:]
 
     def say(piece):
+        nonlocal plain
         if piece and not stack[-1][2]:
             text.append(piece)
+            plain = plain or (all(s[0] != "a" for s in stack) and any(map(str.isalnum, piece)))
 
     for m in TAG.finditer(page):
         if m.start() < at:
@@ -144,6 +149,34 @@ def _smooth(x):
     return np.convolve(x, k, mode="full")[RADIUS:RADIUS + len(x)] / weights
 
 
+def _node(found, chosen, marks):
+    """Which blocks lie in the content node."""
+    chains = [f[0] for f in found]
+    # A menu takes a part of its neighbours' score; only where all is links it is chosen.
+    at = np.flatnonzero(chosen).tolist()
+    some = [chains[i] for i in at if found[i][3]] or [chains[i] for i in at]
+    low, high = min(some), max(some)
+    depth = next((k for k, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+    node, tags = low[:depth], found[chains.index(low)][1].split("/")    # tags[k - 1] is the tag of node[k]
+    marked = [k for k in range(1, depth) if tags[k - 1] in ("article", "main")]
+    if marked:
+        node = node[:marked[0] + 1]
+    # From here to the root: other text beside the node widens it; what a node of one text block has beside it always does.
+    inside = np.array([c[:len(node)] == node for c in chains])
+    while len(node) > 1:
+        up = node[:-1]
+        wider = np.array([c[:len(up)] == up for c in chains])
+        beside = [i for i in np.flatnonzero(wider & ~inside).tolist() if found[i][3]]
+        if len(up) > 1 and tags[len(up) - 2] not in ("html", "body"):
+            widen = bool(beside)
+        else:
+            widen = any(marks[i] or HEADING.search(found[i][1]) for i in beside)
+        if widen or inside.sum() == 1:
+            inside = wider
+        node = up
+    return inside
+
+
 def content(page: str | None) -> str:
     found = blocks(page) if page else []
     if not found:
@@ -158,25 +191,7 @@ def content(page: str | None) -> str:
     score = a / max(a.max(), 1e-9) * (0.5 + 0.5 * b / max(b.max(), 1e-9))
     of_path = np.bincount(which, score * size) / np.maximum(np.bincount(which, size), 1)
     chosen = of_path >= max(THRESHOLD * score.std(), of_path.max() * 0.5)
-    # The content node: from the root down, the child that still holds nearly all chosen text.
-    weight = np.where(chosen[which], size, 0.0)
-    total, depth = weight.sum(), 0
-    inside = np.ones(len(found), bool)
-    while True:
-        sums: dict = {}
-        for i in np.flatnonzero(inside).tolist():
-            chain = found[i][0]
-            if len(chain) > depth + 1:
-                sums[chain[depth + 1]] = sums.get(chain[depth + 1], 0.0) + weight[i]
-        best = max(sums, key=sums.get, default=None)
-        if best is None or sums[best] < MOST * total:
-            break
-        # A single block is not narrowed below the element that holds its siblings.
-        narrowed = np.array([inside[i] and len(found[i][0]) > depth + 1 and found[i][0][depth + 1] == best for i in range(len(found))])
-        name = found[int(np.flatnonzero(narrowed)[0])][1].split("/")[depth]
-        if name not in ("html", "body", "main", "article", "section", "div", "td", "table", "tbody", "tr", "center"):
-            break
-        inside, depth = narrowed, depth + 1
+    inside = _node(found, chosen[which], marks)
     return " ".join(found[i][2] for i in np.flatnonzero(inside).tolist())
 
 

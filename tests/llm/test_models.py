@@ -92,6 +92,21 @@ def test_page_content():
     assert tag_paths.content("<article><h1>A<p><b>x.<br><p>y</p> <p>z" + " <p cl") == "A x. y z"
 
 
+def test_page_content_node_holds_all_of_the_text():
+    long = "Some words of a long paragraph, with more of them; and it goes on, as it should. "
+    ps = "".join(f"<p>{long * 3}</p>" for _ in range(12))
+    body = " ".join([" ".join([long.strip()] * 3)] * 12)
+    menu = "<div><a href=a>Home</a> | <a href=b>About</a></div>"
+    assert tag_paths.content(f"<body>{menu}<article><h1>Title</h1><p>Lead</p><div>{ps}</div></article></body>") == f"Title Lead {body}"
+    assert tag_paths.content(f"<body>{menu}<div><h1>Title</h1><p>Lead</p><div><div>{ps}</div></div></div></body>") == f"Title Lead {body}"
+    assert tag_paths.content(f"<body>{menu}<article><section>{ps}</section><section><p>Short end.</p></section></article></body>") == f"{body} Short end."
+    assert tag_paths.content(f"<body>{menu}<section>{ps}</section><div><h2>More</h2><ul><li>one<li>two</ul></div></body>").endswith(f"{body} More one two")
+    assert tag_paths.content(f"<body><article><div>First, short.</div><div>{long * 40}</div><div>Last</div></article></body>") == f"First, short. {' '.join([long.strip()] * 40)} Last"
+    assert tag_paths.content(f"<table><tr><td>First, short.<td>{long * 40}<td>Last</table>") == f"First, short. {' '.join([long.strip()] * 40)} Last"
+    assert tag_paths.content(f"<body>{menu}<div><div>{ps}</div><div>By a writer</div></div></body>") == f"{body} By a writer"
+    assert tag_paths.content(f"<body>{menu}<div><div>{ps}</div></div></body>") == body
+
+
 def test_page_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>a b</p>", 3), (1, "u", "<p>a b</p>", 3), (2, None, None, 4), (None, "v", "", 5)], "page_id int, url string, html string, n_chars int")
     got = tag_paths.extract(df, ["page_id", "url"]).collect()
