@@ -36,6 +36,14 @@ STOPS = frozenset("ul ol dl table article section div body html td th main".spli
 NAMED = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs "
                   "header footer masthead comment comments reply replies respond cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social "
                   "related recommended widget login signup search pagination pager toolbar skip copyright".split())
+# Words that may stand beside a furniture word in one class, and words that turn its meaning.
+PARTS = frozenset("left right top bottom upper lower main site page global primary secondary mobile desktop box block bar list lists item items link links wrap wrapper container holder "
+                  "slot slots unit area section row column inner outer panel group title text body post posts article articles story entry news blog user author "
+                  "button buttons icons media form google wp div el id".split())
+TURNED = frozenset("has have no not non with without is enable enabled disable disabled".split())
+# Furniture words that name it as a class's last word whatever stands before.
+LAST = NAMED - frozenset("side skip copyright promotion sponsor sponsored social share sharing search related recommended notice notices alert reply replies respond subscribe login signup".split())
+TALK = frozenset("comment comments reply replies respond".split())      # text of readers, often more than the page's own
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*?)>""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -45,28 +53,42 @@ WORD = re.compile(r"[A-Za-z]+")
 HEADING = re.compile(r"(?:^|/)h[1-6](?:/|$)")
 
 
-def _excluded(name: str, attributes: str) -> bool:
+def _named(token: str) -> set:
+    """Furniture words of one class or id that make it the name of furniture."""
+    words = [w for w in WORD.findall(token) if len(w) > 1]
+    found = NAMED.intersection(words)
+    if not found or TURNED.intersection(words):
+        return set()
+    return found if words[-1] in LAST or all(w in NAMED or w in PARTS for w in words) else set()
+
+
+def _excluded(name: str, attributes: str) -> tuple[bool, set]:
+    """Whether an element is excluded by its kind, and the furniture words that it is named by."""
+    named: set = set()
     if name in SKIP or name in FURNITURE:
-        return True
+        return True, named
     if not attributes:
-        return False
+        return False, named
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            if any(word in NAMED for token in value.split() for word in (token, *WORD.findall(token))):
-                return name not in ("body", "html", "article", "main")
+            if name not in ("body", "html", "article", "main") and not (key == "id" and HEADING.search(name)):
+                named = named.union(*map(_named, value.split()))
         elif key == "role":
             if value in ROLES:
-                return True
+                return True, named
         elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
-            return True
-    return False
+            return True, named
+    return False, named
 
 
 def blocks(page: str):
-    """(element numbers from the root, tag path, text, whether some is not link text) of each text block outside of excluded elements."""
+    """(element numbers from the root, tag path, text, whether some is not link text, named elements) of each text block.
+
+    Blocks inside elements excluded by their kind are left out; (element number, words) of those named as furniture are given.
+    """
     out, text, plain = [], [], False
-    stack = [("", 0, False)]                       # (tag, element number, excluded)
+    stack = [("", 0, False, ())]                   # (tag, element number, excluded, named elements)
     number, at = 0, 0
 
     def flush():
@@ -76,7 +98,7 @@ def blocks(page: str):
             text.clear()
             if joined:
                 held = [s for s in stack if s[0] not in INLINE]
-                out.append((tuple(s[1] for s in held), "/".join(s[0] for s in held[1:]), joined, plain))
+                out.append((tuple(s[1] for s in held), "/".join(s[0] for s in held[1:]), joined, plain, held[-1][3]))
         plain = False
 
     def close(to):
@@ -134,7 +156,10 @@ def blocks(page: str):
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        stack.append((name, number, stack[-1][2] or _excluded(name, m[3])))
+        excluded, named = _excluded(name, m[3])
+        if named and name in INLINE:
+            excluded, named = True, set()
+        stack.append((name, number, stack[-1][2] or excluded, (*stack[-1][3], (number, named)) if named else stack[-1][3]))
     tail = page[at:]
     say(UNFINISHED.sub("", tail) if "<" in tail else tail)
     flush()
@@ -177,8 +202,33 @@ def _node(found, chosen, marks):
     return inside
 
 
+def _unnamed(found):
+    """The blocks outside of elements named as furniture, unless they hold most of the page's punctuated text.
+
+    What such an element holds must look like a page's own text: two punctuated blocks, or a first heading, article or main
+    element; only a first heading or main element overrules a name of readers' comments.
+    """
+    if not any(f[4] for f in found):
+        return found
+    total, elements = 0, {}
+    for f in found:
+        marks = len(PUNCTUATION.findall(f[2]))
+        total += marks
+        for number, named in f[4]:
+            e = elements.setdefault(number, [named, 0, 0, set()])
+            e[1] += marks
+            e[2] += marks > 0
+            e[3].update(f[1].split("/"))
+    kept = set()
+    for number, (named, marks, punctuated, tags) in elements.items():
+        own = not tags.isdisjoint(("h1", "main")) or (not named & TALK and ("article" in tags or punctuated > 1))
+        if own and 2 * marks > total:
+            kept.add(number)
+    return [f for f in found if all(n in kept for n, _ in f[4])]
+
+
 def content(page: str | None) -> str:
-    found = blocks(page) if page else []
+    found = _unnamed(blocks(page)) if page else []
     if not found:
         return ""
     paths, which = np.unique([f[1] for f in found], return_inverse=True)

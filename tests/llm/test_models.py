@@ -107,6 +107,22 @@ def test_page_content_node_holds_all_of_the_text():
     assert tag_paths.content(f"<body>{menu}<div><div>{ps}</div></div></body>") == body
 
 
+def test_page_names_of_furniture():
+    ps = "".join(f"<p>Paragraph {i} has some words, and more; it goes on.</p>" for i in range(6))
+    body = " ".join(f"Paragraph {i} has some words, and more; it goes on." for i in range(6))
+    for name in ("container has-sidebar", "no-sidebar", "page-with-sidebar", "header-fixed", "side-effects", "related-work", "market-share", "right-sidebar", "sidebar"):
+        for kind in ("class", "id"):
+            assert tag_paths.content(f"<body><div {kind}='{name}'><article><h1>Title</h1>{ps}</article></div></body>") == f"Title {body}", name
+            assert tag_paths.content(f"<body><div {kind}='{name}'>{ps}</div><div class=ad>Buy this.</div></body>") == body, name
+    for name in ("side-effects", "related-work", "market-share"):
+        assert tag_paths.content(f"<body><article>{ps}<section id={name}><h2 id=comments>Part</h2><p>Short, but text.</p></section></article></body>") == f"{body} Part Short, but text."
+    for name in ("sidebar", "left-sidebar", "sidebar-left", "ad", "ad-300x250", "google-ads", "related-posts", "page-footer", "nyt-footer", "box comments", "share_buttons", "cookie-notice"):
+        assert tag_paths.content(f"<body><article>{ps}</article><div class='{name}'><p>One, two.</p><p>Three.</p></div></body>") == body, name
+    many = "<p>I think so, too; and so on, and on, as ever.</p>" * 20
+    assert tag_paths.content(f"<body><article>{ps}</article><div class=comments>{many}</div></body>") == body
+    assert tag_paths.content("<body><div class=ad>Buy, now.</div></body>") == ""
+
+
 def test_page_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>a b</p>", 3), (1, "u", "<p>a b</p>", 3), (2, None, None, 4), (None, "v", "", 5)], "page_id int, url string, html string, n_chars int")
     got = tag_paths.extract(df, ["page_id", "url"]).collect()
