@@ -10,7 +10,8 @@ strings have equal anchors, at about two places in `REACH`.
    as all of their strings occur in a copy, they go whole.
 2. Suffixes of the other anchors are sorted twice with the bytes before the anchor, reversed, as further
    characters: once after all bytes to the right (neighbours agree furthest to the right), once right after the
-   shared bytes (neighbours agree furthest to the left). Each task sorts its suffixes, cuts the run at splitters and sends
+   shared bytes (neighbours agree furthest to the left). Each task sorts its suffixes, settles those with equal keys in place
+   and keeps one of them, cuts the run at splitters (keys with their place, so that one key can lie in many ranges) and sends
    front-coded pieces (common prefix with the one before, and the rest). A loser tree merges the pieces of a range;
    its players carry their common prefix with the last output, so known prefixes are never compared again.
    Two neighbours that agree on R bytes to the right and L to the left prove all strings between them.
@@ -238,32 +239,44 @@ def merge(runs):
             node //= 2
 
 
-def _front_code(rows):
-    """Sorted byte matrix as (common prefixes, rest bytes)."""
-    same = np.concatenate([[0], _common(rows[1:], rows[:-1])]) if len(rows) else np.empty(0, np.int64)
-    mask = np.arange(WIDE)[None, :] >= same[:, None]
-    return same.astype(np.uint16), rows[mask]
+def _front_code(rows, same):
+    """Rest bytes of sorted byte rows, given their common prefixes with the row before."""
+    return rows[np.arange(WIDE)[None, :] >= same[:, None]]
 
 
 def _pieces(same, rest):
     """Strings of a front-coded piece, one after the other."""
     before, at = b"", 0
-    for h in same.tolist():
+    for h in memoryview(same).cast("H"):
         stop = at + WIDE - h
         before = before[:h] + rest[at:stop]
         at = stop
         yield h, before
 
 
-def _split(keys, splitters):
-    """Range of each sorted key row (bytes order)."""
+def _feed(same, rest, *items):
+    """Rows of a piece for `merge`, made as they are asked for."""
+    for (h, s), item in zip(_pieces(same, rest), zip(*(memoryview(x).cast("q") for x in items))):
+        yield h, s, item
+
+
+def _collapse(keys, items):
+    """(keys, items, common prefixes with the key before) of a sorted run with each key once, and the items of keys that were there more than once."""
+    same = np.concatenate([[0], _common(keys[1:], keys[:-1])])
+    equal = same == WIDE
+    settled = equal | np.append(equal[1:], False)
+    return keys[~equal], items[~equal], same[~equal], items[settled]
+
+
+def _split(keys, items, splitters):
+    """Range of each sorted key row; splitters are (key bytes, item), so equal keys are cut by their item."""
     names = np.ascontiguousarray(keys).view(f"V{WIDE}").ravel()
     cuts, at = np.zeros(len(names), np.int64), 0
     for s in splitters:
         lo, hi = at, len(names)
         while lo < hi:
             mid = (lo + hi) // 2
-            if names[mid].tobytes() < s:
+            if (names[mid].tobytes(), tuple(items[mid].tolist())) < s:
                 lo = mid + 1
             else:
                 hi = mid
@@ -289,7 +302,8 @@ def _rows_of(batch):
 def _neighbours(texts, order, splitters):
     """(t1, t2, at, r1, l1, r2, l2): bytes that the sorted neighbours before and after agree on, right and left.
 
-    Rows with `edge` are the first and last suffix of a range, for the comparison between ranges.
+    Rows with `edge` are the first and last suffix of a range, for the comparison between ranges. Suffixes with equal keys
+    in a run have a row that says so, dealt to ranges of negative number, and one of them goes on to its range.
     """
     sent = ["range", "same", "rest", "t1", "t2", "at"]
 
@@ -311,23 +325,39 @@ def _neighbours(texts, order, splitters):
 
     def run(keys, items):
         by = _sorted_keys(keys)
-        keys, items = keys[by], items[by]
-        part = _split(keys, splitters)
+        keys, items, same, settled = _collapse(keys[by], items[by])
+        if len(settled):
+            p = -1 - int(settled[0, 0] & 0x3FFFFFFF)
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *[pa.nulls(1, pa.binary())] * 2, *[pa.array([x.tobytes()], pa.binary()) for x in settled.T.copy()]], names=sent)
+        part = _split(keys, items, splitters)
         for p in np.unique(part).tolist():
             a, b = np.searchsorted(part, [p, p + 1])
-            same, rest = _front_code(keys[a:b])
-            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (same, rest, *(items[a:b].T.copy()))]], names=sent)
+            common = same[a:b].copy()
+            common[0] = 0
+            rest = _front_code(keys[a:b], common)
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (common.astype(np.uint16), rest, *(items[a:b].T.copy()))]], names=sent)
 
     def emit(rows):
         cols = list(zip(*rows))
         return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:7]], pa.array(cols[7], pa.int32()), pa.array(cols[8], pa.binary())],
                                           names=["t1", "t2", "at", "r1", "l1", "r2", "l2", "edge", "key"])
 
+    def alike(t1, t2, at):
+        """Rows of suffixes whose keys some other has too: all bytes of the key agree."""
+        cols = [np.frombuffer(x, np.int64) for x in (t1, t2, at)]
+        m = len(cols[0])
+        far = [np.full(m, x) for x in (LENGTH, REACH - 1, LENGTH, REACH - 1)]
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in (*cols, *far)], pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                                          names=["t1", "t2", "at", "r1", "l1", "r2", "l2", "edge", "key"])
+
     def ranges(batches):
         part, pieces = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 p = batch.column(0)[i].as_py()
+                if p < 0:
+                    yield alike(*(batch.column(c)[i].as_py() for c in range(3, 6)))
+                    continue
                 if p != part and pieces:
                     yield from merged(part, pieces)
                     pieces = []
@@ -337,14 +367,10 @@ def _neighbours(texts, order, splitters):
             yield from merged(part, pieces)
 
     def merged(part, pieces):
-        feeds = []
-        for same, rest, a, b, c in pieces:
-            items = zip(*(np.frombuffer(x, np.int64).tolist() for x in (a, b, c)))
-            feeds.append([(h, s, item) for (h, s), item in zip(_pieces(np.frombuffer(same, np.uint16), rest), items)])
         # The furthest of each neighbour pair, block by block to keep the matrices small.
         held, row = None, []
         first = True
-        for h, s, item in merge(feeds):
+        for h, s, item in merge([_feed(*x) for x in pieces]):
             now = [*item, 0, 0, 0, 0, None, None]
             if held is not None:
                 if h >= SHARED:
@@ -387,17 +413,19 @@ def _sort(texts, order, total):
 
     def sample(batches):
         for batch in batches:
-            for _, data, at in _rows_of(batch):
-                keys = _keys(*_around(data, at), order)
-                h = B.mix(B.Rolling(np.ascontiguousarray(keys).ravel()).pieces(np.arange(len(keys)) * WIDE, np.arange(1, len(keys) + 1) * WIDE) + at.astype(np.uint64))
-                got = [keys[i].tobytes() for i in np.flatnonzero(h <= limit)]
-                if got:
-                    yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], names=["key"])
+            t1, t2 = (B.column(batch, c).to_numpy() for c in ("t1", "t2"))
+            for i, data, at in _rows_of(batch):
+                # By text and place, so that equal keys are sampled one by one.
+                on = at[B.mix(t1[i:i + 1].view(np.uint64) + B.mix(at.astype(np.uint64))) <= limit]
+                if len(on):
+                    got = [k.tobytes() for k in _keys(*_around(data, on), order)]
+                    m = len(on)
+                    yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary()), pa.array(np.full(m, t1[i])), pa.array(np.full(m, t2[i])), pa.array(on)], names=["key", "t1", "t2", "at"])
 
     ranges = max(1, -(-total * WIDE // RANGE_BYTES))
     splitters = []
     if ranges > 1:
-        some = sorted(bytes(r["key"]) for r in texts.mapInArrow(sample, "key binary").collect())
+        some = sorted((bytes(r["key"]), (r["t1"], r["t2"], r["at"])) for r in texts.mapInArrow(sample, "key binary, t1 long, t2 long, at long").collect())
         splitters = sorted({some[len(some) * k // ranges] for k in range(1, ranges)}) if some else []
     found = materialise(_neighbours(texts, order, splitters), "neighbours")
     rows = found.where("edge is null").select("t1", "t2", "at", "r1", "l1", "r2", "l2")

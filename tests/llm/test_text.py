@@ -113,6 +113,43 @@ def test_suffix_merge_equals_brute_force(spark, monkeypatch, ranges, run):
     assert suffix_merge.remove(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("run", [1, 64])
+def test_suffix_merge_cuts_equal_keys(spark, monkeypatch, run):
+    """A passage of every text does not stay in one range, and its equal suffixes count."""
+    monkeypatch.setattr(suffix_merge, "RANGE_BYTES", suffix_merge.WIDE * 4)
+    monkeypatch.setattr(suffix_merge, "RUN_ROWS", run)
+    rnd = random.Random(3)
+    text = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    passage = text(1500)
+    rows = [(k, text(300) + passage + text(300)) for k in range(60)]
+    found = []
+    kept = suffix_merge.materialise
+    monkeypatch.setattr(suffix_merge, "materialise", lambda df, name: found.append(kept(df, name)) or found[-1])
+    got = suffix_merge.remove(frame(spark, rows)).collect()
+    seen = collections.Counter(t[p:p + 400] for _, t in rows for p in range(len(t) - 399))
+    for r in got:
+        starts = [p for p in range(len(rows[r.doc_id][1]) - 399) if seen[rows[r.doc_id][1][p:p + 400]] > 1]
+        assert (r.first, r.stop) == ([starts[0]], [starts[-1] + 400]) and r.n_removed >= 1500
+    sorts = [df for df in found if "edge" in df.columns]
+    assert len(sorts) == 2
+    for df in sorts:
+        edges = df.where("edge is not null").select("edge", "key").collect()
+        keys = collections.Counter(bytes(r.key) for r in edges if r.edge % 2 == 0)
+        assert max(keys.values()) > 3
+        copies = df.where(f"edge is null and greatest(r1, r2) = {suffix_merge.LENGTH} and greatest(l1, l2) = {suffix_merge.REACH - 1}").select("t1", "at").distinct().count()
+        assert copies > 60
+
+
+def test_suffix_runs_hold_each_key_once():
+    keys = np.repeat(np.arange(4, dtype=np.uint8), [1, 3, 1, 2])[:, None] * np.ones(suffix_merge.WIDE, np.uint8)
+    items = np.arange(21).reshape(7, 3)
+    kept, at, same, settled = suffix_merge._collapse(keys, items)
+    assert kept[:, 0].tolist() == [0, 1, 2, 3] and at[:, 0].tolist() == [0, 3, 12, 15] and same.tolist() == [0] * 4
+    assert settled[:, 0].tolist() == [3, 6, 9, 15, 18]
+    key = keys[1].tobytes()
+    assert suffix_merge._split(keys, items, [(key, (4, 0, 0)), (key, (9, 0, 0))]).tolist() == [0, 0, 1, 2, 2, 2, 2]
+
+
 def test_loser_tree_merges_and_keeps_prefixes():
     rnd = random.Random(1)
     runs, all_ = [], []
