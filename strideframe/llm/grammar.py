@@ -179,7 +179,7 @@ def compress(ids, lengths, vocabulary: int) -> tuple[bytes, np.ndarray]:
         at = np.flatnonzero(free & (counts >= threshold)[bucket])
         pair = seq[at].astype(np.int64) << 32 | seq[at + 1]
         kinds, inverse, often = np.unique(pair, return_inverse=True, return_counts=True)
-        chosen = often >= threshold
+        chosen, before = often >= threshold, following
         at, kind = at[chosen[inverse]], inverse[chosen[inverse]]
         if len(at):
             # Overlapping places form runs; every second one of a run is taken, from the left.
@@ -201,7 +201,8 @@ def compress(ids, lengths, vocabulary: int) -> tuple[bytes, np.ndarray]:
             keep = np.ones(len(seq), bool)
             keep[at + 1] = False
             seq, last = seq[keep], last[keep]
-        if threshold == LEAST_COUNT:
+        # At the last threshold on and on: a round forms new pairs. Only shared buckets or overlaps are left when none is replaced.
+        if threshold == LEAST_COUNT and following == before:
             break
     ends = np.flatnonzero(last) + 1
     symbols = np.zeros(len(lengths), np.int64)

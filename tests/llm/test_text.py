@@ -166,6 +166,20 @@ def test_loser_tree_merges_and_keeps_prefixes():
     assert all(h == suffix_merge._prefix(a, b, 0) for (_, a, _), (h, b, _) in zip(out, out[1:]))
 
 
+@pytest.mark.parametrize("copies", [15, 40])
+def test_grammar_leaves_no_pair_at_the_least_count(copies):
+    rng = np.random.default_rng(copies)
+    passage = rng.integers(2, 40_000, 1000)
+    docs = [np.append(np.concatenate([rng.integers(2, 40_000, 30), passage]), 1) for _ in range(copies)]
+    ids, lengths = np.concatenate(docs), np.array([len(d) for d in docs])
+    payload, symbols = grammar.compress(ids, lengths, 49_152)
+    shard = grammar.Shard(payload)
+    assert shard.ids().tolist() == ids.tolist()
+    parts = np.split(shard.symbols, np.cumsum(symbols)[:-1])
+    left = collections.Counter(pair for p in parts for pair in zip(p[:-1].tolist(), p[1:].tolist()))
+    assert max(left.values()) < grammar.LEAST_COUNT
+
+
 def test_token_shards(spark, tmp_path):
     from tokenizers import Tokenizer
 
