@@ -140,7 +140,7 @@ def test_status_log_keeps_the_first_terminal_status(spark, split_keys):
     assert [got["a", i] for i in range(1, 6)] == ["accepted", "accepted", "accepted", "repeat", "illegal"]
     assert got["hot", 20] == "accepted" and got["hot", 21] == "repeat"
     now = {r.clip: (r.status, len(r.error)) for r in L.current_status(df, key="clip", order=["seq"], status="status", error="error").collect()}
-    assert now == {"a": ("published", 1000), "b": ("failed", 1000), "hot": ("excluded", 1000)}
+    assert now == {"a": ("published", 1200), "b": ("failed", 1200), "hot": ("excluded", 1200)}
 
 
 def test_pressure_edges(spark, split_keys):
