@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that one numpy pass works on; a longer single text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 BASE, LANE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SEED = 20240607
 

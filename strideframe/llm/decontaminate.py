@@ -1,7 +1,7 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is Parquet, one row per segment (a few MB of text): its documents, their first word positions,
-and per distinct word the sorted positions of all its occurrences. Positions run through the segment and
+The index is Parquet, one row per segment (a few MB of text), numbered by the task that wrote it and its place there: its
+documents, their first word positions, and per distinct word the sorted positions of all its occurrences. Positions run through the segment and
 skip one between documents, so no phrase crosses a document. All words of all documents are posted.
 
 A search is given to every segment in blocks of at most `BLOCK_WORDS` benchmark words (the stated query
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,14 +31,18 @@ WINDOW = 10
 SEGMENT_BYTES = 4 << 20
 BLOCK_WORDS = 2_000_000
 INSIDE = B.byte_set((0, 47), (58, 96), (123, 127))
-SEGMENT = ["keys", "n_words", "terms", "counts", "positions"]
+SEGMENT = ["part", "seq", "keys", "n_words", "terms", "counts", "positions"]
 
 
 def tokens(data, offsets):
     """(word hashes, words per text)."""
-    low = B.lower_table()[data]
-    first, stop, count = B.words(low, offsets, INSIDE)
-    return B.mix(B.Rolling(low).pieces(first, stop)), count
+    hashes, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for a, b in B.cut(offsets):
+        low = B.lower_table()[data[offsets[a]:offsets[b]]]
+        first, stop, count = B.words(low, offsets[a:b + 1] - offsets[a], INSIDE)
+        hashes.append(B.mix(B.Rolling(low).pieces(first, stop)))
+        counts.append(count)
+    return np.concatenate(hashes), np.concatenate(counts)
 
 
 def write_index(df: DataFrame, path: str, key: str, text: str) -> None:
@@ -45,8 +50,10 @@ def write_index(df: DataFrame, path: str, key: str, text: str) -> None:
     kind = source.schema[key].dataType.simpleString()
 
     def run(batches):
+        part, seq = TaskContext.get().partitionId(), -1
         for batch in batches:
             for a, data, offsets in B.blocks(batch, text, SEGMENT_BYTES):
+                seq += 1
                 words, count = tokens(data, offsets)
                 keys = batch.column(0).slice(a, len(count))
                 keys = pa.concat_arrays([keys])
@@ -55,10 +62,10 @@ def write_index(df: DataFrame, path: str, key: str, text: str) -> None:
                 terms, counts = np.unique(words[order], return_counts=True)
                 one = pa.array([0, len(count)], pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    pa.ListArray.from_arrays(one, keys), pa.ListArray.from_arrays(one, pa.array(count)),
+                    pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.ListArray.from_arrays(one, keys), pa.ListArray.from_arrays(one, pa.array(count)),
                     *[pa.array([x.tobytes()], pa.binary()) for x in (terms, counts.astype(np.uint32), place[order])]], names=SEGMENT)
 
-    source.mapInArrow(run, f"keys array<{kind}>, n_words array<bigint>, terms binary, counts binary, positions binary").write.parquet(path)
+    source.mapInArrow(run, f"part int, seq int, keys array<{kind}>, n_words array<bigint>, terms binary, counts binary, positions binary").write.parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -102,11 +109,9 @@ class Segment:
             starts = starts[there[near] == starts + k]
         return starts
 
-    def near(self, words, distance):
+    def near(self, slots, distance):
         """Positions of the rarest word with every other word at most `distance` words away, in the same document."""
-        slots = np.unique(self.slots(words))
-        if slots[0] < 0:
-            return np.empty(0, np.int64)
+        slots = np.unique(slots)
         slots = slots[np.argsort(self.at[slots + 1] - self.at[slots], kind="stable")]
         found = self.list_of(slots[0])
         doc = lambda p: np.searchsorted(self.first, p, side="right")
@@ -121,21 +126,39 @@ class Segment:
         return found
 
 
-def _windows(items, size):
-    """(words by window, padded by the last word; lengths; item numbers) of all benchmark windows."""
-    rows, lengths, names = [], [], []
-    for i, (_, raw) in enumerate(items):
-        w = np.frombuffer(raw, np.uint64)
-        if not len(w):
-            continue
-        n = min(size, len(w))
-        view = np.lib.stride_tricks.sliding_window_view(w, n)
-        rows.append(np.concatenate([view, np.repeat(view[:, -1:], size - n, axis=1)], axis=1))
-        lengths.append(np.full(len(view), n))
-        names.append(np.full(len(view), i))
-    if not rows:
-        return np.empty((0, size), np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(rows), np.concatenate(lengths), np.concatenate(names)
+class Windows:
+    """All windows of a block of benchmark items, found by their rarest words."""
+
+    def __init__(self, names, lengths, owner, terms, words, at, visit):
+        self.names, self.lengths, self.owner, self.terms, self.words, self.at, self.visit = names, lengths, owner, terms, words, at, visit
+
+    @classmethod
+    def of(cls, items, size):
+        rows, lengths, owner = [np.empty((0, size), np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i, (_, raw) in enumerate(items):
+            w = np.frombuffer(raw, np.uint64)
+            if len(w):
+                n = min(size, len(w))
+                view = np.lib.stride_tricks.sliding_window_view(w, n)
+                rows.append(np.concatenate([view, np.repeat(view[:, -1:], size - n, axis=1)], axis=1))
+                lengths.append(np.full(len(view), n))
+                owner.append(np.full(len(view), i))
+        rows = np.concatenate(rows)
+        terms, words, often = np.unique(rows, return_inverse=True, return_counts=True)
+        words = words.reshape(rows.shape)
+        rarest = words[np.arange(len(words)), often[words].argmin(axis=1)] if len(words) else np.empty(0, np.int64)
+        # The windows of term t are visit[at[t]:at[t + 1]].
+        return cls([i[0] for i in items], np.concatenate(lengths), np.concatenate(owner), terms, words,
+                   B.starts(np.bincount(rarest, minlength=len(terms))), np.argsort(rarest, kind="stable"))
+
+    def present(self, seg):
+        """(window, slots of its words in the segment) of each window all of whose words have postings there."""
+        slots = seg.slots(self.terms)
+        seen = np.flatnonzero(slots >= 0)
+        w = np.sort(self.visit[B.ranges(self.at[seen], self.at[seen + 1] - self.at[seen])])
+        found = slots[self.words[w]]
+        ok = (found >= 0).all(axis=1)
+        return w[ok].tolist(), found[ok]
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str):
@@ -163,31 +186,29 @@ def search(index: DataFrame, benchmark: DataFrame, key: str, item: str = "item_i
 
     def one(shared):
         def run(batches):
-            names, (words, lengths, owner) = shared.value
+            windows = Windows(*shared.value)
             for batch in batches:
                 for i in range(batch.num_rows):
-                    keys, n_words = batch.column(1)[i].values, batch.column(2)[i].values.to_numpy()
-                    seg = Segment(n_words, *(batch.column(k)[i].as_py() for k in (3, 4, 5)))
-                    spans, items = _hits(seg, n_words, words, lengths, owner, names)
+                    keys, n_words = batch.column(2)[i].values, batch.column(3)[i].values.to_numpy()
+                    seg = Segment(n_words, *(batch.column(k)[i].as_py() for k in (4, 5, 6)))
+                    spans, items = _hits(seg, n_words, windows)
                     n = len(n_words)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([batch.column(0)[i].as_py()] * n, pa.int64()), pa.array(np.arange(n), pa.int32()), keys, pa.array(n_words), spans, items],
-                        names=["seg", "doc", "key", "n_words", "spans", "items"])
+                    where = [pa.array(np.full(n, batch.column(k)[i].as_py(), np.int32)) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*where, pa.array(np.arange(n), pa.int32()), keys, pa.array(n_words), spans, items],
+                                                     names=["part", "seq", "doc", "key", "n_words", "spans", "items"])
 
         return run
 
-    rows = None
-    # Segments are numbered only to bring the blocks of a search together.
-    numbered = index.select(F.xxhash64("terms", "positions", "keys").alias("seg"), *SEGMENT)
     found = []
     for block in _blocks(benchmark, item, text):
-        shared = context.broadcast(([b[0] for b in block], _windows(block, window)))
-        found.append(numbered.mapInArrow(one(shared), f"seg long, doc int, key {kind}, n_words long, spans array<struct<start:bigint,stop:bigint>>, items array<string>"))
+        shared = context.broadcast(tuple(vars(Windows.of(block, window)).values()))
+        found.append(index.select(*SEGMENT).mapInArrow(one(shared), f"part int, seq int, doc int, key {kind}, n_words long, spans array<struct<start:bigint,stop:bigint>>, items array<string>"))
     rows = found[0]
     if len(found) > 1:
         for more in found[1:]:
             rows = rows.unionByName(more)
-        rows = rows.withColumn("k", F.xxhash64(F.col("key").cast("string"))).groupBy("seg", "doc", "k").agg(
+        # A document is named by its place in the index, so rows that repeat a key stay apart.
+        rows = rows.groupBy("part", "seq", "doc").agg(
             F.first("key").alias("key"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
         rows = rows.withColumn("spans", _merged("spans"))
     return rows.select(F.col("key").alias(key), "n_words", "spans", "items")
@@ -204,16 +225,16 @@ def _merged(spans):
     return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:bigint,stop:bigint>>"), step)
 
 
-def _hits(seg, n_words, words, lengths, owner, names):
+def _hits(seg, n_words, windows):
     n = len(n_words)
     starts, sizes, items = [], [], []
-    slots = seg.slots(words)
-    for w in np.flatnonzero((slots >= 0).all(axis=1)).tolist():
-        at = seg._phrase(slots[w, :lengths[w]])
+    for w, slots in zip(*windows.present(seg)):
+        size = windows.lengths[w]
+        at = seg._phrase(slots[:size])
         if len(at):
             starts.append(at)
-            sizes.append(np.full(len(at), lengths[w]))
-            items.append(np.full(len(at), owner[w]))
+            sizes.append(np.full(len(at), size))
+            items.append(np.full(len(at), windows.owner[w]))
     if not starts:
         none = pa.array(np.zeros(n + 1, np.int32))
         empty = pa.StructArray.from_arrays([pa.array([], pa.int64())] * 2, names=["start", "stop"])
@@ -226,12 +247,12 @@ def _hits(seg, n_words, words, lengths, owner, names):
     doc = np.searchsorted(seg.first, first, side="right") - 1
     spans = pa.StructArray.from_arrays([pa.array(first - seg.first[doc]), pa.array(stop - seg.first[doc])], names=["start", "stop"])
     pairs = np.unique(np.stack([np.searchsorted(seg.first, starts, side="right") - 1, items], axis=1), axis=0)
-    labels = pa.array(sorted_names(pairs, names), pa.string())
+    labels = pa.array(names_of(pairs, windows.names), pa.string())
     return (pa.ListArray.from_arrays(pa.array(B.starts(np.bincount(doc, minlength=n)).astype(np.int32)), spans),
             pa.ListArray.from_arrays(pa.array(B.starts(np.bincount(pairs[:, 0], minlength=n)).astype(np.int32)), labels))
 
 
-def sorted_names(pairs, names):
+def names_of(pairs, names):
     return [names[i] for i in pairs[:, 1].tolist()]
 
 
@@ -250,21 +271,21 @@ def proximity(index: DataFrame, benchmark: DataFrame, key: str, distance: int, i
 
     def one(shared):
         def run(batches):
-            names, (words, lengths, owner) = shared.value
+            windows = Windows(*shared.value)
             for batch in batches:
                 for i in range(batch.num_rows):
-                    keys, n_words = batch.column(0)[i].values, batch.column(1)[i].values.to_numpy()
-                    seg = Segment(n_words, *(batch.column(k)[i].as_py() for k in (2, 3, 4)))
-                    got = [np.stack([p, np.full(len(p), owner[w])], axis=1) for w in np.flatnonzero((seg.slots(words) >= 0).all(axis=1)).tolist()
-                           if len(p := seg.near(words[w, :lengths[w]], distance))]
+                    keys, n_words = batch.column(2)[i].values, batch.column(3)[i].values.to_numpy()
+                    seg = Segment(n_words, *(batch.column(k)[i].as_py() for k in (4, 5, 6)))
+                    got = [np.stack([p, np.full(len(p), windows.owner[w])], axis=1) for w, slots in zip(*windows.present(seg))
+                           if len(p := seg.near(slots[:windows.lengths[w]], distance))]
                     if got:
                         both = np.unique(np.concatenate(got), axis=0)
                         doc = np.searchsorted(seg.first, both[:, 0], side="right") - 1
-                        yield pa.RecordBatch.from_arrays([keys.take(pa.array(doc)), pa.array(sorted_names(both, names)), pa.array(both[:, 0] - seg.first[doc])], names=["key", "item", "word"])
+                        yield pa.RecordBatch.from_arrays([keys.take(pa.array(doc)), pa.array(names_of(both, windows.names)), pa.array(both[:, 0] - seg.first[doc])], names=["key", "item", "word"])
 
         return run
 
-    found = [index.select(*SEGMENT).mapInArrow(one(context.broadcast(([b[0] for b in block], _windows(block, window)))), f"key {kind}, item string, word long")
+    found = [index.select(*SEGMENT).mapInArrow(one(context.broadcast(tuple(vars(Windows.of(block, window)).values()))), f"key {kind}, item string, word long")
              for block in _blocks(benchmark, item, text)]
     rows = found[0]
     for more in found[1:]:

@@ -35,21 +35,31 @@ STATS = ["log_bytes", "log_words", "mean_word", "upper", "digit", "space", "line
 INSIDE = B.byte_set((0, 47), (58, 64), (91, 96), (123, 127))
 
 
-def _share(data, offsets, flags):
-    total = np.zeros(len(data) + 1)
-    np.cumsum(flags[data], out=total[1:])
-    return (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)
+# Classes of bytes whose shares are statistics; every other byte is in class 0.
+CLASSES = [("upper", range(65, 91)), ("digit", range(48, 58)), ("space", b" \t"), ("line", b"\n\r"), ("sentence", b".,;:?"), ("mark", b"!"),
+           ("symbol", b"#$%&*+-/<=>@\\^_`~()[]{}\"'"), ("pipe", b"|"), ("high", range(128, 256)), ("control", bytes([*range(0, 9), 11, 12, *range(14, 32), 127]))]
 
 
-def _flags(chars: bytes):
-    out = np.zeros(256)
-    out[list(chars)] = 1
+def _class_table():
+    out = np.zeros(256, np.uint8)
+    for k, (_, members) in enumerate(CLASSES):
+        out[list(members)] = k + 1
     return out
 
 
-CLASSES = [("upper", _flags(bytes(range(65, 91)))), ("digit", _flags(bytes(range(48, 58)))), ("space", _flags(b" \t")), ("line", _flags(b"\n\r")),
-           ("sentence", _flags(b".,;:?")), ("mark", _flags(b"!")), ("symbol", _flags(b"#$%&*+-/<=>@\\^_`~()[]{}\"'")), ("pipe", _flags(b"|")),
-           ("high", (np.arange(256) >= 128).astype(float)), ("control", _flags(bytes([*range(0, 9), 11, 12, *range(14, 32), 127])))]
+CLASS_OF = _class_table()
+
+
+def _counts(flags, first, stop):
+    """How many of the flags first..stop are set, for ascending pieces that do not overlap."""
+    out = np.zeros(len(first), np.int64)
+    some = np.flatnonzero(stop > first)
+    if len(some):
+        edges = np.stack([first[some], stop[some]], axis=1).ravel()
+        # The piece after the last edge is not asked for; an edge at the end of the flags can not be given.
+        edges = edges[:-1] if edges[-1] == len(flags) else edges
+        out[some] = np.add.reduceat(flags, edges, dtype=np.int64)[::2]
+    return out
 
 
 def inputs(data, offsets):
@@ -66,11 +76,12 @@ def inputs(data, offsets):
     size = np.diff(offsets)
     stats = {"log_bytes": np.log1p(size), "log_words": np.log1p(count),
              "mean_word": np.bincount(row, stop - first, minlength=n) / np.maximum(count, 1)}
-    stats |= {name: _share(data, offsets, flags) for name, flags in CLASSES}
+    kind = CLASS_OF[data]
+    for k, (name, _) in enumerate(CLASSES):
+        stats[name] = _counts((kind == k + 1).view(np.uint8), offsets[:-1], offsets[1:]) / np.maximum(size, 1)
     stats["distinct"] = different / np.maximum(count, 1)
-    upper = np.zeros(len(data) + 1)
-    np.cumsum(CLASSES[0][1][data], out=upper[1:])
-    stats["upper_words"] = np.bincount(row, (upper[stop] - upper[first] == stop - first) & (stop - first > 1), minlength=n) / np.maximum(count, 1)
+    upper = _counts((kind == 1).view(np.uint8), first, stop)
+    stats["upper_words"] = np.bincount(row, (upper == stop - first) & (stop - first > 1), minlength=n) / np.maximum(count, 1)
     inside = np.ones(256, bool)
     inside[[10, 13]] = False
     a, b, lines = B.words(data, offsets, inside)
@@ -99,6 +110,13 @@ class Model:
         self.v = np.zeros((WORDS + self.extra, FACTORS))
         self.mean, self.scale = np.zeros(self.extra), np.ones(self.extra)
 
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        """The model with the plain state that `vars` gives; models are sent to tasks so."""
+        out = cls.__new__(cls)
+        vars(out).update(state)
+        return out
+
     def scaled(self, dense):
         return np.clip((dense - self.mean) / self.scale, -GREATEST, GREATEST)
 
@@ -200,10 +218,10 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     source = docs.select(*dict.fromkeys([key, text, *metadata, *keep]))
     out = list(dict.fromkeys([key, *keep]))
     kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in out)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
-        m = shared.value
+        m = Model.of(shared.value)
         for batch in batches:
             for a, data, offsets in B.blocks(batch, text):
                 columns, values, at, stats = inputs(data, offsets)

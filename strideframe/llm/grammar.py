@@ -1,7 +1,7 @@
 """Token ids in shards compressed by Re-Pair, with random access.
 
 Texts are encoded with a public tokenizer whose path is a parameter, each document gets an end id, and
-documents in ascending key order fill shards of about `SHARD_TOKENS` ids. In a shard, frequent
+documents in ascending key order (rows that repeat a key by their texts) fill shards of about `SHARD_TOKENS` ids. In a shard, frequent
 pairs of neighbouring symbols are replaced by nonterminals again and again: each round counts all pairs,
 takes those at or above a threshold that halves from the highest count on, and replaces them from
 the left. Pairs never cross documents. A shard keeps the rules, their expansion lengths and the
@@ -41,12 +41,14 @@ PIECE = np.zeros(256, np.uint8)
 PIECE[33:127] = 2
 PIECE[[*range(65, 91), *range(97, 123)]] = 1
 PIECE[39] = 0
+PROBE = "  The quick, brown fox's 12 jumps!  Over\tthe_lazy-dog.\n\nNaïve CAFÉ ½ 東京、🙂 x<|y a\u00a0b\u200bc \u2028 d'Arc O'Neil's (3.14%) &amp; "
 
 
 class WordCache:
     """Ids of texts. Pieces of words are encoded by the tokenizer once and then looked up.
 
-    Valid for tokenizers whose pieces never span white space and that drop it, as the word tokenizer does. Words are cut further
+    Valid for tokenizers whose pieces never span white space and that drop it, as the word tokenizer does; a probe text tells, and
+    others encode whole texts. Words are cut further
     where an ASCII letter meets ASCII punctuation or a digit (not at apostrophes), and brought to lower case where the tokenizer
     does so; blocks that may hold a special token's text are cut at spaces only. The memory belongs to the worker process and
     serves its later tasks.
@@ -74,6 +76,10 @@ class WordCache:
         self.memory = kept.setdefault(path, {"tokenizer": self.tokenizer})
         if "keys" not in self.memory:
             self._clear()
+        # The look-up is used only where it gives what the library gives for a text of all kinds of characters.
+        self.whole = False
+        probe = PROBE.encode()
+        self.whole = self.encode(np.frombuffer(probe, np.uint8), np.array([0, len(probe)]))[0].tolist() != self._ids(PROBE)
 
     def _ids(self, text):
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -134,6 +140,10 @@ class WordCache:
 
     def encode(self, data, offsets):
         """(ids, ids per text) of a block of texts."""
+        if self.whole:
+            raw = data.tobytes()
+            found = [e.ids for e in self.tokenizer.encode_batch([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], add_special_tokens=False)]
+            return np.fromiter(itertools.chain.from_iterable(found), np.uint32), np.array([len(x) for x in found], np.int64)
         data, raw, first, stop, per_text = self._pieces(data, offsets)
         if not len(first):
             return np.empty(0, np.uint32), np.zeros(len(per_text), np.int64)
@@ -263,7 +273,8 @@ def write(df: DataFrame, path: str, key: str, text: str, tokenizer: str, end_id:
     """Encode, compress and write all documents in ascending key order below `path`."""
     source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    ordered = source.repartitionByRange("key").sortWithinPartitions("key")
+    # Rows that repeat a key are ordered by their texts, and spread by a hash of them.
+    ordered = source.withColumn("nth", F.xxhash64("text")).repartitionByRange("key", "nth").sortWithinPartitions("key", "nth", "text").select("key", "text")
     columns = ["part", "seq", "keys", "lengths", "symbols", "n_tokens", "payload"]
 
     def run(batches):

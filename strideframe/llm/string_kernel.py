@@ -128,10 +128,10 @@ def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """(key, lang_pred, score) of every row."""
     source = df.select(key, text, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
     kind = source.schema[key].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
-        m = shared.value
+        m = Model(**shared.value)
         names = np.array([*m.names, UNKNOWN], object)
         for batch in batches:
             letter = np.asarray(batch.column(2))

@@ -360,6 +360,9 @@ def padded(text: bytes) -> bytes:
 
 # --- tables
 
+DAMAGE = (ValueError, struct.error, zlib.error, KeyError, IndexError, OverflowError, TypeError, MemoryError)      # what reading a damaged file may raise
+
+
 def store_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """Every text as a TIFF: `key`, `n_bytes` (UTF-8, unpadded) and `media`. Null texts count as empty."""
     source = df.select(key, text)
@@ -390,7 +393,7 @@ def decode_pages(df: DataFrame, key: str, media: str) -> DataFrame:
             for p in pages(value):
                 number = p.number + 1
                 yield (p.number, p.sub, p.width, p.height, p.samples, p.bits, p.compression, p.predictor, p.tiled, p.parts, p.pixels.tobytes(), None)
-        except (ValueError, struct.error, zlib.error, KeyError, IndexError, OverflowError, TypeError, MemoryError) as e:
+        except DAMAGE as e:
             yield (number, None, None, None, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}")
 
     types = [pa.int32(), pa.bool_(), *[pa.int32()] * 4, pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.string()]
@@ -426,7 +429,10 @@ def picture_hash(pixels: np.ndarray) -> str:
 
 
 def read_payloads(df: DataFrame, key: str, media: str, keep: list[str]) -> DataFrame:
-    """The samples of all pages of a file, read back and joined, as digests and features, one row per file."""
+    """The samples of all pages of a file, read back and joined, as digests and features, one row per file.
+
+    A null or damaged file, or one without a page, has nulls there and 0 pages.
+    """
     import hashlib
 
     source = df.select(key, media, *keep)
@@ -434,9 +440,14 @@ def read_payloads(df: DataFrame, key: str, media: str, keep: list[str]) -> DataF
 
     def one(value):
         parts, codes = [], []
-        for p in pages(value):
-            parts.append(p.pixels)
-            codes.append((p.compression, "tiles" if p.tiled else "strips", p.predictor))
+        try:
+            for p in pages(value or b""):
+                parts.append(p.pixels)
+                codes.append((p.compression, "tiles" if p.tiled else "strips", p.predictor))
+        except DAMAGE:
+            parts = []
+        if not parts:
+            return (None,) * 6 + (0, None)
         whole = np.concatenate(parts)
         body = whole.tobytes()
         code = codes[0]

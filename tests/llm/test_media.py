@@ -79,3 +79,13 @@ def test_pages_of_damaged_files(spark):
     by = {k: [r for r in got if r.id == k] for k in range(1, 6)}
     assert [r.page for r in by[1]] == list(range(len(by[1]))) and len(by[1]) > 1 and b"".join(bytes(r.data) for r in by[1]) == T.padded(b"page " * 60_000)
     assert by[2] == by[3] == [] and by[4][0].error and by[5][-1].error and by[5][-1].data is None
+
+
+def test_payloads_of_null_and_damaged_files(spark):
+    whole = T.store(T.padded(b"some text"))
+    rows = [(1, whole), (2, None), (3, b""), (4, b"no image"), (5, whole[:40]), (6, b"II*\0\0\0\0\0"), (1, whole)]
+    got = sorted((tuple(r) for r in T.read_payloads(spark.createDataFrame(rows, "id int, media binary"), "id", "media", []).collect()), key=str)
+    assert [r[0] for r in got] == [1, 1, 2, 3, 4, 5, 6] and got[0] == got[1]
+    assert got[0][1] == 64 and got[0][2] == hashlib.sha256(T.padded(b"some text")).hexdigest()
+    for r in got[2:]:
+        assert r[1:] == (None,) * 6 + (0, None)

@@ -191,6 +191,38 @@ def test_pipeline_stages(spark):
     assert sorted(r.doc_id for r in after) == sorted(r.doc_id for r in before) and sum(r.n_tokens for r in after) > 0
 
 
+def test_near_duplicates_keep_different_texts_that_share_an_id(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "other words here", "en"), (1, f"{long} end", "en"), (2, long, "en"), (None, long, "de"), (None, "alone and without an id", "fr"), (4, "twice the same row", "en"),
+            (4, "twice the same row", "en"), (5, "", "en"), (6, None, "en"), (None, "alone and without an id, but more", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(4)
+    got = sorted(map(str, (tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())))
+    assert got == sorted(map(str, [r for i, r in enumerate(rows) if i not in (2, 3, 6)]))
+
+
+def test_queries_run_where_executors_have_no_copy(tmp_path):
+    """The package is on the driver's path only, as in a session started from another folder."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").getOrCreate()
+for name, query in entry.queries().items():
+    if name.startswith("op") or name == "pipeline":
+        print(name, query(spark, {SF!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_ENV_LOADED")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "pipeline" in done.stdout
+
+
 def test_pipeline_takes_null_and_clashing_columns(spark, tmp_path):
     rows = [(k, t, "en", "src1", n) for k, t, n, _ in quality_rows(60)] + [(None, None, None, None, None), (500, "", None, "", 0), (1, "dup", None, "x9", 3), (1, "dup", None, "x9", 3)]
     docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, score string, nth int")

@@ -302,3 +302,43 @@ def test_mixing_by_hand(spark, share, epochs):
     assert dict(taken) == {k: v for k, v in budgets.items() if len(k) == 3 and v}
     assert sum(taken.values()) == budgets[()]
     assert mixing.choose(df.limit(0), "doc_id", levels, weights, share, epochs, 5, tokens="n").count() == 0
+
+
+def test_index_keeps_rows_that_repeat_a_key(spark, tmp_path, monkeypatch):
+    """The same rows in one block of the benchmark and in many, over partitions whose segments are equal."""
+    text = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, None), (3, "none of it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    benchmark = spark.createDataFrame([("a", text), ("b", "nine ten eleven"), ("b", "nine ten eleven"), ("c", "absent words"), ("d", None)], "item_id string, text string")
+    decontaminate.write_index(df, str(tmp_path / "i"), "doc_id", "text")
+    index = decontaminate.read_index(spark, str(tmp_path / "i"))
+    seen = []
+    for words in (2_000_000, 5):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", words)
+        found = decontaminate.report(decontaminate.search(index, benchmark, "doc_id"), "doc_id")
+        seen.append(sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items) for r in found.collect()))
+    assert seen[0] == seen[1] == sorted([("1", 11, 11, 2)] * 2 + [("2", 11, 11, 2), ("None", 11, 11, 2), ("None", 0, 0, 0), ("3", 3, 0, 0)])
+
+
+def test_token_shards_order_rows_that_repeat_a_key_by_their_texts(spark, tmp_path):
+    rows = [(k, f"text {i} of key {k}") for k in (None, 3, 7) for i in range(60)]
+    got = []
+    for n, parts in enumerate((1, 7)):
+        random.Random(n).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        grammar.write(df, str(tmp_path / str(n)), "doc_id", "text", Q.tokenizer_path(), end_id=1, shard_tokens=50)
+        got.append(sorted((str(r.doc_id), r.start, r.n_tokens, r.ids_crc32) for r in grammar.documents(grammar.read(spark, str(tmp_path / str(n))), "doc_id").collect()))
+    assert got[0] == got[1] and len(got[0]) == 180
+
+
+def test_words_are_looked_up_only_where_the_library_agrees():
+    import public_tokenizers
+
+    texts = ["Two  words, and\tmore.", "", " leading", "trailing "]
+    data = "".join(texts).encode()
+    at = np.cumsum([0] + [len(t.encode()) for t in texts])
+    for name, whole in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        cache = grammar.WordCache(public_tokenizers.path(name))
+        ids, counts = cache.encode(np.frombuffer(data, np.uint8), at)
+        assert cache.whole is whole
+        assert ids.tolist() == [i for t in texts for i in cache._ids(t)] and counts.tolist() == [len(cache._ids(t)) for t in texts]
