@@ -34,14 +34,24 @@ def _free(name: str, docs: DataFrame) -> str:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of five-word shingle sets linked at 0.8; rows that repeat its id go too."""
-    groups = ngram_join.components(docs, size=SHINGLE, num=SIMILAR[0], den=SIMILAR[1])
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    nth = _free("nth", docs)
-    ranked = kept.join(again, "doc_id", "left_semi").withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))).where(F.col(nth) == 1)
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(ranked.select(*docs.columns))
+    """Of each group of five-word shingle sets linked at 0.8, the row with the smallest id (a null id last, then by content).
+
+    Rows are told apart by a 128-bit hash of all their columns, so different texts that share an id, or have none, are
+    rows of their own; rows equal in every column are one row.
+    """
+    row, nth = _free("row", docs), _free("nth", docs)
+    rows = docs.withColumn(row, F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), *docs.columns)), 16, "0") for k in (0, 1)])))
+    groups = ngram_join.components(rows, key=row, size=SHINGLE, num=SIMILAR[0], den=SIMILAR[1])
+    linked = materialise(groups.where(F.col(row) != F.col("component_id")).select(F.col(row).alias("row"), F.col("component_id").alias("group")).distinct(), "linked")
+    members = linked.unionByName(linked.select(F.col("group").alias("row"), "group").distinct())
+    ids = members.join(rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id")).distinct(), "row")
+    # The smallest of a group combines before the shuffle, however large the group.
+    best = ids.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")).select(F.col("best.row").alias("row"))
+    gone = members.select("row").join(best, "row", "left_anti").withColumnRenamed("row", row)
+    again = groups.groupBy(row).count().where("count > 1").select(row)
+    kept = rows.join(gone, row, "left_anti")
+    once = kept.join(again, row, "left_semi").withColumn(nth, F.row_number().over(Window.partitionBy(row).orderBy(F.lit(1)))).where(F.col(nth) == 1)
+    return kept.join(again, row, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
