@@ -49,9 +49,10 @@ def ranges(first, lengths) -> np.ndarray:
     return out
 
 
-def cut(offsets, limit=BLOCK_BYTES):
+def cut(offsets, limit=None):
     """Row ranges of at most `limit` bytes, one row at least."""
     n, row = len(offsets) - 1, 0
+    limit = limit or BLOCK_BYTES
     while row < n:
         stop = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
         stop = min(n, max(stop, row + 1))
@@ -59,7 +60,7 @@ def cut(offsets, limit=BLOCK_BYTES):
         row = stop
 
 
-def blocks(batch, text, limit=BLOCK_BYTES):
+def blocks(batch, text, limit=None):
     """(first row, bytes, offsets) of each block of a record batch."""
     data, offsets = flat(batch.column(batch.schema.get_field_index(text)))
     for a, b in cut(offsets, limit):

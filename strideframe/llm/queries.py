@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.llm import chat, decontaminate, fm, grammar, mixing, ngram_join, string_kernel, suffix_merge, tag_paths, tiff
+from strideframe.llm import chat, decontaminate, divergence, fm, grammar, mixing, ngram_join, piece_table, span_pieces, string_kernel, suffix_merge, tag_paths, tiff
 from strideframe.session import work_dir
 
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def _read(spark, sf_dir, name, *columns):
@@ -101,6 +101,31 @@ def op9_chat_windows(spark, sf_dir):
     return chat.read_back(chat.windows(talk.unionByName(extra)))
 
 
+def op11_translate_divergence(spark, sf_dir):
+    """How the sources of each language differ in their words: all pairs, and the terms each source uses more than its language."""
+    return divergence.audit(_read(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+def op12_piece_table_fim(spark, sf_dir):
+    """Every text arranged for filling in the middle, and restored from the output and its form."""
+    arranged = piece_table.arrange(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    keep = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    return piece_table.restore(arranged, keep).drop("text")
+
+
+def op13_offset_pieces(spark, sf_dir):
+    """Every text in pieces that know their bytes of the text, with begin and end ids, and decoded again."""
+    import public_tokenizers
+
+    return span_pieces.digests(_read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(PIECES))
+
+
+def tiff_pages(spark, sf_dir):
+    """One row for each page of the stored texts, decoded: its geometry, coding and a digest of its samples."""
+    stored = tiff.store_texts(_read(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    return tiff.decode_pages(stored, "doc_id", "media").withColumn("data_sha256", F.sha2("data", 256)).drop("data")
+
+
 QUERIES = {
     "op1_tiff_pages": op1_tiff_pages,
     "op2_repair_tokens": op2_repair_tokens,
@@ -112,6 +137,10 @@ QUERIES = {
     "op8_factor_quality": op8_factor_quality,
     "op9_chat_windows": op9_chat_windows,
     "op10_positional_index": op10_positional_index,
+    "op11_translate_divergence": op11_translate_divergence,
+    "op12_piece_table_fim": op12_piece_table_fim,
+    "op13_offset_pieces": op13_offset_pieces,
+    "tiff_pages": tiff_pages,
 }
 
 def _mix_sql():
@@ -193,9 +222,40 @@ SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || ch
  CAST(coalesce(sum(length(x)) FILTER (WHERE r = '{chat.TARGET}'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE r = '{chat.TARGET}'), '')) AS loss_sha256,
  CAST(any_value(formatted_chars) AS BIGINT) AS formatted_chars FROM s JOIN f ON f.conv_id = s.conv_id GROUP BY s.conv_id"""
 
+_DIVERGENCE_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS nl FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.LEAST}),
+l AS (SELECT lang, count(*) AS v, sum(nl) AS total FROM k GROUP BY lang),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN k ON k.lang = t.lang AND k.term = t.term GROUP BY ALL),
+g AS (SELECT x.lang, x.source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN c ON c.lang = x.lang AND c.source = x.source GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5)) // (CAST(g.total AS HUGEINT) + 5 * l.v) AS p,
+  1 + (CAST(1000000000 AS HUGEINT) * (k.nl + 5)) // (CAST(l.total AS HUGEINT) + 5 * l.v) AS q
+  FROM g JOIN l ON l.lang = g.lang JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+a AS (SELECT x.lang, x.source, y.source AS item, coalesce(v, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN (SELECT m.lang, m.source AS s, o.source AS i, sum(abs(m.p - o.p)) AS v FROM p m JOIN p o ON m.lang = o.lang AND m.term = o.term AND m.source <> o.source GROUP BY ALL) z
+  ON z.lang = x.lang AND z.s = x.source AND z.i = y.source),
+f AS (SELECT lang, source, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+u AS (SELECT *, 'pair' AS part FROM a UNION ALL SELECT *, 'term' AS part FROM f),
+o AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+_FIM_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, sha256('{piece_table.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+n AS (SELECT *, len(w) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+  CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= {piece_table.SHARE} THEN 'plain' WHEN h4 % 100 < {piece_table.SPM_SHARE} THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(x) AS restored_sha256 FROM p"""
+
 ORACLES: dict[str, str] = {
     "op4_tree_mixing": _mix_sql(),
     "op5_ngram_jaccard": _JACCARD_SQL,
     "op9_chat_windows": _CHAT_SQL,
     "op10_positional_index": _PHRASE_SQL,
+    "op11_translate_divergence": _DIVERGENCE_SQL,
+    "op12_piece_table_fim": _FIM_SQL,
 }
