@@ -3,10 +3,19 @@
 A page is read into its text blocks, each with its root-to-leaf path of tags. Per path, the text length and the
 punctuation are summed and divided by the number of blocks (text ratio and punctuation ratio); the
 ratios of the blocks in page order are smoothed with a Gaussian and both are fused into one score. Paths whose mean
-score reaches the threshold are content. The content node is the deepest element that holds all of their blocks, more
-than one text block, and the text next to it: it widens to an article or main element around it, and to its parent while
-that holds other text than links (in the body: headings or punctuated text). All of its blocks are kept but those inside
-elements that are never content (menus, headers, footers, sidebars, adverts, notices, forms, comments, scripts, styles).
+score reaches the threshold are content.
+
+Blocks of content paths that are long and punctuated beside the others are the nodes that the text is built on. Kept are these and
+
+* what lies between the first and the last of them, but blocks that are all links or of long text on another path;
+* an article or main element that holds most of their text, whole, and nothing else then;
+* the nearest heading before the first, with the text after it, and a heading after the last with the text of its section;
+* blocks of content paths beside them in one element (in the body: with punctuation), and all of their common
+  element where that is not the body and has no block of links; so too a single text beside that element.
+
+Everything else goes, so a menu, a line of rights or a teaser needs no known name. Elements that are never content (menus, headers,
+footers, sidebars, forms, scripts, styles) are not read, and names of furniture weigh: what such an element holds counts only
+if it is most of the page's punctuated text.
 
 Results for special inputs: null or empty html, and pages without a content block, give an empty text; unclosed and
 misnested tags are closed as their parents end; an unfinished tag at the end is dropped; repeated rows give equal
@@ -22,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-THRESHOLD = 0.5             # of the standard deviation of the blocks' scores
+THRESHOLD, SHARE = 0.5, 0.7 # of the standard deviation of the paths' scores, and of the largest
 SIGMA, RADIUS = 1.0, 2      # Gaussian over neighbouring blocks
+NEAR = 0.5                  # of the longest block's log length: what the text is built on
 
 # Fixed names of the markup language and words that name page furniture.
 SKIP = frozenset("script style noscript template head title svg math iframe object select textarea button option canvas video audio".split())
@@ -174,32 +184,61 @@ def _smooth(x):
     return np.convolve(x, k, mode="full")[RADIUS:RADIUS + len(x)] / weights
 
 
-def _node(found, chosen, marks):
-    """Which blocks lie in the content node."""
-    chains = [f[0] for f in found]
-    # A menu takes a part of its neighbours' score; only where all is links it is chosen.
-    at = np.flatnonzero(chosen).tolist()
-    some = [chains[i] for i in at if found[i][3]] or [chains[i] for i in at]
-    low, high = min(some), max(some)
+def _kept(found, chosen, marks):
+    """Numbers of the blocks of the main text, given those whose path is content."""
+    n = len(found)
+    chains, plain = [f[0] for f in found], [f[3] for f in found]
+    tags = [("", *f[1].split("/")) if f[1] else ("",) for f in found]
+    heading = [bool(HEADING.search(f[1])) for f in found]
+    size = np.log1p([len(f[2]) for f in found])
+    some = [i for i in range(n) if chosen[i] and plain[i]] or [i for i in range(n) if chosen[i]]
+    tall, marked = NEAR * max(size[i] for i in some), any(marks[i] for i in some)
+    strong = [i for i in some if size[i] >= tall and (marks[i] or not marked)] or some
+    # An article or main element that holds most of their text is the page's; else they stand for themselves.
+    mass: dict = {}
+    for i in strong:
+        top = next((k for k in range(1, len(tags[i])) if tags[i][k] in ("article", "main")), None)
+        if top:
+            mass[chains[i][:top + 1]] = mass.get(chains[i][:top + 1], 0) + len(found[i][2])
+    whole = [e for e in mass if 2 * sum(mass.values()) > sum(len(found[i][2]) for i in strong)]
+    if whole:
+        inside = [any(c[:len(e)] == e for e in whole) for c in chains]
+        return [i for i in range(n) if inside[i]]
+    first, last = strong[0], strong[-1]
+    wide = float(np.median([size[i] for i in strong]))
+    keep = {i for i in range(first, last + 1) if chosen[i] or heading[i] or (plain[i] and size[i] <= wide)}
+    beside = {chains[i][:-1] for i in strong if len(chains[i]) > 1}
+    for i in [*range(first), *range(last + 1, n)]:
+        own = tags[i][len(chains[i]) - 2] not in ("", "html", "body") if len(chains[i]) > 1 else False
+        if chosen[i] and plain[i] and chains[i][:-1] in beside and (own or marks[i]):
+            keep.add(i)
+    # Back to the nearest heading, over text that is no link, and headings right before it.
+    start = min(keep)
+    k = start - 1
+    while k >= 0 and plain[k] and not heading[k]:
+        k -= 1
+    if k >= 0 and heading[k]:
+        while k > 0 and heading[k - 1]:
+            k -= 1
+        keep.update(range(k, start))
+    # A heading after the text keeps the text after it in its element.
+    section = None
+    for i in range(max(keep) + 1, n):
+        if heading[i]:
+            section = chains[i][:-1]
+        if section is None or not plain[i] or chains[i][:len(section)] != section:
+            break
+        keep.add(i)
+    # The text's own element and the one around it, where they are no frame of the whole page.
+    low, high = min(chains[i] for i in strong), max(chains[i] for i in strong)
     depth = next((k for k, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-    node, tags = low[:depth], found[chains.index(low)][1].split("/")    # tags[k - 1] is the tag of node[k]
-    marked = [k for k in range(1, depth) if tags[k - 1] in ("article", "main")]
-    if marked:
-        node = node[:marked[0] + 1]
-    # From here to the root: other text beside the node widens it; what a node of one text block has beside it always does.
-    inside = np.array([c[:len(node)] == node for c in chains])
-    while len(node) > 1:
-        up = node[:-1]
-        wider = np.array([c[:len(up)] == up for c in chains])
-        beside = [i for i in np.flatnonzero(wider & ~inside).tolist() if found[i][3]]
-        if len(up) > 1 and tags[len(up) - 2] not in ("html", "body"):
-            widen = bool(beside)
-        else:
-            widen = any(marks[i] or HEADING.search(found[i][1]) for i in beside)
-        if widen or inside.sum() == 1:
-            inside = wider
-        node = up
-    return inside
+    for up in (low[:depth], low[:depth - 1]):
+        if len(up) > 1 and tags[strong[0]][len(up) - 1] not in ("html", "body"):
+            around = [i for i in range(n) if chains[i][:len(up)] == up]
+            more = [i for i in around if not (low[:depth] == chains[i][:depth] or i in keep)]
+            if all(plain[i] for i in around) and (len(up) == depth or len(more) < 2):
+                keep.update(around)
+    return sorted(keep)
 
 
 def _unnamed(found):
@@ -227,22 +266,26 @@ def _unnamed(found):
     return [f for f in found if all(n in kept for n, _ in f[4])]
 
 
+def _scores(size, marks, which):
+    """Score of each path, from text lengths, punctuation and path numbers of the blocks in page order."""
+    nodes = np.bincount(which)
+    by_text, by_mark = np.bincount(which, size) / nodes, np.bincount(which, marks) / nodes
+    # Smoothed ratios of the blocks, fused: both count relative to their largest.
+    a, b = _smooth(np.log1p(by_text)[which]), _smooth(np.log1p(by_mark)[which])
+    score = a / max(a.max(), 1e-9) * (0.5 + 0.5 * b / max(b.max(), 1e-9))
+    return np.bincount(which, score * size) / np.maximum(np.bincount(which, size), 1)
+
+
 def content(page: str | None) -> str:
     found = _unnamed(blocks(page)) if page else []
     if not found:
         return ""
-    paths, which = np.unique([f[1] for f in found], return_inverse=True)
+    _, which = np.unique([f[1] for f in found], return_inverse=True)
     size = np.array([len(f[2]) for f in found], float)
     marks = np.array([len(PUNCTUATION.findall(f[2])) for f in found], float)
-    nodes = np.bincount(which)
-    by_text, by_mark = np.bincount(which, size) / nodes, np.bincount(which, marks) / nodes
-    # Smoothed ratios of the blocks, fused: both count relative to their largest.
-    a, b = _smooth(np.log1p(by_text)[which]), _smooth(np.log1p(by_mark)[which])
-    score = a / max(a.max(), 1e-9) * (0.5 + 0.5 * b / max(b.max(), 1e-9))
-    of_path = np.bincount(which, score * size) / np.maximum(np.bincount(which, size), 1)
-    chosen = of_path >= max(THRESHOLD * score.std(), of_path.max() * 0.5)
-    inside = _node(found, chosen[which], marks)
-    return " ".join(found[i][2] for i in np.flatnonzero(inside).tolist())
+    of_path = _scores(size, marks, which)
+    chosen = of_path >= max(THRESHOLD * of_path.std(), of_path.max() * SHARE)
+    return " ".join(found[i][2] for i in _kept(found, chosen[which], marks))
 
 
 def extract(df: DataFrame, keep: list[str], page: str = "html") -> DataFrame:

@@ -107,6 +107,60 @@ def test_page_content_node_holds_all_of_the_text():
     assert tag_paths.content(f"<body>{menu}<div><div>{ps}</div></div></body>") == body
 
 
+PARAGRAPHS = "".join(f"<p>Paragraph {i} has some words, and more of them; it goes on and on, as ever. So it is.</p>" for i in range(6))
+PLAIN = " ".join(f"Paragraph {i} has some words, and more of them; it goes on and on, as ever. So it is." for i in range(6))
+# Pages of plain elements: no name, marker or link says what is furniture.
+BARE = [
+    (f"<body><div><div>Home</div><div>News</div><div>Sport</div></div><div><h1>Title</h1>{PARAGRAPHS}</div><div>All rights reserved 2024</div></body>", f"Title {PLAIN}"),
+    (f"<body><div><div><a href=x>Home</a></div><div><a>News</a></div></div><div><h1>Title</h1>{PARAGRAPHS}</div><div>All rights reserved 2024</div></body>", f"Title {PLAIN}"),
+    (f"<body><div><div><span>Home</span><span>News</span></div><div><div><h1>Title</h1>{PARAGRAPHS}</div></div><div>All rights reserved 2024</div></div></body>", f"Title {PLAIN}"),
+    (f"<body><div><ul><li>Home<li>News</ul><div>{PARAGRAPHS.replace('p>', 'div>')}</div><div>All rights reserved 2024</div></div></body>", PLAIN),
+    (f"<body><table><tr><td>Home<td>News<td>Sport<td>Art<td>A teaser, that is as long as a paragraph of the text; but one. So it is.<td>Travel<td>Shop<td>Help</table><div>{PARAGRAPHS}</div><ul><li>Tags<li>More, of the same; and so on, and on, as it goes.<li>x<li>y</ul></body>", PLAIN),
+]
+
+
+@pytest.mark.parametrize("k", range(len(BARE)))
+def test_pages_without_names_or_markers(k):
+    page, text = BARE[k]
+    assert tag_paths.content(page) == text
+
+
+def test_page_score_decides(monkeypatch):
+    """With one score for every path the teasers beside the text count as text."""
+    page, text = BARE[4]
+    monkeypatch.setattr(tag_paths, "_scores", lambda size, marks, which: np.ones(which.max() + 1))
+    assert tag_paths.content(page) != text
+
+
+def restated_scores(found):
+    """The score of each path, said plainly: ratios by path, Gaussian over blocks, fused, weighted by text length."""
+    paths = sorted({f[1] for f in found})
+    blocks = {p: [f[2] for f in found if f[1] == p] for p in paths}
+    text = {p: sum(map(len, b)) / len(b) for p, b in blocks.items()}
+    marks = {p: sum(len(tag_paths.PUNCTUATION.findall(x)) for x in b) / len(b) for p, b in blocks.items()}
+
+    def smoothed(ratio):
+        out = []
+        for i in range(len(found)):
+            near = [j for j in range(i - tag_paths.RADIUS, i + tag_paths.RADIUS + 1) if 0 <= j < len(found)]
+            w = [np.exp(-0.5 * ((i - j) / tag_paths.SIGMA) ** 2) for j in near]
+            out.append(sum(x * np.log1p(ratio[found[j][1]]) for x, j in zip(w, near)) / sum(w))
+        return out
+
+    a, b = smoothed(text), smoothed(marks)
+    score = [x / max(a) * (0.5 + 0.5 * y / max(max(b), 1e-9)) for x, y in zip(a, b)]
+    return [sum(s * len(f[2]) for s, f in zip(score, found) if f[1] == p) / sum(len(f[2]) for f in found if f[1] == p) for p in paths]
+
+
+def test_page_scores_equal_a_plain_restatement():
+    for page, _ in BARE:
+        found = tag_paths.blocks(page)
+        paths, which = np.unique([f[1] for f in found], return_inverse=True)
+        size = np.array([len(f[2]) for f in found], float)
+        marks = np.array([len(tag_paths.PUNCTUATION.findall(f[2])) for f in found], float)
+        assert np.allclose(tag_paths._scores(size, marks, which), restated_scores(found))
+
+
 def test_page_names_of_furniture():
     ps = "".join(f"<p>Paragraph {i} has some words, and more; it goes on.</p>" for i in range(6))
     body = " ".join(f"Paragraph {i} has some words, and more; it goes on." for i in range(6))
