@@ -9,6 +9,7 @@ from strideframe.bindings.registry import query
 from strideframe.functions import clocks
 from strideframe.functions import rotations as R
 from strideframe.operators import signals as S
+from strideframe.plans.recurrence import butterworth
 from strideframe.session import literal_rows
 from strideframe.sources.tables import read
 
@@ -113,6 +114,60 @@ def w10(spark, d):
     return rounded(out.select("event_id", "filtered"), "filtered")
 
 
+RATE, CUTOFF, HOLD_S = 25.0, 5.0, 1.0
+_SECTIONS = butterworth(6, CUTOFF, RATE)
+HELD = 46                       # rows that the ends are held for: one second and three times the filter's reach
+
+
+def _two_way_sql() -> str:
+    """Both runs row by row, as three direct-form sections one after the other."""
+    def run(name, source):
+        """A recursion over rows (k, i, x) of `source`; sections are worked out one below the other by lateral joins."""
+        zero = ", ".join(f"x * {(1 - b0)!r} AS s{2 * j}, x * {(b2 - a2)!r} AS s{2 * j + 1}" for j, (b0, _, b2, _, a2) in enumerate(_SECTIONS))
+        outs, chain, x = [], [], "s.x"
+        for j, (b0, b1, b2, a1, a2) in enumerate(_SECTIONS):
+            chain.append(f"(SELECT {b0!r}*{x} + r.s{2 * j} AS y{j}) l{j}")
+            outs.append(f"{b1!r}*{x} - ({a1!r})*l{j}.y{j} + r.s{2 * j + 1}, {b2!r}*{x} - ({a2!r})*l{j}.y{j}")
+            x = f"l{j}.y{j}"
+        return (f"{name} AS (SELECT k, CAST(-1 AS BIGINT) AS i, x AS y, {zero} FROM {source} WHERE i = 0 UNION ALL "
+                f"SELECT s.k, s.i, {x}, {', '.join(outs)} FROM {name} r JOIN {source} s ON s.k = r.k AND s.i = r.i + 1, {', '.join(chain)})")
+
+    return f"""
+WITH RECURSIVE e AS (SELECT *, epoch_us(ts) AS us FROM events),
+p AS (SELECT event_id, user_id AS k, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n, CAST(value AS DOUBLE) AS x FROM e),
+f0 AS (SELECT k, i, x FROM p UNION ALL SELECT k, n + h, x FROM p, (SELECT unnest(range({HELD})) AS h) WHERE i = n - 1),
+{run('f1', 'f0')},
+b0 AS (SELECT k, max(i) OVER (PARTITION BY k) - i AS i, y AS x FROM f1 WHERE i >= 0),
+{run('b1', 'b0')}
+SELECT event_id, round(y, 6) AS filtered FROM p JOIN b1 ON b1.k = p.k AND b1.i = p.n + {HELD} - 1 - p.i"""
+
+
+@query("w10_recursive_filter", _two_way_sql())
+def w10_recursive(spark, d):
+    out = S.recursive_filter(signal(spark, d), keys=CLIP, order=ORDER, value="value", rate_hz=RATE, cutoff_hz=CUTOFF, hold_s=HOLD_S)
+    return rounded(out.select("event_id", "filtered"), "filtered")
+
+
+# Natural cubic splines by elimination down the rows and substitution back, row by row.
+@query("w08_spline_acceleration", Q.replace("WITH q", "WITH RECURSIVE q") + """
+, t AS (SELECT vec_id, label, vec_id * 0.04 AS t, vx, vy, vz, row_number() OVER w AS i, count(*) OVER (PARTITION BY label) AS n FROM q WINDOW w AS (PARTITION BY label ORDER BY vec_id)),
+h AS (SELECT *, t - lag(t) OVER w AS h0, lead(t) OVER w - t AS h1, lag(vx) OVER w AS px, lead(vx) OVER w AS nx, lag(vy) OVER w AS py, lead(vy) OVER w AS ny,
+ lag(vz) OVER w AS pz, lead(vz) OVER w AS nz FROM t WINDOW w AS (PARTITION BY label ORDER BY i)),
+r AS (SELECT vec_id, label, i, n, CASE WHEN i IN (1, n) THEN 0 ELSE h0 END AS a, CASE WHEN i IN (1, n) THEN 1 ELSE 2*(h0+h1) END AS b, CASE WHEN i IN (1, n) THEN 0 ELSE h1 END AS c,
+ CASE WHEN i IN (1, n) THEN 0 ELSE 6*((nx-vx)/h1-(vx-px)/h0) END AS dx, CASE WHEN i IN (1, n) THEN 0 ELSE 6*((ny-vy)/h1-(vy-py)/h0) END AS dy,
+ CASE WHEN i IN (1, n) THEN 0 ELSE 6*((nz-vz)/h1-(vz-pz)/h0) END AS dz FROM h),
+f AS (SELECT label, i, n, vec_id, c/b AS g, dx/b AS ex, dy/b AS ey, dz/b AS ez FROM r WHERE i = 1 UNION ALL
+ SELECT r.label, r.i, r.n, r.vec_id, r.c/(r.b-r.a*f.g), (r.dx-r.a*f.ex)/(r.b-r.a*f.g), (r.dy-r.a*f.ey)/(r.b-r.a*f.g), (r.dz-r.a*f.ez)/(r.b-r.a*f.g)
+ FROM f JOIN r ON r.label = f.label AND r.i = f.i + 1),
+s AS (SELECT label, i, vec_id, ex AS x, ey AS y, ez AS z FROM f WHERE i = n UNION ALL
+ SELECT f.label, f.i, f.vec_id, f.ex-f.g*s.x, f.ey-f.g*s.y, f.ez-f.g*s.z FROM s JOIN f ON f.label = s.label AND f.i = s.i - 1)
+SELECT vec_id, round(x, 4) AS ax, round(y, 4) AS ay, round(z, 4) AS az FROM s""")
+def w08_spline(spark, d):
+    rows = poses(spark, d).withColumn("t", F.col("vec_id") * 0.04)
+    out = S.spline_acceleration(rows, keys=["label"], order=FRAME, time_s="t", position=VEC)
+    return rounded(out.select("vec_id", "ax", "ay", "az"), "ax", "ay", "az", places=4)
+
+
 HOUR = 3_600_000_000
 
 

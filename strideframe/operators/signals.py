@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -9,6 +11,7 @@ from pyspark.sql import Window as W
 from strideframe.functions import rotations as R
 from strideframe.functions.arrays import present
 from strideframe.functions.clocks import step_ns
+from strideframe.plans import recurrence
 from strideframe.plans.ordered import Ordered, exact_percentiles, halo
 
 
@@ -116,6 +119,36 @@ def symmetric_filter(df: DataFrame, *, keys: list[str], order: list[str], value:
     return wide.withColumn(out, total).where("_own").drop("_own", "_chunk", "_pos")
 
 
+def recursive_filter(df: DataFrame, *, keys: list[str], order: list[str], value: str, rate_hz: float, cutoff_hz: float,
+                     poles: int = 6, hold_s: float = 1.0, out: str = "filtered") -> DataFrame:
+    """Zero-phase Butterworth low-pass: a recursive filter run forward and back over each key.
+
+    The ends are held (`hold_s` seconds at the last value) and both runs start in their steady state; null values stay null and
+    are left out. Runs cross segment cuts as affine maps of the filter's state.
+    """
+    cascade = recurrence.Cascade(recurrence.butterworth(poles, cutoff_hz, rate_hz))
+    hold = math.ceil(hold_s * rate_hz) + 3 * (poles + 1)
+    return recurrence.over_segments(_ordered(df, keys, order), [value], [out], *cascade.both_ways(hold))
+
+
+def spline_acceleration(df: DataFrame, *, keys: list[str], order: list[str], time_s: str, position: list[str], prefix: str = "a") -> DataFrame:
+    """Second derivatives at the rows of each key of natural cubic splines through the positions; zero at both ends.
+
+    Between rows the second derivative is linear. Times must increase within a key; a key where they do not, or with a
+    null time or position, gives nulls.
+    """
+    prev = {f"_p{i}": c for i, c in enumerate([time_s, *position])}
+    following = {f"_f{i}": c for i, c in enumerate([time_s, *position])}
+    o = _ordered(df, keys, order).neighbours(prev=prev, following=following)
+    missing = F.greatest(*[F.col(c).isNull().cast("int") for c in [time_s, *position]])
+    bad = F.when((F.col(time_s) <= F.col("_p0")) | (missing == 1), 1).otherwise(0)
+    o.with_columns({"_wrong": bad}).totals({"_any": F.max("_wrong")})
+    columns = [c for i, name in enumerate([time_s, *position]) for c in (name, f"_p{i}", f"_f{i}")]
+    outs = [f"{prefix}{axis}" for axis in "xyz"[:len(position)]]
+    found = recurrence.over_segments(o, columns, outs, *recurrence.spline(len(position)))
+    return found.withColumns({c: F.when(F.col("_any") == 0, F.col(c)) for c in outs}).drop(*prev, *following, "_wrong", "_any")
+
+
 GRID = 65_536
 
 
