@@ -67,11 +67,26 @@ def blocks(batch, text, limit=None):
         yield a, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
 
 
+class Kept(dict):
+    """What a worker keeps; never sent with the functions that use it."""
+
+    def __reduce__(self):
+        return Kept, ()
+
+
+_POWERS = Kept()
+
+
 def powers(base, n) -> np.ndarray:
-    """base**i mod 2**64 for i below n."""
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """base**i mod 2**64 for i below n; the longest table of a base is kept, up to a few blocks' size."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        out = np.full(max(n, 1), base, np.uint64)
+        out[0] = 1
+        known = np.multiply.accumulate(out)
+        if n <= 4 * BLOCK_BYTES:
+            _POWERS[int(base)] = known
+    return known[:max(n, 1)]
 
 
 def inverse(base) -> np.uint64:
@@ -79,9 +94,8 @@ def inverse(base) -> np.uint64:
     return np.uint64(pow(int(base), -1, 1 << 64))
 
 
-def letters() -> np.ndarray:
-    """A fixed random 64-bit value for each byte."""
-    return np.random.default_rng(_SEED).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# A fixed random 64-bit value for each byte.
+LETTERS = np.random.default_rng(_SEED).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mix(x) -> np.ndarray:
@@ -99,7 +113,7 @@ class Rolling:
     def __init__(self, data, base=BASE):
         n = len(data)
         self.back = powers(inverse(base), n + 1)
-        terms = letters()[data]
+        terms = LETTERS[data]
         terms *= powers(base, n)
         self.prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(terms, out=self.prefix[1:])

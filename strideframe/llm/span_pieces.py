@@ -330,7 +330,7 @@ class Encoder:
         return begin, np.where(part & ~last, begin, end)
 
 
-_ENCODERS: dict = {}
+_ENCODERS = B.Kept()
 
 
 def _encoder(path):

@@ -41,7 +41,7 @@ from strideframe.session import materialise
 LENGTH, REACH, GRAM = 400, 256, 16
 SHARED = LENGTH - REACH     # bytes after an anchor that lie in all its strings
 RANGE_BYTES = 24 << 20      # suffix bytes that one range is cut for
-TEXT_BYTES = 2 << 20        # of texts that one numpy pass finds anchors in
+TEXT_BYTES = 1 << 19        # of texts that one numpy pass works on
 RUN_ROWS = 1 << 14          # suffixes of one sorted run
 SAMPLE = 20_000             # suffixes that splitters are taken from
 FILTER_BITS = 1 << 24       # bits of the filter of texts to read again, sent to every task (2 MB)
@@ -157,11 +157,15 @@ def _texts(df, text, wanted):
     return found.join(ats, ["t1", "t2"])
 
 
-def _around(data, at):
-    """Right (LENGTH) and reversed left (REACH - 1) bytes of each place of one text, padded; one row per place."""
-    padded = np.concatenate([np.full(REACH, PAD, np.uint8), data, np.full(LENGTH, PAD, np.uint8)])
+def _around(data, offsets, doc, at):
+    """Right (LENGTH) and reversed left (REACH - 1) bytes of places in texts of a block, padded; one row per place."""
+    # Texts lie LENGTH apart, so that what is beyond a text's ends is padding.
+    sizes = np.diff(offsets)
+    start = LENGTH + B.starts(sizes + LENGTH)[:-1]
+    padded = np.full(int(len(data) + LENGTH * (len(sizes) + 1)), PAD, np.uint8)
+    padded[B.ranges(start, sizes)] = data
     view = np.lib.stride_tricks.sliding_window_view(padded, WIDE)
-    both = view[np.asarray(at) + 1]
+    both = view[start[doc] + at - (REACH - 1)]
     return both[:, REACH - 1:], both[:, :REACH - 1][:, ::-1]
 
 
@@ -291,12 +295,21 @@ def _sorted_keys(keys):
     return np.argsort(names, kind="stable")
 
 
-def _rows_of(batch):
-    """Each text of a batch of _texts: (row, bytes, ats)."""
-    body, offsets = B.flat(B.column(batch, "body"))
-    lists = B.column(batch, "ats")
-    for i in range(batch.num_rows):
-        yield i, body[offsets[i]:offsets[i + 1]], np.array(lists[i].as_py(), np.int64)
+def _listed(column, a, m):
+    """(row, value) of the lists in rows a..a + m of a column; null lists are empty."""
+    column = column.slice(a, m)
+    offsets = column.offsets.to_numpy()
+    sizes = np.where(np.asarray(column.is_valid()), np.diff(offsets), 0)
+    at = B.ranges(offsets[:-1], sizes)
+    return np.repeat(np.arange(m), sizes), at
+
+
+def _blocks_of(batch, lists="ats"):
+    """Blocks of a batch of texts: (first row, bytes, offsets, text of each listed place, place in its text)."""
+    column = B.column(batch, lists)
+    for a, data, offsets in B.blocks(batch, "body", TEXT_BYTES):
+        doc, at = _listed(column, a, len(offsets) - 1)
+        yield a, data, offsets, doc, column.values.to_numpy()[at]
 
 
 def _neighbours(texts, order, splitters):
@@ -311,11 +324,11 @@ def _neighbours(texts, order, splitters):
         keys, items, size = [], [], 0
         for batch in batches:
             t1, t2 = (B.column(batch, c).to_numpy() for c in ("t1", "t2"))
-            for i, data, at in _rows_of(batch):
+            for a, data, offsets, doc, at in _blocks_of(batch):
                 for k in range(0, len(at), RUN_ROWS):
-                    part = at[k:k + RUN_ROWS]
-                    keys.append(_keys(*_around(data, part), order))
-                    items.append(np.stack([np.full(len(part), t1[i]), np.full(len(part), t2[i]), part], axis=1))
+                    row, part = doc[k:k + RUN_ROWS], at[k:k + RUN_ROWS]
+                    keys.append(_keys(*_around(data, offsets, row, part), order))
+                    items.append(np.stack([t1[a + row], t2[a + row], part], axis=1))
                     size += len(part)
                     if size >= RUN_ROWS:
                         yield from run(np.concatenate(keys), np.concatenate(items))
@@ -414,13 +427,13 @@ def _sort(texts, order, total):
     def sample(batches):
         for batch in batches:
             t1, t2 = (B.column(batch, c).to_numpy() for c in ("t1", "t2"))
-            for i, data, at in _rows_of(batch):
+            for a, data, offsets, doc, at in _blocks_of(batch):
                 # By text and place, so that equal keys are sampled one by one.
-                on = at[B.mix(t1[i:i + 1].view(np.uint64) + B.mix(at.astype(np.uint64))) <= limit]
-                if len(on):
-                    got = [k.tobytes() for k in _keys(*_around(data, on), order)]
-                    m = len(on)
-                    yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary()), pa.array(np.full(m, t1[i])), pa.array(np.full(m, t2[i])), pa.array(on)], names=["key", "t1", "t2", "at"])
+                on = B.mix(t1[a + doc].view(np.uint64) + B.mix(at.astype(np.uint64))) <= limit
+                if on.any():
+                    doc, at = doc[on], at[on]
+                    got = [k.tobytes() for k in _keys(*_around(data, offsets, doc, at), order)]
+                    yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary()), pa.array(t1[a + doc]), pa.array(t2[a + doc]), pa.array(at)], names=["key", "t1", "t2", "at"])
 
     ranges = max(1, -(-total * WIDE // RANGE_BYTES))
     splitters = []
@@ -443,38 +456,35 @@ def _sort(texts, order, total):
     return rows
 
 
-def _settle(data, at, found):
-    """(proved string starts as (first, last) per anchor, open ones) of one text from its sorted neighbours.
+def _settled(data, offsets, found):
+    """What the sorted neighbours of a block's anchors prove: (covered string starts, open ones, anchors).
 
-    found: rows (order, at, r1, l1, r2, l2). Open strings lie inside the furthest agreements of the anchor and are proved by neither.
+    found: arrays (text, order, at, r1, l1, r2, l2). Open strings lie inside the furthest agreements of their anchor and are
+    proved by neither neighbour. Both are flags of places in the block; anchors hold disjoint ranges of string starts.
     """
-    _, place, first, last, follow = anchors(data, np.array([0, len(data)]))
-    where = {int(p): i for i, p in enumerate(place.tolist())}
-    reach = {}
-    proved = []
-    for order, p, *pairs in found:
-        i = where[p]
-        room = len(data) - p
-        most = reach.setdefault(i, [0, 0, []])
-        for right, left in (pairs[:2], pairs[2:]):
-            if right >= SHARED:
-                right, left = min(right, room), min(left, p)
-                a, b = max(p - left, int(first[i])), min(p + right - LENGTH, int(last[i]))
-                if a <= b:
-                    proved.append((a, b))
-                    most[2].append((a, b))
-                most[0 if order == 1 else 1] = max(most[0 if order == 1 else 1], right if order == 1 else left)
-    unsettled = []
-    for i, (right, left, spans) in reach.items():
-        p = int(place[i])
-        a, b = max(p - left, int(first[i])), min(p + right - LENGTH, int(last[i]))
-        for x, y in sorted(spans):
-            if a < x <= b:
-                unsettled.append((i, a, min(x - 1, b)))
-            a = max(a, y + 1)
-        if a <= b:
-            unsettled.append((i, a, b))
-    return proved, unsettled, (place, first, last, follow)
+    row, place, first, last, follow = anchors(data, offsets)
+    doc, order, at, r1, l1, r2, l2 = found
+    spot = offsets[doc] + at
+    i = np.searchsorted(place, spot)
+    i, order, spot = (np.concatenate([x, x]) for x in (i, order, spot))
+    doc, right, left = np.concatenate([doc, doc]), np.concatenate([r1, r2]), np.concatenate([l1, l2])
+    on = right >= SHARED
+    i, order, spot, doc, right, left = (x[on] for x in (i, order, spot, doc, right, left))
+    right, left = np.minimum(right, offsets[doc + 1] - spot), np.minimum(left, spot - offsets[doc])
+    covered = _flags(len(data), np.maximum(spot - left, first[i]), np.minimum(spot + right - LENGTH, last[i]))
+    far_right, far_left = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+    np.maximum.at(far_right, i[order == 1], right[order == 1])
+    np.maximum.at(far_left, i[order == 2], left[order == 2])
+    known = np.unique(i)
+    near = _flags(len(data), np.maximum(place - far_left, first)[known], np.minimum(place + far_right - LENGTH, last)[known])
+    return covered, near & ~covered, (row, place, first, last, follow)
+
+
+def _flags(n, first, last):
+    """Which of n places lie in one of the closed ranges; empty ranges are ignored."""
+    some = first <= last
+    depth = np.bincount(first[some], minlength=n + 1) - np.bincount(last[some] + 1, minlength=n + 1)
+    return np.cumsum(depth)[:n] > 0
 
 
 def removals(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -483,7 +493,8 @@ def removals(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Da
     facts = materialise(_facts(source, key, text), "facts")
     docs = facts.where("at is null").select("id", "t1", "t2", "n", "sha")
     marks = facts.where("at is not null").select("t1", "t2", "at", "follow", "mark")
-    twice = marks.groupBy("follow").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi").select("follow")
+    # Written before it is joined, so that a hash with a large share of all anchors is split by the join.
+    twice = materialise(marks.groupBy("follow").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi").select("follow"), "twice")
     wanted = materialise(marks.join(twice, "follow").select("t1", "t2", "at", "follow").distinct(), "wanted")
     total = wanted.count()
     texts = materialise(_texts(source, text, wanted), "texts")
@@ -492,15 +503,18 @@ def removals(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Da
     joined = materialise(texts.join(found, ["t1", "t2"]), "joined")
 
     def settle(batch):
-        for i, data, at in _rows_of(batch):
-            rows = [(r["o"], r["at"], r["r1"], r["l1"], r["r2"], r["l2"]) for r in B.column(batch, "found")[i].as_py()]
-            yield i, data, *_settle(data, at, rows)
+        column = B.column(batch, "found")
+        fields = [column.values.field(c).to_numpy() for c in ("o", "at", "r1", "l1", "r2", "l2")]
+        for a, data, offsets in B.blocks(batch, "body", TEXT_BYTES):
+            doc, at = _listed(column, a, len(offsets) - 1)
+            yield a, data, offsets, *_settled(data, offsets, (doc, *(f[at] for f in fields)))
 
     def open_marks(batches):
         for batch in batches:
-            got = sorted({int(follow) for _, _, _, unsettled, (_, _, _, follows) in settle(batch) for follow in follows[[u[0] for u in unsettled]].view(np.int64)})
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64())], names=["follow"])
+            for _, _, _, _, unsettled, (_, _, first, _, follow) in settle(batch):
+                got = np.unique(follow[np.searchsorted(first, np.flatnonzero(unsettled), side="right") - 1])
+                if len(got):
+                    yield pa.RecordBatch.from_arrays([pa.array(got.view(np.int64))], names=["follow"])
 
     unsettled = materialise(joined.mapInArrow(open_marks, "follow long").distinct(), "open")
     near = wanted.join(unsettled, "follow", "left_semi").groupBy("t1", "t2").agg(F.sort_array(F.collect_set("at")).alias("open"))
@@ -509,39 +523,46 @@ def removals(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Da
     def windows(batches):
         for batch in batches:
             t1, t2 = (B.column(batch, c).to_numpy() for c in ("t1", "t2"))
-            for i, data, _ in _rows_of(batch):
-                _, place, first, last, _ = anchors(data, np.array([0, len(data)]))
-                on = np.isin(place, np.array(B.column(batch, "open")[i].as_py()))
-                p = B.ranges(first[on], (last - first + 1)[on])
-                h = [B.mix(B.Rolling(data, b).pieces(p, p + LENGTH)).view(np.int64) for b in (B.BASE, B.LANE)]
-                m = len(p)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, t1[i])), pa.array(np.full(m, t2[i])), pa.array(p), *map(pa.array, h)], names=["t1", "t2", "p", "h1", "h2"])
+            for a, data, offsets, doc, at in _blocks_of(batch, "open"):
+                row, place, first, last, _ = anchors(data, offsets)
+                on = np.searchsorted(place, offsets[doc] + at)
+                size = (last - first + 1)[on]
+                p, doc = B.ranges(first[on], size), np.repeat(doc, size)
+                rolls = [B.Rolling(data, b) for b in (B.BASE, B.LANE)]
+                for k in range(0, len(p), 4 * RUN_ROWS):
+                    q, d = p[k:k + 4 * RUN_ROWS], doc[k:k + 4 * RUN_ROWS]
+                    h = [B.mix(r.pieces(q, q + LENGTH)).view(np.int64) for r in rolls]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (t1[a + d], t2[a + d], q - offsets[d], *h))], names=["t1", "t2", "p", "h1", "h2"])
 
     hashed = materialise(strings.mapInArrow(windows, "t1 long, t2 long, p long, h1 long, h2 long"), "strings")
-    again = hashed.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
+    again = materialise(hashed.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2"), "again")
     starts = hashed.join(again, ["h1", "h2"]).groupBy("t1", "t2").agg(F.collect_list("p").alias("more"))
     last = joined.join(starts, ["t1", "t2"], "left")
 
     def cut(batches):
         names = ["t1", "t2", "first", "stop", "n_removed", "n_spans", "kept_sha"]
         for batch in batches:
-            out = []
-            for i, data, proved, _, _ in settle(batch):
-                more = B.column(batch, "more")[i].as_py() or []
-                depth = np.zeros(len(data) + 1, np.int64)
-                begin = np.array([a for a, _ in proved] + more, np.int64)
-                end = np.array([b for _, b in proved] + more, np.int64) + LENGTH
-                np.add.at(depth, begin, 1)
-                np.add.at(depth, end, -1)
-                gone = np.cumsum(depth)[:-1] > 0
-                edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
-                a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                out.append((i, a.tolist(), b.tolist(), int(gone.sum()), len(a), hashlib.sha256(data[~gone].tobytes()).hexdigest()))
-            if out:
-                cols = list(zip(*out))
-                at = pa.array(cols[0])
-                yield pa.RecordBatch.from_arrays([B.column(batch, "t1").take(at), B.column(batch, "t2").take(at), *[pa.array(c, pa.list_(pa.int64())) for c in cols[1:3]],
-                                                  pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64()), pa.array(cols[5])], names=names)
+            more = B.column(batch, "more")
+            for a, data, offsets, covered, _, _ in settle(batch):
+                m = len(offsets) - 1
+                doc, at = _listed(more, a, m)
+                begin = np.concatenate([np.flatnonzero(covered), offsets[doc] + more.values.to_numpy()[at]])
+                gone = _flags(len(data), begin, begin + LENGTH - 1)
+                # Runs end with their text.
+                edge = np.zeros(len(data) + 1, bool)
+                edge[offsets] = True
+                opens, ends = gone.copy(), gone.copy()
+                opens[1:] &= ~gone[:-1] | edge[1:-1]
+                ends[:-1] &= ~gone[1:] | edge[1:-1]
+                x, y = np.flatnonzero(opens), np.flatnonzero(ends) + 1
+                of = np.searchsorted(offsets, x, side="right") - 1
+                spans = np.bincount(of, minlength=m)
+                lists = [pa.ListArray.from_arrays(pa.array(B.starts(spans).astype(np.int32)), pa.array(v - offsets[of])) for v in (x, y)]
+                removed = np.bincount(of, y - x, minlength=m).astype(np.int64)
+                kept, cuts = data[~gone].tobytes(), B.starts(np.diff(offsets) - removed).tolist()
+                sha = [hashlib.sha256(kept[i:j]).hexdigest() for i, j in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays([B.column(batch, "t1").slice(a, m), B.column(batch, "t2").slice(a, m), *lists, pa.array(removed), pa.array(spans, pa.int64()), pa.array(sha, pa.string())],
+                                                 names=names)
 
     return docs, last.mapInArrow(cut, "t1 long, t2 long, first array<bigint>, stop array<bigint>, n_removed long, n_spans long, kept_sha string")
 
