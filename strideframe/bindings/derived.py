@@ -29,9 +29,9 @@ def _put(folder: str, name: str, data: bytes) -> None:
     system.move(part, f"{inner}/{name}")
 
 
-def _tar(members) -> bytes:
+def _tar(members, mode="w:gz") -> bytes:
     buf = io.BytesIO()
-    with tarfile.open(fileobj=buf, mode="w:gz") as t:
+    with tarfile.open(fileobj=buf, mode=mode) as t:
         for name, data in members:
             info = tarfile.TarInfo(name)
             info.size = len(data)
@@ -68,15 +68,15 @@ def archives(spark, d, kind: str) -> str:
             if pdf.empty:
                 continue
             base = pdf["source"] + "/" + pdf["lang"] + "/doc" + pdf["doc_id"].astype(str)
-            if kind == "npz":
+            if kind.startswith("npz"):
                 members = [(f"{b}_poses.npz", _npz(int(i))) for b, i in zip(base, pdf["doc_id"])]
             else:
                 members = [(f"{b}.txt" if i % 3 else f"{b}.md", t.encode()) for b, i, t in zip(base, pdf["doc_id"], pdf["text"])]
-            _put(folder, f"part-{int(pdf['doc_id'].iloc[0]):09d}." + ("zip" if kind == "zip" else "tar.gz"),
-                 _zip(members) if kind == "zip" else _tar(members))
+            end, pack = {"zip": ("zip", _zip), "npz-tar": ("tar", lambda m: _tar(m, "w"))}.get(kind, ("tar.gz", _tar))
+            _put(folder, f"part-{int(pdf['doc_id'].iloc[0]):09d}.{end}", pack(members))
             yield pd.DataFrame({"n": [len(members)]})
 
-    columns = ["doc_id", "source", "lang"] + ["text"] * (kind != "npz")
+    columns = ["doc_id", "source", "lang"] + ["text"] * (not kind.startswith("npz"))
     read(spark, d, "documents").select(*columns).mapInPandas(build, "n bigint").agg(F.sum("n")).collect()
     return folder
 

@@ -20,6 +20,7 @@ from strideframe.plans.packing import greedy_shards
 from strideframe.session import materialise, work_dir
 from strideframe.sources import archives as A
 from strideframe.sources import documents as D
+from strideframe.sources.objects import ObjectStore
 from strideframe.sources.tables import DRIVER, events, read
 
 _MEM = """SELECT source || '/' || lang || '/doc' || doc_id || '.txt' AS member, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS sha256 FROM documents WHERE doc_id % 3 <> 0"""
@@ -37,15 +38,37 @@ def s02(spark, d):
     return A.suffix_index(out).join(out, ["archive", "member"]).select("member", "size", "sha256", "key")
 
 
-@query("s03_member_profiles", """
+_PROFILES = """
 SELECT 'doc' || doc_id AS name, CAST(doc_id % 5 + 1 AS BIGINT) AS frames, CASE WHEN doc_id % 2 = 1 THEN 'male' ELSE 'female' END AS gender,
- CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 THEN 'adapter-required' WHEN doc_id % 5 = 0 THEN 'not-motion' ELSE 'ok' END AS state FROM documents""")
-def s03(spark, d):
-    prof = A.member_profiles(spark, derived.archives(spark, d, "npz"), pattern="*.tar.gz", suffixes=["_poses.npz"])
+ CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 THEN 'adapter-required' WHEN doc_id % 5 = 0 THEN 'not-motion' ELSE 'ok' END AS state FROM documents"""
+
+
+def _profiles(prof):
     out = A.classify_members(prof, adapter=F.lit(derived.NATIVE))
     return out.select(F.regexp_extract("member", r"(doc\d+)_poses", 1).alias("name"), "frames", "gender", "state")
 
 
+@query("s03_member_profiles", _PROFILES)
+def s03(spark, d):
+    return _profiles(A.member_profiles(spark, derived.archives(spark, d, "npz"), pattern="*.tar.gz", suffixes=["_poses.npz"]))
+
+
+@query("s03_profiles_by_range", _PROFILES)
+def s03_range(spark, d):
+    """The same of uncompressed archives, of which only directories and array heads are read."""
+    return _profiles(A.member_profiles(spark, derived.archives(spark, d, "npz-tar"), pattern="*.tar", suffixes=["_poses.npz"]))
+
+
+@query("x01_adapters", """
+SELECT a.adapter, CASE WHEN a.adapter <> 'amass-smplh-g-v1' OR doc_id % 7 = 0 OR doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 THEN 'adapter-required' WHEN doc_id % 5 = 0 THEN 'not-motion' ELSE 'ok' END AS state, count(*) AS members
+FROM documents, (VALUES ('amass-smplh-g-v1'), ('stageii-smplh-v1'), ('none')) a(adapter) GROUP BY ALL""")
+def x01(spark, d):
+    """Members judged under every adapter of their source."""
+    prof = A.member_profiles(spark, derived.archives(spark, d, "npz-tar"), pattern="*.tar", suffixes=["_poses.npz"])
+    wide = prof.withColumn("adapter", F.explode(F.array(*[F.lit(a) for a in (*A.ADAPTERS, "none")])))
+    return A.classify_members(wide, adapter=F.col("adapter")).groupBy("adapter", "state").agg(F.count("*").alias("members"))
+
+
 @query("s04_motion_text", """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS frame FROM documents)
 SELECT doc_id, CAST(frame AS INTEGER) AS frame, unnest([0, 1, 2]) AS "column", unnest([CAST(frame AS DOUBLE), CAST(length(t) AS DOUBLE), length(t) / 4.0]) AS value FROM l""")
@@ -179,6 +202,30 @@ def s15(spark, d):
     return out.select("event_id", "mount", "joint", F.get("offset", F.lit(0)).alias("offset_x"), F.get("offset", F.lit(2)).alias("offset_z"))
 
 
+# One profile for each part, with defects by its number.
+@query("x03_profile_rules", """
+WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_partkey % 11 = 0 THEN 99 ELSE 200 END AS work, CASE WHEN p_partkey % 3 = 0 THEN 12.5 ELSE 10.0 END AS low,
+ CASE WHEN p_partkey % 5 = 0 THEN 10.5 ELSE 9.81 END AS g, CASE WHEN p_partkey % 7 = 0 THEN 0.03 ELSE 1.0 END AS guard FROM part)
+SELECT 'profile-rates' AS rule, key, CAST(work AS VARCHAR) AS detail FROM p WHERE work < 100 UNION ALL SELECT 'profile-lowpass', key, '12.5' FROM p WHERE low >= 12.5
+UNION ALL SELECT 'profile-gravity', key, '10.5' FROM p WHERE g > 10 UNION ALL SELECT 'profile-guard', key, '0.03' FROM p WHERE guard < 1""")
+def x03(spark, d):
+    k = F.col("p_partkey")
+    rows = read(spark, d, "part").select(
+        F.lit("profile.v1").alias("schema"), k.cast("string").alias("profile_id"), F.lit(25).alias("output_hz"), F.when(k % 11 == 0, 99).otherwise(200).alias("work_hz"),
+        F.when(k % 3 == 0, 12.5).otherwise(10.0).alias("lowpass_hz"), F.when(k % 5 == 0, 10.5).otherwise(9.81).alias("gravity_m_s2"), F.when(k % 7 == 0, 0.03).otherwise(1.0).alias("boundary_guard_s"))
+    path = work_dir(spark, "profiles")
+    rows.write.json(path)
+    return D.profile_rules(spark.read.schema(D.PROFILE).json(path)).select("rule", "key", "detail")
+
+
+@query("x06_object_store", """
+SELECT 'page' || page_id || '.' || ['html', 'json', 'bin', 'xyz'][page_id % 4 + 1] AS key, CAST(strlen(html) AS BIGINT) AS length, sha256(html) AS sha256 FROM pages""")
+def x06(spark, d):
+    """All objects below a store, listed and read by Spark."""
+    store = ObjectStore(spark, derived.page_objects(spark, d))
+    return store.objects().join(store.contents().select("key", F.sha2("content", 256).alias("sha256")), "key").select("key", "length", "sha256")
+
+
 # --- sinks ---------------------------------------------------------------------------------
 
 @query("k01_create_only_write", "SELECT event_id, user_id, event_type, value FROM events")

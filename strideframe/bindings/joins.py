@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strideframe.bindings.common import E, signal
 from strideframe.bindings.registry import query
 from strideframe.operators import joins as J
+from strideframe.plans import graphs
 from strideframe.plans.ordered import Ordered
 from strideframe.session import literal_rows, work_dir
 from strideframe.sources import config
@@ -231,6 +232,20 @@ def j22_roots(spark, d):
     return J.dependency_closure(e, source="asset", target="dependency", roots=e.where("asset % 100 = 7")).drop("cycle")
 
 
+# Each part depends on the part of half its number, some on the part of twice it: cycles that share parts.
+@query("j22_cycle_groups", """
+WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS a, p_partkey // 2 AS b FROM part UNION SELECT p_partkey, p_partkey * 2 FROM part WHERE p_size % 5 = 0
+ UNION SELECT p_partkey, p_partkey FROM part WHERE p_size = 7),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+m AS (SELECT x.a AS node, min(x.b) AS component FROM r x JOIN r y ON y.a = x.b AND y.b = x.a GROUP BY x.a)
+SELECT node, component, count(*) OVER (PARTITION BY component) AS size FROM m""")
+def j22_cycles(spark, d):
+    part, k = read(spark, d, "part"), F.col("p_partkey")
+    e = part.select(k.alias("asset"), F.floor(k / 2).alias("dependency"))
+    e = e.union(part.where("p_size % 5 = 0").select(k, k * 2)).union(part.where("p_size = 7").select(k, k))
+    return graphs.cycle_groups(e, source="asset", target="dependency")
+
+
 @query("j23_observation_rows", """
 WITH o AS (SELECT doc_id AS observation, unnest([doc_id, doc_id * 2, doc_id + 7]) AS cand FROM documents)
 SELECT observation, cand, cand IN (SELECT doc_id FROM documents) AS known, count(*) > 1 AS duplicate FROM o GROUP BY ALL""")

@@ -1,16 +1,19 @@
 """Archive, object and document sources.
 
-Archives are listed with the content column pruned and opened inside the tasks as
-streams, so an archive of any size needs the memory of one member.
+Archives are listed with the content column pruned and opened inside the tasks. Of zips and uncompressed tars a first pass
+finds where the members are, and tasks then read members at their places, so one archive is read by many tasks; packed tars are
+one stream each. An archive of any size needs the memory of one member.
 """
 
 from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import re
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +24,7 @@ from pyspark.sql import Window as W
 
 from strideframe.functions.ids import media_type
 from strideframe.operators.checks import duplicates, violation
+from strideframe.session import materialise
 
 MEMBER = "archive string, member string, size bigint, sha256 string, problem string"
 PROFILE = (MEMBER + ", frames bigint, columns int, rate_hz double, gender string, fields array<string>, "
@@ -43,19 +47,25 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bo
             .option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "length", "modificationTime"))
 
 
-def balanced_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Paths dealt to tasks by length: about BYTES_PER_TASK each, a task at least for each free core.
+def dealt(rows: DataFrame, name: list[str], size: str) -> DataFrame:
+    """Rows dealt to tasks by size: about BYTES_PER_TASK each, a task at least for each free core.
 
-    Files are laid end to end in order of their paths' hash and cut into equal pieces, by sums over 4,096 hash ranges.
+    Rows are laid end to end in order of their names' hash and cut into equal pieces, by sums over 4,096 hash ranges.
     """
-    files = list_files(spark, path, pattern).select("path", "length").withColumn("h", F.xxhash64("path")).withColumn("r", F.pmod("h", F.lit(4096)))
-    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    spark = rows.sparkSession
+    rows = rows.withColumn("_h", F.xxhash64(*name)).withColumn("_r", F.pmod("_h", F.lit(4096)))
+    total = rows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
     tasks = max(1, min(total["n"], max(spark.sparkContext.defaultParallelism, -(-total["b"] // BYTES_PER_TASK))))
-    before = files.groupBy("r").agg(F.sum("length").alias("s")).select("r", (F.sum("s").over(W.partitionBy(F.lit(0)).orderBy("r")) - F.col("s")).alias("base"))
-    inner = F.sum("length").over(W.partitionBy("r").orderBy("h", "path")) - F.col("length")
-    placed = files.withColumn("inner", inner).join(before, "r")
-    piece = F.least(F.lit(tasks - 1), F.floor((F.col("base") + F.col("inner")) * tasks / F.lit(max(total["b"], 1)))).cast("int")
-    return placed.select("path", piece.alias("piece")).repartitionByRange(tasks, "piece").select("path")
+    before = rows.groupBy("_r").agg(F.sum(size).alias("s")).select("_r", (F.sum("s").over(W.partitionBy(F.lit(0)).orderBy("_r")) - F.col("s")).alias("_base"))
+    inner = F.sum(size).over(W.partitionBy("_r").orderBy("_h", *name)) - F.col(size)
+    placed = rows.withColumn("_inner", inner).join(before, "_r")
+    piece = F.least(F.lit(tasks - 1), F.floor((F.col("_base") + F.col("_inner")) * tasks / F.lit(max(total["b"], 1)))).cast("int")
+    return placed.withColumn("_piece", piece).repartitionByRange(tasks, "_piece").drop("_h", "_r", "_inner", "_base", "_piece")
+
+
+def balanced_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Paths dealt to tasks by length."""
+    return dealt(list_files(spark, path, pattern).select("path", "length"), ["path"], "length").select("path")
 
 
 def _open(path: str):
@@ -118,10 +128,141 @@ def _plain(path, name, stream, problem):
     return {"archive": path.rsplit("/", 1)[-1], "member": name, "size": size, "sha256": sha, "problem": problem}
 
 
+class Window(io.RawIOBase):
+    """Bytes at..at + size of a file as a file; `taken` counts the bytes read."""
+
+    def __init__(self, raw, at: int, size: int):
+        self.raw, self.at, self.size, self.place, self.taken = raw, at, size, 0, 0
+
+    def readable(self):
+        return True
+
+    def seekable(self):
+        return True
+
+    def tell(self):
+        return self.place
+
+    def seek(self, offset, whence=0):
+        self.place = max(0, offset + (0, self.place, self.size)[whence])
+        return self.place
+
+    def read(self, n=-1):
+        rest = max(0, self.size - self.place)
+        n = rest if n is None or n < 0 else min(n, rest)
+        self.raw.seek(self.at + self.place)
+        data = self.raw.read(n)
+        self.place += len(data)
+        self.taken += len(data)
+        return data
+
+    def readinto(self, buffer):
+        data = self.read(len(buffer))
+        buffer[:len(data)] = data
+        return len(data)
+
+
+INDEX = "path string, member string, at bigint, stored bigint, size bigint, crc bigint, method int, problem string"
+PACKED = (".gz", ".tgz", ".bz2", ".xz")         # one stream from end to end
+
+
+def _places(path: str) -> Iterator[dict]:
+    """Where every member of an archive is: a zip's directory, or the headers of an uncompressed tar; payloads are passed over."""
+    row = lambda name, at, stored, size, crc=None, method=None, problem="": dict(
+        path=path, member=name, at=at, stored=stored, size=size, crc=crc, method=method, problem=problem)
+    try:
+        with _open(path) as raw:
+            if path.endswith(".zip"):
+                with zipfile.ZipFile(raw) as z:
+                    for i in z.infolist():
+                        if not i.is_dir():
+                            yield row(i.filename, i.header_offset, i.compress_size, i.file_size, i.CRC, i.compress_type, "link" if (i.external_attr >> 28) == 0xA else "")
+            else:
+                length = raw.size()
+                with tarfile.open(fileobj=raw, mode="r:") as t:
+                    for i in t:
+                        if not i.isdir():
+                            cut = i.isfile() and i.offset_data + i.size > length
+                            yield row(i.name, i.offset_data, i.size, i.size, problem="link" if not i.isfile() else "truncated:EOFError" if cut else "")
+                            if cut:
+                                return
+    except (tarfile.TarError, zipfile.BadZipFile, EOFError, OSError) as error:
+        yield row("", 0, 0, 0, problem=f"truncated:{type(error).__name__}")
+
+
+def _at(raw, row):
+    """A member as a stream, read from its place."""
+    if row.method != row.method or row.method is None:
+        return Window(raw, int(row.at), int(row.size))
+    raw.seek(int(row.at))
+    head = raw.read(30)
+    if head[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile("no header where the directory says")
+    start = int(row.at) + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little")
+    info = zipfile.ZipInfo(row.member)
+    info.compress_type, info.compress_size, info.file_size, info.CRC = int(row.method), int(row.stored), int(row.size), int(row.crc)
+    return zipfile.ZipExtFile(Window(raw, start, info.compress_size), "r", info)
+
+
+def index(spark: SparkSession, path: str, *, pattern: str) -> DataFrame:
+    """Places of all members of the archives that can be read at any place (zip, uncompressed tar), one task an archive."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for p in batch["path"]:
+                places = _places(p)
+                while rows := list(itertools.islice(places, 10_000)):
+                    out = pd.DataFrame(rows)
+                    yield out.astype({c: "Int64" for c in ("at", "stored", "size", "crc", "method")})
+
+    return balanced_files(spark, path, pattern).where(~_packed(F.col("path"))).mapInPandas(run, INDEX)
+
+
+def _packed(path: Column) -> Column:
+    return F.coalesce(*[F.when(path.endswith(x), F.lit(True)) for x in PACKED], F.lit(False))
+
+
+def _from_places(suffixes: tuple[str, ...], probe):
+    """Rows of `probe` for members at their places; an archive stays open while its members follow each other."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opened, raw = None, None
+        try:
+            for batch in batches:
+                rows = []
+                for r in batch.itertuples(index=False):
+                    if r.problem:
+                        rows.append(probe(r.path, r.member, None, r.problem))
+                        continue
+                    if r.path != opened:
+                        if raw is not None:
+                            raw.close()
+                        opened, raw = r.path, _open(r.path)
+                    try:
+                        rows.append(probe(r.path, r.member, _at(raw, r), ""))
+                    except (zipfile.BadZipFile, EOFError, OSError, zlib.error) as error:
+                        rows.append(probe(r.path, r.member, None, f"truncated:{type(error).__name__}"))
+                if rows:
+                    yield pd.DataFrame(rows)
+        finally:
+            if raw is not None:
+                raw.close()
+    return run
+
+
+def _probed(spark: SparkSession, path: str, pattern: str, suffixes: list[str], probe, schema: str, ranged=None) -> DataFrame:
+    """Members of all archives: those of packed ones in one stream each, others dealt to tasks one by one."""
+    streamed = balanced_files(spark, path, pattern).where(_packed(F.col("path"))).mapInPandas(_scan(tuple(suffixes), probe), schema)
+    ends = F.coalesce(*[F.when(F.col("member").endswith(x), F.lit(True)) for x in suffixes], F.lit(False))
+    places = materialise(index(spark, path, pattern=pattern).where((F.col("problem") != "") | ends), "members")
+    shared = dealt(places, ["path", "member", "at"], "stored").sortWithinPartitions("path", "at")
+    return streamed.unionByName(shared.mapInPandas(_from_places(tuple(suffixes), ranged or probe), schema))
+
+
 def inventory(spark: SparkSession, path: str, *, pattern: str, suffixes: list[str]) -> DataFrame:
-    """One row per wanted member with size and digest; links and damage are reported."""
-    files = balanced_files(spark, path, pattern)
-    return files.mapInPandas(_scan(tuple(suffixes), _plain), MEMBER)
+    """One row per wanted member with size and digest; links and damage are reported.
+
+    One archive that is no packed stream is read by many tasks: a first pass finds where its members are.
+    """
+    return _probed(spark, path, pattern, suffixes, _plain, MEMBER)
 
 
 def suffix_index(members: DataFrame) -> DataFrame:
@@ -166,14 +307,29 @@ class _Arrays:
 
 
 def _profile(path, name, stream, problem):
+    """Header facts of a member; its size and digest too where the whole member has to be read anyway."""
     row = {**_plain(path, name, None, problem), "frames": None, "columns": None, "rate_hz": None, "gender": None,
            "fields": [], "surface": None, "components": None, "shapes": {}}
     if stream is None:
         return row
     data = stream.read()
     row.update(size=len(data), sha256=hashlib.sha256(data).hexdigest())
+    return _facts(row, io.BytesIO(data))
+
+
+def _ranged_profile(path, name, stream, problem):
+    """Header facts of a member read at its place: its own directory and the first bytes of its arrays, no digest."""
+    if isinstance(stream, zipfile.ZipExtFile) and stream._compress_type == zipfile.ZIP_STORED:
+        stream = stream._fileobj
+    if not isinstance(stream, Window):
+        return _profile(path, name, stream, problem)
+    row = {**_profile(path, name, None, problem), "size": stream.size}
+    return _facts(row, stream)
+
+
+def _facts(row, file):
     try:
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
+        with zipfile.ZipFile(file) as z:
             arrays = _Arrays(z)
             row["fields"] = sorted(arrays.entry)
             row["shapes"] = {n: arrays.shape(n) for n in SHAPED if n in arrays.entry}
@@ -192,9 +348,12 @@ def _profile(path, name, stream, problem):
 
 
 def member_profiles(spark: SparkSession, path: str, *, pattern: str, suffixes: list[str]) -> DataFrame:
-    """Header facts of motion members; array payloads are not decoded."""
-    files = balanced_files(spark, path, pattern)
-    return files.mapInPandas(_scan(tuple(suffixes), _profile), PROFILE)
+    """Header facts of motion members.
+
+    Of members in an uncompressed tar, or stored as they are in a zip, only directories and array heads are read (their digest
+    is null); packed members have to be read whole and have their digest.
+    """
+    return _probed(spark, path, pattern, suffixes, _profile, PROFILE, _ranged_profile)
 
 
 def classify_members(profiles: DataFrame, *, adapter: Column) -> DataFrame:

@@ -4,8 +4,9 @@ Every job reads new files since its checkpoint, so the checkpoint plays the part
 reader's cursor.  Sinks write one folder per batch id and overwrite it on replay, which
 makes a batch that is run again after a lost executor harmless.
 
-Aggregates keep no state in the stream and have no watermark: each batch writes its partial rows, and readers
-merge the partial rows of all batches.  So no late row is lost, no state grows, and the newest window is there.
+Aggregates keep no state in the stream and have no watermark: each batch writes its partial rows as a run, runs are folded
+into larger ones (streaming/runs.py), and readers merge the few runs there are. So no late row is lost, no state
+grows, and the newest window is there.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from strideframe.operators import ledger
 from strideframe.session import configure, make_folder
+from strideframe.streaming.runs import Runs
 
 FILES_PER_TRIGGER = 1000
 
@@ -64,14 +66,32 @@ def table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, batch bigint").parquet(f"{path}/rows")
 
 
+def _merging(stream: DataFrame, out: str, change, merge, schema: str) -> DataFrame:
+    """Process everything available into mergeable runs, then stop; the merged table comes back."""
+    runs = Runs(stream.sparkSession, f"{out}/table", schema, merge)
+    query = (stream.writeStream.outputMode("append").option("checkpointLocation", f"{out}/checkpoint")
+             .foreachBatch(lambda batch, batch_id: runs.add(change(batch), batch_id)).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return merge(runs.rows())
+
+
 def partials(stream: DataFrame, keys: list, parts: dict[str, Column], merged: dict[str, Column], *, out: str) -> DataFrame:
-    """Aggregates by `keys`: every batch stores `parts`, and the result is `merged` over the parts of all batches."""
+    """Aggregates by `keys`: every batch stores `parts`, and the result is `merged` over the parts of all batches.
+
+    `merged` makes columns of the same names as `parts`, so parts can be merged again and again.
+    """
     def change(batch):
         return batch.groupBy(*keys).agg(*[e.alias(n) for n, e in parts.items()])
 
-    rows = run(stream, out, change=change)
-    names = [c for c in rows.columns if c not in (*parts, "batch")]
-    return rows.groupBy(*names).agg(*[e.alias(n) for n, e in merged.items()])
+    schema = _declared(stream, change)
+    names = [f.name for f in change(stream.sparkSession.createDataFrame([], stream.schema)).schema.fields if f.name not in parts]
+
+    def merge(rows):
+        return rows.groupBy(*names).agg(*[e.alias(n) for n, e in merged.items()])
+
+    return _merging(stream, out, change, merge, schema)
 
 
 def discover_feed(spark: SparkSession, path: str, schema: str, *, out: str, files: int = FILES_PER_TRIGGER) -> DataFrame:
@@ -87,22 +107,14 @@ def tail_events(stream: DataFrame, *, out: str, keep: Column) -> DataFrame:
 def deduplicated_feed(stream: DataFrame, *, time: str, keys: list[str], out: str) -> DataFrame:
     """First row per (candidate, version) by time, however late a row comes.
 
-    A batch stores a key only if the table does not hold it yet, or holds a later row of it.
+    A batch stores its own first rows and reads nothing of the table but the runs that it folds.
     """
     rest = [c for c in stream.columns if c not in keys]
-    schema = _declared(stream, None)
 
     def firsts(df):
-        return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(time)).alias("_r")).select(*keys, "_r.*").select(*stream.columns)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        before = table(batch.sparkSession, out, schema).where(F.col("batch") != batch_id)
-        held = before.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(time).alias("_held"))
-        on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        new = firsts(batch).join(held, on, "left").where(F.col("_held").isNull() | (F.col(time) < F.col("_held")))
-        new.select(*stream.columns).write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+        return df.groupBy(*keys).agg(F.min(F.struct(time, *[c for c in rest if c != time])).alias("_r")).select(*keys, "_r.*").select(*stream.columns)
 
-    return firsts(run(stream, out, sink=write, schema=schema))
+    return _merging(stream, out, firsts, firsts, _declared(stream, None))
 
 
 def rolling_counts(stream: DataFrame, *, time: str, out: str, size_s: int = 600, slide_s: int = 60) -> DataFrame:

@@ -8,6 +8,7 @@ from strideframe.operators import corpus as P
 from strideframe.operators import joins as J
 from strideframe.operators import ledger as L
 from strideframe.plans.digests import ordered_digest
+from strideframe.plans import graphs
 from strideframe.plans.packing import greedy_shards
 from strideframe.plans.ranges import containing_counts, points_in_intervals
 
@@ -66,6 +67,43 @@ def test_merge_keeps_shared_objects_once_and_reports_conflicts(spark):
     assert sorted(r.rule for r in clash) == ["candidate-conflict", "identity-conflict"]
 
 
+def strongly_connected(edges):
+    """Mutual reach by plain search from every node."""
+    out = {}
+    for a, b in edges:
+        out.setdefault(a, set()).add(b)
+    reach = {}
+    for n in {x for e in edges for x in e}:
+        seen, todo = set(), list(out.get(n, ()))
+        while todo:
+            v = todo.pop()
+            if v not in seen:
+                seen.add(v)
+                todo += out.get(v, ())
+        reach[n] = seen
+    groups = {n: {m for m in s if n in reach[m]} for n, s in reach.items() if n in s}
+    return sorted((n, min(g), len(g)) for n, g in groups.items())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cycle_groups_equal_mutual_reach(spark, seed):
+    rnd = random.Random(seed)
+    n = 45
+    edges = [(rnd.randrange(n), rnd.randrange(n)) for _ in range((30, 50, 80)[seed])]
+    # Two rings joined by a path, a long chain, a self edge, repeats and null ends.
+    edges += [(100 + i, 100 + (i + 1) % 7) for i in range(7)] + [(120 + i, 120 + (i + 1) % 3) for i in range(3)] + [(103, 110), (110, 121)]
+    edges += [(200 + i, 201 + i) for i in range(12)] + [(300, 300), (120, 120)] + edges[:5]
+    df = spark.createDataFrame(edges + [(None, 1), (1, None)], "s int, t int")
+    got = sorted(tuple(r) for r in graphs.cycle_groups(df, source="s", target="t").collect())
+    assert got == strongly_connected(edges)
+
+
+def test_no_cycle_gives_no_row(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(9)], "s int, t int")
+    assert graphs.cycle_groups(df, source="s", target="t").count() == 0
+    assert graphs.cycle_groups(df.limit(0), source="s", target="t").count() == 0
+
+
 def test_closure_finds_cycles(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "s string, t string")
     out = {(r.s, r.t): (r.steps, r.cycle) for r in J.dependency_closure(e, source="s", target="t").collect()}

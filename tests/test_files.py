@@ -1,3 +1,4 @@
+import hashlib
 import io
 import json
 import tarfile
@@ -12,7 +13,9 @@ from strideframe.operators import delivery as K
 from strideframe.sources import archives as A
 from strideframe.sources import config
 from strideframe.sources import documents as D
+from strideframe.sources.objects import ObjectStore
 from strideframe.streaming import feeds as S
+from strideframe.streaming.runs import Runs
 from strideframe.functions import ids
 
 
@@ -50,6 +53,33 @@ def test_tar_inventory_reports_links_duplicates_and_damage(spark, tmp_path):
     assert rules == [("archive-member", "link"), ("archive-member", "truncated"), ("duplicate-member", "2")]
 
 
+@pytest.mark.parametrize("kind", ["zip", "stored", "tar"])
+def test_one_archive_is_read_by_many_tasks(spark, tmp_path, kind):
+    members = [(f"S/m{i}.txt", bytes([i % 251]) * (i * 7 % 900)) for i in range(400)]
+    if kind == "tar":
+        tar(tmp_path / "a.tar", members, mode="w")
+    else:
+        with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED if kind == "zip" else zipfile.ZIP_STORED) as z:
+            for name, data in members:
+                z.writestr(name, data)
+    inv = A.inventory(spark, str(tmp_path), pattern="a.*", suffixes=[".txt"])
+    assert sorted((r.member, r.size, r.sha256, r.problem) for r in inv.collect()) == sorted((n, len(b), hashlib.sha256(b).hexdigest(), "") for n, b in members)
+    parts = [r["count"] for r in inv.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(parts) >= 6 and max(parts) < 150
+
+
+def test_profiles_read_a_small_share_of_the_bytes(tmp_path):
+    """A member of a megabyte costs its directory and array heads."""
+    big = npz(1000)
+    tar(tmp_path / "a.tar", [("x_poses.npz", big), ("y_poses.npz", big)], mode="w")
+    places = list(A._places(f"file://{tmp_path}/a.tar"))
+    with open(tmp_path / "a.tar", "rb") as raw:
+        window = A.Window(raw, places[1]["at"], places[1]["size"])
+        row = A._ranged_profile("a.tar", "y_poses.npz", window, "")
+        assert row["frames"] == 1000 and row["size"] == len(big) and row["sha256"] is None
+        assert window.taken < 0.05 * len(big)
+
+
 def test_zip_inventory_checks_the_crc(spark, tmp_path):
     good = io.BytesIO()
     with zipfile.ZipFile(good, "w") as z:
@@ -274,6 +304,66 @@ def test_status_stream_equals_the_batch_fold_over_several_batches(spark, tmp_pat
     assert sorted(map(tuple, got.select("clip", "status").collect())) == sorted(map(tuple, want.select("clip", "status").collect()))
 
 
+def test_runs_fold_and_stay_few(spark, tmp_path):
+    """Many batches: few runs to open, the same totals, and batches that run again change nothing."""
+    merge = lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n"))
+    runs = Runs(spark, str(tmp_path / "t"), "k string, n bigint", merge, fan=3)
+    assert runs.rows().count() == 0
+    one = lambda i: spark.createDataFrame([("all", 1), (f"k{i % 5}", i)], "k string, n bigint").coalesce(1)
+    total = 31
+    for i in range(total):
+        runs.add(one(i), i)
+        if i % 7 == 0:
+            runs.add(one(i), i)
+    live = runs._runs()
+    assert len(live) <= 2 * 4 and [r[1] for r in live] == [0, *[r[2] + 1 for r in live[:-1]]] and live[-1][2] == total - 1
+    want = {"all": total} | {f"k{k}": sum(i for i in range(total) if i % 5 == k) for k in range(5)}
+    assert {r.k: r.n for r in merge(runs.rows()).collect()} == want
+    assert len(list((tmp_path / "t" / "runs").iterdir())) <= len(live) + 6 and len(list((tmp_path / "t" / "manifests").glob("*.json"))) == 2
+
+
+def test_a_crash_before_the_manifest_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    merge = lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n"))
+    runs = Runs(spark, str(tmp_path / "t"), "k string, n bigint", merge, fan=2)
+    one = spark.createDataFrame([("a", 1)], "k string, n bigint")
+    runs.add(one, 0)
+    held = runs.store.put_json
+
+    def crash(key, value):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(runs.store, "put_json", crash)
+    with pytest.raises(RuntimeError):
+        runs.add(one, 1)
+    assert [r.n for r in merge(runs.rows()).collect()] == [1]
+    monkeypatch.setattr(runs.store, "put_json", held)
+    runs.add(one, 1)
+    runs.add(one, 2)
+    assert [r.n for r in merge(runs.rows()).collect()] == [3]
+
+
+def test_object_store(spark, tmp_path):
+    store = ObjectStore(spark, str(tmp_path / "store"))
+    assert store.keys() == [] and not store.exists("a/b.json")
+    store.put_json("a/b.json", {"y": 1, "x": "é"})
+    store.put_json("a/b.json", {"x": "é", "y": 1})
+    store.put("a/c.bin", b"\x00\xff")
+    store.put("z", b"")
+    assert store.keys() == ["a/b.json", "a/c.bin", "z"] and store.keys("a") == ["a/b.json", "a/c.bin"] and store.keys("none") == []
+    assert store.read_json("a/b.json") == {"x": "é", "y": 1} and store.read("a/c.bin") == b"\x00\xff"
+    with pytest.raises(ValueError):
+        store.put("a/c.bin", b"other")
+    with pytest.raises(FileNotFoundError):
+        store.read("none")
+    for key in ("/etc/x", "../x", "a/../../x"):
+        with pytest.raises(ValueError):
+            store.put(key, b"")
+    assert sorted(map(tuple, store.objects("a").collect())) == [(k, len(store.read(k))) for k in ("a/b.json", "a/c.bin")]
+    assert {r.key: bytes(r.content) for r in store.contents("a").collect()} == {k: store.read(k) for k in ("a/b.json", "a/c.bin")}
+    store.delete("a")
+    assert store.keys() == ["z"]
+
+
 def test_commit_rows_follow_their_objects(spark, tmp_path):
     log = tmp_path / "log"
     log.mkdir()
