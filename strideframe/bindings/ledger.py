@@ -10,6 +10,8 @@ from strideframe.functions import rotations as R
 from strideframe.operators import ledger as L
 from strideframe.operators import metrics as M
 from strideframe.operators import review as V
+from strideframe.plans import pages
+from strideframe.session import work_dir
 from strideframe.sources.tables import micros, read
 
 STATUS_SQL = "CASE event_type WHEN 'view' THEN 'published' WHEN 'click' THEN 'pending-publish' WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'ready-local' ELSE 'excluded' END"
@@ -145,6 +147,14 @@ def t03(spark, d):
     return L.page_after(read(spark, d, "events").select("event_id", "event_type"), seq="event_id", cursor=1234, limit=100)
 
 
+@query("t03_clustered_page", "SELECT user_id, event_id, event_type FROM events WHERE (user_id, event_id) > (5, 0) ORDER BY user_id, event_id LIMIT 100")
+def t03_clustered(spark, d):
+    """The same through a layout clustered by the cursor, of which a page opens one or two files."""
+    path = work_dir(spark, "pages")
+    pages.write_clustered(read(spark, d, "events").select("user_id", "event_id", "event_type"), path, order=["user_id", "event_id"], rows_per_file=2000)
+    return pages.clustered_page(spark, path, order=["user_id", "event_id"], after=(5, 0), limit=100)
+
+
 @query("t04_worst", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'R' ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey LIMIT 5")
 def t04(spark, d):
     li = read(spark, d, "lineitem").where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")

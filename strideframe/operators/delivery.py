@@ -225,7 +225,10 @@ def publish(rows: DataFrame, path: str, *, key: str) -> DataFrame:
 
 
 def write_catalog(plans: DataFrame, path: str, *, source: str) -> DataFrame:
-    """One folder per source; sources already present are left alone if their plans are the same, else refused."""
+    """One folder per source; sources already present are left alone if their plans are the same, else refused.
+
+    New sources are staged together and published by one rename each, so a source is there whole or not at all.
+    """
     spark = plans.sparkSession
     if exists(spark, path):
         stored = spark.read.schema(plans.schema).parquet(path)
@@ -237,7 +240,17 @@ def write_catalog(plans: DataFrame, path: str, *, source: str) -> DataFrame:
         if changed:
             raise ValueError(f"plans of {changed[0][source]} changed")
         plans = plans.join(done, source, "left_anti")
-    plans.write.mode("append").partitionBy(source).parquet(path)
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    plans.write.partitionBy(source).parquet(staged)
+    fs, top = _fs(spark, staged)
+    for status in fs.listStatus(top):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{source}="):
+            _, target = _fs(spark, f"{path}/{name}")
+            if fs.exists(target) or not fs.rename(status.getPath(), target):
+                fs.delete(top, True)
+                raise ValueError(f"{name} was published by someone else")
+    fs.delete(top, True)
     return spark.read.schema(plans.schema).parquet(path)
 
 

@@ -425,14 +425,17 @@ def hash_normal(seed: int, *keys: Column) -> Column:
 
 def apply_calibration(signals: DataFrame, calibration: DataFrame, *, identity: list[str],
                       axes: list[str], seed: int) -> DataFrame:
-    """x * scale + bias + N(0, noise_std) per axis; `calibration` has one row per axis."""
-    wide = signals
+    """x * scale + bias + N(0, noise_std) per axis; `calibration` has one row per axis.
+
+    An axis without a row keeps its values; null settings of a row count as scale 1, bias 0 and no noise.
+    """
+    setting = F.struct(F.coalesce("scale", F.lit(1.0)).alias("scale"), F.coalesce("bias", F.lit(0.0)).alias("bias"), F.coalesce("noise_std", F.lit(0.0)).alias("noise"))
+    # One row of a few numbers, whatever the input.
+    known = calibration.agg(*[F.max(F.when(F.col("axis") == a, setting)).alias(f"_c_{a}") for a in axes]).withColumn("_one", F.lit(1))
+    wide = signals.withColumn("_one", F.lit(1)).join(F.broadcast(known), "_one").drop("_one")
     for axis in axes:
-        row = (calibration.where(F.col("axis") == axis).select(
-            F.col("bias").alias(f"_b_{axis}"), F.col("scale").alias(f"_s_{axis}"),
-            F.col("noise_std").alias(f"_n_{axis}"), F.lit(1).alias("_one")))
-        wide = wide.withColumn("_one", F.lit(1)).join(row, "_one", "left").drop("_one")
-        noise = hash_normal(seed, *[F.col(c) for c in identity], F.lit(axis))
-        wide = wide.withColumn(axis, F.col(axis) * F.col(f"_s_{axis}") + F.col(f"_b_{axis}")
-                               + noise * F.col(f"_n_{axis}")).drop(f"_b_{axis}", f"_s_{axis}", f"_n_{axis}")
-    return wide
+        c = F.col(f"_c_{axis}")
+        noise = hash_normal(seed, *[F.col(i) for i in identity], F.lit(axis))
+        changed = F.col(axis) * c["scale"] + c["bias"] + noise * c["noise"]
+        wide = wide.withColumn(axis, F.when(c.isNull(), F.col(axis)).otherwise(changed))
+    return wide.drop(*[f"_c_{a}" for a in axes])

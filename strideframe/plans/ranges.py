@@ -13,26 +13,32 @@ FAN = 64
 
 def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], *,
                         point: str, start: str, stop: str, width: int, how: str = "inner") -> DataFrame:
-    """Pairs with ``start < point < stop``; both sides meet on (keys, level, bin).
+    """Pairs with ``start < point < stop``; both sides meet on (keys, level, bin). A left join keeps points in no interval.
 
     An interval lies in the bins of one level, whose width grows by FAN a level, so it is in FAN + 1 bins at most however long it
     is; a point is in one bin of each level that has intervals.
     """
     size = F.greatest(F.col(stop) - F.col(start), F.lit(0)).cast("double") / width
     level = F.greatest(F.lit(0), F.ceil(F.log(float(FAN), F.greatest(size, F.lit(1.0)))) - 1).cast("int")
-    leveled = intervals.withColumn("_level", level)
-    # A level is a power of FAN, so there are a few at most.
-    levels = sorted(r[0] for r in leveled.select("_level").distinct().where("_level is not null").collect()) or [0]
+    leveled = intervals.withColumn("_level", level).where("_level is not null")
+    # A level is a power of FAN, so one short array says which there are.
+    levels = leveled.agg(F.collect_set("_level").alias("_levels")).withColumn("_one", F.lit(1))
     wide = F.lit(width) * F.pow(F.lit(FAN), F.col("_level")).cast("bigint")
     lo, hi = F.floor(F.col(start) / wide), F.floor(F.col(stop) / wide)
     cut = leveled.withColumn("_bin", F.explode(F.sequence(lo, F.greatest(lo, hi))))
-    marked = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).withColumn("_bin", F.floor(F.col(point) / wide))
+    marked = points.withColumn("_one", F.lit(1)).join(F.broadcast(levels), "_one").withColumn("_level", F.explode("_levels")).drop("_one", "_levels")
+    marked = marked.withColumn("_bin", F.floor(F.col(point) / wide))
     names = [*keys, "_level", "_bin"]
     other = cut.withColumnsRenamed({k: f"_r_{k}" for k in names})
     on = [marked[k] == F.col(f"_r_{k}") for k in names] + [F.col(point) > F.col(start), F.col(point) < F.col(stop)]
-    if how != "inner" and len(levels) > 1:
-        raise ValueError("intervals of several levels meet in inner joins only")
-    return marked.join(other, on, how).drop("_level", "_bin", *[f"_r_{k}" for k in names])
+    pairs = marked.join(other, on).drop("_level", "_bin", *[f"_r_{k}" for k in names])
+    if how == "inner":
+        return pairs
+    if how != "left":
+        raise ValueError("inner or left")
+    met = pairs.select(*[F.col(c).alias(f"_m{i}") for i, c in enumerate(points.columns)]).distinct()
+    alone = points.join(met, [F.col(c).eqNullSafe(F.col(f"_m{i}")) for i, c in enumerate(points.columns)], "left_anti")
+    return pairs.unionByName(alone.select(*points.columns, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in pairs.columns if c not in points.columns]))
 
 
 def containing_counts(points: DataFrame, intervals: DataFrame, keys: list[str], *,

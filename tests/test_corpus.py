@@ -8,7 +8,7 @@ from strideframe.operators import corpus as P
 from strideframe.operators import joins as J
 from strideframe.operators import ledger as L
 from strideframe.plans.digests import ordered_digest
-from strideframe.plans import graphs
+from strideframe.plans import graphs, pages
 from strideframe.plans.packing import greedy_shards
 from strideframe.plans.ranges import containing_counts, points_in_intervals
 
@@ -224,3 +224,32 @@ def test_long_and_short_intervals_meet_their_points(spark):
     v = spark.createDataFrame(spans, "k string, iv bigint, a bigint, b bigint")
     got = {(r.id, r.iv) for r in points_in_intervals(p, v, ["k"], point="at", start="a", stop="b", width=7).collect()}
     assert got == {(i, j) for _, i, t in points for _, j, a, b in spans if a < t < b}
+
+
+def test_left_join_keeps_points_in_no_interval(spark):
+    p = spark.createDataFrame([("k", 1, 3), ("k", 2, 2_000_000), ("k", 3, -5), ("k", 3, -5), ("j", 4, 3), (None, 5, 3)], "k string, id bigint, at bigint")
+    v = spark.createDataFrame([("k", 0, 0, 5), ("k", 1, 0, 3_000_000), ("k", 2, None, 9)], "k string, iv bigint, a bigint, b bigint")
+    join = lambda how, v=v: sorted(((r.id, r.iv) for r in points_in_intervals(p, v, ["k"], point="at", start="a", stop="b", width=7, how=how).collect()), key=str)
+    assert join("inner") == [(1, 0), (1, 1), (2, 1)]
+    assert join("left") == [(1, 0), (1, 1), (2, 1), (3, None), (3, None), (4, None), (5, None)]
+    with pytest.raises(ValueError):
+        join("full")
+
+
+@pytest.mark.parametrize("limit", [1, 30, 95, 400])
+def test_a_page_opens_the_files_it_needs(spark, tmp_path, limit):
+    rows = [(i // 7, i) for i in range(400)]
+    random.Random(1).shuffle(rows)
+    path = str(tmp_path / "t")
+    pages.write_clustered(spark.createDataFrame(rows, "u int, i bigint"), path, order=["u", "i"], rows_per_file=40)
+    seen, after = [], None
+    while True:
+        files = pages.page_files(spark, path, order=["u", "i"], after=after, limit=limit)
+        assert len(files) <= 2 + limit // 20
+        page = [tuple(r) for r in pages.clustered_page(spark, path, order=["u", "i"], after=after, limit=limit).collect()]
+        seen += page
+        if len(page) < limit or len(seen) > 3 * limit:
+            break
+        after = page[-1]
+    assert seen == sorted(rows)[:len(seen)] and seen
+    assert pages.clustered_page(spark, path, order=["u", "i"], after=(9999, 0), limit=limit).count() == 0

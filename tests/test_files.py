@@ -201,6 +201,10 @@ def test_catalog_refuses_changed_plans(spark, tmp_path):
     assert K.write_catalog(plans, path, source="source").count() == 3
     with pytest.raises(ValueError, match="changed"):
         K.write_catalog(plans.where("n > 1"), path, source="source")
+    # What a crash leaves staged is not part of the catalog.
+    plans.write.parquet(f"{path}/_staged-lost/source=c")
+    assert K.write_catalog(plans, path, source="source").count() == 3
+    assert sorted(p.name for p in (tmp_path / "catalog").iterdir() if p.name.startswith("source")) == ["source=a", "source=b"]
 
 
 def test_publish_refuses_two_contents_in_a_batch(spark, tmp_path):

@@ -190,6 +190,13 @@ def test_noise_depends_on_the_row_only(spark):
     assert np.mean(list(one.values())) == pytest.approx(1.0, abs=0.02) and np.std(list(one.values())) == pytest.approx(0.5, abs=0.02)
 
 
+def test_an_axis_without_calibration_keeps_its_values(spark):
+    df = spark.createDataFrame([(1, 2.0, 5.0), (2, None, 6.0)], "i int, x double, y double")
+    cal = spark.createDataFrame([("x", 1.0, None, None)], "axis string, bias double, scale double, noise_std double")
+    run = lambda c: sorted(tuple(r) for r in S.apply_calibration(df, c, identity=["i"], axes=["x", "y"], seed=1).collect())
+    assert run(cal) == [(1, 3.0, 5.0), (2, None, 6.0)] and run(cal.limit(0)) == [(1, 2.0, 5.0), (2, None, 6.0)]
+
+
 def test_world_transforms_match_numpy(spark):
     rnd = np.random.default_rng(1)
     parents = [-1, 0, 1, 0, 3, 4]
