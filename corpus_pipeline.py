@@ -36,22 +36,30 @@ def _free(name: str, docs: DataFrame) -> str:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of five-word shingle sets linked at 0.8, the row with the smallest id (a null id last, then by content).
 
-    Rows are told apart by a 128-bit hash of all their columns, so different texts that share an id, or have none, are
-    rows of their own; rows equal in every column are one row.
+    Rows are told apart by their ids where these are unique, and else by a 128-bit hash of all their columns, so different
+    texts that share an id, or have none, are rows of their own; rows equal in every column are one row.
     """
-    row, nth = _free("row", docs), _free("nth", docs)
+    repeated = docs.groupBy("doc_id").count().where("doc_id is null or count > 1").limit(1).count()
+    if not repeated:
+        groups = ngram_join.components(docs, size=SHINGLE, num=SIMILAR[0], den=SIMILAR[1])
+        gone = materialise(groups.where("doc_id <> component_id").select("doc_id"), "gone")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    row, nth, verdict = (_free(name, docs) for name in ("row", "nth", "verdict"))
     rows = docs.withColumn(row, F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), *docs.columns)), 16, "0") for k in (0, 1)])))
-    groups = ngram_join.components(rows, key=row, size=SHINGLE, num=SIMILAR[0], den=SIMILAR[1])
-    linked = materialise(groups.where(F.col(row) != F.col("component_id")).select(F.col(row).alias("row"), F.col("component_id").alias("group")).distinct(), "linked")
-    members = linked.unionByName(linked.select(F.col("group").alias("row"), "group").distinct())
+    groups = materialise(ngram_join.components(rows, key=row, size=SHINGLE, num=SIMILAR[0], den=SIMILAR[1]).toDF("row", "n", "group"), "groups")
+    linked = groups.where("row <> `group`").select("row", "group").distinct()
+    members = materialise(linked.unionByName(linked.select(F.col("group").alias("row"), "group").distinct()), "members")
     ids = members.join(rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id")).distinct(), "row")
     # The smallest of a group combines before the shuffle, however large the group.
     best = ids.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")).select(F.col("best.row").alias("row"))
-    gone = members.select("row").join(best, "row", "left_anti").withColumnRenamed("row", row)
-    again = groups.groupBy(row).count().where("count > 1").select(row)
-    kept = rows.join(gone, row, "left_anti")
-    once = kept.join(again, row, "left_semi").withColumn(nth, F.row_number().over(Window.partitionBy(row).orderBy(F.lit(1)))).where(F.col(nth) == 1)
-    return kept.join(again, row, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+    gone = members.select("row").join(best, "row", "left_anti").select("row", F.lit("gone").alias("verdict"))
+    again = groups.groupBy("row").count().where("count > 1").select("row").join(gone.select("row"), "row", "left_anti").select("row", F.lit("once").alias("verdict"))
+    # One join of the texts, with what is decided of a row.
+    decided = materialise(gone.unionByName(again), "decided").toDF(row, verdict)
+    kept = rows.join(decided, row, "left").where(F.col(verdict).isNull() | (F.col(verdict) != "gone"))
+    order = Window.partitionBy(row).orderBy(F.lit(1))
+    once = kept.where(F.col(verdict).isNotNull()).withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
+    return kept.where(F.col(verdict).isNull()).select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
