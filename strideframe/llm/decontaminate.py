@@ -1,6 +1,6 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is Parquet, one row per segment (a few MB of text), numbered by the task that wrote it and its place there: its
+The index is Parquet, one row per segment (about a MB of text), numbered by the task that wrote it and its place there: its
 documents, their first word positions, and per distinct word the sorted positions of all its occurrences. Positions run through the segment and
 skip one between documents, so no phrase crosses a document. All words of all documents are posted.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from strideframe.llm import blocks as B
 
 WINDOW = 10
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 1 << 20
 BLOCK_WORDS = 2_000_000
 INSIDE = B.byte_set((0, 47), (58, 96), (123, 127))
 SEGMENT = ["part", "seq", "keys", "n_words", "terms", "counts", "positions"]
