@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from strideframe.llm import blocks as B
 
 SHARD_TOKENS = 1 << 20
+TEXT_BYTES = 2 << 20        # of texts whose words are looked up at once
 LEAST_COUNT = 8             # a pair seen less often in a shard stays as it is
 CACHE_WORDS = 1_500_000     # words whose ids a task remembers; the memory is cleared beyond
 BUCKETS = 1 << 20           # of the pair counts: a pair's bucket may be shared, so buckets are counted first, then their pairs
@@ -294,7 +295,7 @@ def write(df: DataFrame, path: str, key: str, text: str, tokenizer: str, end_id:
             return row
 
         for batch in batches:
-            for a, data, offsets in B.blocks(batch, "text"):
+            for a, data, offsets in B.blocks(batch, "text", TEXT_BYTES):
                 got, count = cache.encode(data, offsets)
                 stops = np.cumsum(count)
                 got, count = np.insert(got, stops, end_id), count + 1
