@@ -5,7 +5,8 @@ are cut into ordered segments at some of its own rows: those whose hash of key a
 quarter of ``strideframe.segment.rows``.  The cuts are values of the whole order, of any type, so outliers, infinities and
 equal first columns do not matter, and segments hold about that many rows at every size of a key (few keys far
 below it have a cut at all).  Windows run inside ``(key, segment)`` and a table with one row per segment of
-the keys that are cut carries the values that cross a cut.
+the keys that are cut carries the values that cross a cut.  Cuts and that table have a few rows per `limit` rows of the
+input, so they are broadcast, and no join deals rows by their key.
 """
 
 from __future__ import annotations
@@ -50,7 +51,9 @@ class Ordered:
                   .agg(F.sort_array(F.collect_set(self.rank)).alias("_cuts")))
         on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
         seg = F.when(F.col("_cuts").isNull(), 0).otherwise(_count_up_to(F.col("_cuts"), self.rank))
-        self.df = (df.join(cuts, on, "left").withColumn(SEG, seg.cast("bigint"))
+        # Broadcast, as a table of one cut per quarter of the limit is small at any size: a shuffled join would leave the
+        # rows dealt by the key alone, which serves the windows below as well and puts a whole key into one task.
+        self.df = (df.join(F.broadcast(cuts), on, "left").withColumn(SEG, seg.cast("bigint"))
                      .withColumn(CUT, F.col("_cuts").isNotNull()).drop("_cuts", *[f"_k{i}" for i in range(len(keys))]))
         self.drop += [SEG, CUT]
         # CUT depends on the key alone; naming it here lets a filter on it pass below the window.
@@ -66,7 +69,7 @@ class Ordered:
     def _join(self, side: DataFrame, seg: bool = True) -> DataFrame:
         on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(self.keys)]
         on += [F.col(SEG) == F.col("_kseg")] if seg else []
-        return self.df.join(side, on, "left").drop(*[f"_k{i}" for i in range(len(self.keys))], "_kseg")
+        return self.df.join(F.broadcast(side), on, "left").drop(*[f"_k{i}" for i in range(len(self.keys))], "_kseg")
 
     def neighbours(self, prev: dict | None = None, following: dict | None = None) -> "Ordered":
         """Values of the row before / after each row: ``{new_name: column}``."""

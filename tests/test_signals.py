@@ -60,6 +60,24 @@ def test_no_segment_holds_a_key(spark, kind):
     assert got == {i: p + 1 for p, (_, i) in enumerate(want)}
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_no_task_holds_a_key(spark, keys):
+    """Rows are not dealt by their key when they meet its cuts, also where joins are not turned into broadcasts by size."""
+    was = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        df = spark.range(0, 4000, 1, 8).select(F.floor(F.col("id") / 4000).alias("k"), F.col("id").alias("t"))
+        o = Ordered(df, keys, ["t"], limit=200)
+        tasks = [r.task for r in o.df.select(F.spark_partition_id().alias("task")).collect()]
+        got = o.position("p").totals({"n": F.count("*")}).done().collect()
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+    assert max(map(tasks.count, set(tasks))) <= 1600
+    assert len(got) == 4000 and all(r.t == r.p and r.n == 4000 for r in got)
+
+
 @pytest.mark.parametrize("reach,chunk", [(10, 4), (3, 100), (25, 7)])
 def test_halo_of_any_reach(spark, reach, chunk):
     from strideframe.plans.ordered import halo
