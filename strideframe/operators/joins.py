@@ -12,9 +12,26 @@ from strideframe.session import materialise
 
 
 def object_descriptors(candidates: DataFrame, objects: DataFrame, *, key: str) -> DataFrame:
-    """Candidate objects (role -> digest map) with their descriptor."""
+    """Candidate objects (role -> digest map) with their descriptor.
+
+    Digests are shuffled and sorted as bytes, half as long as their hexadecimal text.
+    """
     refs = candidates.select(key, F.explode("objects").alias("role", "sha256"))
-    return refs.join(objects, "sha256")
+    packed = lambda df: df.withColumn("_sha", _packed(F.col("sha256"))).drop("sha256")
+    rows = packed(refs).join(packed(objects), "_sha")
+    return rows.select(_unpacked(F.col("_sha")).alias("sha256"), *[c for c in rows.columns if c != "_sha"])
+
+
+def _packed(text: Column) -> Column:
+    """Lower-case hexadecimal text as a byte 1 and its bytes, any other text as a byte 0 and itself."""
+    raw = F.unhex(text)
+    return F.when(F.lower(F.hex(raw)) == text, F.concat(F.unhex(F.lit("01")), raw)).otherwise(
+        F.concat(F.unhex(F.lit("00")), text.cast("binary")))
+
+
+def _unpacked(packed: Column) -> Column:
+    body = F.substring(packed, 2, 2 ** 31 - 1)
+    return F.when(F.substring(packed, 1, 1) == F.unhex(F.lit("01")), F.lower(F.hex(body))).otherwise(body.cast("string"))
 
 
 def plan_with_report(plan: DataFrame, reports: DataFrame, *, key: str) -> DataFrame:

@@ -13,9 +13,11 @@ def ordered_digest(df: DataFrame, keys: list[str], pos: str, payload: Column, *,
     """SHA-256 tree over the rows of each key in position order.
 
     Rows are grouped by position // fan, every group is hashed in order, and the group
-    digests are hashed the same way; `levels` rounds cover fan ** levels rows.
+    digests are hashed the same way; `levels` rounds cover fan ** levels rows. Rows are dealt to their groups first, as
+    they are, so what is shuffled is the columns that the payload needs, not the payload.
     """
-    work = df.select(*keys, F.col(pos).cast("bigint").alias("_p"), payload.alias("_d"), F.lit(1).cast("bigint").alias("_n"))
+    place = F.col(pos).cast("bigint")
+    work = df.repartition(*keys, F.floor(place / fan)).select(*keys, place.alias("_p"), payload.alias("_d"), F.lit(1).cast("bigint").alias("_n"))
     for level in range(levels):
         last = level == levels - 1
         group = F.lit(0).cast("bigint") if last else F.floor(F.col("_p") / fan)
