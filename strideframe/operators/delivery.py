@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strideframe.operators.checks import violation
 from strideframe.operators.corpus import dataset_digest, logical_content, partition_decisions, running_offsets
 from strideframe.plans.ordered import Ordered
+from strideframe.session import materialise
 
 
 def _fs(spark: SparkSession, path: str):
@@ -169,14 +170,15 @@ def write_corpus(clips: DataFrame, path: str, *, source: str, key: list[str], po
     """The corpus and its audit as four tables, staged together and published at once.
 
     `candidates` and `excluded` (with reasons) split the clips after quarantine; `sources` has the pass rates and `statistics` one row.
+    Clips are judged once and stored for the four tables.
     """
     from strideframe.operators import qa
     spark = clips.sparkSession
     if exists(spark, path):
         raise FileExistsError(path)
-    out = qa.exclusion(clips, source=source, policy=policy)
+    out = materialise(qa.exclusion(clips, source=source, policy=policy).select(*key, source, "passed", "reasons", "excluded"), "judged")
     tables = {"candidates": out.where("not excluded").select(*key, source), "excluded": out.where("excluded").select(*key, source, "reasons"),
-              "sources": qa.source_rates(clips, source=source, policy=policy), "statistics": qa.corpus_statistics(out, policy=policy)}
+              "sources": qa.source_rates(out, source=source, policy=policy), "statistics": qa.corpus_statistics(out, policy=policy)}
     staging = staging_name(path)
     for name, table in tables.items():
         create_only_write(table, f"{staging}/{name}")
