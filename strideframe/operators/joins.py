@@ -215,20 +215,34 @@ def dependency_closure(edges: DataFrame, *, source: str, target: str, roots: Dat
 
     Each round joins the new frontier only and is written out, so lineage stays short;
     the number of rounds is the depth of the graph.  A node that reaches itself is on a cycle.
+
+    From all sources, a pair can only have been found before if its walk has passed a node of several edges, or ends on a cycle. Only
+    such pairs are held against all that is known; where no walk branches, a round costs its frontier, not the closure so far.
     """
     e = edges.select(F.col(source).alias("a"), F.col(target).alias("b")).distinct()
-    step = e.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    # An edge from a node to itself, and a walk on from its own start, lead to known pairs only.
+    away = F.expr("not (a <=> b)")
+    several = e.where(away).groupBy("a").count().where("count > 1").select("a", F.lit(True).alias("forks"))
+    step = materialise(e.where(away).join(several, "a", "left").select(F.col("a").alias("b"), F.col("b").alias("c"), F.coalesce("forks", F.lit(False)).alias("forks")), "closure")
     asked = e if roots is None else e.join(roots.select(F.col(source).alias("a")).distinct(), "a", "left_semi")
-    reach = materialise(asked.withColumn("steps", F.lit(1)), "closure")
-    frontier, steps, parts = reach, 1, [reach]
+    # From some roots only, the pairs that tell of cycles may be missing, so every pair is checked.
+    first = asked.join(several, "a", "left").select("a", "b", F.lit(1).alias("steps"), (F.col("forks").isNotNull() | F.lit(roots is not None)).alias("forked"))
+    frontier = materialise(first, "closure")
+    looped = materialise(e.where("a = b").select("b").join(step.select("b"), "b", "left_semi"), "closure")
+    steps, parts = 1, [frontier]
     while not frontier.isEmpty():
         steps += 1
         known = parts[0]
         for p in parts[1:]:
             known = known.unionByName(p)
-        nxt = (frontier.join(step, "b").select("a", F.col("c").alias("b")).distinct()
-               .join(known.select("a", "b"), ["a", "b"], "left_anti").withColumn("steps", F.lit(steps)))
-        frontier = materialise(nxt, "closure")
+        on = frontier.where(away).join(step, "b").select("a", F.col("c").alias("b"), (F.col("forked") | F.col("forks")).alias("forked"))
+        cycles = known.where("a = b and steps > 1").select("b").union(looped).distinct().withColumn("_cycle", F.lit(True))
+        on = materialise(on.join(cycles, "b", "left").withColumn("_check", F.col("forked") | F.col("_cycle").isNotNull()).drop("_cycle"), "closure")
+        nxt, doubtful = on.where("not _check").drop("_check"), on.where("_check")
+        if not doubtful.isEmpty():
+            once = doubtful.groupBy("a", "b").agg(F.bool_or("forked").alias("forked"))
+            nxt = nxt.unionByName(once.join(known.select("a", "b"), ["a", "b"], "left_anti"))
+        frontier = materialise(nxt.select("a", "b", F.lit(steps).alias("steps"), "forked"), "closure")
         parts.append(frontier)
     out = parts[0]
     for p in parts[1:]:
