@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from strideframe.session import materialise
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """A side of a join in a loop, both sides dealt by key: a broadcast would pass it through the driver in every round."""
+    return df.hint("merge")
+
+
 def _trimmed(e: DataFrame) -> DataFrame:
     """Edges whose start is entered and whose end is left, again and again: what is peeled off lies on no cycle."""
     before = e.count()
     while before:
-        inner = (e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
-                  .join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select("a", "b"))
+        inner = (e.join(_dealt(e.select(F.col("b").alias("a")).distinct()), "a", "left_semi")
+                  .join(_dealt(e.select(F.col("a").alias("b")).distinct()), "b", "left_semi").select("a", "b"))
         e = materialise(inner, "trimmed")
         after = e.count()
         if after == before:
@@ -28,9 +33,9 @@ def _coloured(e: DataFrame) -> DataFrame:
     state = materialise(nodes.select("v", F.col("v").alias("c"), F.lit(True).alias("moved")), "colours")
     while not state.where("moved").isEmpty():
         # Only nodes whose colour has changed pass it on.
-        sent = e.join(state.where("moved").select(F.col("v").alias("a"), "c"), "a").groupBy(F.col("b").alias("v")).agg(F.max("c").alias("n"))
+        sent = e.join(_dealt(state.where("moved").select(F.col("v").alias("a"), "c")), "a").groupBy(F.col("b").alias("v")).agg(F.max("c").alias("n"))
         moved = F.coalesce(F.col("n") > F.col("c"), F.lit(False))
-        state = materialise(state.drop("moved").join(sent, "v", "left").select("v", F.when(moved, F.col("n")).otherwise(F.col("c")).alias("c"), moved.alias("moved")), "colours")
+        state = materialise(state.drop("moved").join(_dealt(sent), "v", "left").select("v", F.when(moved, F.col("n")).otherwise(F.col("c")).alias("c"), moved.alias("moved")), "colours")
     return state.select("v", "c")
 
 
@@ -51,17 +56,17 @@ def cycle_groups(edges: DataFrame, *, source: str, target: str) -> DataFrame:
         if rest.isEmpty():
             break
         colours = _coloured(rest)
-        own = rest.join(colours.withColumnsRenamed({"v": "a", "c": "ca"}), "a").join(colours.withColumnsRenamed({"v": "b", "c": "cb"}), "b").where("ca = cb").select("a", "b")
+        own = rest.join(_dealt(colours.withColumnsRenamed({"v": "a", "c": "ca"})), "a").join(_dealt(colours.withColumnsRenamed({"v": "b", "c": "cb"})), "b").where("ca = cb").select("a", "b")
         own = materialise(own, "own")
         reach = materialise(colours.where("v = c").select("v", "c", F.lit(True).alias("new")), "reach")
         while not reach.where("new").isEmpty():
-            met = own.join(reach.where("new").select(F.col("v").alias("b"), "c"), "b").select(F.col("a").alias("v"), "c").distinct()
-            more = met.join(reach.select("v", "c"), ["v", "c"], "left_anti").withColumn("new", F.lit(True))
+            met = own.join(_dealt(reach.where("new").select(F.col("v").alias("b"), "c")), "b").select(F.col("a").alias("v"), "c").distinct()
+            more = met.join(_dealt(reach.select("v", "c")), ["v", "c"], "left_anti").withColumn("new", F.lit(True))
             reach = materialise(reach.withColumn("new", F.lit(False)).unionByName(more), "reach")
         reach = reach.select("v", "c")
         parts.append(reach)
         gone = reach.select("v").distinct()
-        rest = materialise(rest.join(gone.withColumnRenamed("v", "a"), "a", "left_anti").join(gone.withColumnRenamed("v", "b"), "b", "left_anti").select("a", "b"), "edges")
+        rest = materialise(rest.join(_dealt(gone.withColumnRenamed("v", "a")), "a", "left_anti").join(_dealt(gone.withColumnRenamed("v", "b")), "b", "left_anti").select("a", "b"), "edges")
     found = loops.select(F.col("node").alias("v"), F.col("node").alias("c")).limit(0)
     for p in parts:
         found = found.unionByName(p)
