@@ -18,33 +18,30 @@ STAGE = "stageii-smplh-v1"
 NATIVE = "amass-smplh-g-v1"
 
 
-def _put(folder: str, name: str, data: bytes) -> None:
-    """Write beside the target, then rename, so that a task that runs twice is harmless."""
+def _put(folder: str, name: str, write) -> None:
+    """Let `write` fill a stream beside the target, then rename, so that a task that runs twice is harmless."""
     from pyarrow import fs
     system, inner = fs.FileSystem.from_uri(folder)
     system.create_dir(inner, recursive=True)
     part = f"{inner}/.{name}.{os.getpid()}"
     with system.open_output_stream(part) as f:
-        f.write(data)
+        write(f)
     system.move(part, f"{inner}/{name}")
 
 
-def _tar(members, mode="w:gz") -> bytes:
-    buf = io.BytesIO()
-    with tarfile.open(fileobj=buf, mode=mode) as t:
+def _tar(stream, members, mode="w|gz") -> None:
+    """Members go to the stream one by one, so the memory is that of one."""
+    with tarfile.open(fileobj=stream, mode=mode) as t:
         for name, data in members:
             info = tarfile.TarInfo(name)
             info.size = len(data)
             t.addfile(info, io.BytesIO(data))
-    return buf.getvalue()
 
 
-def _zip(members) -> bytes:
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+def _zip(stream, members) -> None:
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as z:
         for name, data in members:
             z.writestr(name, data)
-    return buf.getvalue()
 
 
 def _npz(i: int) -> bytes:
@@ -69,12 +66,12 @@ def archives(spark, d, kind: str) -> str:
                 continue
             base = pdf["source"] + "/" + pdf["lang"] + "/doc" + pdf["doc_id"].astype(str)
             if kind.startswith("npz"):
-                members = [(f"{b}_poses.npz", _npz(int(i))) for b, i in zip(base, pdf["doc_id"])]
+                members = ((f"{b}_poses.npz", _npz(int(i))) for b, i in zip(base, pdf["doc_id"]))
             else:
-                members = [(f"{b}.txt" if i % 3 else f"{b}.md", t.encode()) for b, i, t in zip(base, pdf["doc_id"], pdf["text"])]
-            end, pack = {"zip": ("zip", _zip), "npz-tar": ("tar", lambda m: _tar(m, "w"))}.get(kind, ("tar.gz", _tar))
-            _put(folder, f"part-{int(pdf['doc_id'].iloc[0]):09d}.{end}", pack(members))
-            yield pd.DataFrame({"n": [len(members)]})
+                members = ((f"{b}.txt" if i % 3 else f"{b}.md", t.encode()) for b, i, t in zip(base, pdf["doc_id"], pdf["text"]))
+            end, pack = {"zip": ("zip", _zip), "npz-tar": ("tar", lambda f, m: _tar(f, m, "w|"))}.get(kind, ("tar.gz", _tar))
+            _put(folder, f"part-{int(pdf['doc_id'].iloc[0]):09d}.{end}", lambda f: pack(f, members))
+            yield pd.DataFrame({"n": [len(pdf)]})
 
     columns = ["doc_id", "source", "lang"] + ["text"] * (not kind.startswith("npz"))
     read(spark, d, "documents").select(*columns).mapInPandas(build, "n bigint").agg(F.sum("n")).collect()
@@ -89,7 +86,7 @@ def page_objects(spark, d) -> str:
         for pdf in batches:
             for i, html in zip(pdf["page_id"], pdf["html"]):
                 ext = ("html", "json", "bin", "xyz")[int(i) % 4]
-                _put(folder, f"page{int(i)}.{ext}", html.encode())
+                _put(folder, f"page{int(i)}.{ext}", lambda f: f.write(html.encode()))
             yield pd.DataFrame({"n": [len(pdf)]})
 
     read(spark, d, "pages").select("page_id", "html").mapInPandas(build, "n bigint").agg(F.sum("n")).collect()

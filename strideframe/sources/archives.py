@@ -240,6 +240,9 @@ def _from_places(suffixes: tuple[str, ...], probe):
                         rows.append(probe(r.path, r.member, _at(raw, r), ""))
                     except (zipfile.BadZipFile, EOFError, OSError, zlib.error) as error:
                         rows.append(probe(r.path, r.member, None, f"truncated:{type(error).__name__}"))
+                    if len(rows) >= 1000:
+                        yield pd.DataFrame(rows)
+                        rows = []
                 if rows:
                     yield pd.DataFrame(rows)
         finally:
