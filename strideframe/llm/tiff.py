@@ -363,6 +363,9 @@ def padded(text: bytes) -> bytes:
 DAMAGE = (ValueError, struct.error, zlib.error, KeyError, IndexError, OverflowError, TypeError, MemoryError)      # what reading a damaged file may raise
 
 
+STORE_BYTES = 4 << 20         # texts stored, or samples decoded, before a batch of rows is sent on
+
+
 def store_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """Every text as a TIFF: `key`, `n_bytes` (UTF-8, unpadded) and `media`. Null texts count as empty."""
     source = df.select(key, text)
@@ -370,7 +373,7 @@ def store_texts(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a, data, offsets in B.blocks(batch, text, 16 << 20):
+            for a, data, offsets in B.blocks(batch, text, STORE_BYTES):
                 media = [store(padded(data[i:j].tobytes())) for i, j in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, len(media)), pa.array(np.diff(offsets)), pa.array(media, pa.binary())],
@@ -406,7 +409,7 @@ def decode_pages(df: DataFrame, key: str, media: str) -> DataFrame:
                     at.append(i)
                     got.append(row)
                     size += len(row[10] or b"")
-                    if size > 16 << 20:
+                    if size > STORE_BYTES:
                         yield emit(batch, at, got)
                         at, got, size = [], [], 0
             if got:
