@@ -229,12 +229,13 @@ def publish(rows: DataFrame, path: str, *, key: str) -> DataFrame:
 def write_catalog(plans: DataFrame, path: str, *, source: str) -> DataFrame:
     """One folder per source; sources already present are left alone if their plans are the same, else refused.
 
-    New sources are staged together and published by one rename each, so a source is there whole or not at all.
+    New sources are staged together and published by one rename each, so a source is there whole or not at all. The list of
+    stored sources is a table of its own, so that its size, not that of the stored plans, says whether plans are dealt by source.
     """
     spark = plans.sparkSession
     if exists(spark, path):
         stored = spark.read.schema(plans.schema).parquet(path)
-        done = stored.select(source).distinct()
+        done = materialise(stored.select(source).distinct(), "sources")
         rest = [c for c in plans.columns if c != source]
         mark = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*rest).cast("decimal(38,0)")).alias("h1"), F.sum(F.hash(*rest).cast("decimal(38,0)")).alias("h2")]
         old, new = stored.groupBy(source).agg(*mark), plans.join(done, source, "left_semi").groupBy(source).agg(*mark)

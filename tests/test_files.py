@@ -207,6 +207,19 @@ def test_catalog_refuses_changed_plans(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "catalog").iterdir() if p.name.startswith("source")) == ["source=a", "source=b"]
 
 
+def test_catalog_is_not_dealt_by_source(spark, tmp_path):
+    """Each task writes its own rows of a new source: few sources do not gather the plans in as few tasks."""
+    path, plans = str(tmp_path / "catalog"), spark.range(0, 80_000, 1, 4).select((F.col("id") % 2).alias("source"), (F.col("id") * 7).alias("n"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")     # less than the stored plans, more than their sources
+    try:
+        K.write_catalog(plans.where("source = 0"), path, source="source")
+        assert K.write_catalog(plans, path, source="source").count() == 80_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(list((tmp_path / "catalog" / "source=1").glob("*.parquet"))) == 4
+
+
 def test_publish_refuses_two_contents_in_a_batch(spark, tmp_path):
     rows = lambda *r: spark.createDataFrame(list(r), "k string, sha256 string")
     path = str(tmp_path / "store")
