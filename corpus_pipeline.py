@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strideframe.llm import decontaminate, fm, grammar, mixing, ngram_join
 from strideframe.llm import queries as Q
-from strideframe.session import materialise, work_dir
+from strideframe.session import materialise, small_batches, work_dir
 
 LEAST_SCORE = 0.7
 SHINGLE, SIMILAR = 5, (80, 100)
@@ -20,6 +20,7 @@ SHINGLE, SIMILAR = 5, (80, 100)
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine scores at 0.7 or more; it is fitted on the labelled rows among `docs`."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
     model = fm.fit(docs, labels, metadata=("n_chars",))
     name = _free("score", docs)
@@ -39,6 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by their ids where these are unique, and else by a 128-bit hash of all their columns, so different
     texts that share an id, or have none, are rows of their own; rows equal in every column are one row.
     """
+    small_batches(spark)
     repeated = docs.groupBy("doc_id").count().where("doc_id is null or count > 1").limit(1).count()
     if not repeated:
         groups = ngram_join.components(docs, size=SHINGLE, num=SIMILAR[0], den=SIMILAR[1])
@@ -64,6 +66,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a ten-word window of a benchmark item."""
+    small_batches(spark)
     path = work_dir(spark, "index")
     decontaminate.write_index(docs, path, "doc_id", "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -80,6 +83,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, written as Re-Pair shards; what is read back from them."""
+    small_batches(spark)
     path = work_dir(spark, "tokens")
     grammar.write(docs, path, "doc_id", "text", Q.tokenizer_path(), end_id=1)
     return grammar.documents(grammar.read(spark, path), "doc_id")

@@ -287,3 +287,23 @@ def test_pipeline_takes_null_and_clashing_columns(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, out, str(tmp_path))
         assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() <= table.count()
+
+
+def test_pipeline_batches_are_bounded_by_bytes(spark):
+    """Long texts reach a stage's Python a few at a time; a smaller bound of the session stays."""
+    import pyarrow as pa
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(40).repartition(1).selectExpr("id AS doc_id", "repeat('word ', 100000) AS text", "'en' AS lang", "'s1' AS source", "500000L AS n_chars")
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches)
+    try:
+        spark.conf.set(name, "64m")
+        corpus_pipeline.near_duplicates(spark, docs.limit(2), "")
+        got = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(got) > 40 * 500_000 and max(got) < 6 << 20
+        spark.conf.set(name, "1000000")
+        corpus_pipeline.near_duplicates(spark, docs.limit(2), "")
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.set(name, before)
