@@ -8,7 +8,7 @@ from strideframe.bindings.common import E, signal
 from strideframe.bindings.registry import query
 from strideframe.operators import joins as J
 from strideframe.plans import graphs
-from strideframe.plans.ordered import Ordered
+from strideframe.plans.ordered import Ordered, numbered
 from strideframe.session import literal_rows, work_dir
 from strideframe.sources import config
 from strideframe.sources.tables import read
@@ -280,7 +280,7 @@ q AS (SELECT l_orderkey, min(sample) AS a, max(sample) + 1 AS b FROM s GROUP BY
 def samples(spark, d):
     """Line items as samples of sequence `l_orderkey`, globally numbered."""
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-    s = Ordered(read(spark, d, "lineitem").select(*order), [], order).position("sample").done()
+    s = numbered(read(spark, d, "lineitem").select(*order), order, "sample")
     return s.withColumnRenamed("l_orderkey", "sequence_index")
 
 

@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from strideframe.session import segment_rows
+from strideframe.session import materialise, segment_rows
 
 OVERSPLIT = 4          # segments per `limit` rows, to soften their random lengths
+RANGE_ROWS = 50_000    # a table of fewer rows a core is not dealt to all cores
+LEAST_ROWS = 500       # of a range, as each is a task and a file
+ID_BITS = 33           # of an id of Spark that count rows inside a partition
 SEG, CUT, ALL = "_seg", "_cut", "_all"
 
 
@@ -152,6 +155,24 @@ class Ordered:
         return self.df.drop(*self.drop)
 
 
+def numbered(df: DataFrame, order: list[str], pos: str) -> DataFrame:
+    """Rows with their zero-based position `pos` in one order of the whole table.
+
+    Rows are dealt to ranges of the order that Spark samples, so tasks are even whatever the values are, sorted there and stored with
+    ids that hold the range and the place in it; one row per range carries the rows before it.  Every use reads the stored
+    rows, as ranges sampled twice may differ.  Rows that are equal in `order` share a range, and take their positions in any order.
+    """
+    count, parallel = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, -(-count // max(LEAST_ROWS, segment_rows(df.sparkSession) // OVERSPLIT)), min(parallel, count // RANGE_ROWS))
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    stored = materialise(dealt.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    at = F.shiftright("_id", ID_BITS)
+    edges = stored.groupBy(at.alias("_range")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(W.orderBy("_range")) - F.col("_rows")
+    rows = stored.join(F.broadcast(edges.select("_range", before.alias("_before"))), at == F.col("_range"))
+    return rows.withColumn(pos, F.col("_before") + F.col("_id").bitwiseAND((1 << ID_BITS) - 1)).drop("_id", "_range", "_before")
+
+
 def halo(df: DataFrame, keys: list[str], pos: str, reach: int, chunk: int = 65_536):
     """Rows plus the `reach` rows on each side of every chunk of `chunk` positions, however many chunks that spans.
 

@@ -317,3 +317,19 @@ def test_plans_of_the_same_clips_are_placed_once(spark):
     assert {r.source: r.one for r in got} == alone["one"] and {r.source: r.two for r in got} == alone["two"]
     scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 40")
     assert scans(both) == scans(P.plan_identity(plan, source="source", order=["k"], fields=["k", "x"]))
+
+
+def test_samples_are_numbered_in_even_ranges(spark, tmp_path, monkeypatch):
+    """No task takes the whole order, or several of its segments, and equal and null values keep every position."""
+    from strideframe.bindings.joins import samples
+    from strideframe.plans import ordered
+    rows = [(i // 4 % 900 if i % 50 else None, i % 3, 7, 1, 1.0, 2.0) for i in range(6000)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_quantity double").coalesce(1).write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(ordered, "segment_rows", lambda _: 4000)
+    out = samples(spark, str(tmp_path))
+    sizes = [spark.read.parquet(f).count() for f in out.inputFiles()]
+    assert sum(sizes) == 6000 and max(sizes) <= 2000
+    got = sorted((r.sample, r.sequence_index, r.l_linenumber) for r in out.collect())
+    want = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is not None, r))
+    assert got == [(i, *r) for i, r in enumerate(want)]
