@@ -38,10 +38,12 @@ def create_only_write(df: DataFrame, path: str, *, check=None, partition_by: lis
         raise FileExistsError(path)
     staging = staging_name(path)
     writer = df.write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
+    if partition_by:
+        # Tasks move their own folders, not the driver all of them one by one; nobody reads the staging folder before the job is done.
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*partition_by)
+    writer.parquet(staging)
     if check is not None:
-        bad = check(staged).limit(1).collect()
+        bad = check(spark.read.schema(df.schema).parquet(staging)).limit(1).collect()
         if bad:
             fs, p = _fs(spark, staging)
             fs.delete(p, True)
@@ -145,8 +147,13 @@ def migrated(old: DataFrame, new: DataFrame, *, key: str, digest: str = "digest"
 
 
 def write_shards(packed: DataFrame, path: str, *, shard: list[str], order: list[str]) -> DataFrame:
-    """One folder per shard; rows of a shard meet in one task, its size bound limits the task."""
-    out = packed.repartition(*shard).sortWithinPartitions(*shard, *order)
+    """One folder per shard; rows of a shard meet in one task, its size bound limits the task.
+
+    The number of tasks is given, as the work is in the files: AQE would join tasks by their bytes and leave thousands of files to one.
+    """
+    spark = packed.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    out = packed.repartition(tasks, *shard).sortWithinPartitions(*shard, *order)
     return create_only_write(out, path, partition_by=shard)
 
 

@@ -1,6 +1,8 @@
+import glob
 import hashlib
 import io
 import json
+import os
 import tarfile
 import zipfile
 
@@ -446,3 +448,14 @@ def test_members_at_places_are_sent_on_in_small_frames(tmp_path):
     row = dict(path=f"file://{path}", member="m.txt", at=512, stored=5, size=5, crc=None, method=None, problem="")
     frames = list(A._from_places((".txt",), A._plain)([pd.DataFrame([row] * 2500)]))
     assert [len(f) for f in frames] == [1000, 1000, 500] and set(frames[0]["size"]) == {5}
+
+
+def test_shards_are_written_by_many_tasks(spark, tmp_path):
+    """Small shards are not left to one task, and each is whole in one file in its order."""
+    df = spark.range(400).selectExpr("id AS k", "id % 2 AS dataset", "cast(id DIV 10 AS bigint) AS shard").repartition(5)
+    out = K.write_shards(df, str(tmp_path / "shards"), shard=["dataset", "shard"], order=["k"])
+    files = glob.glob(str(tmp_path / "shards/*/*/part-*.parquet"))
+    assert len(files) == 80 and len({os.path.basename(f).split("-")[1] for f in files}) > 1
+    assert len({os.path.dirname(f) for f in files}) == 80
+    assert sorted((r.k, r.dataset, r.shard) for r in out.collect()) == [(k, k % 2, k // 10) for k in range(400)]
+    assert [r.k for r in spark.read.parquet(str(tmp_path / "shards/dataset=1/shard=3")).collect()] == [31, 33, 35, 37, 39]
