@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from strideframe.operators.checks import violation
 from strideframe.operators.corpus import dataset_digest, logical_content, partition_decisions, running_offsets
 from strideframe.plans.ordered import Ordered
-from strideframe.session import materialise
+from strideframe.session import materialise, qualified
+from strideframe.sources import shards
 
 
 def _fs(spark: SparkSession, path: str):
@@ -150,11 +151,20 @@ def write_shards(packed: DataFrame, path: str, *, shard: list[str], order: list[
     """One folder per shard; rows of a shard meet in one task, its size bound limits the task.
 
     The number of tasks is given, as the work is in the files: AQE would join tasks by their bytes and leave thousands of files to one.
+    Tasks write the files and a list of them, and read them by that list (`sources/shards.py`), so the driver holds nothing of a shard. Stores
+    that only Spark's file systems reach are written and listed by Spark, with the driver.
     """
     spark = packed.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     out = packed.repartition(tasks, *shard).sortWithinPartitions(*shard, *order)
-    return create_only_write(out, path, partition_by=shard)
+    if not shards.reachable(qualified(spark, path)):
+        return create_only_write(out, path, partition_by=shard)
+    if exists(spark, path):
+        raise FileExistsError(path)
+    staging = staging_name(path)
+    shards.store(out, staging, shard)
+    publish_folder(spark, staging, path)
+    return shards.load(spark, path, packed.schema, shard)
 
 
 def packed_records(packed: DataFrame, *, shard: list[str], order: list[str], body: str) -> DataFrame:

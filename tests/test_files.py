@@ -1,3 +1,4 @@
+import datetime
 import glob
 import hashlib
 import io
@@ -5,8 +6,11 @@ import json
 import os
 import tarfile
 import zipfile
+from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +19,7 @@ from strideframe.operators import delivery as K
 from strideframe.sources import archives as A
 from strideframe.sources import config
 from strideframe.sources import documents as D
+from strideframe.sources import shards
 from strideframe.sources.objects import ObjectStore
 from strideframe.streaming import feeds as S
 from strideframe.streaming.runs import Runs
@@ -459,3 +464,64 @@ def test_shards_are_written_by_many_tasks(spark, tmp_path):
     assert len({os.path.dirname(f) for f in files}) == 80
     assert sorted((r.k, r.dataset, r.shard) for r in out.collect()) == [(k, k % 2, k // 10) for k in range(400)]
     assert [r.k for r in spark.read.parquet(str(tmp_path / "shards/dataset=1/shard=3")).collect()] == [31, 33, 35, 37, 39]
+
+
+def test_stored_shards_are_not_listed_by_the_driver(spark, tmp_path):
+    """Files of shards are read by a stored list of them, which is one row a shard, by tasks."""
+    df = spark.range(400).selectExpr("id AS k", "id % 2 AS dataset", "cast(id DIV 10 AS bigint) AS shard").repartition(5)
+    path = str(tmp_path / "shards")
+    out = K.write_shards(df, path, shard=["dataset", "shard"], order=["k"])
+    assert not [f for f in out.inputFiles() if "shard=" in f]
+    listed = spark.read.parquet(f"{path}/_shards").collect()
+    assert len(listed) == 80 and {r._rows for r in listed} == {5}
+    assert all(os.path.getsize(f"{path}/{r._path}") == r._bytes for r in listed)
+    assert sorted(os.listdir(path)) == ["_shards", "dataset=0", "dataset=1"] and os.listdir(tmp_path) == ["shards"]
+    assert sorted(spark.read.parquet(path).select("k", "dataset", "shard").collect()) == sorted(out.select("k", "dataset", "shard").collect())
+    with pytest.raises(FileExistsError):
+        K.write_shards(df, path, shard=["dataset", "shard"], order=["k"])
+
+
+def test_shards_of_odd_names_and_values(spark, tmp_path):
+    """Folders are named as by Spark, and rows come back as they were: null and empty names, nested values, times."""
+    names = [None, "", "1-URGENT/5", "a b%=c", "é'\"{}[]^:?*#\\", "tab\there", "x\x7f"]
+    rows = [(i, names[i % len(names)], datetime.date(2024, 1, 1 + i % 2), None if i % 5 == 0 else [(f"s{i}", i)], Decimal(i) / 4, i % 3 == 0,
+             datetime.datetime(2024, 5, 1, 12, 0, i % 60), None if i % 4 == 0 else {"a": float(i)}) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, name string, day date, blobs array<struct<sha256:string,size:bigint>>, d decimal(12,2), flag boolean, at timestamp, m map<string,double>")
+    path = str(tmp_path / "shards")
+    out = K.write_shards(df, path, shard=["name", "day", "flag"], order=["k"])
+    assert sorted(map(str, out.select(df.columns).collect())) == sorted(map(str, df.collect()))
+    df.write.partitionBy("name", "day", "flag").parquet(str(tmp_path / "spark"))
+    folders = lambda top: {os.path.relpath(os.path.dirname(f), top) for f in glob.glob(f"{top}/*/*/*/part-*.parquet")}
+    assert folders(path) == folders(str(tmp_path / "spark"))
+    none = K.write_shards(df.where("k < 0"), str(tmp_path / "none"), shard=["name"], order=["k"])
+    assert none.count() == 0 and set(none.columns) == set(df.columns)
+
+
+def test_a_shard_leaves_in_pieces(spark, tmp_path, monkeypatch):
+    """A shard of many batches is one file of several row groups, in its order."""
+    monkeypatch.setattr(shards, "GROUP_BYTES", 100_000)
+    df = spark.range(60_000).selectExpr("(id * 7919) % 60000 AS k", "cast(id % 2 AS int) AS shard")
+    out = K.write_shards(df, str(tmp_path / "shards"), shard=["shard"], order=["k"])
+    files = glob.glob(str(tmp_path / "shards/shard=*/*.parquet"))
+    assert len(files) == 2 and all(pq.ParquetFile(f).num_row_groups > 1 for f in files)
+    assert all((ks := pq.ParquetFile(f).read(["k"])["k"].to_pylist()) == sorted(ks) and len(ks) == 30_000 for f in files)
+    assert out.count() == 60_000 and out.select("k").distinct().count() == 60_000
+
+
+def test_a_shard_task_that_runs_twice_is_harmless(spark, tmp_path):
+    """The second run of a task puts its whole files in the place of the first's."""
+    root, twice = f"file://{tmp_path}", [pa.RecordBatch.from_pydict({"s": [1, 1, 2], "k": [5, 6, 7], "_texts": [["1"], ["1"], ["2"]]})]
+    os.makedirs(tmp_path / shards.PARTS)
+    monkey = type("Task", (), {"partitionId": lambda self: 3})
+    import pyspark
+    kept, pyspark.TaskContext.get = pyspark.TaskContext.get, staticmethod(lambda: monkey())
+    try:
+        got = [list(shards._writer(root, ["s"], ["k"])(iter(twice)))[0].to_pydict() for _ in range(2)]
+    finally:
+        pyspark.TaskContext.get = kept
+    assert got[0] == got[1] and got[0]["_rows"] == [2, 1] and not os.listdir(tmp_path / shards.PARTS)
+    assert len(glob.glob(str(tmp_path / "s=*/*"))) == 2
+
+
+def test_stores_that_tasks_can_not_open_are_left_to_spark():
+    assert shards.reachable("file:///tmp") and not shards.reachable("s3a://bucket/x")
