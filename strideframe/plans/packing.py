@@ -127,8 +127,9 @@ def greedy_shards(df: DataFrame, *, keys: list[str], order: list[str], body: str
 
     starts = (jumps.join(entries, [*keys, "_group"]).groupBy(*keys, "_group")
               .applyInPandas(walk, f"{key_schema}, _pos bigint"))
-    marked = narrow.select(*keys, *order, "_pos").join(
-        materialise(starts, "packing").withColumn("_start", F.lit(1)), [*keys, "_pos"], "left")
-    numbered = Ordered(marked, keys, ["_pos"]).running(
-        {"shard": F.coalesce(F.col("_start"), F.lit(0))}).done()
+    # Starts are rows of their own, ahead of the records that they mark: a join would send them all through the driver while they are few.
+    marks = materialise(starts, "packing").select(
+        *keys, *[F.lit(None).cast(narrow.schema[c].dataType).alias(c) for c in order], "_pos", F.lit(0).alias("_record"))
+    marked = narrow.select(*keys, *order, "_pos", F.lit(1).alias("_record")).unionByName(marks)
+    numbered = Ordered(marked, keys, ["_pos", "_record"]).running({"shard": 1 - F.col("_record")}).done().where("_record = 1")
     return df.join(numbered.select(*keys, *order, "shard"), [*keys, *order])

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -333,3 +334,12 @@ def test_samples_are_numbered_in_even_ranges(spark, tmp_path, monkeypatch):
     got = sorted((r.sample, r.sequence_index, r.l_linenumber) for r in out.collect())
     want = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is not None, r))
     assert got == [(i, *r) for i, r in enumerate(want)]
+
+
+def test_starts_of_shards_are_not_joined(spark):
+    """Starts mark records as rows between them, so a growing table of them is not broadcast through the driver."""
+    df = spark.range(300).selectExpr("id % 3 AS ds", "id AS k", "cast(id * 37 % 90 + 10 AS bigint) AS body")
+    out = greedy_shards(df, keys=["ds"], order=["k"], body="body", max_bytes=1000)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Join .*_pos#\d+L? = _pos#", plan)
+    assert out.columns == ["ds", "k", "body", "shard"] and dict(out.dtypes)["shard"] == "bigint" and out.count() == 300
