@@ -107,6 +107,8 @@ def greedy_shards(df: DataFrame, *, keys: list[str], order: list[str], body: str
         at, out = 0, []
         for g, rows in pdf.groupby("_group", sort=True):
             hit = rows[(rows["_lo"] <= at) & (at <= rows["_hi"])]
+            if hit.empty and g == pdf["_group"].iloc[-1]:
+                break       # the last shard began in the group before and holds all of this one
             out.append((g, at))
             at = int(hit["_exit"].iloc[0])
         res = pd.DataFrame(out, columns=["_group", "_at"])

@@ -343,3 +343,12 @@ def test_starts_of_shards_are_not_joined(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search(r"Join .*_pos#\d+L? = _pos#", plan)
     assert out.columns == ["ds", "k", "body", "shard"] and dict(out.dtypes)["shard"] == "bigint" and out.count() == 300
+
+
+def test_a_last_shard_may_hold_a_whole_group(spark):
+    """The last shard of a dataset begins in one group of buckets and takes all records of the next, the last."""
+    df = spark.range(300).selectExpr("id % 3 AS ds", "id AS k", "cast(id * 37 % 90 + 10 AS bigint) AS body")
+    out = greedy_shards(df, keys=["ds"], order=["k"], body="body", max_bytes=1000, rows_per_task=20).collect()
+    for ds in range(3):
+        rows = sorted((r.k, r.body, {}) for r in out if r.ds == ds)
+        assert len(rows) == 100 and {r.k: r.shard for r in out if r.ds == ds} == fold(rows, 850)
